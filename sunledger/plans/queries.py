@@ -136,8 +136,11 @@ def keyed_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No limit per micro-batch: files need not be in event-time order for every row to count."""
-    return configure_streams(spark).readStream.schema(views.EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    """No limit per micro-batch: files need not be in event-time order for every row to count.
+
+    A file stream wants a folder or a glob; this glob fits the one name, be it a file or a folder of files.
+    """
+    return configure_streams(spark).readStream.schema(views.EVENTS_SCHEMA).parquet(f"{sf_dir}/{{events}}.parquet")
 
 
 def generator_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin what the results depend on.
@@ -19,14 +21,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def configure_streams(spark: SparkSession) -> SparkSession:
-    """Keep window state in RocksDB: off the heap, and with only its changes uploaded per micro-batch."""
+def configure_streams(spark: SparkSession, rocksdb: bool | None = None) -> SparkSession:
+    """Settings of the streaming jobs.
+
+    On a cluster window state is kept in RocksDB: off the heap, and with only its changes uploaded per
+    micro-batch. A local session keeps Spark's in-memory store unless told otherwise: there driver and
+    executor are one process, and its exit can race with RocksDB's native threads.
+    """
     configure(spark)
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    if rocksdb is None:
+        rocksdb = not spark.sparkContext.master.startswith("local")
+    if rocksdb:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     # A slow source must hold the watermark back, not lose its rows to a faster one.
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     return spark
