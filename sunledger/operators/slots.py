@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.schemas import EVENT_TIME, PLANT, SLOT
 
+RUN = 96
+
 
 def slot_lookup(readings: DataFrame, slot: Column) -> DataFrame:
     """The readings of one slot, none when it is empty. ``slot`` is a literal or a scalar subquery."""
@@ -37,17 +39,19 @@ def slots_with_readings(readings: DataFrame, step: str = SLOT) -> DataFrame:
 def slot_gaps(readings: DataFrame, step: str = SLOT) -> DataFrame:
     """Slots of a plant's own time range that hold no reading.
 
-    The grid grows with the time range, not with the rows. It is spelled out in two steps, days and then
-    the slots of each day, so that no array is longer than a long range has days.
+    One scan: the distinct slots of a plant are put in order and only the holes between neighbours are
+    spelled out. A plant's slots grow with its time range, not with its rows, so ordering them is one
+    task's work per plant. A hole is spelled out in runs of slots first and then in slots, to keep arrays
+    short.
     """
-    slots = slots_with_readings(readings, step)
     every = F.expr(f"interval {step}")
-    day = F.expr("interval 1 day")
-    days = slots.groupBy("plant_id").agg(F.min("slot_start").alias("first"), F.max("slot_start").alias("last"))
-    grid = days.select(
-        "plant_id", "last", F.explode(F.sequence("first", "last", day)).alias("from_slot")
-    ).select(
-        "plant_id",
-        F.explode(F.sequence("from_slot", F.least(F.col("from_slot") + day - every, "last"), every)).alias("slot_start"),
+    run = every * F.lit(RUN)
+    by_time = Window.partitionBy("plant_id").orderBy("slot_start")
+    holes = (
+        slots_with_readings(readings, step)
+        .withColumn("last", F.lead("slot_start").over(by_time) - every)
+        .filter(F.col("last") > F.col("slot_start"))
+        .select("plant_id", "last", F.explode(F.sequence(F.col("slot_start") + every, "last", run)).alias("from_slot"))
     )
-    return grid.join(slots, ["plant_id", "slot_start"], "left_anti")
+    up_to = F.least(F.col("from_slot") + run - every, "last")
+    return holes.select("plant_id", F.explode(F.sequence("from_slot", up_to, every)).alias("slot_start"))

@@ -39,7 +39,9 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capacity(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CAPACITY, "plant_id int, capacity_kw int")
+    """As inline VALUES the optimizer knows its size and can choose the broadcast by itself."""
+    rows = ", ".join(f"({plant}, {kw})" for plant, kw in CAPACITY)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS capacity(plant_id, capacity_kw)")
 
 
 def _of_generator(operator: Callable[[DataFrame], DataFrame]) -> Query:

@@ -46,43 +46,46 @@ class TableSpec:
     """A result table: its columns in insert order, its key, and the time column it is partitioned on."""
 
     name: str
-    columns: str
+    schema: T.StructType
     key: tuple[str, ...]
     time_column: str
 
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.columns)
-
     @property
     def column_names(self) -> list[str]:
         return self.schema.fieldNames()
 
 
+def _columns(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+INT, TEXT, TIME, NUMBER = T.IntegerType(), T.StringType(), T.TimestampNTZType(), T.DoubleType()
+
 # --- Fixed values: names, columns and keys of the result tables ---
 SINK_SCHEMA = "solar"
 DAILY_YIELD = TableSpec(
     "daily_yield",
-    "plant_id int, source_key string, date_time timestamp_ntz, rolling_sum double",
+    _columns(plant_id=INT, source_key=TEXT, date_time=TIME, rolling_sum=NUMBER),
     ("plant_id", "source_key", "date_time"),
     "date_time",
 )
 GENERATOR_METRICS = TableSpec(
     "generator_metrics",
-    "plant_id int, source_key string, date_time timestamp_ntz, dc_power double, ac_power double, yield double",
+    _columns(plant_id=INT, source_key=TEXT, date_time=TIME, dc_power=NUMBER, ac_power=NUMBER).add("yield", NUMBER),
     ("plant_id", "source_key", "date_time"),
     "date_time",
 )
 WEATHER_METRICS = TableSpec(
     "weather_metrics",
-    "plant_id int, source_key string, date_time timestamp_ntz, "
-    "ambient_temp double, module_temp double, irradiation double",
+    _columns(
+        plant_id=INT, source_key=TEXT, date_time=TIME, ambient_temp=NUMBER, module_temp=NUMBER, irradiation=NUMBER
+    ),
     ("plant_id", "source_key", "date_time"),
     "date_time",
 )
 HOURLY_YIELD = TableSpec(
     "hourly_yield",
-    "window_start timestamp_ntz, window_end timestamp_ntz, plant_id int, source_key string, total_yield double",
+    _columns(window_start=TIME, window_end=TIME, plant_id=INT, source_key=TEXT, total_yield=NUMBER),
     ("window_start", "plant_id", "source_key"),
     "window_start",
 )

@@ -44,7 +44,7 @@ def create_tables(spark: SparkSession, root: str) -> None:
 
 
 def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    return spark.read.schema(spec.schema.add(PARTITION, T.DateType())).parquet(path)
+    return spark.read.schema(T.StructType([*spec.schema, T.StructField(PARTITION, T.DateType())])).parquet(path)
 
 
 def read_slice(spark: SparkSession, spec: TableSpec, path: str, start: datetime, end: datetime) -> DataFrame:

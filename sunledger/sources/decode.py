@@ -42,14 +42,14 @@ def decode_json(
     """
     if fields is not None:
         schema = T.StructType([schema[f] for f in fields])
-    rows = _parsed(messages.filter("value IS NOT NULL"), schema, mode)
+    rows = _parsed(messages, schema, mode)
     return rows.filter(F.col(EVENT_TIME).isNotNull()).select(*finite_columns(schema))
 
 
 def decode_with_rejects(messages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Readings, and the messages that gave none: ``(value, reject_reason)``. Each message is in one of the two."""
     raw = messages.select(F.col("value").cast("string").alias("value"))
-    rows = _parsed(raw, schema.add(CORRUPT, T.StringType()), "PERMISSIVE", ["value"]).withColumn(
+    rows = _parsed(raw, T.StructType([*schema, T.StructField(CORRUPT, T.StringType())]), "PERMISSIVE", ["value"]).withColumn(
         "reject_reason",
         F.when(F.col("value").isNull(), "no value")
         .when(F.col(CORRUPT).isNotNull(), "malformed")

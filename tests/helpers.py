@@ -1,0 +1,78 @@
+"""Small fixtures: readings from short texts, and scripted streams of one file per micro-batch."""
+
+from __future__ import annotations
+
+import io
+import json
+import os
+from contextlib import redirect_stdout
+from datetime import datetime
+
+from sunledger import schemas as S
+from sunledger.sources import message_files
+
+DAY = "2020-05-15"
+
+
+def at(clock: str, day: str = DAY) -> datetime:
+    return datetime.fromisoformat(f"{day} {clock}:00" if len(clock) == 5 else f"{day} {clock}")
+
+
+def generator_row(clock: str, value: float, plant: int = 1, source: str = "inv-a", day: str = DAY, ac: float | None = None):
+    value = None if value is None else float(value)
+    return (at(clock, day), value, value if ac is None else float(ac), value, value, plant, source)
+
+
+def weather_row(clock: str, ambient: float, module: float, irradiation: float, plant: int = 1, source: str = "sensor-a"):
+    return (at(clock), float(ambient), float(module), float(irradiation), plant, source)
+
+
+def generator(spark, rows):
+    return spark.createDataFrame(rows, S.generator_schema())
+
+
+def weather(spark, rows):
+    return spark.createDataFrame(rows, S.weather_schema())
+
+
+def message(clock: str, value: float, plant: int = 1, source: str = "inv-a") -> str:
+    row = generator_row(clock, value, plant, source)
+    fields = dict(zip(S.generator_schema().fieldNames(), row))
+    fields["DATE_TIME"] = f"{fields['DATE_TIME']:%Y-%m-%d %H:%M:%S}"
+    return json.dumps(fields)
+
+
+class ScriptedStream:
+    """A folder of message files, read one per micro-batch in the order they were added."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.count = spark, folder, 0
+        folder.mkdir(parents=True, exist_ok=True)
+
+    def add(self, *messages: str) -> None:
+        path = self.folder / f"b{self.count:04d}.json"
+        path.write_text("\n".join(messages) + "\n")
+        when = 1_600_000_000 + self.count
+        os.utime(path, (when, when))
+        self.count += 1
+
+    def script(self, text: str) -> "ScriptedStream":
+        """One line per micro-batch, ``HH:mm value`` pairs."""
+        for line in text.strip().splitlines():
+            words = line.split()
+            self.add(*(message(clock, float(value)) for clock, value in zip(words[::2], words[1::2])))
+        return self
+
+    def stream(self):
+        return message_files(self.spark, str(self.folder), stream=True, maxFilesPerTrigger="1")
+
+
+def rows(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan(df) -> str:
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
