@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, TableSpec, WATERMARK_DELAY
+from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, TableSpec
 
 
 def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -30,15 +30,15 @@ def new_rows(batch: DataFrame, stored_keys: DataFrame, spec: TableSpec) -> DataF
     return first_per_key(batch, spec).join(stored, same_key, "left_anti")
 
 
-def first_readings(readings: DataFrame, delay: str = WATERMARK_DELAY, spread: int = 1) -> DataFrame:
-    """Streaming form, on readings: drops repeats that arrive within the watermark delay of each other.
+def first_readings(readings: DataFrame, spread: int = 1) -> DataFrame:
+    """Streaming form, on watermarked readings: drops repeats that arrive within the watermark delay of each
+    other.
 
     State is kept per key until the watermark passes it. One key with very many copies goes to one task;
     ``spread`` > 1 thins the copies out over that many tasks first, at the price of a second state store.
     """
     key = [PLANT, SOURCE, EVENT_TIME]
-    marked = readings.withWatermark(EVENT_TIME, delay)
     if spread > 1:
         share = F.pmod(F.spark_partition_id(), F.lit(spread))
-        marked = marked.withColumn("share", share).dropDuplicatesWithinWatermark([*key, "share"]).drop("share")
-    return marked.dropDuplicatesWithinWatermark(key)
+        readings = readings.withColumn("share", share).dropDuplicatesWithinWatermark([*key, "share"]).drop("share")
+    return readings.dropDuplicatesWithinWatermark(key)
