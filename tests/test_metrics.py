@@ -1,0 +1,130 @@
+import random
+
+import pytest
+
+from helpers import at, generator, generator_row, rows, weather, weather_row
+from sunledger.operators import enrich, keys, metrics, yields
+
+
+@pytest.fixture
+def capacity(spark):
+    return spark.sql("SELECT * FROM VALUES (1, 4), (3, 0) AS t(plant_id, capacity_kw)")
+
+
+def test_efficiency_is_a_ratio_of_sums(spark):
+    readings = generator(spark, [generator_row("10:00", 100, ac=90), generator_row("10:30", 300, ac=210), generator_row("02:00", 0)])
+    assert rows(metrics.conversion_efficiency(readings)) == [(at("10:00"), 1, 75.0), (at("02:00"), 1, None)]
+
+
+def test_density(spark, capacity):
+    readings = generator(spark, [generator_row("10:00", 6, plant=1), generator_row("10:30", 6, plant=1, source="b"), generator_row("10:00", 1, plant=2), generator_row("10:00", 1, plant=3)])
+    assert rows(metrics.hourly_production_density(readings, capacity)) == [
+        (at("10:00"), 1, 3.0),
+        (at("10:00"), 2, None),
+        (at("10:00"), 3, None),
+    ]
+
+
+def test_hours_without_weather_stay(spark):
+    readings = generator(spark, [generator_row("10:00", 2), generator_row("10:59", 4), generator_row("11:00", 8)])
+    sky = weather(spark, [weather_row("10:15", 20, 30, 1), weather_row("10:45", 20, 32, 1), weather_row("12:00", 1, 1, 1)])
+    assert rows(metrics.generator_weather_join(readings, sky)) == [(at("10:00"), 1, 3.0, 11.0), (at("11:00"), 1, 8.0, None)]
+
+
+def test_missing_readings_do_not_count(spark):
+    readings = generator(spark, [generator_row("10:00", None), generator_row("10:00", 4), generator_row("11:00", None)])
+    assert rows(metrics.avg_dc_power(readings)) == [(at("10:00"), 1, 4.0), (at("11:00"), 1, None)]
+    assert rows(metrics.avg_ac_power(readings)) == [(at("10:00"), 1, 4.0), (at("11:00"), 1, None)]
+
+
+def test_daily_production_from_either_table(spark):
+    rng = random.Random(5)
+    readings = generator(spark, [generator_row(f"{rng.randrange(24):02d}:00", round(rng.random() * 100, 3), plant=i % 3, source=f"inv-{i % 7}", day=f"2020-05-1{i % 4}") for i in range(400)])
+    assert rows(metrics.daily_production(readings)) == rows(metrics.daily_production_from_yield(yields.daily_yield(readings)))
+
+
+def test_alert_limits(spark):
+    df = spark.createDataFrame([(1, 10.0), (2, 50.0), (3, 90.0), (4, None)], "id int, level double")
+    ids = lambda **limits: [r.id for r in metrics.alerts(df, "level", **limits).orderBy("id").collect()]
+    assert ids(below=50) == [1]
+    assert ids(above=50) == [3]
+    assert ids(below=50, above=50) == [1, 3]
+    with pytest.raises(ValueError):
+        metrics.alerts(df, "level")
+
+
+@pytest.mark.parametrize("spread", [1, 3, 8])
+def test_enrichment_keeps_every_reading_once(spark, spread):
+    """A third of the rows is one reading copied; two sensors report for the same plant and time."""
+    readings = [generator_row("10:00", 1)] * 50 + [generator_row("10:00", v, source=f"inv-{v}") for v in range(50)]
+    readings += [generator_row("10:15", 7, plant=2), generator_row("10:30", 9)]
+    sky = [weather_row("10:00", 20, 30, 1), weather_row("10:00", 22, 30, 2, source="sensor-b"), weather_row("10:15", 5, 6, 1)]
+    got = enrich.enrich_readings(generator(spark, readings).repartition(5), weather(spark, sky), spread)
+    expected = sorted(
+        (
+            (r[5], r[6], r[0], r[1], r[2], r[3], *((21.0, 30.0, 1.5) if (r[5], r[0]) == (1, at("10:00")) else (None,) * 3))
+            for r in readings
+        ),
+        key=repr,
+    )
+    assert rows(got) == expected
+
+
+# --- properties of the tumbling sums, on seeded random rows ---
+
+
+@pytest.fixture(params=range(3))
+def random_readings(spark, request):
+    rng = random.Random(request.param)
+    data = [
+        generator_row(f"{rng.randrange(24):02d}:{rng.randrange(60):02d}:{rng.randrange(60):02d}", round(rng.uniform(0, 999), 4), plant=rng.randrange(3), source=f"inv-{rng.randrange(4)}", day=f"2020-05-{rng.randrange(10, 14)}")
+        for _ in range(600)
+    ]
+    return data, generator(spark, data)
+
+
+def test_hours_add_up_to_days(random_readings):
+    _, readings = random_readings
+    hours = yields.hourly_yield(readings).selectExpr(
+        "plant_id", "source_key", "cast(date_trunc('day', window_start) as timestamp_ntz) as date_time", "total_yield"
+    )
+    from pyspark.sql import functions as F
+
+    from sunledger.functions import exact_sum
+
+    summed = hours.groupBy("plant_id", "source_key", "date_time").agg(exact_sum("total_yield").alias("rolling_sum"))
+    assert rows(summed) == rows(yields.daily_yield(readings))
+    assert yields.hourly_yield(readings).filter(F.col("window_end") <= F.col("window_start")).count() == 0
+
+
+def test_each_reading_is_in_one_window(random_readings):
+    data, readings = random_readings
+    windows = {(r.plant_id, r.source_key, r.window_start): r for r in yields.hourly_yield(readings).collect()}
+    for row in data:
+        hits = [w for (p, s, _), w in windows.items() if (p, s) == (row[5], row[6]) and w.window_start <= row[0] < w.window_end]
+        assert len(hits) == 1
+    assert len(windows) == len({(r[5], r[6], r[0].replace(minute=0, second=0)) for r in data})
+
+
+def test_order_does_not_matter(spark, random_readings):
+    data, readings = random_readings
+    shuffled = generator(spark, random.Random(9).sample(data, len(data))).repartition(7)
+    assert rows(yields.daily_yield(readings)) == rows(yields.daily_yield(shuffled))
+    assert rows(metrics.conversion_efficiency(readings)) == rows(metrics.conversion_efficiency(shuffled))
+
+
+def test_repeated_messages_count_each_time(spark):
+    readings = generator(spark, [generator_row("10:00", 2)] * 3)
+    assert rows(yields.daily_yield(readings)) == [(1, "inv-a", at("00:00"), 6.0)]
+    assert rows(keys.duplicate_keys(readings, ["PLANT_ID", "SOURCE_KEY", "DATE_TIME"])) == [(1, "inv-a", at("10:00"), 3)]
+
+
+def test_no_event_time_no_window(spark):
+    readings = generator(spark, [generator_row("10:00", 2), (None, *generator_row("10:00", 5)[1:])])
+    assert rows(yields.daily_yield(readings)) == [(1, "inv-a", at("00:00"), 2.0)]
+
+
+def test_session_zone_is_utc_and_days_start_at_midnight(spark):
+    readings = generator(spark, [generator_row("23:59:59", 1), generator_row("00:00:00", 2)])
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert [r.date_time for r in yields.daily_yield(readings).collect()] == [at("00:00")]
