@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.schemas import EVENT_TIME, PLANT, SLOT
@@ -10,14 +12,15 @@ from sunledger.schemas import EVENT_TIME, PLANT, SLOT
 RUN = 96
 
 
-def slot_lookup(readings: DataFrame, slot: Column) -> DataFrame:
-    """The readings of one slot, none when it is empty. ``slot`` is a literal or a scalar subquery."""
-    return readings.filter(F.col(EVENT_TIME) == slot)
+def slot_lookup(readings: DataFrame, slot: datetime | None) -> DataFrame:
+    """The readings of one slot, none when it is empty."""
+    return readings.filter(F.col(EVENT_TIME) == F.lit(slot).cast("timestamp_ntz"))
 
 
-def first_slot(readings: DataFrame) -> Column:
-    """The earliest event time as a scalar subquery, computed on the cluster when the outer query runs."""
-    return readings.select(F.min(EVENT_TIME)).scalar()
+def first_slot(readings: DataFrame) -> datetime | None:
+    """The earliest event time: one value, brought to the driver. As a literal it prunes the scan of the next
+    query down to the row groups that hold it, which a scalar subquery does not."""
+    return readings.agg(F.min(EVENT_TIME)).first()[0]
 
 
 def slot_bounds(readings: DataFrame) -> DataFrame:

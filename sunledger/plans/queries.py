@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,12 +74,15 @@ def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def slot_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = generator(spark, sf_dir)
-    return slots.slot_lookup(readings, slots.first_slot(readings))
+    first = slots.first_slot(readings)
+    if first is None:
+        return readings
+    second = views.events_between(events(spark, sf_dir), first, first + timedelta(seconds=1))
+    return slots.slot_lookup(views.generator_readings(second), first)
 
 
 def daily_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start, end = SLICE
-    days = views.events_between(events(spark, sf_dir), str(start), str(end))
+    days = views.events_between(events(spark, sf_dir), *SLICE)
     return yields.daily_yield(views.generator_readings(days))
 
 

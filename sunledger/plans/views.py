@@ -1,11 +1,14 @@
 """Generator and weather readings derived from an events table, in place of plant files.
 
 ``ts, user_id, event_type, value, props`` become readings of three plants: the event type stands for the
-inverter, and the 'view' events also for the plant's weather sensor.
+inverter, and the 'view' events also for the plant's weather sensor. As with messages, an event without a
+time is no reading.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,9 @@ EVENTS_SCHEMA = (
 
 
 def _time(time_type: str):
-    return F.date_trunc("second", "ts").cast(time_type).alias("DATE_TIME")
+    # The start of a one-second window is the time cut to seconds, in plain long arithmetic; date_trunc would
+    # convert each zoneless time to an instant and back.
+    return F.window("ts", "1 second")["start"].cast(time_type).alias("DATE_TIME")
 
 
 def _plant():
@@ -52,8 +57,7 @@ def weather_readings(events: DataFrame, time_type: str = "timestamp_ntz") -> Dat
     )
 
 
-def events_between(events: DataFrame, start: str, end: str) -> DataFrame:
+def events_between(events: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Bounds on the stored column itself, so that they reach the scan (whole seconds, end excluded)."""
-    return events.filter(
-        (F.col("ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("ts") < F.lit(end).cast("timestamp_ntz"))
-    )
+    low, high = (F.lit(when).cast("timestamp_ntz") for when in (start, end))
+    return events.filter((F.col("ts") >= low) & (F.col("ts") < high))

@@ -2,7 +2,6 @@ import random
 from datetime import timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import at, generator, generator_row, rows
 from sunledger.operators import slots
@@ -47,9 +46,11 @@ def test_lookup(spark):
     def found(slot):
         return [r[1] for r in rows(slots.slot_lookup(readings, slot))]
 
-    assert found(F.lit(at("00:15")).cast("timestamp_ntz")) == [2.0, 3.0]
-    assert found(F.lit(at("00:30")).cast("timestamp_ntz")) == []
+    assert found(at("00:15")) == [2.0, 3.0]
+    assert found(at("00:30")) == []
     assert found(slots.first_slot(readings)) == [1.0]
+    assert slots.first_slot(readings.limit(0)) is None
+    assert found(None) == []
 
 
 def test_bounds_and_counts(spark):
