@@ -59,18 +59,19 @@ def conversion_efficiency(generator: DataFrame) -> DataFrame:
     return by_hour(generator_by_window(generator), "efficiency_pct")
 
 
-def hourly_production_density(generator: DataFrame, capacity: DataFrame) -> DataFrame:
-    """Hourly production per unit of capacity; ``capacity`` is one row per plant: ``plant_id, capacity_kw``.
+def with_density(hours: DataFrame, capacity: DataFrame) -> DataFrame:
+    """Production per unit of capacity; ``capacity`` is one row per plant: ``plant_id, capacity_kw``.
 
-    The join follows the aggregation. No broadcast is forced: the optimizer broadcasts ``capacity`` when
-    its size is under the threshold, and AQE decides again from the measured size. A plant without a known
-    capacity keeps its row, with NULL.
+    No broadcast is forced: the optimizer broadcasts ``capacity`` when its size is under the threshold, and
+    AQE decides again from the measured size. A plant without a known capacity keeps its row, with NULL.
     """
-    hourly = by_hour(generator_by_window(generator), "production")
     density = F.try_divide("production", F.col("capacity_kw").cast("double"))
-    return hourly.join(capacity, "plant_id", "left").select(
-        "hour_start", "plant_id", density.alias("production_density")
-    )
+    joined = hours.join(capacity, "plant_id", "left").withColumn("production_density", density)
+    return joined.drop("production", "capacity_kw")
+
+
+def hourly_production_density(generator: DataFrame, capacity: DataFrame) -> DataFrame:
+    return with_density(by_hour(generator_by_window(generator), "production"), capacity)
 
 
 def daily_production(generator: DataFrame) -> DataFrame:
@@ -99,6 +100,13 @@ def generator_weather_join(generator: DataFrame, weather: DataFrame) -> DataFram
     return by_hour(left.join(right, WINDOW_KEY, "left"), "avg_dc_power", "temperature_delta")
 
 
+def dashboard(generator: DataFrame, weather: DataFrame, capacity: DataFrame) -> DataFrame:
+    """All hourly measures side by side, from one pass over each table."""
+    joined = generator_by_window(generator).join(weather_by_window(weather), WINDOW_KEY, "left")
+    measures = ("production", "avg_irradiation", "avg_dc_power", "avg_ac_power", "temperature_delta", "efficiency_pct")
+    return with_density(by_hour(joined, *measures), capacity)
+
+
 def alerts(measures: DataFrame, measure: str, below: float | None = None, above: float | None = None) -> DataFrame:
     """Rows whose measure is under ``below`` or over ``above``. NULL measures raise no alert."""
     limits = []

@@ -59,6 +59,8 @@ HOURLY_YIELD = f"""select cast(date_trunc('hour', DATE_TIME) as timestamp) as wi
   PLANT_ID as plant_id, SOURCE_KEY as source_key, {xs("DAILY_YIELD")} as total_yield
   from g group by 1, 2, 3, 4"""
 AVG_DC = by_window("hour", "hour_start", xa("DC_POWER"), "avg_dc_power")
+AVG_AC = by_window("hour", "hour_start", xa("AC_POWER"), "avg_ac_power")
+IRRADIATION = by_window("hour", "hour_start", xa("IRRADIATION"), "avg_irradiation", "w")
 DELTA = by_window(
     "hour", "hour_start", xa("(MODULE_TEMPERATURE - AMBIENT_TEMPERATURE)"), "temperature_delta", "w"
 )
@@ -91,14 +93,23 @@ BODIES = {
     "hourly_yield": HOURLY_YIELD,
     "hourly_production_density": f"""select hour_start, p.plant_id, production / capacity_kw as production_density
       from ({PRODUCTION}) p left join capacity on p.plant_id = capacity.plant_id""",
-    "hourly_avg_irradiation": by_window("hour", "hour_start", xa("IRRADIATION"), "avg_irradiation", "w"),
+    "hourly_avg_irradiation": IRRADIATION,
     "avg_dc_power": AVG_DC,
-    "avg_ac_power": by_window("hour", "hour_start", xa("AC_POWER"), "avg_ac_power"),
+    "avg_ac_power": AVG_AC,
     "temperature_delta": DELTA,
     "conversion_efficiency": EFFICIENCY,
     "daily_production": by_window("day", "day_start", xs("DAILY_YIELD"), "production"),
     "generator_weather_join": JOINED,
     "enriched_readings": ENRICHED,
+    "dashboard": f"""select p.hour_start, p.plant_id, production / capacity_kw as production_density,
+      avg_irradiation, avg_dc_power, avg_ac_power, temperature_delta, efficiency_pct
+      from ({PRODUCTION}) p
+      join ({AVG_DC}) dc on p.hour_start = dc.hour_start and p.plant_id = dc.plant_id
+      join ({AVG_AC}) ac on p.hour_start = ac.hour_start and p.plant_id = ac.plant_id
+      join ({EFFICIENCY}) e on p.hour_start = e.hour_start and p.plant_id = e.plant_id
+      left join ({IRRADIATION}) i on p.hour_start = i.hour_start and p.plant_id = i.plant_id
+      left join ({DELTA}) d on p.hour_start = d.hour_start and p.plant_id = d.plant_id
+      left join capacity on p.plant_id = capacity.plant_id""",
     "alerts": f"select * from ({EFFICIENCY}) where efficiency_pct < 95",
     "pk_duplicates": """select PLANT_ID as plant_id, SOURCE_KEY as source_key, DATE_TIME as date_time,
       count(*) as n_rows from g group by 1, 2, 3 having count(*) > 1""",

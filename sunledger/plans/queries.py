@@ -15,7 +15,7 @@ from sunledger.plans import views
 from sunledger.session import configure, configure_streams, new_run_dir
 from sunledger.sinks import tables
 from sunledger.sources import csv_readings, decode_json
-from sunledger.streaming.jobs import read_results, start_files, start_table
+from sunledger.streaming.jobs import FILES_PER_DAY, read_results, start_files, start_table
 from sunledger.streaming.sources import watermarked
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def hourly_production_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.hourly_production_density(generator(spark, sf_dir), capacity(spark))
 
 
+def dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.dashboard(generator(spark, sf_dir), weather(spark, sf_dir), capacity(spark))
+
+
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     efficiency = metrics.conversion_efficiency(generator(spark, sf_dir))
     return metrics.alerts(efficiency, "efficiency_pct", below=EFFICIENCY_ALERT_PCT)
@@ -158,7 +162,9 @@ def weather_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_table(spark: SparkSession, stream: DataFrame, spec: S.TableSpec) -> DataFrame:
     run = new_run_dir(spark, f"{spec.name}_stream")
-    start_table(stream, spec, f"{run}/table", f"{run}/checkpoint", available_now=True).awaitTermination()
+    files = FILES_PER_DAY.get(spec.name)
+    query = start_table(stream, spec, f"{run}/table", f"{run}/checkpoint", available_now=True, files_per_day=files)
+    query.awaitTermination()
     return tables.read_table(spark, spec, f"{run}/table").select(*spec.column_names)
 
 
@@ -214,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "daily_production": _of_generator(metrics.daily_production),
     "generator_weather_join": _of_both(metrics.generator_weather_join),
     "enriched_readings": _of_both(enrich.enrich_readings),
+    "dashboard": dashboard,
     "alerts": alerts,
     "pk_duplicates": pk_duplicates,
     "slot_gaps": _of_generator(slots.slot_gaps),

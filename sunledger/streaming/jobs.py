@@ -10,16 +10,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sunledger.operators import project, yields
-from sunledger.schemas import DAILY_YIELD, EVENT_TIME, GENERATOR_METRICS, HOURLY_YIELD, PLANT, SOURCE, WEATHER_METRICS
-from sunledger.schemas import TABLES, TableSpec
+from sunledger.schemas import (
+    DAILY_YIELD,
+    EVENT_TIME,
+    GENERATOR_METRICS,
+    HOURLY_YIELD,
+    PLANT,
+    SOURCE,
+    TABLES,
+    WEATHER_METRICS,
+    TableSpec,
+)
 from sunledger.session import configure_streams
 from sunledger.sinks.tables import PARTITION, dated
 from sunledger.streaming.sources import generator_stream, weather_stream
 
 YIELD_FIELDS = [EVENT_TIME, "DAILY_YIELD", PLANT, SOURCE]
+FILES_PER_DAY = {DAILY_YIELD.name: 8, HOURLY_YIELD.name: 8}
 READING_FIELDS = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
 
 
@@ -41,10 +52,25 @@ def _writer(stream: DataFrame, checkpoint: str, available_now: bool, every: str)
 
 
 def start_table(
-    stream: DataFrame, spec: TableSpec, path: str, checkpoint: str, available_now: bool = False, every: str = "1 minute"
+    stream: DataFrame,
+    spec: TableSpec,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = "1 minute",
+    files_per_day: int | None = None,
 ) -> StreamingQuery:
-    """To date-partitioned Parquet. The file sink's commit log makes each micro-batch appear exactly once."""
-    writer = _writer(dated(stream, spec), checkpoint, available_now, every)
+    """To date-partitioned Parquet. The file sink's commit log makes each micro-batch appear exactly once.
+
+    Window sums leave their aggregation spread over all shuffle tasks, so each task would write a small file
+    for each day of the batch. ``files_per_day`` brings a day's rows together in that many tasks; more of them
+    split a day that holds most of a batch. Pass-through rows arrive by time as it is and need none.
+    """
+    rows = dated(stream, spec)
+    if files_per_day is not None:
+        share = F.pmod(F.xxhash64(*spec.key), F.lit(files_per_day))
+        rows = rows.repartition(PARTITION, share)
+    writer = _writer(rows, checkpoint, available_now, every)
     return writer.queryName(spec.name).partitionBy(PARTITION).format("parquet").start(path)
 
 
@@ -75,7 +101,14 @@ def start_all(
 ) -> dict[str, StreamingQuery]:
     """Fan the two message streams out to the four result tables under ``root``."""
     return {
-        name: start_table(stream, TABLES[name], f"{root}/{name}", f"{checkpoints}/{name}", available_now)
+        name: start_table(
+            stream,
+            TABLES[name],
+            f"{root}/{name}",
+            f"{checkpoints}/{name}",
+            available_now,
+            files_per_day=FILES_PER_DAY.get(name),
+        )
         for name, stream in result_streams(generator, weather, mode).items()
     }
 

@@ -1,0 +1,60 @@
+import re
+from datetime import datetime
+
+from helpers import at, generator, generator_row, plan, rows, weather, weather_row
+from sunledger import schemas as S
+from sunledger.operators import metrics, project, yields
+from sunledger.plans import catalog
+from sunledger.sinks import tables
+from sunledger.sinks.jdbc import time_ranges
+
+
+def readings(spark):
+    return (
+        generator(spark, [generator_row(c, v, source=s) for s in ("a", "b") for c, v in (("10:00", 2), ("10:30", 4), ("11:00", 8))]),
+        weather(spark, [weather_row("10:15", 20, 30, 1), weather_row("11:00", 20, 21, 2)]),
+    )
+
+
+def test_sql_over_the_sources(spark):
+    gen, sky = readings(spark)
+    catalog.register_sources(gen, sky)
+    by_sql = spark.sql(
+        """SELECT PLANT_ID, SOURCE_KEY, window.start, sum(DAILY_YIELD) FROM generator_metrics
+           GROUP BY window(DATE_TIME, '1 day'), PLANT_ID, SOURCE_KEY"""
+    )
+    inserted = project.by_position(by_sql, S.DAILY_YIELD)
+    assert inserted.schema.fieldNames() == S.DAILY_YIELD.column_names
+    assert rows(inserted) == rows(yields.daily_yield(gen))
+    assert spark.sql("SELECT max(IRRADIATION) FROM weather_metrics").first()[0] == 2.0
+
+
+def test_dashboard_over_the_stored_tables(spark, tmp_path):
+    gen, sky = readings(spark)
+    capacity = spark.sql("SELECT * FROM VALUES (1, 4) AS t(plant_id, capacity_kw)")
+    for table, spec in ((project.generator_metrics(gen), S.GENERATOR_METRICS), (project.weather_metrics(sky), S.WEATHER_METRICS)):
+        tables.write_table(table, spec, f"{tmp_path}/{spec.name}")
+    for spec in (S.DAILY_YIELD, S.HOURLY_YIELD):
+        tables.create_table(spark, spec, f"{tmp_path}/{spec.name}")
+    catalog.register_tables(spark, str(tmp_path))
+    stored_gen = project.generator_readings(spark.table("solar_generator_metrics"))
+    stored_sky = project.weather_readings(spark.table("solar_weather_metrics"))
+    board = metrics.dashboard(stored_gen, stored_sky, capacity)
+    assert rows(board) == rows(metrics.dashboard(gen, sky, capacity))
+    first = {k: board.orderBy("hour_start").first()[k] for k in ("hour_start", "production_density", "avg_dc_power", "temperature_delta")}
+    assert first == {"hour_start": at("10:00"), "production_density": 3.0, "avg_dc_power": 3.0, "temperature_delta": 10.0}
+    unrun = plan(metrics.dashboard(stored_gen, stored_sky, capacity))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", unrun, re.M)) == 2
+
+
+def test_time_ranges_cover_each_time_once():
+    low, high = datetime(2020, 5, 15), datetime(2020, 5, 15, 0, 0, 10, 7)
+    for parts in (1, 3, 8):
+        ranges = time_ranges("date_time", low, high, parts)
+        assert len(ranges) == parts + 1
+        assert ranges[0].startswith("\"date_time\" >= timestamp '2020-05-15 00:00:00'")
+        ends = [r.split("< timestamp ")[1] for r in ranges[:-1]]
+        starts = [r.split(">= timestamp ")[1].split(" AND")[0] for r in ranges[1:-1]]
+        assert starts == ends[:-1]
+        assert ends[-1] == f"'{high}'" and ranges[-1] == f"\"date_time\" = timestamp '{high}'"
+    assert time_ranges("t", low, low, 4) == [f"\"t\" = timestamp '{low}'"]
