@@ -66,8 +66,8 @@ def with_density(hours: DataFrame, capacity: DataFrame) -> DataFrame:
     AQE decides again from the measured size. A plant without a known capacity keeps its row, with NULL.
     """
     density = F.try_divide("production", F.col("capacity_kw").cast("double"))
-    joined = hours.join(capacity, "plant_id", "left").withColumn("production_density", density)
-    return joined.drop("production", "capacity_kw")
+    kept = [name for name in hours.columns if name != "production"]
+    return hours.join(capacity, "plant_id", "left").select(*kept, density.alias("production_density"))
 
 
 def hourly_production_density(generator: DataFrame, capacity: DataFrame) -> DataFrame:

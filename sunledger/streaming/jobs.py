@@ -30,6 +30,7 @@ from sunledger.sinks.tables import PARTITION, dated
 from sunledger.streaming.sources import generator_stream, weather_stream
 
 YIELD_FIELDS = [EVENT_TIME, "DAILY_YIELD", PLANT, SOURCE]
+PARTITIONS = "spark.sql.shuffle.partitions"
 FILES_PER_DAY = {DAILY_YIELD.name: 8, HOURLY_YIELD.name: 8}
 READING_FIELDS = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
 
@@ -46,11 +47,25 @@ def result_streams(generator: DataFrame, weather: DataFrame, mode: str = "FAILFA
 
 
 def _writer(stream: DataFrame, checkpoint: str, available_now: bool, every: str) -> DataStreamWriter:
-    configure_streams(stream.sparkSession)
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
 
 
+def _start(spark: SparkSession, writer: DataStreamWriter, path: str | None = None) -> StreamingQuery:
+    """Start with the state split as the session says, but in a local session over its cores at most: every
+    state partition costs files per micro-batch. The query keeps the number for good, in its checkpoint."""
+    configure_streams(spark)
+    context = spark.sparkContext
+    partitions = int(spark.conf.get(PARTITIONS))
+    if not context.master.startswith("local") or partitions <= context.defaultParallelism:
+        return writer.start(path)
+    spark.conf.set(PARTITIONS, str(context.defaultParallelism))
+    try:
+        return writer.start(path)
+    finally:
+        spark.conf.set(PARTITIONS, str(partitions))
+
+
 def start_table(
     stream: DataFrame,
     spec: TableSpec,
@@ -71,12 +86,14 @@ def start_table(
         share = F.pmod(F.xxhash64(*spec.key), F.lit(files_per_day))
         rows = rows.repartition(PARTITION, share)
     writer = _writer(rows, checkpoint, available_now, every)
-    return writer.queryName(spec.name).partitionBy(PARTITION).format("parquet").start(path)
+    writer = writer.queryName(spec.name).partitionBy(PARTITION).format("parquet")
+    return _start(stream.sparkSession, writer, path)
 
 
 def start_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """To plain Parquet, for results that are none of the four tables."""
-    return _writer(stream, checkpoint, available_now, "1 minute").format("parquet").start(path)
+    writer = _writer(stream, checkpoint, available_now, "1 minute").format("parquet")
+    return _start(stream.sparkSession, writer, path)
 
 
 def start_keyed(
@@ -89,11 +106,11 @@ def start_keyed(
     """To a keyed store: ``append`` gets each micro-batch and must not mind getting one twice, as
     ``append_new_rows`` of either table sink does not."""
     writer = _writer(stream, checkpoint, available_now, every)
-    return writer.foreachBatch(lambda batch, _: append(batch)).start()
+    return _start(stream.sparkSession, writer.foreachBatch(lambda batch, _: append(batch)))
 
 
 def start_print(stream: DataFrame, checkpoint: str, available_now: bool = False, every: str = "1 minute") -> StreamingQuery:
-    return _writer(stream, checkpoint, available_now, every).format("console").start()
+    return _start(stream.sparkSession, _writer(stream, checkpoint, available_now, every).format("console"))
 
 
 def start_all(
