@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, generator, generator_row, plan, rows
 from sunledger import schemas as S
@@ -46,6 +47,24 @@ def test_a_day_is_written_to_few_files(spark, readings, tmp_path):
     assert max(len(list(day.glob("*.parquet"))) for day in (tmp_path / "t").glob("event_date=*")) == 1
 
 
+def test_a_day_with_all_rows_is_split(spark, tmp_path):
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "200KB")
+    try:
+        hot = spark.range(200_000).select(
+            F.lit(1).alias("plant_id"),
+            F.lit("inv-a").alias("source_key"),
+            F.lit("2020-05-15 10:00:00").cast("timestamp_ntz").alias("date_time"),
+            *(F.rand(i).alias(c) for i, c in enumerate(("dc_power", "ac_power", "yield"))),
+        )
+        tables.write_table(hot, S.GENERATOR_METRICS, str(tmp_path / "t"))
+    finally:
+        spark.conf.set(advisory, before)
+    assert len(list((tmp_path / "t" / "event_date=2020-05-15").glob("*.parquet"))) > 4
+    assert tables.read_table(spark, S.GENERATOR_METRICS, str(tmp_path / "t")).count() == 200_000
+
+
 def test_create_and_reset(spark, readings, tmp_path):
     tables.create_tables(spark, str(tmp_path))
     for name, spec in S.TABLES.items():
