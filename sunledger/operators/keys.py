@@ -30,12 +30,13 @@ def new_rows(batch: DataFrame, stored_keys: DataFrame, spec: TableSpec) -> DataF
     return first_per_key(batch, spec).join(stored, same_key, "left_anti")
 
 
-def first_readings(readings: DataFrame, spread: int = 1) -> DataFrame:
+def first_readings(readings: DataFrame, spread: int = 8) -> DataFrame:
     """Streaming form, on watermarked readings: drops repeats that arrive within the watermark delay of each
     other.
 
-    State is kept per key until the watermark passes it. One key with very many copies goes to one task;
-    ``spread`` > 1 thins the copies out over that many tasks first, at the price of a second state store.
+    State is kept per key until the watermark passes it. A key with very many copies would go to one task, so
+    copies are thinned out over ``spread`` tasks first, by the partition they came in, and then per key. Where
+    copies are rare, 1 saves the second state store.
     """
     key = [PLANT, SOURCE, EVENT_TIME]
     if spread > 1:

@@ -55,3 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or anything that fits a glob, is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0

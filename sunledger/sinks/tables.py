@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 from sunledger.operators.keys import new_rows
 from sunledger.schemas import TABLES, TableSpec
+from sunledger.session import path_exists
 
 PARTITION = "event_date"
+STREAM_LOG = "_spark_metadata"
 
 
 def dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -27,6 +29,8 @@ def write_table(
     thousands of tiny files, and a day that holds a third of all rows is split. Turn it off for rows that
     already arrive by time, where each task holds few days and the shuffle would buy nothing.
     """
+    if mode == "append" and path_exists(rows.sparkSession, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} belongs to a stream's file sink: readers would not see rows appended by others")
     out = dated(rows, spec)
     if rebalance:
         out = out.hint("rebalance", F.col(PARTITION))

@@ -25,8 +25,8 @@ from sunledger.schemas import (
     WEATHER_METRICS,
     TableSpec,
 )
-from sunledger.session import configure_streams
-from sunledger.sinks.tables import PARTITION, dated
+from sunledger.session import configure_streams, path_exists
+from sunledger.sinks.tables import PARTITION, STREAM_LOG, dated
 from sunledger.streaming.sources import generator_stream, weather_stream
 
 YIELD_FIELDS = [EVENT_TIME, "DAILY_YIELD", PLANT, SOURCE]
@@ -75,19 +75,24 @@ def start_table(
     every: str = "1 minute",
     files_per_day: int | None = None,
 ) -> StreamingQuery:
-    """To date-partitioned Parquet. The file sink's commit log makes each micro-batch appear exactly once.
+    """To date-partitioned Parquet. The file sink's commit log makes each micro-batch appear exactly once, and
+    is all that readers of the folder go by: a table that holds rows written in batch cannot be gone on with
+    here, but can with :func:`start_keyed`.
 
     Window sums leave their aggregation spread over all shuffle tasks, so each task would write a small file
     for each day of the batch. ``files_per_day`` brings a day's rows together in that many tasks; more of them
     split a day that holds most of a batch. Pass-through rows arrive by time as it is and need none.
     """
+    spark = stream.sparkSession
+    if path_exists(spark, f"{path}/{PARTITION}=*") and not path_exists(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} holds rows written in batch, which the stream's file sink would hide")
     rows = dated(stream, spec)
     if files_per_day is not None:
         share = F.pmod(F.xxhash64(*spec.key), F.lit(files_per_day))
         rows = rows.repartition(PARTITION, share)
     writer = _writer(rows, checkpoint, available_now, every)
     writer = writer.queryName(spec.name).partitionBy(PARTITION).format("parquet")
-    return _start(stream.sparkSession, writer, path)
+    return _start(spark, writer, path)
 
 
 def start_files(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

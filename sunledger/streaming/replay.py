@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.schemas import EVENT_TIME
+from sunledger.session import path_exists
 from sunledger.sinks.topics import write_messages
 
 STEP = timedelta(minutes=15)
@@ -31,7 +32,7 @@ def replay(
     while when < end:
         until = min(when + step, end)
         folder = f"{path}/{when:%Y%m%dT%H%M%S}"
-        if not _complete(readings, folder):
+        if not path_exists(readings.sparkSession, f"{folder}/_SUCCESS"):
             time = F.col(EVENT_TIME)
             slot = readings.filter((time >= _ntz(when)) & (time < _ntz(until)))
             write_messages(slot, folder, mode="overwrite")
@@ -41,10 +42,3 @@ def replay(
 
 def _ntz(when: datetime):
     return F.lit(when).cast("timestamp_ntz")
-
-
-def _complete(df: DataFrame, folder: str) -> bool:
-    jvm = df.sparkSession._jvm
-    mark = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    return mark.getFileSystem(conf).exists(mark)

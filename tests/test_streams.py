@@ -96,6 +96,34 @@ def test_repeats_within_the_delay_are_dropped(spark, scripted, tmp_path, spread)
     assert jobs.read_results(spark, str(tmp_path / "out"), stream.schema).count() == 7
 
 
+def test_stream_and_batch_do_not_share_a_file_sink(spark, scripted, tmp_path):
+    spec = S.GENERATOR_METRICS
+    stream = project.generator_metrics(generator_stream(scripted.script("00:00 1").stream()))
+    batch = project.generator_metrics(generator(spark, [generator_row("00:00", 1)]))
+    by_batch, by_stream = str(tmp_path / "by_batch"), str(tmp_path / "by_stream")
+    tables.write_table(batch, spec, by_batch)
+    with pytest.raises(ValueError, match="written in batch"):
+        jobs.start_table(stream, spec, by_batch, str(tmp_path / "c0"), available_now=True)
+    tables.create_table(spark, spec, by_stream)
+    for _ in range(2):
+        jobs.start_table(stream, spec, by_stream, str(tmp_path / "c1"), available_now=True).awaitTermination()
+    with pytest.raises(ValueError, match="file sink"):
+        tables.write_table(batch, spec, by_stream)
+    assert tables.read_table(spark, spec, by_stream).count() == 1
+
+
+def test_one_day_of_a_batch_is_one_file_per_share(spark, scripted, tmp_path):
+    scripted.script("00:00 1 01:00 1 02:00 1 03:00 1 04:00 1 05:00 1 06:00 1 07:00 1\n23:00 1")
+    stream = yields.hourly_yield(generator_stream(scripted.stream()))
+    out = tmp_path / "out"
+    jobs.start_table(
+        stream, S.HOURLY_YIELD, str(out), str(tmp_path / "c"), available_now=True, files_per_day=2
+    ).awaitTermination()
+    assert len(hourly_rows(spark, tmp_path)) == 8
+    # Two micro-batches close windows of that day, with two shares each.
+    assert len(list((out / "event_date=2020-05-15").glob("*.parquet"))) <= 4
+
+
 def weather_message(clock, ambient, module):
     return (
         f'{{"DATE_TIME":"2020-05-15 {clock}:00","AMBIENT_TEMPERATURE":{ambient},"MODULE_TEMPERATURE":{module},'
