@@ -36,6 +36,6 @@ def differences(spark_df, con, sql: str) -> str | None:
     if len(left) != len(right):
         return f"{len(left)} rows and {len(right)}"
     for a, b in zip(left, right):
-        if a != b:
+        if repr(a) != repr(b):  # so that -0.0 is not 0.0
             return f"{a} and {b}"
     return None
