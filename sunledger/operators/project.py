@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sunledger.functions import message_key, message_value, wall_clock
 from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, TableSpec
+from sunledger.session import require_utc
 
 
 def key_columns() -> list:
@@ -65,5 +66,6 @@ def by_position(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def messages(readings: DataFrame) -> DataFrame:
     """Keyed JSON messages, ready for a topic. All columns but time and key are measures, in their order."""
+    require_utc(readings.sparkSession)
     measures = [name for name in readings.columns if name not in (EVENT_TIME, PLANT, SOURCE)]
     return readings.select(message_key().alias("key"), message_value(measures).alias("value"))

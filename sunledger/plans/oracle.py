@@ -125,7 +125,8 @@ BODIES = {
                                    order by dc_power, ac_power, yield) as place
       from ({GENERATOR_METRICS})) where place = 1""",
     "json_roundtrip": f"select {READING} from g",
-    "raw_rows": f"select * replace (strftime(DATE_TIME, '%Y-%m-%d %H:%M:%S') as DATE_TIME) from (select {READING} from g)",
+    "raw_rows": f"""select * replace (strftime(DATE_TIME, '%Y-%m-%d %H:%M:%S') as DATE_TIME)
+      from (select {READING} from g)""",
     "json_messages": f"""select PLANT_ID as key_plant_id, SOURCE_KEY as key_source_key,
       * replace (strftime(DATE_TIME, '%Y-%m-%d %H:%M:%S') as DATE_TIME) from (select {READING} from g)""",
     "csv_scan": f"select {READING} from g",

@@ -21,6 +21,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Zones with daylight saving lack or repeat wall-clock hours; what parses or prints times must not meet one."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"the session's time zone is {zone}, not UTC: call sunledger.session.configure first")
+
+
 def configure_streams(spark: SparkSession, rocksdb: bool | None = None) -> SparkSession:
     """Settings of the streaming jobs.
 

@@ -41,13 +41,16 @@ def time_ranges(column: str, low: datetime, high: datetime, parts: int) -> list[
     return [*bounds, f"\"{column}\" = timestamp '{high}'"]
 
 
-def stored_keys(spark: SparkSession, spec: TableSpec, options: dict[str, str], low: datetime, high: datetime) -> DataFrame:
+def stored_keys(
+    spark: SparkSession, spec: TableSpec, options: dict[str, str], low: datetime, high: datetime
+) -> DataFrame:
     """Keys between two times, read in parallel. The time ranges and the column list run in the database."""
     parts = int(options.get("numPartitions", READ_PARTS))
     properties = {k: v for k, v in options.items() if k not in ("url", "dbtable", "numPartitions")}
     properties["preferTimestampNTZ"] = "true"
     ranges = time_ranges(spec.time_column, low, high, parts)
-    return spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=properties).select(*spec.key)
+    table = spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=properties)
+    return table.select(*spec.key)
 
 
 def append_new_rows(batch: DataFrame, spec: TableSpec, options: dict[str, str]) -> None:

@@ -49,7 +49,8 @@ def decode_json(
 def decode_with_rejects(messages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """Readings, and the messages that gave none: ``(value, reject_reason)``. Each message is in one of the two."""
     raw = messages.select(F.col("value").cast("string").alias("value"))
-    rows = _parsed(raw, T.StructType([*schema, T.StructField(CORRUPT, T.StringType())]), "PERMISSIVE", ["value"]).withColumn(
+    with_text = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    rows = _parsed(raw, with_text, "PERMISSIVE", ["value"]).withColumn(
         "reject_reason",
         F.when(F.col("value").isNull(), "no value")
         .when(F.col(CORRUPT).isNotNull(), "malformed")

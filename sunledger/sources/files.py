@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from sunledger.functions.times import parse_time
 from sunledger.schemas import EVENT_TIME
+from sunledger.session import require_utc
 from sunledger.sources.decode import finite_columns
 
 
@@ -14,8 +15,10 @@ def csv_readings(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     """Readings of any number of plants (``path`` may be a glob), columns matched to the header by name.
 
     Every type is declared: inferring them would read all files once more. The header decides the column
-    order, so it is read first, from one file; the schema then holds the declared types in that order.
+    order, so it is read first, from one file; the schema then holds the declared types in that order. A file
+    with another header stops the job.
     """
+    require_utc(spark)
     header = spark.read.option("header", True).csv(path, enforceSchema=False).schema.fieldNames()
     text_time = {f.name: f.dataType for f in schema} | {EVENT_TIME: T.StringType()}
     declared = T.StructType([T.StructField(name, text_time.get(name, T.StringType())) for name in header])

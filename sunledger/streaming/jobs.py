@@ -114,12 +114,19 @@ def start_keyed(
     return _start(stream.sparkSession, writer.foreachBatch(lambda batch, _: append(batch)))
 
 
-def start_print(stream: DataFrame, checkpoint: str, available_now: bool = False, every: str = "1 minute") -> StreamingQuery:
+def start_print(
+    stream: DataFrame, checkpoint: str, available_now: bool = False, every: str = "1 minute"
+) -> StreamingQuery:
     return _start(stream.sparkSession, _writer(stream, checkpoint, available_now, every).format("console"))
 
 
 def start_all(
-    generator: DataFrame, weather: DataFrame, root: str, checkpoints: str, available_now: bool = False, mode: str = "FAILFAST"
+    generator: DataFrame,
+    weather: DataFrame,
+    root: str,
+    checkpoints: str,
+    available_now: bool = False,
+    mode: str = "FAILFAST",
 ) -> dict[str, StreamingQuery]:
     """Fan the two message streams out to the four result tables under ``root``."""
     return {
@@ -135,7 +142,9 @@ def start_all(
     }
 
 
-def print_raw(generator: DataFrame, weather: DataFrame, checkpoints: str, available_now: bool = False) -> list[StreamingQuery]:
+def print_raw(
+    generator: DataFrame, weather: DataFrame, checkpoints: str, available_now: bool = False
+) -> list[StreamingQuery]:
     """Print both raw streams, each by itself."""
     streams = {"generator": generator, "weather": weather}
     return [start_print(stream, f"{checkpoints}/print_{name}", available_now) for name, stream in streams.items()]

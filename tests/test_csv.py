@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from helpers import plan, rows
 from sunledger import schemas as S
 from sunledger.sources import csv_readings
@@ -30,6 +32,24 @@ def test_plants_with_two_time_notations(spark, tmp_path):
     )
 
 
+def test_a_file_with_another_header_stops_the_job(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(ISO)
+    other = "PLANT_ID,DATE_TIME,SOURCE_KEY,AMBIENT_TEMPERATURE,MODULE_TEMPERATURE,IRRADIATION"
+    (tmp_path / "b.csv").write_text(f"{other}\n1,2020-05-15 00:00:00,s,1,2,3\n")
+    with pytest.raises(Exception, match="header|Header|HEADER"):
+        csv_readings(spark, str(tmp_path), S.weather_schema()).collect()
+
+
+def test_times_are_not_read_in_a_local_zone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(ISO)
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            csv_readings(spark, str(tmp_path), S.weather_schema())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_only_the_columns_asked_for_are_parsed(spark, tmp_path):
     (tmp_path / "a.csv").write_text(ISO)
     df = csv_readings(spark, str(tmp_path), S.weather_schema()).select("PLANT_ID", "IRRADIATION")

@@ -1,6 +1,7 @@
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import types as T
 
 from helpers import ScriptedStream, at, generator, generator_row, message, rows
 from sunledger import schemas as S
@@ -11,7 +12,13 @@ from sunledger.sources import message_files
 from sunledger.streaming import jobs
 from sunledger.streaming.progress import progress_report
 from sunledger.streaming.replay import replay
-from sunledger.streaming.sources import generator_stream, raw_generator_rows, raw_weather_rows, weather_stream
+from sunledger.streaming.sources import (
+    generator_stream,
+    raw_generator_rows,
+    raw_weather_rows,
+    weather_stream,
+    with_rejects,
+)
 
 L1 = """
 00:00 1    00:45 2
@@ -124,6 +131,16 @@ def test_one_day_of_a_batch_is_one_file_per_share(spark, scripted, tmp_path):
     assert len(list((out / "event_date=2020-05-15").glob("*.parquet"))) <= 4
 
 
+def test_rejects_of_a_stream(spark, scripted, tmp_path):
+    scripted.add(message("00:00", 1), "{bad")
+    scripted.add(message("03:00", 2))
+    good, rejects = with_rejects(scripted.stream(), S.generator_schema(T.TimestampType()))
+    for name, stream in (("good", yields.hourly_yield(good)), ("rejects", rejects)):
+        jobs.start_files(stream, str(tmp_path / name), str(tmp_path / f"checkpoint_{name}")).awaitTermination()
+    assert jobs.read_results(spark, str(tmp_path / "good"), S.HOURLY_YIELD.schema).count() == 1
+    assert rows(jobs.read_results(spark, str(tmp_path / "rejects"), rejects.schema)) == [("{bad", "malformed")]
+
+
 def weather_message(clock, ambient, module):
     return (
         f'{{"DATE_TIME":"2020-05-15 {clock}:00","AMBIENT_TEMPERATURE":{ambient},"MODULE_TEMPERATURE":{module},'
