@@ -71,6 +71,15 @@ PRODUCTION = by_window("hour", "hour_start", xs("DAILY_YIELD"), "production")
 HOUR_CLOSED = "hour_start + interval 1 hour <= (select upto from closed)"
 JOINED = f"""select a.hour_start, a.plant_id, avg_dc_power, temperature_delta
   from ({AVG_DC}) a left join ({DELTA}) d on a.hour_start = d.hour_start and a.plant_id = d.plant_id"""
+DASHBOARD = f"""select p.hour_start, p.plant_id, production / capacity_kw as production_density,
+  avg_irradiation, avg_dc_power, avg_ac_power, temperature_delta, efficiency_pct
+  from ({PRODUCTION}) p
+  join ({AVG_DC}) dc on p.hour_start = dc.hour_start and p.plant_id = dc.plant_id
+  join ({AVG_AC}) ac on p.hour_start = ac.hour_start and p.plant_id = ac.plant_id
+  join ({EFFICIENCY}) e on p.hour_start = e.hour_start and p.plant_id = e.plant_id
+  left join ({IRRADIATION}) i on p.hour_start = i.hour_start and p.plant_id = i.plant_id
+  left join ({DELTA}) d on p.hour_start = d.hour_start and p.plant_id = d.plant_id
+  left join capacity on p.plant_id = capacity.plant_id"""
 WEATHER_AT = f"""select DATE_TIME, PLANT_ID, {xa("AMBIENT_TEMPERATURE")} as ambient_temp,
   {xa("MODULE_TEMPERATURE")} as module_temp, {xa("IRRADIATION")} as irradiation from w group by 1, 2"""
 ENRICHED = f"""select g.PLANT_ID as plant_id, g.SOURCE_KEY as source_key, g.DATE_TIME as date_time,
@@ -101,15 +110,7 @@ BODIES = {
     "daily_production": by_window("day", "day_start", xs("DAILY_YIELD"), "production"),
     "generator_weather_join": JOINED,
     "enriched_readings": ENRICHED,
-    "dashboard": f"""select p.hour_start, p.plant_id, production / capacity_kw as production_density,
-      avg_irradiation, avg_dc_power, avg_ac_power, temperature_delta, efficiency_pct
-      from ({PRODUCTION}) p
-      join ({AVG_DC}) dc on p.hour_start = dc.hour_start and p.plant_id = dc.plant_id
-      join ({AVG_AC}) ac on p.hour_start = ac.hour_start and p.plant_id = ac.plant_id
-      join ({EFFICIENCY}) e on p.hour_start = e.hour_start and p.plant_id = e.plant_id
-      left join ({IRRADIATION}) i on p.hour_start = i.hour_start and p.plant_id = i.plant_id
-      left join ({DELTA}) d on p.hour_start = d.hour_start and p.plant_id = d.plant_id
-      left join capacity on p.plant_id = capacity.plant_id""",
+    "dashboard": DASHBOARD,
     "alerts": f"select * from ({EFFICIENCY}) where efficiency_pct < 95",
     "pk_duplicates": """select PLANT_ID as plant_id, SOURCE_KEY as source_key, DATE_TIME as date_time,
       count(*) as n_rows from g group by 1, 2, 3 having count(*) > 1""",
@@ -140,6 +141,8 @@ BODIES = {
       where hour_start + interval 1 hour <= (select least(closed.upto, closed_w.upto) from closed, closed_w)""",
     "enriched_readings_stream": f"""select * from ({ENRICHED})
       where date_time <= (select least(closed.upto, closed_w.upto) from closed, closed_w)""",
+    "dashboard_stream": f"""select * from ({DASHBOARD})
+      where hour_start + interval 1 hour <= (select least(closed.upto, closed_w.upto) from closed, closed_w)""",
     "alerts_stream": f"select * from ({EFFICIENCY}) where efficiency_pct < 95 and {HOUR_CLOSED}",
 }
 

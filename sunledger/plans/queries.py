@@ -200,6 +200,11 @@ def enriched_readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_files(spark, joined, "enriched_readings")
 
 
+def dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = generator_stream(spark, sf_dir), weather_stream(spark, sf_dir)
+    return _run_files(spark, metrics.dashboard(*readings, capacity(spark)), "dashboard")
+
+
 def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     efficiency = metrics.conversion_efficiency(generator_stream(spark, sf_dir))
     low = metrics.alerts(efficiency, "efficiency_pct", below=EFFICIENCY_ALERT_PCT)
@@ -240,5 +245,6 @@ QUERIES: dict[str, Query] = {
     "weather_metrics_stream": weather_metrics_stream,
     "generator_weather_join_stream": generator_weather_join_stream,
     "enriched_readings_stream": enriched_readings_stream,
+    "dashboard_stream": dashboard_stream,
     "alerts_stream": alerts_stream,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.operators.keys import new_rows
+from sunledger.operators.results import result_tables
 from sunledger.schemas import TABLES, TableSpec
 from sunledger.session import path_exists
 
@@ -37,6 +38,12 @@ def write_table(
     out.write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
+def load_history(generator: DataFrame, weather: DataFrame, root: str) -> None:
+    """All four tables under ``root`` from batch readings, in place of what was there."""
+    for name, rows in result_tables(generator, weather).items():
+        write_table(rows, TABLES[name], f"{root}/{name}", mode="overwrite")
+
+
 def create_table(spark: SparkSession, spec: TableSpec, path: str) -> None:
     """An empty table; also the reset of a filled one."""
     write_table(spark.createDataFrame([], spec.schema), spec, path, mode="overwrite", rebalance=False)

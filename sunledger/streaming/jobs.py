@@ -13,18 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from sunledger.operators import project, yields
-from sunledger.schemas import (
-    DAILY_YIELD,
-    EVENT_TIME,
-    GENERATOR_METRICS,
-    HOURLY_YIELD,
-    PLANT,
-    SOURCE,
-    TABLES,
-    WEATHER_METRICS,
-    TableSpec,
-)
+from sunledger.operators.results import result_tables
+from sunledger.schemas import DAILY_YIELD, EVENT_TIME, HOURLY_YIELD, PLANT, SOURCE, TABLES, TableSpec
 from sunledger.session import configure_streams, path_exists
 from sunledger.sinks.tables import PARTITION, STREAM_LOG, dated
 from sunledger.streaming.sources import generator_stream, weather_stream
@@ -37,13 +27,11 @@ READING_FIELDS = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOUR
 
 def result_streams(generator: DataFrame, weather: DataFrame, mode: str = "FAILFAST") -> dict[str, DataFrame]:
     """Result table name to streaming DataFrame, from the two message streams."""
-    yield_readings = generator_stream(generator, mode, YIELD_FIELDS)
-    return {
-        DAILY_YIELD.name: yields.daily_yield(yield_readings),
-        HOURLY_YIELD.name: yields.hourly_yield(yield_readings),
-        GENERATOR_METRICS.name: project.generator_metrics(generator_stream(generator, mode, READING_FIELDS)),
-        WEATHER_METRICS.name: project.weather_metrics(weather_stream(weather, mode)),
-    }
+    return result_tables(
+        generator_stream(generator, mode, READING_FIELDS),
+        weather_stream(weather, mode),
+        generator_stream(generator, mode, YIELD_FIELDS),
+    )
 
 
 def _writer(stream: DataFrame, checkpoint: str, available_now: bool, every: str) -> DataStreamWriter:

@@ -8,7 +8,7 @@ from sunledger import schemas as S
 from sunledger.operators import keys, metrics, project, yields
 from sunledger.session import ROCKSDB, configure_streams
 from sunledger.sinks import tables
-from sunledger.sources import message_files
+from sunledger.sources import decode_json, message_files
 from sunledger.streaming import jobs
 from sunledger.streaming.progress import progress_report
 from sunledger.streaming.replay import replay
@@ -237,3 +237,21 @@ def _some_readings():
         for m in range(0, 240, 15)
         for i in range(4)
     ]
+
+
+def test_dashboard_of_streams_is_the_batch_dashboard(spark, tmp_path):
+    gen = ScriptedStream(spark, tmp_path / "g").script("00:00 1 00:30 3\n01:00 0\n02:00 7\n09:00 9\n10:00 1")
+    sky = ScriptedStream(spark, tmp_path / "w")
+    for clock, ambient, module in (("00:10", 20, 25), ("02:00", 10, 11), ("09:00", 1, 1), ("10:00", 1, 1)):
+        sky.add(weather_message(clock, ambient, module))
+    capacity = spark.sql("SELECT * FROM VALUES (1, 4) AS t(plant_id, capacity_kw)")
+    board = metrics.dashboard(generator_stream(gen.stream()), weather_stream(sky.stream()), capacity)
+    jobs.start_files(board, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+
+    def batch(script, schema):
+        return decode_json(message_files(spark, str(script.folder)), schema)
+
+    expected = metrics.dashboard(batch(gen, S.generator_schema()), batch(sky, S.weather_schema()), capacity)
+    closed = expected.filter("hour_start < timestamp_ntz'2020-05-15 09:00:00'")
+    assert rows(jobs.read_results(spark, str(tmp_path / "out"), board.schema)) == rows(closed)
+    assert closed.count() == 3

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, generator, generator_row, plan, rows
+from helpers import at, generator, generator_row, plan, rows, weather, weather_row
 from sunledger import schemas as S
 from sunledger.operators import keys, project, yields
 from sunledger.sinks import jdbc, tables, topics
@@ -65,6 +65,14 @@ def test_a_day_with_all_rows_is_split(spark, tmp_path):
     assert tables.read_table(spark, S.GENERATOR_METRICS, str(tmp_path / "t")).count() == 200_000
 
 
+def test_load_history(spark, readings, tmp_path):
+    sky = weather(spark, [weather_row("10:00", 20, 25, 1)])
+    for _ in range(2):
+        tables.load_history(readings, sky, str(tmp_path))
+    count = {name: tables.read_table(spark, spec, f"{tmp_path}/{name}").count() for name, spec in S.TABLES.items()}
+    assert count == {"daily_yield": 30, "hourly_yield": 60, "generator_metrics": 60, "weather_metrics": 1}
+
+
 def test_create_and_reset(spark, readings, tmp_path):
     tables.create_tables(spark, str(tmp_path))
     for name, spec in S.TABLES.items():
