@@ -1,5 +1,14 @@
-from sunledger.functions.exact import exact_mean, exact_sum
+from sunledger.functions.exact import exact_mean, exact_percentage, exact_sum
 from sunledger.functions.messages import message_key, message_value
 from sunledger.functions.times import parse_time, wall_clock, wire_time
 
-__all__ = ["exact_mean", "exact_sum", "message_key", "message_value", "parse_time", "wall_clock", "wire_time"]
+__all__ = [
+    "exact_mean",
+    "exact_percentage",
+    "exact_sum",
+    "message_key",
+    "message_value",
+    "parse_time",
+    "wall_clock",
+    "wire_time",
+]

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICRO = Decimal("0.000001")
-
 
-def exact_sum(name: str | Column) -> Column:
-    """SUM of a double to six decimals.
+def exact_sum(x: str) -> Column:
+    """SUM of a double, given as SQL, to six decimals.
 
     Whole units and micro-units are summed apart as longs, which stay inside generated code and cost as
     much as a plain double sum; a sum of decimal(18,6) gives the same value at several times the price.
     Each part holds up to 9.2e18 and fails loudly beyond it, as do NaN and infinity (ANSI mode).
     """
-    x = F.col(name) if isinstance(name, str) else name
-    whole = F.floor(x)
-    micros = F.rint((x - whole) * F.lit(1e6)).cast("bigint")
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(micros).cast("decimal(20,0)") * F.lit(MICRO)
-    return total.cast("double")
+    return F.expr(_exact_sum(x))
 
 
-def exact_mean(name: str | Column) -> Column:
+def exact_mean(x: str) -> Column:
     """AVG on top of :func:`exact_sum`; NULL when there is nothing to average."""
-    return F.try_divide(exact_sum(name), F.count(name))
+    return F.expr(f"try_divide({_exact_sum(x)}, count({x}))")
+
+
+def exact_percentage(part: str, whole: str) -> Column:
+    """SUM(part) in percent of SUM(whole); NULL when the latter is zero."""
+    return F.expr(f"try_divide(100.0D * {_exact_sum(part)}, {_exact_sum(whole)})")
+
+
+def _exact_sum(x: str) -> str:
+    wholes = f"sum(floor({x}))"
+    micros = f"sum(cast(rint((({x}) - floor({x})) * 1e6D) as bigint))"
+    return f"cast(cast({wholes} as decimal(20,0)) + cast({micros} as decimal(20,0)) * 0.000001BD as double)"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.functions import exact_mean, exact_sum, wall_clock
+from sunledger.functions import exact_mean, exact_percentage, exact_sum, wall_clock
 from sunledger.operators.yields import DAY, HOUR
 from sunledger.schemas import EVENT_TIME, PLANT
 
@@ -21,14 +21,14 @@ def generator_by_window(readings: DataFrame, width: str = HOUR) -> DataFrame:
         exact_sum("DAILY_YIELD").alias("production"),
         exact_mean("DC_POWER").alias("avg_dc_power"),
         exact_mean("AC_POWER").alias("avg_ac_power"),
-        F.try_divide(F.lit(100.0) * exact_sum("AC_POWER"), exact_sum("DC_POWER")).alias("efficiency_pct"),
+        exact_percentage("AC_POWER", "DC_POWER").alias("efficiency_pct"),
     )
 
 
 def weather_by_window(readings: DataFrame, width: str = HOUR) -> DataFrame:
     return readings.groupBy(F.window(EVENT_TIME, width).alias("window"), PLANT).agg(
         exact_mean("IRRADIATION").alias("avg_irradiation"),
-        exact_mean(F.col("MODULE_TEMPERATURE") - F.col("AMBIENT_TEMPERATURE")).alias("temperature_delta"),
+        exact_mean("MODULE_TEMPERATURE - AMBIENT_TEMPERATURE").alias("temperature_delta"),
     )
 
 

@@ -27,7 +27,7 @@ SLICE = (datetime(2024, 1, 10), datetime(2024, 1, 13))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return configure(spark).read.schema(views.EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def generator(spark: SparkSession, sf_dir: str) -> DataFrame:

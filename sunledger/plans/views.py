@@ -17,43 +17,33 @@ EVENTS_SCHEMA = (
 )
 
 
-def _time(time_type: str):
-    # The start of a one-second window is the time cut to seconds, in plain long arithmetic; date_trunc would
-    # convert each zoneless time to an instant and back.
-    return F.window("ts", "1 second")["start"].cast(time_type).alias("DATE_TIME")
-
-
-def _plant():
-    return (F.col("user_id") % 3).cast("int")
-
-
-def _level():
-    return F.get_json_object("props", "$.k").cast("int")
+# The start of a one-second window is the time cut to seconds, in plain long arithmetic; date_trunc would convert
+# each zoneless time to an instant and back.
+TIME = "cast(window(ts, '1 second').start as {time_type}) as DATE_TIME"
+PLANT = "cast(user_id % 3 as int)"
+LEVEL = "cast(get_json_object(props, '$.k') as int)"
 
 
 def generator_readings(events: DataFrame, time_type: str = "timestamp_ntz") -> DataFrame:
-    value = F.col("value")
-    return events.select(
-        _time(time_type),
-        value.alias("DC_POWER"),
-        (value * (F.lit(0.9) + _level() / F.lit(1000.0))).alias("AC_POWER"),
-        value.alias("DAILY_YIELD"),
-        value.alias("TOTAL_YIELD"),
-        _plant().alias("PLANT_ID"),
-        F.col("event_type").alias("SOURCE_KEY"),
+    return events.selectExpr(
+        TIME.format(time_type=time_type),
+        "value as DC_POWER",
+        f"value * (0.9e0 + {LEVEL} / 1000e0) as AC_POWER",
+        "value as DAILY_YIELD",
+        "value as TOTAL_YIELD",
+        f"{PLANT} as PLANT_ID",
+        "event_type as SOURCE_KEY",
     )
 
 
 def weather_readings(events: DataFrame, time_type: str = "timestamp_ntz") -> DataFrame:
-    ambient = F.lit(20.0) + _level() / F.lit(10.0)
-    value = F.col("value")
-    return events.filter("event_type = 'view'").select(
-        _time(time_type),
-        ambient.alias("AMBIENT_TEMPERATURE"),
-        (ambient + value / F.lit(10.0)).alias("MODULE_TEMPERATURE"),
-        (value / F.lit(100.0)).alias("IRRADIATION"),
-        _plant().alias("PLANT_ID"),
-        F.concat(F.lit("sensor-"), _plant().cast("string")).alias("SOURCE_KEY"),
+    return events.filter("event_type = 'view'").selectExpr(
+        TIME.format(time_type=time_type),
+        f"20e0 + {LEVEL} / 10e0 as AMBIENT_TEMPERATURE",
+        f"20e0 + {LEVEL} / 10e0 + value / 10e0 as MODULE_TEMPERATURE",
+        "value / 100e0 as IRRADIATION",
+        f"{PLANT} as PLANT_ID",
+        f"concat('sensor-', {PLANT}) as SOURCE_KEY",
     )
 
 
