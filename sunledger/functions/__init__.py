@@ -1,6 +1,6 @@
 from sunledger.functions.exact import exact_mean, exact_percentage, exact_sum
 from sunledger.functions.messages import message_key, message_value
-from sunledger.functions.times import parse_time, wall_clock, wire_time
+from sunledger.functions.times import parse_time, wall_clock, wall_clock_literal, wire_time
 
 __all__ = [
     "exact_mean",
@@ -10,5 +10,6 @@ __all__ = [
     "message_value",
     "parse_time",
     "wall_clock",
+    "wall_clock_literal",
     "wire_time",
 ]

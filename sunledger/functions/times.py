@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,8 @@ def wire_time(ts: str | Column) -> Column:
 def wall_clock(ts: str | Column) -> Column:
     """Result times carry no zone. A no-op on batch times, a cast on a stream's (the session is UTC)."""
     return (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+
+
+def wall_clock_literal(when: datetime | None) -> Column:
+    """A zoneless literal. Goes through text: a plain literal would take the driver machine's zone into account."""
+    return F.lit(None if when is None else str(when)).cast("timestamp_ntz")

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunledger.functions import wall_clock_literal
 from sunledger.schemas import EVENT_TIME, PLANT, SLOT
 
 RUN = 96
@@ -14,7 +15,7 @@ RUN = 96
 
 def slot_lookup(readings: DataFrame, slot: datetime | None) -> DataFrame:
     """The readings of one slot, none when it is empty."""
-    return readings.filter(F.col(EVENT_TIME) == F.lit(slot).cast("timestamp_ntz"))
+    return readings.filter(F.col(EVENT_TIME) == wall_clock_literal(slot))
 
 
 def first_slot(readings: DataFrame) -> datetime | None:

@@ -12,6 +12,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sunledger.functions import wall_clock_literal
+
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
@@ -49,5 +51,5 @@ def weather_readings(events: DataFrame, time_type: str = "timestamp_ntz") -> Dat
 
 def events_between(events: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Bounds on the stored column itself, so that they reach the scan (whole seconds, end excluded)."""
-    low, high = (F.lit(when).cast("timestamp_ntz") for when in (start, end))
-    return events.filter((F.col("ts") >= low) & (F.col("ts") < high))
+    ts = F.col("ts")
+    return events.filter((ts >= wall_clock_literal(start)) & (ts < wall_clock_literal(end)))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sunledger.functions import wall_clock_literal
 from sunledger.operators.keys import new_rows
 from sunledger.operators.results import result_tables
 from sunledger.schemas import TABLES, TableSpec
@@ -69,8 +70,8 @@ def slice_between(table: DataFrame, spec: TableSpec, start: datetime, end: datet
     time = F.col(spec.time_column)
     return table.filter(
         F.col(PARTITION).between(F.lit(start.date()), F.lit(last_day))
-        & (time >= F.lit(start).cast("timestamp_ntz"))
-        & (time < F.lit(end).cast("timestamp_ntz"))
+        & (time >= wall_clock_literal(start))
+        & (time < wall_clock_literal(end))
     )
 
 

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sunledger.functions import wall_clock_literal
 from sunledger.schemas import EVENT_TIME
 from sunledger.session import path_exists
 from sunledger.sinks.topics import write_messages
@@ -34,11 +35,7 @@ def replay(
         folder = f"{path}/{when:%Y%m%dT%H%M%S}"
         if not path_exists(readings.sparkSession, f"{folder}/_SUCCESS"):
             time = F.col(EVENT_TIME)
-            slot = readings.filter((time >= _ntz(when)) & (time < _ntz(until)))
+            slot = readings.filter((time >= wall_clock_literal(when)) & (time < wall_clock_literal(until)))
             write_messages(slot, folder, mode="overwrite")
         yield when, folder
         when = until
-
-
-def _ntz(when: datetime):
-    return F.lit(when).cast("timestamp_ntz")

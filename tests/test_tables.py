@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import at, generator, generator_row, plan, rows, weather, weather_row
 from sunledger import schemas as S
-from sunledger.operators import keys, project, yields
+from sunledger.operators import keys, project, slots, yields
 from sunledger.sinks import jdbc, tables, topics
 
 DAYS = [f"2020-05-{d:02d}" for d in range(10, 20)]
@@ -34,6 +35,23 @@ def test_slice_reads_its_days_only(spark, readings, tmp_path):
     assert "GreaterThanOrEqual(date_time" in pushed and "LessThan(date_time" in pushed
 
 
+def test_the_drivers_own_zone_does_not_matter(spark, readings, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.write_table(project.generator_metrics(readings), S.GENERATOR_METRICS, path)
+    monkeypatch.setenv("TZ", "America/Los_Angeles")
+    time.tzset()
+    try:
+        part = tables.read_slice(spark, S.GENERATOR_METRICS, path, at("00:00"), at("23:45"))
+        assert part.count() == 3
+        assert slots.slot_lookup(readings, at("23:45")).count() == 3
+        assert slots.first_slot(readings) == datetime(2020, 5, 10)
+        tables.append_new_rows(project.generator_metrics(readings), S.GENERATOR_METRICS, path)
+        assert tables.read_table(spark, S.GENERATOR_METRICS, path).count() == 60
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_a_slice_within_a_day(spark, readings, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(project.generator_metrics(readings), S.GENERATOR_METRICS, path)
