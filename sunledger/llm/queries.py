@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, simhash
+from sunledger.llm import exact_dedup, packing, simhash
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +23,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_file(), 2048)
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
