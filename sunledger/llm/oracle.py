@@ -4,7 +4,50 @@ from __future__ import annotations
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+MIXING = """
+  with recursive d as (
+    select doc_id, source, lang,
+      case when contains(lower(coalesce(text, '')), 'license') or contains(lower(coalesce(text, '')), 'licence')
+             or contains(lower(coalesce(text, '')), 'copyright') then 'legal'
+           when contains(text, '@') or contains(lower(text), 'http://') or contains(lower(text), 'https://')
+             then 'contact'
+           when contains(text, ' | ') then 'table' else 'prose' end as topic,
+      greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) as tokens
+    from documents
+  ), c as (
+    select source, lang, topic, sum(tokens)::double as tokens from d group by all
+  ), s as (
+    select source, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by source
+  ), l as (
+    select lang, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by lang
+  ), t as (
+    select topic, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by topic
+  ), g as (
+    select c.*, s.share as s_share, l.share as l_share, t.share as t_share,
+      (select sum(tokens) from c) as total
+    from c join s on c.source is not distinct from s.source join l on c.lang is not distinct from l.lang
+      join t on c.topic = t.topic
+  ), ipf as (
+    select 0 as k, source, lang, topic, tokens, s_share, l_share, t_share, total, tokens as w from g
+    union all
+    select k + 1, source, lang, topic, tokens, s_share, l_share, t_share, total,
+      w2 * t_share * total / sum(w2) over (partition by topic) as w
+    from (
+      select *, w1 * l_share * total / sum(w1) over (partition by lang) as w2
+      from (select *, w * s_share * total / sum(w) over (partition by source) as w1 from ipf where k < 60)
+    )
+  ), r as (
+    select source, lang, topic, w / tokens as weight, max(w / tokens) over () as most from ipf where k = 60
+  )
+  select doc_id, d.source, d.lang, d.topic, d.tokens::bigint as tokens, round(weight, 6) as weight,
+    round(weight / most, 6) as probability,
+    ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / 4503599627370496.0
+      < weight / most as kept
+  from d join r on d.source is not distinct from r.source and d.lang is not distinct from r.lang
+    and d.topic = r.topic"""
+
 ORACLE: dict[str, str] = {
+    "op5_mixing": MIXING,
     "op6_exact_dedup": f"""
       with t as (
         select doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')) as text_sha256

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, packing, simhash, toxicity
+from sunledger.llm import exact_dedup, mixing, packing, simhash, toxicity
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        "source",
+        "lang",
+        F.col("mix_topic").alias("topic"),
+        F.col("mix_tokens").alias("tokens"),
+        F.round("mix_weight", 6).alias("weight"),
+        F.round("mix_probability", 6).alias("probability"),
+        F.col("mix_kept").alias("kept"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -40,6 +54,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
