@@ -51,7 +51,9 @@ def keyed_state(arriving: DataFrame) -> DataFrame:
 def start_state(arriving: DataFrame, state: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Run the stream. Each micro-batch writes the digests it changed under a number of its own, so that a batch run
     twice replaces itself; :func:`read_state` takes the latest of each digest."""
-    configure_streams(arriving.sparkSession, rocksdb=True)
+    spark = configure_streams(arriving.sparkSession, rocksdb=True)
+    # Many small stores would otherwise reserve several megabytes of disk each before they hold anything.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
     def upsert(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{state}/batch={batch}")

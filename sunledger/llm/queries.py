@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, mixing, packing, simhash, toxicity
+from sunledger.llm import exact_dedup, fingerprints, language_id, mixing, packing, secret_scan, simhash, toxicity
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,17 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.secret_spans(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin(*(rule.kind for rule in secret_scan.BASE)))
+    return rows.select(
+        "doc_id",
+        *(secret_scan.count_of(rule.kind).alias(f"n_{rule.kind}") for rule in secret_scan.BASE),
+        F.sha2(secret_scan.printed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.printed(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -41,6 +52,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.fingerprints(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.printed(F.col("sketch")).alias("fingerprint"),
+        fingerprints.printed(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -51,10 +75,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_file(), 2048)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_fingerprints": op7_fingerprints,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
