@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, fingerprints, language_id, mixing, packing, secret_scan, simhash, toxicity
+from sunledger.llm import exact_dedup, fingerprints, language_id, mixing, packing, pii, secret_scan, simhash, toxicity
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,16 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.pseudonymise(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        "text",
+        *(secret_scan.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        secret_scan.printed(F.col("spans")).alias("spans"),
+    )
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -86,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_fingerprints": op7_fingerprints,
+    "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
