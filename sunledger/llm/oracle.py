@@ -2,8 +2,71 @@
 
 from __future__ import annotations
 
+from sunledger.llm.license_scan import LICENSE_FILE, TERM, THRESHOLD, Templates
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+def license_sql(share: float) -> str:
+    """Every line, paragraph and text against every template, without the operator's pruning."""
+    known = Templates()
+    idf = ", ".join(f"('{term}', {value})" for term, value in known.idf.items())
+    postings = ", ".join(
+        f"('{term}', {i}, {n * known.idf[term]})" for i, count in enumerate(known.counts) for term, n in count.items()
+    )
+    names = ", ".join(f"({i}, '{name}')" for i, name in enumerate(known.names))
+    return f"""
+  with idf(term, idf) as (values {idf}),
+  posting(term, template, weight) as (values {postings}),
+  name(template, license) as (values {names}),
+  template as (
+    select template, license, sum(weight * weight)::double as norm from posting join name using (template) group by all
+  ), f as (
+    select doc_id, concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'),
+        coalesce(floor(doc_id / 1000)::bigint::varchar, 'none'), doc_id::varchar) as path,
+      lower(coalesce(text, '')) as text
+    from documents
+  ), u as (
+    select distinct path, unnest(list_concat(string_split_regex(text, '\\r?\\n'),
+      string_split_regex(text, '\\r?\\n[\\x20\\t]*\\r?\\n'), [text])) as unit
+    from f
+  ), w as (
+    select path, unit, w.term, count(*) as n, count(*) * coalesce(any_value(idf), {known.unseen}) as weight
+    from (select path, unit, unnest(regexp_extract_all(unit, '{TERM}')) as term from u) w
+      left join idf on idf.term = w.term
+    group by all
+  ), norm as (
+    select path, unit, sum(weight * weight)::double as norm, sum(n) as terms from w group by all
+  ), dot as (
+    select path, unit, template, sum(w.weight * p.weight)::double as dot
+    from w join posting p on w.term = p.term group by all
+  ), own as (
+    select path, arg_max(license, (score, -template)) as license, max(score) as score,
+      arg_max(terms, (score, -template, terms)) as terms
+    from (
+      select path, template, license, terms, dot / (sqrt(n.norm) * sqrt(t.norm)) as score
+      from dot join norm n using (path, unit) join template t using (template)
+    ) where score >= {THRESHOLD} group by path
+  ), d as (
+    select doc_id, f.path, regexp_replace(f.path, '/[^/]*$', '') as directory, license, score,
+      least(1.0, terms::double / nullif(len(regexp_extract_all(text, '{TERM}')), 0)) as share
+    from f left join own on f.path = own.path
+  ), giving as (
+    select directory, arg_min(license, (-score, license)) as license, max(score) as score
+    from d where license is not null and (share >= {share}
+      or regexp_matches(regexp_extract(path, '([^/]*)$', 1), '{LICENSE_FILE}'))
+    group by directory
+  ), near as (
+    select d.path, arg_max(g.directory, length(g.directory)) as from_directory,
+      arg_max(g.license, length(g.directory)) as license, arg_max(g.score, length(g.directory)) as score
+    from d join giving g on g.directory = '' or d.directory = g.directory or starts_with(d.directory, g.directory || '/')
+    group by d.path
+  )
+  select doc_id, d.path, coalesce(d.license, n.license) as license, round(coalesce(d.score, n.score), 6) as score,
+    case when d.license is not null then 'notice' when n.license is not null then 'inherited' end as found,
+    case when d.license is null then n.from_directory end as from_directory
+  from d left join near n on d.path = n.path"""
+
+
 MIXING = """
   with recursive d as (
     select doc_id, source, lang,
@@ -47,6 +110,7 @@ MIXING = """
     and d.topic = r.topic"""
 
 ORACLE: dict[str, str] = {
+    "op1_license_scan": license_sql(0.2),
     "op5_mixing": MIXING,
     "op6_exact_dedup": f"""
       with t as (

@@ -4,15 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, fingerprints, language_id, mixing, packing, pii, secret_scan, simhash, toxicity
+from sunledger.llm import exact_dedup, fingerprints, language_id, license_scan, mixing, packing, pii, secret_scan, simhash, toxicity
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def document_path() -> Column:
+    """The documents as files of a tree: by source, language and thousand of ids."""
+    thousand = F.floor(F.col("doc_id") / 1000).cast("string")
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("source", "lang")]
+    return F.concat_ws("/", *parts, F.coalesce(thousand, F.lit("none")), F.col("doc_id").cast("string"))
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document of which a notice makes up a fifth counts as the licence file of its directory."""
+    files = documents(spark, sf_dir).select(document_path().alias("path"), "text")
+    rows = license_scan.license_scan(files, license_file_share=0.2)
+    return rows.withColumns(
+        {"doc_id": F.regexp_extract("path", r"([^/]*)$", 1).try_cast("bigint"), "score": F.round("score", 6)}
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, distance=2)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -90,6 +106,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
