@@ -297,13 +297,17 @@ def _keyed(part: np.ndarray, value: np.ndarray, fp: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays(arrays, names=["part", "value", "fp"])
 
 
-def ball_links(some: DataFrame) -> DataFrame:
-    """Links at two or fewer bits among ``some`` fingerprints, as stars: a key's owners all are within two bits."""
+def ball_links(some: DataFrame, distance: int = 2) -> DataFrame:
+    """Links among ``some`` fingerprints, as stars: all owners of a key are within one bit of it, hence within two of
+    each other. At distance one only the key itself is linked to its owners; at zero there are no links."""
+    if distance > 2:
+        raise ValueError("one-bit neighbours meet at two bits at most")
     flips = F.expr(f"transform(sequence(0, {BITS - 1}), i -> fp ^ shiftleft(1L, i))")
     keys = some.select("fp", F.explode(F.concat(F.array("fp"), flips)).alias("key"))
     owners = keys.groupBy("key").agg(F.collect_list("fp").alias("fps")).filter("size(fps) > 1")
-    stars = owners.select(F.array_min("fps").alias("v"), F.explode("fps").alias("u"))
-    return stars.filter("u <> v").select("u", "v").distinct()
+    centre = F.array_min("fps") if distance == 2 else F.when(F.array_contains("fps", F.col("key")), F.col("key"))
+    stars = owners.select(centre.alias("v"), F.explode("fps").alias("u")).filter("u <> v")
+    return stars.select("u", "v").distinct() if distance else stars.limit(0).select("u", "v")
 
 
 def links(distinct: DataFrame, plan: Plan, path: str, crowd: int = CROWD) -> DataFrame:
@@ -318,16 +322,7 @@ def links(distinct: DataFrame, plan: Plan, path: str, crowd: int = CROWD) -> Dat
     close = pairs.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= plan.distance)
     close = close.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     touched = held.union(asked).join(crowded, key, "left_semi").select("fp").distinct()
-    return close.union(crowd_links(touched, plan.distance))
-
-
-def crowd_links(some: DataFrame, distance: int) -> DataFrame:
-    if distance > 2:
-        raise ValueError("one-bit neighbours meet at two bits at most")
-    if distance == 2:
-        return ball_links(some)
-    near = ball_links(some)
-    return near.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance)
+    return close.union(ball_links(touched, plan.distance))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd: int = CROWD) -> DataFrame:
