@@ -24,9 +24,9 @@ CAPACITY = 2048
 #: Pieces of one size that are put in order together.
 BUCKET = 1000
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Characters tokenised at a time (a longer text goes alone).
-AT_ONCE = 2_000_000
+AT_ONCE = 4_000_000
 #: Characters after a word that are a token of their own to the tokenizer's splitter, in one run.
 TAIL = ".,;:!?|)]}$%&*#\"-"
 #: str.split() also splits at these; the tokenizer does not.
@@ -56,66 +56,60 @@ class WordIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def plain(self, words: list[str]) -> list[bytes]:
-        """Words that are one unit each to the splitter, tokenised in one go: a unit's last id ends a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Words that are letters, marks or letters and then marks are one or two units to the
+        splitter; they are tokenised in one go, and told apart by the ids that end a unit."""
+        plain, units, odd = [], [], []
+        for i, word in enumerate(words):
+            core = word.rstrip(TAIL)
+            if core.isalpha():
+                plain.append(word)
+                units.append(1 if len(core) == len(word) else 2)
+            elif core:
+                odd.append(i)
+            else:
+                plain.append(word)
+                units.append(1)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(words):
+        if len(ends) != sum(units):
             return self.whole(words)
         data = ids.tobytes()
-        edges = [0, *(4 * ends).tolist()]
-        return [data[a:b] for a, b in zip(edges, edges[1:])]
-
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        units: dict[str, bytes] = {}
-        split: list[tuple[str, str, str]] = []
-        odd = []
-        for word in words:
-            core = word.rstrip(TAIL)
-            if core.isascii() and core.isalpha() or not core:
-                core, tail = core.lower(), word[len(core) :]
-                split.append((word, core, tail))
-                units[core] = units[tail] = b""
-            elif core.isalpha():
-                split.append((word, core, word[len(core) :]))
-                units[core] = units[word[len(core) :]] = b""
-            else:
-                odd.append(word)
-        todo = [u for u in units if u]
-        if todo:
-            units.update(zip(todo, self.plain(todo)))
-        found = {word: units[core] + units[tail] for word, core, tail in split}
+        edges = [0, *(4 * ends[np.cumsum(units) - 1]).tolist()] if units else [0]
+        found = [data[a:b] for a, b in zip(edges, edges[1:])]
         if odd:
-            found.update(zip(odd, self.whole(odd)))
+            others = self.whole([words[i] for i in odd])
+            for i, other in zip(odd, others):
+                found.insert(i, other)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        apart = [i for i, t in enumerate(texts) if any(c in t for c in NOT_SPACE)]
-        words = [t.split() for t in texts]
-        for i in apart:
-            words[i] = []
-        unknown = list({w for ws in words for w in ws if w not in self.known})
-        look = self.known
+        get = self.known.get
+        out: list[list[bytes | None]] = []
+        unknown: dict[str, bytes] = {}
+        gaps = []
+        for text in texts:
+            if any(c in text for c in NOT_SPACE):
+                out.append(self.whole([text]))
+                continue
+            words = text.split()
+            found = list(map(get, words))
+            if None in found:
+                at = [i for i, ids in enumerate(found) if ids is None]
+                missing = [words[i] for i in at]
+                unknown.update(dict.fromkeys(missing))
+                gaps.append((found, at, missing))
+            out.append(found)
         if unknown:
-            found = self.learn(unknown)
-            if len(self.known) + len(found) <= self.room:
-                self.known.update(found)
-            else:
-                look = _Both(self.known, found)
-        ids = [b"".join(map(look.__getitem__, ws)) for ws in words]
-        for i in apart:
-            ids[i] = self.whole([texts[i]])[0]
-        return ids
-
-
-class _Both(dict):
-    def __init__(self, known: dict[str, bytes], more: dict[str, bytes]):
-        super().__init__(more)
-        self.known = known
-
-    def __missing__(self, word: str) -> bytes:
-        return self.known[word]
+            words = list(unknown)
+            unknown = dict(zip(words, self.learn(words)))
+            for found, at, missing in gaps:
+                for i, word in zip(at, missing):
+                    found[i] = unknown[word]
+            if len(self.known) + len(unknown) <= self.room:
+                self.known.update(unknown)
+        return [b"".join(found) for found in out]
 
 
 @lru_cache(maxsize=4)
