@@ -1,0 +1,98 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from llm_edges import clashing, edge, none  # noqa: F401
+from sunledger.llm import fingerprints as P
+
+
+def shingles(text, size=5):
+    words = [w for w in (text or "").lower().replace("\t", " ").replace("\n", " ").split(" ") if w]
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("together", [40, 2000])
+def test_query_against_whole_shingle_sets(spark, monkeypatch, together):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(P, "ORDERED_TOGETHER", together)
+    path = f"{TESTDATA}/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").orderBy(F.desc("doc_id")).collect()
+    got = {r.doc_id: r for r in entry.queries()["op7_fingerprints"](spark, path).collect()}
+    prints = {}
+    assert len(got) == len(docs)
+    for i, (doc_id, text) in enumerate(docs):
+        following = docs[(i + 1) % len(docs)].text
+        half = len(text) // 2
+        edited, r = text[: len(text) - half] + following[:half], got[doc_id]
+        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.near_edited == pytest.approx(likeness(shingles(text), shingles(edited)), abs=0.2)
+        assert r.near_next == pytest.approx(likeness(shingles(text), shingles(following)), abs=0.2)
+        assert prints.setdefault(text, r.fingerprint) == r.fingerprint
+        prints.setdefault(edited, r.edited_fingerprint)
+
+
+def pair(spark, a, b, k=P.K):
+    row = spark.createDataFrame([(a, b)], "a string, b string").select(
+        P.sketch(F.col("a"), k=k).alias("a"), P.sketch(F.col("b"), k=k).alias("b")
+    )
+    return row.select(
+        P.resemblance(F.col("a"), F.col("b"), k).alias("like"),
+        P.containment(F.col("a"), F.col("b"), k).alias("within"),
+        P.distinct_count(F.col("a"), k).alias("n"),
+        P.merged(F.col("a"), F.col("b"), k).alias("both"),
+    ).first()
+
+
+def test_small_sets_are_exact(spark):
+    a = " ".join(f"w{i}" for i in range(40))
+    b = " ".join(f"w{i}" for i in range(20, 70))
+    r = pair(spark, a, b)
+    x, y = shingles(a), shingles(b)
+    assert r.like == likeness(x, y) and r.within == pytest.approx(len(x & y) / len(x)) and r.n == len(x)
+    assert len(r.both) == len(x | y) and sorted(r.both) == r.both
+
+
+def test_large_sets_are_near(spark):
+    a = " ".join(f"w{i}" for i in range(30_000))
+    b = " ".join(f"w{i}" for i in range(15_000, 30_000))
+    r = pair(spark, a, b, k=512)
+    assert r.like == pytest.approx(0.5, abs=0.08) and r.n == pytest.approx(30_000, rel=0.15)
+    assert pair(spark, b, a, k=512).within == pytest.approx(1.0, abs=0.15)
+
+
+def test_parts_merge_into_the_whole(spark):
+    parts = spark.createDataFrame([(i % 2, " ".join(f"w{i * 7 + j}" for j in range(400))) for i in range(30)], "g int, text string")
+    sketches = parts.select("g", P.sketch(F.col("text"), k=64).alias("sketch"))
+    merged = {r.g: r.sketch for r in P.merge_groups(sketches, "g", k=64).collect()}
+    for g, hashes in merged.items():
+        everything = {h for r in parts.filter(F.col("g") == g).select(P.sketch(F.col("text"), k=10**6).alias("s")).collect() for h in r.s}
+        assert hashes == sorted(everything)[:64]
+
+
+def test_edges_of_the_input(edge, clashing, none, monkeypatch):
+    monkeypatch.setattr(P, "ORDERED_TOGETHER", 3)
+    got = P.fingerprints(clashing).collect()
+    rows = [tuple(r)[:2] for r in edge.collect()]
+    assert sorted([(r.doc_id, r.n_chars) for r in got], key=str) == sorted([(i, len(t or "")) for i, t in rows], key=str)
+    assert P.fingerprints(none).count() == 0
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[4].sketch == [] and by_id[4].near_edited == 1.0 and by_id[1].sketch == by_id[2].sketch
+    # 2 (twice) follows 3, whose text is empty; 1 follows 2; the unnamed follow 1, and 10 follows them.
+    assert by_id[2].near_next == 1.0 and by_id[3].near_next == 0.0 and by_id[6].near_next == 0.0
+
+
+def test_one_document_follows_itself(spark):
+    r = P.fingerprints(spark.createDataFrame([(5, "ab cd ef")], "doc_id bigint, text string")).first()
+    assert r.edited_sha256 == hashlib.sha256(b"ab cab c").hexdigest() and r.near_next == 1.0
+
+
+def test_no_python_on_the_way(spark):
+    plan = P.fingerprints(spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

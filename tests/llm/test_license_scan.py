@@ -1,0 +1,118 @@
+from math import sqrt
+
+import pytest
+
+from llm_edges import clashing, edge, none  # noqa: F401
+from sunledger.llm import license_scan as L
+from sunledger.llm.license_templates import TEMPLATES
+
+APACHE = TEMPLATES[1][1]
+
+
+def slow_best(text, templates, threshold=L.THRESHOLD):
+    """Every unit against every template, in plain numbers."""
+    import re
+
+    low, best = text.lower(), None
+    for unit in {*re.split(r"\r?\n", low), *re.split(r"\r?\n[ \t]*\r?\n", low), low}:
+        weight = {t: n * templates.idf.get(t, templates.unseen) for t, n in L.terms_of(unit).items()}
+        for i, count in enumerate(templates.counts):
+            held = {t: n * templates.idf[t] for t, n in count.items()}
+            dot = sum(w * held.get(t, 0) for t, w in weight.items())
+            norm = sqrt(sum(w * w for w in weight.values())) * sqrt(sum(w * w for w in held.values()))
+            if norm and dot / norm >= threshold:
+                best = max(best or (0, 0), (dot / norm, -i))
+    return (templates.names[-best[1]], round(best[0], 9)) if best else None
+
+
+def wrapped(text, width=60):
+    lines, line = [], ""
+    for word in text.split():
+        if len(line) + len(word) > width:
+            lines.append("# " + line.strip())
+            line = ""
+        line += " " + word
+    return "\n".join([*lines, "# " + line.strip()])
+
+
+FILES = [
+    ("LICENSE", TEMPLATES[0][1]),
+    ("readme.md", "Just words."),
+    ("src/a.py", wrapped(APACHE) + "\n\nimport os\nprint(os.name)\n"),
+    ("src/b.py", "import os\n"),
+    ("src/lib/LICENSE.txt", "Copyright 2020 Someone\n\n" + TEMPLATES[3][1]),
+    ("src/lib/c.c", "int main;"),
+    ("src/lib/deep/er/d.c", "int x;\n" + "// Released under the MIT license.\n" + "int y;"),
+    ("src/lib/deep/er/e.c", None),
+    ("src/library/f.c", "int z;"),
+    ("vendor/COPYING", "no notice in here"),
+    ("vendor/g.c", "This work is licensed under the GNU General Public License, version 2.\r\nint q;"),
+    ("vendor/x/h.c", "int h;"),
+    ("near.txt", "You may not use this software, which is free."),
+    ("src/b.py", "import os\n"),
+    ("x/NOTICE", "Licensed under CC BY-NC 4.0. " + "filler " * 40),
+]
+
+
+def test_notices_and_inheritance(spark):
+    rows = L.license_scan(spark.createDataFrame(FILES, "path string, text string")).collect()
+    got = {r.path: (r.license, r.found, r.from_directory) for r in rows}
+    assert len(rows) == len({path for path, _ in FILES})
+    assert got["LICENSE"] == ("Apache-2.0", "notice", None)
+    assert got["readme.md"] == ("Apache-2.0", "inherited", "")
+    assert got["src/a.py"] == ("Apache-2.0", "notice", None)
+    assert got["src/b.py"] == ("Apache-2.0", "inherited", "")
+    assert got["src/lib/LICENSE.txt"] == ("MIT", "notice", None)
+    assert got["src/lib/c.c"] == ("MIT", "inherited", "src/lib")
+    assert got["src/lib/deep/er/d.c"] == ("MIT", "notice", None)
+    assert got["src/lib/deep/er/e.c"] == ("MIT", "inherited", "src/lib")
+    assert got["src/library/f.c"] == ("Apache-2.0", "inherited", "")
+    assert got["vendor/g.c"] == ("GPL-2.0", "notice", None)
+    assert got["vendor/x/h.c"] == ("Apache-2.0", "inherited", "")
+    assert got["near.txt"][1] == "inherited"
+
+
+def test_pruning_loses_nothing(spark):
+    """Texts at all distances from the templates: cut, stretched and mixed."""
+    known, rows = L.Templates(), []
+    for i, (_, text) in enumerate(TEMPLATES):
+        words = text.split()
+        for j, part in enumerate((1.0, 0.8, 0.6, 0.4, 0.2)):
+            some = words[: max(1, int(part * len(words)))]
+            rows += [(f"{i}/{j}/a", " ".join(some)), (f"{i}/{j}/b", " ".join(words[-len(some) :] + ["other"] * (j * 2)))]
+            rows.append((f"{i}/{j}/c", "prose of another kind\n" + " ".join(some * (j + 1)) + "\n\nmore prose"))
+    frame = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: (r.license, round(r.score, 9)) for r in L.license_scan(frame).collect() if r.found == "notice"}
+    want = {path: slow_best(text, known) for path, text in rows}
+    assert {p: s for p, (_, s) in got.items()} == {p: w[1] for p, w in want.items() if w}
+    assert got == {p: w for p, w in want.items() if w}
+
+
+def test_edges_of_the_input(spark, edge, clashing, none):
+    from pyspark.sql import functions as F
+
+    files = clashing.withColumn("path", F.concat_ws("/", "source", F.col("doc_id").cast("string")))
+    rows = L.license_scan(files).collect()
+    assert len(rows) == files.select("path").distinct().count() and all(r.license is None for r in rows)
+    assert L.license_scan(none.withColumn("path", F.lit("a"))).count() == 0
+    odd = spark.createDataFrame([(None, "Released under the MIT License."), ("a//b", None), ("/c", ""), ("d/", "x")], "path string, text string")
+    got = {r.path: (r.license, r.found) for r in L.license_scan(odd, license_file_share=0.5).collect()}
+    assert got == {"": ("MIT", "notice"), "a//b": ("MIT", "inherited"), "/c": ("MIT", "inherited"), "d/": ("MIT", "inherited")}
+
+
+def test_hot_directory_is_one_row(spark):
+    from pyspark.sql import functions as F
+
+    directories = spark.range(1000).select(F.when(F.col("id") < 900, "hot/d").otherwise(F.concat(F.lit("a/b/"), "id")).alias("directory"))
+    licensed = spark.createDataFrame([("hot", "MIT", 1.0), ("a", "ISC", 0.9), ("a/b/950", "GPL-3.0", 0.8)], "directory string, license string, score double")
+    near = {r.directory: (r.license, r.from_directory) for r in L.nearest_directories(directories, licensed).collect()}
+    assert len(near) == 101 and near["hot/d"] == ("MIT", "hot") and near["a/b/950"] == ("GPL-3.0", "a/b/950") and near["a/b/951"] == ("ISC", "a")
+
+
+@pytest.mark.parametrize("sf", ["0.001"])
+def test_no_python_on_the_way(spark, sf):
+    from conftest import TESTDATA
+    from sunledger.llm.queries import QUERIES
+
+    plan = QUERIES["op1_license_scan"](spark, f"{TESTDATA}/sf{sf}")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

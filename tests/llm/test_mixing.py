@@ -1,0 +1,51 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from llm_edges import clashing, edge, none  # noqa: F401
+from sunledger.llm import mixing as M
+from sunledger.llm.common import documents
+
+EXPLICIT = M.Targets(source={"src0": 0.5}, lang={"en": 0.25, "de": 0.25, "fr": 0.25, "es": 0.25}, topic=1.0)
+
+
+@pytest.mark.parametrize("targets", [M.Targets(), EXPLICIT], ids=["tempered", "explicit"])
+def test_raked_tokens_meet_all_targets(spark, targets):
+    rows = M.mix(documents(spark, f"{TESTDATA}/sf0.1"), targets).cache()
+    total = rows.agg(F.sum("mix_tokens")).first()[0]
+    weighted = rows.withColumn("w", F.col("mix_weight") * F.col("mix_tokens"))
+    assert weighted.agg(F.sum("w")).first()[0] == pytest.approx(total, rel=1e-6)
+    for column, target in zip(M.DIMENSIONS, (targets.source, targets.lang, targets.topic)):
+        held = {r[0]: (r.w, r.t) for r in weighted.groupBy(column).agg(F.sum("w").alias("w"), F.sum("mix_tokens").alias("t")).collect()}
+        if isinstance(target, dict):
+            for value, share in target.items():
+                assert held[value][0] == pytest.approx(share * total, rel=1e-6)
+        else:
+            scale = sum(t**target for _, t in held.values())
+            for w, t in held.values():
+                assert w == pytest.approx(t**target / scale * total, rel=1e-6)
+    kept = rows.filter("mix_kept").agg(F.sum("mix_tokens")).first()[0]
+    p, t = F.col("mix_probability"), F.col("mix_tokens")
+    expected, variance = rows.agg(F.sum(p * t), F.sum(p * (1 - p) * t * t)).first()
+    assert abs(kept - expected) < 4 * variance**0.5
+    assert rows.agg(F.max("mix_probability")).first()[0] == 1.0
+
+
+def test_draws_do_not_depend_on_the_layout(spark):
+    docs = documents(spark, f"{TESTDATA}/sf0.01")
+    ids = [sorted(r.doc_id for r in M.sampled(d).collect()) for d in (docs, docs.repartition(7).orderBy("text"))]
+    assert ids[0] == ids[1]
+
+
+def test_edges_of_the_input(edge, clashing, none):
+    rows = M.mix(clashing).collect()
+    assert len(rows) == edge.count() and all(0 <= r.mix_probability <= 1 and r.mix_tokens >= 1 for r in rows)
+    twice = [r.mix_kept for r in rows if r.doc_id == 2]
+    assert len(twice) == 2 and len(set(twice)) == 1
+    assert M.sampled(clashing).columns == clashing.columns
+    assert M.mix(none).count() == 0 and M.sampled(none).count() == 0
+
+
+def test_no_python_on_the_way(spark):
+    plan = M.sampled(documents(spark, f"{TESTDATA}/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
