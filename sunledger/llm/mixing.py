@@ -29,9 +29,7 @@ TOPICS: dict[str, tuple[str, ...]] = {
 OTHER_TOPIC = "prose"
 TOKEN = r"[^\x20\x09-\x0D]+"
 TOLERANCE = 1e-9
-#: Sweeps over the three dimensions between two looks at the sums, and the most of them.
-SWEEPS = 2
-MOST_ROUNDS = 30
+MOST_SWEEPS = 60
 #: Stands for a null among the values of a dimension; no text value can hold it together with others by chance.
 NULL = "\u0000null"
 DIMENSIONS = ("mix_source", "mix_lang", "mix_topic")
@@ -93,27 +91,42 @@ def target_shares(cells: DataFrame, dimension: str, target: Target) -> DataFrame
 def rake(cells: DataFrame, shares: Mapping[str, DataFrame], path: str) -> DataFrame:
     """``cells`` with ``raked``: tokens scaled until each dimension's sums meet its shares of the total.
 
-    Sums are taken map-side and come back by a join on the dimension, so a value that holds a third of all cells is
-    one row in the shuffle. Each round is written; one number of each comes back, how far the sums were from their
-    targets.
+    A cell's scale is the product of one factor per dimension. A step sums the cells, scaled by the other dimensions'
+    factors, over one dimension and sets its factors to meet the goals. Sums are taken map-side, so a value that holds a
+    third of all cells is one row per task in the shuffle. Each step's factors are written; from each sweep over the
+    dimensions one number comes back, how far the factors moved.
     """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    goals = {d: stored(s.select(d, (F.col("share") * total).alias("goal")), f"{path}/{d}") for d, s in shares.items()}
-    now = cells.withColumn("raked", F.col("tokens").cast("double"))
-    for round_ in range(MOST_ROUNDS):
-        now = now.withColumn("off", F.lit(0.0))
-        for sweep in range(SWEEPS):
-            for dimension, goal in goals.items():
-                sums = now.groupBy(dimension).agg(F.sum("raked").alias("held"))
-                scale = sums.join(goal, dimension).select(dimension, F.try_divide("goal", "held").alias("scale"))
-                now = now.join(scale, dimension).withColumn("scale", F.coalesce("scale", F.lit(1.0)))
-                off = F.greatest("off", F.abs(F.col("scale") - 1)) if sweep == SWEEPS - 1 else F.col("off")
-                now = now.withColumn("off", off).withColumn("raked", F.col("raked") * F.col("scale")).drop("scale")
-        now = stored(now, f"{path}/round-{round_}")
-        if (now.agg(F.max("off")).first()[0] or 0.0) < TOLERANCE:
+    goals = {
+        d: stored(s.select(d, (F.col("share") * total).alias("goal"), F.lit(1.0).alias("factor")), f"{path}/{d}")
+        for d, s in shares.items()
+    }
+    factors = {d: goal.select(d, F.col("factor").alias(f"{d}_factor")) for d, goal in goals.items()}
+    for sweep in range(MOST_SWEEPS):
+        moved = 0.0
+        for dimension, goal in goals.items():
+            held = _scaled(cells, {d: f for d, f in factors.items() if d != dimension})
+            held = held.groupBy(dimension).agg(F.sum("raked").alias("held"))
+            before = factors[dimension].withColumnRenamed(f"{dimension}_factor", "before")
+            new = goal.select(dimension, "goal").join(held, dimension).join(before, dimension)
+            # A value whose cells all went to zero elsewhere has nothing to scale.
+            new = new.withColumn("factor", F.coalesce(F.try_divide("goal", "held"), F.lit(1.0)))
+            off = F.coalesce(F.abs(F.try_divide("factor", "before") - 1), F.lit(0.0))
+            new = stored(new.select(dimension, "factor", off.alias("off")), f"{path}/{dimension}-{sweep}")
+            moved = max(moved, new.agg(F.max("off")).first()[0] or 0.0)
+            factors[dimension] = new.select(dimension, F.col("factor").alias(f"{dimension}_factor"))
+        if moved < TOLERANCE:
             break
-        now = now.drop("off")
-    return now.drop("off")
+    return _scaled(cells, factors)
+
+
+def _scaled(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
+    """``cells`` with ``raked``: tokens times the factors."""
+    raked = F.col("tokens").cast("double")
+    for dimension, factor in factors.items():
+        cells = cells.join(factor, dimension)
+        raked = raked * F.col(f"{dimension}_factor")
+    return cells.withColumn("raked", raked).drop(*(f"{d}_factor" for d in factors))
 
 
 def draw(doc_id: str, seed: int) -> Column:
@@ -135,7 +148,7 @@ def mix(docs: DataFrame, targets: Targets = Targets(), seed: int = 7) -> DataFra
     cells = stored(cells, f"{path}/cells")
     wanted = dict(zip(DIMENSIONS, (targets.source, targets.lang, targets.topic)))
     shares = {dimension: target_shares(cells, dimension, target) for dimension, target in wanted.items()}
-    raked = rake(cells, shares, path)
+    raked = stored(rake(cells, shares, path), f"{path}/raked")
     weights = raked.select(*DIMENSIONS, F.try_divide("raked", F.col("tokens").cast("double")).alias("mix_weight"))
     most = weights.agg(F.max("mix_weight")).first()[0] or 1.0
     rows = rows.drop("mix_weight", "mix_probability", "mix_kept").join(weights, list(DIMENSIONS))
