@@ -86,11 +86,8 @@ def units(files: DataFrame, templates: Templates) -> DataFrame:
     once."""
     marks = templates.mandatory()
     low = F.lower(F.col("text"))
-    held = None
-    for mark in marks:
-        found = F.contains(low, F.lit(mark))
-        held = found if held is None else held | found
-    some = files.filter(held if held is not None else F.lit(False))
+    # One pass over the text cuts it into terms; looking for each mark by itself would be a pass for each.
+    some = files.filter(F.arrays_overlap(F.regexp_extract_all(low, F.lit(TERM), 0), F.lit(marks)))
     some = some.select(F.monotonically_increasing_id().alias("row"), "path", low.alias("text"))
     cut = F.concat(F.split("text", r"\r?\n"), F.split("text", r"\r?\n[\x20\t]*\r?\n"), F.array("text"))
     cut = F.array_distinct(F.filter(cut, lambda u: F.regexp_like(u, F.lit(rf"(?<![a-z0-9])({_either(marks)})(?![a-z0-9])"))))
