@@ -39,17 +39,16 @@ def test_nearest_are_those_of_all_examples(n):
     assert len(index.nearest({}, 15)[0]) == 0
 
 
-def test_terms_are_counted_as_chunk_by_chunk():
-    vocabulary = ["idiot", "^idio", "ab", "^worthl", "élan", "^trash"]
-    texts = ["Idiot! idiots, (idiot) $$$idiot%% ab AB-ab abc", "worthless,worthlessly Élan 12 trash1 — trashy", "", None, "x"]
+def test_terms_are_those_of_all_words():
+    vocabulary = ["idiot", "^idio", "ab", "^worthl", "élan", "^trash", "abcde", "^abcd"]
+    texts = ["Idiot! idiots, (idiot) $$$idiot%%idiot ab AB-ab abc abcde abcdefg xab", "worthless,worthlessly Élan 12 trash1 trashy",
+             "", None, "x", "idiot", "ab"]
     terms = T.Terms(vocabulary)
-    for text in texts * 2:
-        n, found = 0, []
-        for chunk in (text or "").split():
-            words, here = T.chunk_terms(chunk)
-            n += words
-            found += [vocabulary.index(t) for t in here if t in vocabulary]
-        assert terms.count(text) == (n, {i: found.count(i) for i in dict.fromkeys(found)})
+    for text in texts:
+        found = [vocabulary.index(t) for w in T.WORD.findall((text or "").lower()) for t in T.word_terms(w) if t in vocabulary]
+        words, counts = terms.count(text)
+        assert words == len((text or "").split()) and counts == {i: found.count(i) for i in found}
+    assert T.Terms([]).count("a b") == (2, {})
 
 
 def test_isotonic_rises_and_keeps_the_mean():
