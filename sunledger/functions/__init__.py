@@ -1,15 +1,17 @@
-from sunledger.functions.exact import exact_mean, exact_percentage, exact_sum
+from sunledger.functions.exact import exact_mean, exact_percentage, exact_sum, same_or_mean
 from sunledger.functions.messages import message_key, message_value
-from sunledger.functions.times import parse_time, wall_clock, wall_clock_literal, wire_time
+from sunledger.functions.times import parse_time, wall_clock, wall_clock_literal, window_range, wire_time
 
 __all__ = [
     "exact_mean",
     "exact_percentage",
     "exact_sum",
+    "same_or_mean",
     "message_key",
     "message_value",
     "parse_time",
     "wall_clock",
     "wall_clock_literal",
+    "window_range",
     "wire_time",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # --- Fixed values: time formats on the wire and in the CSV files ---
 WIRE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DECODE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSS]"
-CSV_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy HH:mm")
+CSV_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy HH:mm", "yyyy-MM-dd'T'HH:mm:ss")
 # --- end of fixed values ---
 
 
@@ -19,6 +19,17 @@ def parse_time(text: str | Column, formats: tuple[str, ...] = CSV_TIME_FORMATS)
     return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats))
 
 
+def window_range(start: datetime, end: datetime, width: timedelta) -> tuple[datetime, datetime]:
+    """Event times of the tumbling windows that begin in ``[start, end)``: both bounds moved up to a window's start.
+    Windows are counted from 1970, as window() does."""
+    zero = datetime(1970, 1, 1)
+
+    def up(when: datetime) -> datetime:
+        return zero - (zero - when) // width * width
+
+    return up(start), up(end)
+
+
 def wire_time(ts: str | Column) -> Column:
     return F.date_format(ts, WIRE_TIME_FORMAT)
 

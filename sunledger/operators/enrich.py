@@ -5,30 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.functions import exact_mean, wall_clock
+from sunledger.functions import same_or_mean, wall_clock
 from sunledger.operators.project import key_columns
 from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, WEATHER_MEASURES
 
-SPREAD = 8
-
-
 def weather_at(weather: DataFrame) -> DataFrame:
-    """One row per plant and event time: repeated messages and further sensors average out, so the join
-    below is many-to-one whatever the input holds."""
-    return weather.groupBy(EVENT_TIME, PLANT).agg(*(exact_mean(name).alias(name) for name in WEATHER_MEASURES))
+    """One row per plant and event time, so the join below is many-to-one whatever the input holds. A value that all
+    rows agree on passes through as it is; where sensors differ it is their mean."""
+    return weather.groupBy(EVENT_TIME, PLANT).agg(*(same_or_mean(name).alias(name) for name in WEATHER_MEASURES))
 
 
-def enrich_readings(generator: DataFrame, weather: DataFrame, spread: int = SPREAD) -> DataFrame:
+def enrich_readings(generator: DataFrame, weather: DataFrame, spread: int | None = None) -> DataFrame:
     """Left outer equi-join on plant and event time, batch or (both sides watermarked) stream.
 
-    One plant and time may hold a large share of the generator rows. ``spread`` splits each such group
-    over as many join tasks and repeats its single weather row for each. The share is picked by row content
-    and partition, not by chance, so a retried task picks the same one, and copies still spread.
+    One plant and time may hold a large share of the generator rows. In batch AQE splits such join partitions, and a
+    filter on the result reaches both scans. A stream is planned once: there ``spread`` (a quarter of the shuffle
+    partitions) splits each group over as many join tasks and repeats its single weather row for each. The share is
+    picked by row content and partition, not by chance, so a retried task picks the same one, and copies still spread.
     """
-    join_key = [EVENT_TIME, PLANT, "share"]
-    content = F.xxhash64(SOURCE, "DC_POWER", "AC_POWER", "DAILY_YIELD") + F.spark_partition_id()
-    left = generator.withColumn("share", F.pmod(content, F.lit(spread)).cast("int"))
-    right = weather_at(weather).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    join_key = [EVENT_TIME, PLANT]
+    left, right = generator, weather_at(weather)
+    if generator.isStreaming:
+        if spread is None:
+            spread = max(1, int(generator.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+        content = F.xxhash64(SOURCE, "DC_POWER", "AC_POWER", "DAILY_YIELD") + F.spark_partition_id()
+        left = left.withColumn("share", F.pmod(content, F.lit(spread)).cast("int"))
+        right = right.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        join_key = [*join_key, "share"]
     return left.join(right, join_key, "left").select(
         *key_columns(),
         wall_clock(EVENT_TIME).alias("date_time"),

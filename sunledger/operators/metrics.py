@@ -59,15 +59,25 @@ def conversion_efficiency(generator: DataFrame) -> DataFrame:
     return by_hour(generator_by_window(generator), "efficiency_pct")
 
 
+def one_capacity_per_plant(capacity: DataFrame) -> DataFrame:
+    """Repeated rows of a plant count once; a plant with two different capacities stops the job."""
+    low, high = F.min("capacity_kw"), F.max("capacity_kw")
+    differs = F.concat(F.lit("two capacities for plant "), F.col("plant_id").cast("string"))
+    checked = capacity.groupBy("plant_id").agg(low.alias("low"), high.alias("capacity_kw"))
+    value = F.when(F.col("low") < F.col("capacity_kw"), F.raise_error(differs).cast("double")).otherwise(F.col("capacity_kw"))
+    return checked.select("plant_id", value.alias("capacity_kw"))
+
+
 def with_density(hours: DataFrame, capacity: DataFrame) -> DataFrame:
-    """Production per unit of capacity; ``capacity`` is one row per plant: ``plant_id, capacity_kw``.
+    """Production per unit of capacity; ``capacity`` has ``plant_id, capacity_kw``, one capacity per plant.
 
     No broadcast is forced: the optimizer broadcasts ``capacity`` when its size is under the threshold, and
     AQE decides again from the measured size. A plant without a known capacity keeps its row, with NULL.
     """
     density = F.try_divide("production", F.col("capacity_kw").cast("double"))
     kept = [name for name in hours.columns if name != "production"]
-    return hours.join(capacity, "plant_id", "left").select(*kept, density.alias("production_density"))
+    joined = hours.join(one_capacity_per_plant(capacity), "plant_id", "left")
+    return joined.select(*kept, density.alias("production_density"))
 
 
 def hourly_production_density(generator: DataFrame, capacity: DataFrame) -> DataFrame:
@@ -101,8 +111,9 @@ def generator_weather_join(generator: DataFrame, weather: DataFrame) -> DataFram
 
 
 def dashboard(generator: DataFrame, weather: DataFrame, capacity: DataFrame) -> DataFrame:
-    """All hourly measures side by side, from one pass over each table."""
-    joined = generator_by_window(generator).join(weather_by_window(weather), WINDOW_KEY, "left")
+    """All hourly measures side by side, from one pass over each table. An hour that only one side has is there, with
+    NULL for the other's measures: no reading from any inverter is what an outage looks like."""
+    joined = generator_by_window(generator).join(weather_by_window(weather), WINDOW_KEY, "full")
     measures = ("production", "avg_irradiation", "avg_dc_power", "avg_ac_power", "temperature_delta", "efficiency_pct")
     return with_density(by_hour(joined, *measures), capacity)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions import message_key, message_value, wall_clock
@@ -64,8 +64,9 @@ def by_position(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return named.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema))
 
 
-def messages(readings: DataFrame) -> DataFrame:
-    """Keyed JSON messages, ready for a topic. All columns but time and key are measures, in their order."""
+def messages(readings: DataFrame, *more: Column) -> DataFrame:
+    """Keyed JSON messages, ready for a topic. All columns but time and key are measures, in their order. ``more`` adds
+    columns beside key and value."""
     require_utc(readings.sparkSession)
     measures = [name for name in readings.columns if name not in (EVENT_TIME, PLANT, SOURCE)]
-    return readings.select(message_key().alias("key"), message_value(measures).alias("value"))
+    return readings.select(message_key().alias("key"), message_value(measures).alias("value"), *more)

@@ -1,6 +1,7 @@
 """The same queries in plain SQL for another engine, written from the definitions and not from the operators.
 
-Sums go through decimal(18,6), which is exact and so independent of row order.
+Sums are exact: each double is scaled by 2^100, where it is a whole number, and summed as a 128-bit integer. Only the
+sum is rounded to a double, part by part and smallest first.
 """
 
 from __future__ import annotations
@@ -33,13 +34,22 @@ READING = "DATE_TIME, DC_POWER, AC_POWER, DAILY_YIELD, TOTAL_YIELD, PLANT_ID, SO
 
 
 def xs(x: str) -> str:
-    return f"cast(sum(cast({x} as decimal(18,6))) as double)"
+    total = f"sum(cast(({x}) * {2.0**100!r} as hugeint))"
+    digits = [f"cast((abs({total}) // {1 << (100 - 20 * place)}) % 1048576 as double)" for place in range(1, 6)]
+    rest = "0e0"
+    for digit in reversed(digits):
+        rest = f"(({rest} + {digit}) / 1048576e0)"
+    return f"(sign({total}) * (cast(abs({total}) // {1 << 100} as double) + {rest}))"
 
 
 def xa(x: str) -> str:
     return f"{xs(x)} / count({x})"
 
 
+def xv(x: str) -> str:
+    return f"case when min({x}) = max({x}) then min({x}) else {xa(x)} end"
+
+
 def by_window(unit: str, name: str, measure: str, alias: str, view: str = "g") -> str:
     return (
         f"select cast(date_trunc('{unit}', DATE_TIME) as timestamp) as {name}, PLANT_ID as plant_id, "
@@ -71,17 +81,14 @@ PRODUCTION = by_window("hour", "hour_start", xs("DAILY_YIELD"), "production")
 HOUR_CLOSED = "hour_start + interval 1 hour <= (select upto from closed)"
 JOINED = f"""select a.hour_start, a.plant_id, avg_dc_power, temperature_delta
   from ({AVG_DC}) a left join ({DELTA}) d on a.hour_start = d.hour_start and a.plant_id = d.plant_id"""
-DASHBOARD = f"""select p.hour_start, p.plant_id, production / capacity_kw as production_density,
+DASHBOARD = f"""select hour_start, plant_id, production / capacity_kw as production_density,
   avg_irradiation, avg_dc_power, avg_ac_power, temperature_delta, efficiency_pct
-  from ({PRODUCTION}) p
-  join ({AVG_DC}) dc on p.hour_start = dc.hour_start and p.plant_id = dc.plant_id
-  join ({AVG_AC}) ac on p.hour_start = ac.hour_start and p.plant_id = ac.plant_id
-  join ({EFFICIENCY}) e on p.hour_start = e.hour_start and p.plant_id = e.plant_id
-  left join ({IRRADIATION}) i on p.hour_start = i.hour_start and p.plant_id = i.plant_id
-  left join ({DELTA}) d on p.hour_start = d.hour_start and p.plant_id = d.plant_id
-  left join capacity on p.plant_id = capacity.plant_id"""
-WEATHER_AT = f"""select DATE_TIME, PLANT_ID, {xa("AMBIENT_TEMPERATURE")} as ambient_temp,
-  {xa("MODULE_TEMPERATURE")} as module_temp, {xa("IRRADIATION")} as irradiation from w group by 1, 2"""
+  from (select * from ({PRODUCTION}) join ({AVG_DC}) using (hour_start, plant_id)
+    join ({AVG_AC}) using (hour_start, plant_id) join ({EFFICIENCY}) using (hour_start, plant_id)) p
+  full join (select * from ({IRRADIATION}) join ({DELTA}) using (hour_start, plant_id)) w using (hour_start, plant_id)
+  left join capacity using (plant_id)"""
+WEATHER_AT = f"""select DATE_TIME, PLANT_ID, {xv("AMBIENT_TEMPERATURE")} as ambient_temp,
+  {xv("MODULE_TEMPERATURE")} as module_temp, {xv("IRRADIATION")} as irradiation from w group by 1, 2"""
 ENRICHED = f"""select g.PLANT_ID as plant_id, g.SOURCE_KEY as source_key, g.DATE_TIME as date_time,
   DC_POWER as dc_power, AC_POWER as ac_power, DAILY_YIELD as yield, ambient_temp, module_temp, irradiation
   from g left join ({WEATHER_AT}) a on g.DATE_TIME = a.DATE_TIME and g.PLANT_ID = a.PLANT_ID"""
@@ -146,4 +153,25 @@ BODIES = {
     "alerts_stream": f"select * from ({EFFICIENCY}) where efficiency_pct < 95 and {HOUR_CLOSED}",
 }
 
+OUTCOMES = "select case {cases} else 'reading' end as outcome, count(*) as n_rows from g group by 1"
+BODIES |= {
+    "message_rejects": OUTCOMES.format(
+        cases="""second(DATE_TIME) when 7 then 'malformed' when 11 then 'no event time' when 13 then 'no value'"""
+    ),
+    "csv_rejects": OUTCOMES.format(cases="when second(DATE_TIME) in (7, 11) then 'no time in a known form'"),
+    "weather_json_roundtrip": "select * from w",
+    "dry_run_messages": BODIES["json_messages"],
+    "stored_hourly_slice": f"""select * from ({HOURLY_YIELD})
+      where window_start >= timestamp '2024-01-10 05:30:00' and window_start < timestamp '2024-01-11 02:00:00'""",
+    "loaded_generator_metrics": BODIES["keyed_generator_metrics"],
+    "streamed_generator_metrics": BODIES["keyed_generator_metrics"],
+    "hourly_yield_from_messages": BODIES["hourly_yield_stream"],
+    "restarted_hourly_yield": BODIES["hourly_yield_stream"],
+    "replayed_hourly_yield": BODIES["hourly_yield_stream"],
+    "fan_out": f"""select 'daily_yield' as table_name, count(*) as n_rows from ({BODIES["daily_yield_stream"]})
+      union all select 'hourly_yield', count(*) from ({BODIES["hourly_yield_stream"]})
+      union all select 'generator_metrics', count(distinct (plant_id, source_key, date_time)) from ({GENERATOR_METRICS})
+      union all select 'weather_metrics', count(distinct (plant_id, source_key, date_time)) from ({WEATHER_METRICS})""",
+}
+
 ORACLE = {name: VIEWS.strip() + body for name, body in BODIES.items()}

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger import schemas as S
+from sunledger.functions import wall_clock_literal
 from sunledger.operators import enrich, keys, metrics, project, slots, yields
 from sunledger.plans import views
 from sunledger.session import configure, configure_streams, new_run_dir
-from sunledger.sinks import tables
-from sunledger.sources import csv_readings, decode_json
-from sunledger.streaming.jobs import FILES_PER_DAY, read_results, start_files, start_table
+from sunledger.sinks import tables, topics
+from sunledger.sources import csv_readings, csv_with_rejects, decode_json, decode_with_rejects, message_files
+from sunledger.streaming.jobs import FILES_PER_DAY, read_results, start_all, start_files, start_table
+from sunledger.streaming.replay import replay
+from sunledger.streaming.sources import generator_stream as message_stream
 from sunledger.streaming.sources import watermarked
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +28,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 CAPACITY = [(0, 100), (1, 150), (2, 200)]
 EFFICIENCY_ALERT_PCT = 95.0
 SLICE = (datetime(2024, 1, 10), datetime(2024, 1, 13))
+# Window starts from the half hour on: the first hour that counts is the next.
+HOURS = (datetime(2024, 1, 10, 5, 30), datetime(2024, 1, 11, 2))
+HALF = datetime(2024, 1, 16)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,8 +110,12 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and value, decoded again: engines print numbers differently."""
+    return decoded_messages(project.messages(generator(spark, sf_dir)))
+
+
+def decoded_messages(messages: DataFrame) -> DataFrame:
     value_fields = S.generator_schema(T.StringType())
-    decoded = project.messages(generator(spark, sf_dir)).select(
+    decoded = messages.select(
         F.from_json("key", "plant_id int, source_key string", {"mode": "FAILFAST"}).alias("k"),
         F.from_json("value", value_fields, {"mode": "FAILFAST"}).alias("v"),
     )
@@ -121,6 +132,45 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_readings(spark, path, S.generator_schema())
 
 
+def spoiled(messages: DataFrame) -> DataFrame:
+    """Messages of some seconds cut off, without their time, or without a value."""
+    second = F.substring("value", 32, 2)
+    without_time = F.concat(F.lit("{"), F.expr("substring(value, 36)"))
+    value = F.when(second == "07", F.substring("value", 1, 40)).when(second == "11", without_time)
+    return messages.select(value.when(second != "13", F.col("value")).alias("value"))
+
+
+def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many messages became readings, and how many were rejected for what."""
+    good, rejects = decode_with_rejects(spoiled(project.messages(generator(spark, sf_dir))), S.generator_schema())
+    outcomes = good.select(F.lit("reading").alias("outcome")).union(rejects.select("reject_reason"))
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("n_rows"))
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for CSV rows: some times in no known form, some left out, some in a further known form."""
+    path = new_run_dir(spark, "csv")
+    text = F.date_format(S.EVENT_TIME, "yyyy-MM-dd HH:mm:ss")
+    when = F.when(F.second(S.EVENT_TIME) == 7, "soon").when(F.second(S.EVENT_TIME) == 11, F.lit(None))
+    when = when.when(F.second(S.EVENT_TIME) == 13, F.replace(text, F.lit(" "), F.lit("T"))).otherwise(text)
+    generator(spark, sf_dir).withColumn(S.EVENT_TIME, when).write.csv(path, header=True)
+    good, rejects = csv_with_rejects(spark, path, S.generator_schema())
+    outcomes = good.select(F.lit("reading").alias("outcome")).union(rejects.select("reject_reason"))
+    return outcomes.groupBy("outcome").agg(F.count("*").alias("n_rows"))
+
+
+def weather_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode_json(project.messages(weather(spark, sf_dir)), S.weather_schema())
+
+
+def dry_run_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a dry run wrote, taken apart again."""
+    path = new_run_dir(spark, "dry_run")
+    topics.dry_run(generator(spark, sf_dir), path)
+    parts = F.split("value", "\t", 2)
+    return decoded_messages(spark.read.text(path).select(parts[0].alias("key"), parts[1].alias("value")))
+
+
 # --- stored tables ---
 
 
@@ -141,6 +191,24 @@ def keyed_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, spec, path).select(*spec.column_names)
 
 
+def stored_hourly_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hourly_yield of some hours, from the stored readings of just these hours."""
+    path = new_run_dir(spark, "generator_metrics")
+    spec = S.GENERATOR_METRICS
+    tables.write_table(project.generator_metrics(generator(spark, sf_dir)), spec, path)
+    hours = tables.read_windows(spark, spec, path, *HOURS, timedelta(hours=1))
+    return yields.hourly_yield(project.generator_readings(hours))
+
+
+def loaded_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of single readings after a load of messages in which each comes twice."""
+    root = new_run_dir(spark, "history")
+    twice = project.messages(generator(spark, sf_dir)).select("value")
+    tables.load_messages(twice.unionAll(twice), project.messages(weather(spark, sf_dir)), root)
+    spec = S.GENERATOR_METRICS
+    return tables.read_table(spark, spec, f"{root}/{spec.name}").select(*spec.column_names)
+
+
 # --- streams: the events table as a file stream, run until it is used up ---
 
 
@@ -211,6 +279,79 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_files(spark, low, "alerts")
 
 
+# --- streams of message files ---
+
+
+def generator_messages(spark: SparkSession, sf_dir: str, path: str, share: Column | None = None) -> None:
+    """The readings, or those of a share, as message files."""
+    readings = generator(spark, sf_dir)
+    topics.write_messages(readings if share is None else readings.filter(share), path)
+
+
+def _started(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """All result tables, filled through both message streams until these are used up."""
+    configure_streams(spark)
+    run = new_run_dir(spark, "fan_out")
+    for _ in range(copies):
+        generator_messages(spark, sf_dir, f"{run}/generator")
+    topics.write_messages(weather(spark, sf_dir), f"{run}/weather")
+    streams = [message_files(spark, f"{run}/{name}", stream=True) for name in ("generator", "weather")]
+    for query in start_all(*streams, f"{run}/tables", f"{run}/checkpoints", available_now=True).values():
+        query.awaitTermination()
+    return f"{run}/tables"
+
+
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each result table after the streams."""
+    root = _started(spark, sf_dir)
+    counts = [
+        tables.read_table(spark, spec, f"{root}/{name}").agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"))
+        for name, spec in S.TABLES.items()
+    ]
+    return reduce(DataFrame.union, counts)
+
+
+def streamed_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of single readings after streams in which each message comes twice."""
+    spec = S.GENERATOR_METRICS
+    root = _started(spark, sf_dir, copies=2)
+    return tables.read_table(spark, spec, f"{root}/{spec.name}").select(*spec.column_names)
+
+
+def _hourly_from(spark: SparkSession, messages: str, run: str) -> DataFrame:
+    stream = yields.hourly_yield(message_stream(message_files(configure_streams(spark), messages, stream=True)))
+    files = FILES_PER_DAY[S.HOURLY_YIELD.name]
+    start_table(
+        stream, S.HOURLY_YIELD, f"{run}/table", f"{run}/checkpoint", available_now=True, files_per_day=files
+    ).awaitTermination()
+    return tables.read_table(spark, S.HOURLY_YIELD, f"{run}/table").select(*S.HOURLY_YIELD.column_names)
+
+
+def hourly_yield_from_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = new_run_dir(spark, "from_messages")
+    generator_messages(spark, sf_dir, f"{run}/in")
+    return _hourly_from(spark, f"{run}/in", run)
+
+
+def restarted_hourly_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the time, then a new start on the same checkpoint with the other half."""
+    run = new_run_dir(spark, "restarted")
+    early = F.col(S.EVENT_TIME) < wall_clock_literal(HALF)
+    for share in (early, ~early):
+        generator_messages(spark, sf_dir, f"{run}/in", share)
+        rows = _hourly_from(spark, f"{run}/in", run)
+    return rows
+
+
+def replayed_hourly_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files, replayed as message files by slot, taken in by a stream."""
+    run = new_run_dir(spark, "replayed")
+    readings = csv_scan(spark, sf_dir)
+    for _ in replay(readings, f"{run}/in"):
+        pass
+    return _hourly_from(spark, f"{run}/in/*", run)
+
+
 QUERIES: dict[str, Query] = {
     "generator_metrics": _of_generator(project.generator_metrics),
     "weather_metrics": _of_weather(project.weather_metrics),
@@ -239,6 +380,17 @@ QUERIES: dict[str, Query] = {
     "raw_rows": raw_rows,
     "json_messages": json_messages,
     "csv_scan": csv_scan,
+    "message_rejects": message_rejects,
+    "csv_rejects": csv_rejects,
+    "weather_json_roundtrip": weather_json_roundtrip,
+    "dry_run_messages": dry_run_messages,
+    "stored_hourly_slice": stored_hourly_slice,
+    "loaded_generator_metrics": loaded_generator_metrics,
+    "fan_out": fan_out,
+    "streamed_generator_metrics": streamed_generator_metrics,
+    "hourly_yield_from_messages": hourly_yield_from_messages,
+    "restarted_hourly_yield": restarted_hourly_yield,
+    "replayed_hourly_yield": replayed_hourly_yield,
     "hourly_yield_stream": hourly_yield_stream,
     "daily_yield_stream": daily_yield_stream,
     "generator_metrics_stream": generator_metrics_stream,

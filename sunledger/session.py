@@ -14,8 +14,10 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin what the results depend on.
 
     Event time is a zoneless wall clock, and window() aligns TIMESTAMP to the UTC epoch, so only a UTC
-    session starts days at wall-clock midnight. AQE sizes and splits shuffle partitions at run time.
+    session starts days at wall-clock midnight. AQE sizes and splits shuffle partitions at run time. Without ANSI
+    mode a NaN would be summed as zero and an overflow wrap around.
     """
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     return spark
@@ -28,19 +30,17 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"the session's time zone is {zone}, not UTC: call sunledger.session.configure first")
 
 
-def configure_streams(spark: SparkSession, rocksdb: bool | None = None) -> SparkSession:
-    """Settings of the streaming jobs.
+def configure_streams(spark: SparkSession, rocksdb: bool = True) -> SparkSession:
+    """Settings of the streaming jobs, the same everywhere.
 
-    On a cluster window state is kept in RocksDB: off the heap, and with only its changes uploaded per
-    micro-batch. A local session keeps Spark's in-memory store unless told otherwise: there driver and
-    executor are one process, and its exit can race with RocksDB's native threads.
+    Window state is kept in RocksDB: off the heap, and with only its changes uploaded per micro-batch. Small stores
+    do not reserve disk ahead. Turned off, Spark's in-memory store stays as it is set.
     """
     configure(spark)
-    if rocksdb is None:
-        rocksdb = not spark.sparkContext.master.startswith("local")
     if rocksdb:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     # A slow source must hold the watermark back, not lose its rows to a faster one.
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
     return spark

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sunledger.operators.keys import new_rows
 from sunledger.schemas import SINK_SCHEMA, TableSpec
-from sunledger.sinks.tables import time_bounds
+from sunledger.sinks.tables import touched_days
 
 DRIVER = "org.postgresql.Driver"
-READ_PARTS = 8
 
 
 def jdbc_options(
@@ -33,35 +32,36 @@ def append_rows(rows: DataFrame, spec: TableSpec, options: dict[str, str]) -> No
     rows.select(*spec.column_names).write.format("jdbc").options(**options).mode("append").save()
 
 
-def time_ranges(column: str, low: datetime, high: datetime, parts: int) -> list[str]:
-    """``[low, high]`` as that many adjoining SQL predicates: each is one query of its own to the database."""
-    edges = [low + (high - low) * i / parts for i in range(parts)] + [high]
-    pairs = list(zip(edges, edges[1:]))
-    bounds = [f"\"{column}\" >= timestamp '{a}' AND \"{column}\" < timestamp '{b}'" for a, b in pairs if a < b]
-    return [*bounds, f"\"{column}\" = timestamp '{high}'"]
+def day_ranges(column: str, days: list[date]) -> list[str]:
+    """Runs of days in a row, each as one SQL predicate: each is one query of its own to the database."""
+    runs: list[list[date]] = []
+    for day in days:
+        if runs and day - runs[-1][1] == timedelta(days=1):
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    ends = [(first, last + timedelta(days=1)) for first, last in runs]
+    return [f"\"{column}\" >= timestamp '{a} 00:00:00' AND \"{column}\" < timestamp '{b} 00:00:00'" for a, b in ends]
 
 
-def stored_keys(
-    spark: SparkSession, spec: TableSpec, options: dict[str, str], low: datetime, high: datetime
-) -> DataFrame:
-    """Keys between two times, read in parallel. The time ranges and the column list run in the database."""
-    parts = int(options.get("numPartitions", READ_PARTS))
+def stored_keys(spark: SparkSession, spec: TableSpec, options: dict[str, str], days: list[date]) -> DataFrame:
+    """Keys of some days, read in parallel. The time ranges and the column list run in the database."""
     properties = {k: v for k, v in options.items() if k not in ("url", "dbtable", "numPartitions")}
     properties["preferTimestampNTZ"] = "true"
-    ranges = time_ranges(spec.time_column, low, high, parts)
+    ranges = day_ranges(spec.time_column, days)
     table = spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=properties)
     return table.select(*spec.key)
 
 
 def append_new_rows(batch: DataFrame, spec: TableSpec, options: dict[str, str]) -> None:
     """Append the rows whose key is not stored yet. A batch that failed half-way can simply run again, and a
-    replay from the earliest message does not trip over the primary key."""
+    replay from the earliest message does not trip over the primary key. A row without a time stops the append."""
     batch = batch.persist()
     try:
-        bounds = time_bounds(batch, spec)
-        if bounds is None:
+        days = touched_days(batch, spec)
+        if not days:
             return
-        stored = stored_keys(batch.sparkSession, spec, options, *bounds)
+        stored = stored_keys(batch.sparkSession, spec, options, days)
         append_rows(new_rows(batch, stored, spec), spec, options)
     finally:
         batch.unpersist()

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunledger.functions import wall_clock_literal
-from sunledger.operators.keys import new_rows
+from sunledger.functions import wall_clock_literal, window_range
+from sunledger.operators.keys import first_per_key, new_rows
 from sunledger.operators.results import result_tables
-from sunledger.schemas import TABLES, TableSpec
+from sunledger.schemas import GENERATOR_METRICS, TABLES, WEATHER_METRICS, TableSpec, generator_schema, weather_schema
 from sunledger.session import path_exists
+from sunledger.sources.decode import decode_with_rejects
 
 PARTITION = "event_date"
 STREAM_LOG = "_spark_metadata"
@@ -25,7 +26,8 @@ def dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
 def write_table(
     rows: DataFrame, spec: TableSpec, path: str, mode: str = "append", rebalance: bool = True
 ) -> None:
-    """Write rows by position into the table's columns, one folder per day.
+    """Write rows into the table's columns, taken by name, one folder per day. Rows of another statement's shape go
+    through :func:`sunledger.operators.project.by_position` first.
 
     ``rebalance`` gathers each day into files of AQE's advisory size: small days share no task with
     thousands of tiny files, and a day that holds a third of all rows is split. Turn it off for rows that
@@ -40,9 +42,37 @@ def write_table(
 
 
 def load_history(generator: DataFrame, weather: DataFrame, root: str) -> None:
-    """All four tables under ``root`` from batch readings, in place of what was there."""
+    """All four tables under ``root`` from batch readings, in place of what was there, one row per key.
+
+    Sums count every message, repeated ones too; the tables of single readings hold each key once. A reading without an
+    event time stops the load: split such rows off first (``decode_with_rejects``, ``csv_with_rejects``).
+    """
     for name, rows in result_tables(generator, weather).items():
-        write_table(rows, TABLES[name], f"{root}/{name}", mode="overwrite")
+        spec = TABLES[name]
+        if name in (GENERATOR_METRICS.name, WEATHER_METRICS.name):
+            rows = first_per_key(timed(rows, spec), spec)
+        write_table(rows, spec, f"{root}/{name}", mode="overwrite")
+
+
+def load_messages(generator: DataFrame, weather: DataFrame, root: str) -> None:
+    """:func:`load_history` from messages; those that are no reading go, with the reason, to ``generator_rejects`` and
+    ``weather_rejects`` under ``root``."""
+    readings = []
+    for name, rows, schema in (
+        ("generator_rejects", generator, generator_schema()),
+        ("weather_rejects", weather, weather_schema()),
+    ):
+        good, rejects = decode_with_rejects(rows, schema)
+        rejects.write.mode("overwrite").parquet(f"{root}/{name}")
+        readings.append(good)
+    load_history(*readings, root)
+
+
+def timed(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """The same rows; one without a time, which no day and no later check could find, stops the job."""
+    time = F.col(spec.time_column)
+    lost = F.raise_error(F.lit(f"a row of {spec.name} without {spec.time_column}")).cast(spec.schema[spec.time_column].dataType)
+    return rows.withColumn(spec.time_column, F.coalesce(time, lost))
 
 
 def create_table(spark: SparkSession, spec: TableSpec, path: str) -> None:
@@ -66,6 +96,13 @@ def read_slice(spark: SparkSession, spec: TableSpec, path: str, start: datetime,
     return slice_between(read_table(spark, spec, path), spec, start, end, last_day).select(*spec.column_names)
 
 
+def read_windows(
+    spark: SparkSession, spec: TableSpec, path: str, start: datetime, end: datetime, width: timedelta
+) -> DataFrame:
+    """The readings that windows with ``start <= window start < end`` are made of, pruned as :func:`read_slice`."""
+    return read_slice(spark, spec, path, *window_range(start, end, width))
+
+
 def slice_between(table: DataFrame, spec: TableSpec, start: datetime, end: datetime, last_day: date) -> DataFrame:
     time = F.col(spec.time_column)
     return table.filter(
@@ -78,23 +115,23 @@ def slice_between(table: DataFrame, spec: TableSpec, start: datetime, end: datet
 def append_new_rows(batch: DataFrame, spec: TableSpec, path: str) -> None:
     """Keyed append: rows whose key the table holds are left out, so a replayed batch adds nothing.
 
-    Only the stored days the batch touches are read. The days come back as one row of bounds; the keys
-    themselves stay on the executors.
+    Only the stored days that the batch has rows of are read. The days come to the driver, one value for each, to prune
+    the read by; the keys themselves stay on the executors. A row without a time stops the append.
     """
-    batch = batch.persist()
+    batch = batch.select(*spec.column_names).persist()
     try:
-        bounds = time_bounds(batch, spec)
-        if bounds is None:
+        days = touched_days(batch, spec)
+        if not days:
             return
-        low, high = bounds
-        stored = read_table(batch.sparkSession, spec, path)
-        stored = slice_between(stored, spec, low, high + timedelta(microseconds=1), high.date())
+        stored = read_table(batch.sparkSession, spec, path).filter(F.col(PARTITION).isin(days))
         write_table(new_rows(batch, stored, spec), spec, path)
     finally:
         batch.unpersist()
 
 
-def time_bounds(batch: DataFrame, spec: TableSpec) -> tuple[datetime, datetime] | None:
-    """First and last time of a batch, or None for an empty one."""
-    low, high = batch.agg(F.min(spec.time_column), F.max(spec.time_column)).first()
-    return None if low is None else (low, high)
+def touched_days(batch: DataFrame, spec: TableSpec) -> list[date]:
+    """The days a batch has rows of, in order: they grow with the time it spans at most, not with its rows."""
+    days = [row[0] for row in batch.select(F.to_date(spec.time_column)).distinct().collect()]
+    if None in days:
+        raise ValueError(f"a row of {spec.name} without {spec.time_column}")
+    return sorted(days)

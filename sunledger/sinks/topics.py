@@ -1,8 +1,9 @@
-"""Keyed JSON messages to a topic, or to the screen and to files in a dry run."""
+"""Keyed JSON messages to a topic, or to text files in a dry run."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sunledger.operators.project import messages
 
@@ -13,11 +14,19 @@ def publish(readings: DataFrame, bootstrap: str, topic: str) -> None:
     messages(readings).write.format("kafka").options(**options).save()
 
 
-def dry_run(readings: DataFrame, rows: int = 20) -> None:
-    """Show the first messages instead of sending them."""
+def dry_run(readings: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write all messages as text instead of sending them, key and value with a tab between. The tasks write: nothing
+    passes through the driver."""
+    lines = messages(readings).select(F.concat_ws("\t", "key", "value").alias("line"))
+    lines.write.mode(mode).text(path)
+
+
+def preview(readings: DataFrame, rows: int = 20) -> None:
+    """The first few messages, on the screen."""
     messages(readings).show(rows, truncate=False)
 
 
 def write_messages(readings: DataFrame, path: str, mode: str = "append") -> None:
-    """All message values as text files, one JSON object per line."""
+    """All message values as text files, one JSON object per line: what a stream of message files takes in. The values
+    repeat the key's fields."""
     messages(readings).select("value").write.mode(mode).text(path)

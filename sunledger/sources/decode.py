@@ -34,15 +34,21 @@ def _parsed(messages: DataFrame, schema: T.StructType, mode: str, extra: Sequenc
 def decode_json(
     messages: DataFrame, schema: T.StructType, mode: str = "FAILFAST", fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """Decode the ``value`` column. FAILFAST stops on a malformed message, PERMISSIVE nulls the bad fields.
+    """Decode the ``value`` column. FAILFAST stops on a malformed message and on one without a value or an event time.
+    PERMISSIVE nulls the bad fields and gives the messages that have a time; the others are those of
+    :func:`decode_with_rejects`. Where the time is only text, every message is a row, with whatever time it has.
 
-    ``fields`` names the ones the job uses: from_json parses all it is given, used or not. Messages
-    without a value or without an event time carry no reading and are left out (see
-    :func:`decode_with_rejects`).
+    ``fields`` names the ones the job uses: from_json parses all it is given, used or not.
     """
     if fields is not None:
         schema = T.StructType([schema[f] for f in fields])
     rows = _parsed(messages, schema, mode)
+    time_type = schema[EVENT_TIME].dataType
+    if isinstance(time_type, T.StringType):
+        return rows.select(*finite_columns(schema))
+    if mode == "FAILFAST":
+        lost = F.raise_error(F.lit("a message without an event time")).cast(time_type)
+        return rows.withColumn(EVENT_TIME, F.coalesce(EVENT_TIME, lost)).select(*finite_columns(schema))
     return rows.filter(F.col(EVENT_TIME).isNotNull()).select(*finite_columns(schema))
 
 

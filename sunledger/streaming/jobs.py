@@ -7,20 +7,35 @@ restart goes on where the last committed micro-batch ended.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from sunledger.operators.results import result_tables
-from sunledger.schemas import DAILY_YIELD, EVENT_TIME, HOURLY_YIELD, PLANT, SOURCE, TABLES, TableSpec
+from sunledger.schemas import (
+    DAILY_YIELD,
+    EVENT_TIME,
+    GENERATOR_METRICS,
+    HOURLY_YIELD,
+    PLANT,
+    SOURCE,
+    TABLES,
+    WEATHER_METRICS,
+    TableSpec,
+    generator_schema,
+    weather_schema,
+)
 from sunledger.session import configure_streams, path_exists
-from sunledger.sinks.tables import PARTITION, STREAM_LOG, dated
+from sunledger.sinks.tables import PARTITION, STREAM_LOG, append_new_rows, create_table, dated
+from sunledger.sources.decode import decode_with_rejects
+from sunledger.streaming.progress import watch
 from sunledger.streaming.sources import generator_stream, weather_stream
 
 YIELD_FIELDS = [EVENT_TIME, "DAILY_YIELD", PLANT, SOURCE]
 PARTITIONS = "spark.sql.shuffle.partitions"
+READINGS = (GENERATOR_METRICS.name, WEATHER_METRICS.name)
 FILES_PER_DAY = {DAILY_YIELD.name: 8, HOURLY_YIELD.name: 8}
 READING_FIELDS = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
 
@@ -43,6 +58,7 @@ def _start(spark: SparkSession, writer: DataStreamWriter, path: str | None = Non
     """Start with the state split as the session says, but in a local session over its cores at most: every
     state partition costs files per micro-batch. The query keeps the number for good, in its checkpoint."""
     configure_streams(spark)
+    watch(spark)
     context = spark.sparkContext
     partitions = int(spark.conf.get(PARTITIONS))
     if not context.master.startswith("local") or partitions <= context.defaultParallelism:
@@ -103,9 +119,17 @@ def start_keyed(
 
 
 def start_print(
-    stream: DataFrame, checkpoint: str, available_now: bool = False, every: str = "1 minute"
+    stream: DataFrame, path: str, checkpoint: str, available_now: bool = False, every: str = "1 minute"
 ) -> StreamingQuery:
-    return _start(stream.sparkSession, _writer(stream, checkpoint, available_now, every).format("console"))
+    """Every row, whole, as one line of JSON in text files that the tasks write."""
+    lines = stream.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
+    return _start(stream.sparkSession, _writer(lines, checkpoint, available_now, every).format("text"), path)
+
+
+def start_preview(stream: DataFrame, checkpoint: str, rows: int = 20, available_now: bool = False) -> StreamingQuery:
+    """The first few rows of each micro-batch, on the driver's screen."""
+    writer = _writer(stream, checkpoint, available_now, "1 minute").format("console")
+    return _start(stream.sparkSession, writer.option("numRows", rows).option("truncate", False))
 
 
 def start_all(
@@ -115,27 +139,56 @@ def start_all(
     checkpoints: str,
     available_now: bool = False,
     mode: str = "FAILFAST",
+    targets: Mapping[str, Callable[[DataFrame], None]] | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Fan the two message streams out to the four result tables under ``root``."""
-    return {
-        name: start_table(
-            stream,
-            TABLES[name],
-            f"{root}/{name}",
-            f"{checkpoints}/{name}",
-            available_now,
-            files_per_day=FILES_PER_DAY.get(name),
-        )
-        for name, stream in result_streams(generator, weather, mode).items()
-    }
+    """Fan the two message streams out to the four result tables under ``root``.
+
+    The yield tables have one row per key as they are. The tables of single readings are keyed stores: a reading that
+    comes again, in a replay or by another checkpoint, adds nothing. ``targets`` sends a table elsewhere, by name: a
+    function that appends a micro-batch and does not mind getting one twice, such as ``append_new_rows`` of
+    ``sinks.jdbc``.
+
+    In FAILFAST mode a message that is no reading stops its query. Otherwise such messages go, with the reason, to the
+    tables ``generator_rejects`` and ``weather_rejects`` under ``root``.
+    """
+    targets = dict(targets or {})
+    queries = {}
+    for name, stream in result_streams(generator, weather, mode).items():
+        spec, path, checkpoint = TABLES[name], f"{root}/{name}", f"{checkpoints}/{name}"
+        if name in READINGS and name not in targets:
+            targets[name] = _keyed_table(stream.sparkSession, spec, path)
+        if name in targets:
+            queries[name] = start_keyed(stream, targets[name], checkpoint, available_now)
+        else:
+            files = FILES_PER_DAY.get(name)
+            queries[name] = start_table(stream, spec, path, checkpoint, available_now, files_per_day=files)
+    if mode != "FAILFAST":
+        for name, messages, schema in (
+            ("generator_rejects", generator, generator_schema()),
+            ("weather_rejects", weather, weather_schema()),
+        ):
+            _, rejects = decode_with_rejects(messages, schema)
+            queries[name] = start_files(rejects, f"{root}/{name}", f"{checkpoints}/{name}", available_now)
+    return queries
+
+
+def _keyed_table(spark: SparkSession, spec: TableSpec, path: str) -> Callable[[DataFrame], None]:
+    if path_exists(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} belongs to a stream's file sink: readers would not see rows appended by others")
+    if not path_exists(spark, path):
+        create_table(spark, spec, path)
+    return lambda batch: append_new_rows(batch, spec, path)
 
 
 def print_raw(
-    generator: DataFrame, weather: DataFrame, checkpoints: str, available_now: bool = False
+    generator: DataFrame, weather: DataFrame, root: str, checkpoints: str, available_now: bool = False
 ) -> list[StreamingQuery]:
-    """Print both raw streams, each by itself."""
+    """Both raw streams as text under ``root``, each by itself."""
     streams = {"generator": generator, "weather": weather}
-    return [start_print(stream, f"{checkpoints}/print_{name}", available_now) for name, stream in streams.items()]
+    return [
+        start_print(stream, f"{root}/{name}", f"{checkpoints}/print_{name}", available_now)
+        for name, stream in streams.items()
+    ]
 
 
 def read_results(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,41 +1,39 @@
-"""Replay of stored readings as message files, in event-time order."""
+"""Replay of stored readings as message files, by event-time slot."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.functions import wall_clock_literal
-from sunledger.schemas import EVENT_TIME
+from sunledger.operators.project import messages
+from sunledger.schemas import EVENT_TIME, SLOT
 from sunledger.session import path_exists
-from sunledger.sinks.topics import write_messages
 
-STEP = timedelta(minutes=15)
+FOLDER = "%Y%m%dT%H%M%S"
 
 
-def replay(
-    readings: DataFrame, path: str, start: datetime, end: datetime, step: timedelta = STEP
-) -> Iterator[tuple[datetime, str]]:
-    """Write the readings of ``[start, end)`` step by step, each as one folder of message files, and yield
-    ``(step start, folder)`` once the folder is complete. A stream over ``path/*`` then takes the files
-    oldest first.
+def write_slots(readings: DataFrame, path: str, step: str = SLOT) -> None:
+    """All readings as message files, one folder per slot, in one distributed write: a source that must be parsed to know
+    its times, as CSV, is scanned once whatever the number of slots. A slot with very many readings is split over files.
 
-    Steps no longer than the watermark delay never make a row late, however the stream groups the files;
-    longer steps are fine when the stream catches up between steps. Each step is one distributed write of a
-    time range the scan is pruned to. A folder without its ``_SUCCESS`` mark is written again, one with it
-    is passed over, so an interrupted replay goes on without loss or repeat. To load history in bulk, publish
-    it in one write instead: nothing here needs to be replayed for a batch result.
+    A finished write is left as it is, so an interrupted replay goes on; an unfinished one is written anew.
     """
-    when = start
-    while when < end:
-        until = min(when + step, end)
-        folder = f"{path}/{when:%Y%m%dT%H%M%S}"
-        if not path_exists(readings.sparkSession, f"{folder}/_SUCCESS"):
-            time = F.col(EVENT_TIME)
-            slot = readings.filter((time >= wall_clock_literal(when)) & (time < wall_clock_literal(until)))
-            write_messages(slot, folder, mode="overwrite")
-        yield when, folder
-        when = until
+    if path_exists(readings.sparkSession, f"{path}/_SUCCESS"):
+        return
+    slot = F.date_format(F.window(EVENT_TIME, step)["start"], "yyyyMMdd'T'HHmmss").alias("slot")
+    rows = messages(readings, slot).select("value", "slot").hint("rebalance", F.col("slot"))
+    rows.write.mode("overwrite").partitionBy("slot").text(path)
+
+
+def replay(readings: DataFrame, path: str, step: str = SLOT) -> Iterator[tuple[datetime, str]]:
+    """``(slot, folder)`` of every slot with readings, in event-time order, each folder complete. A stream over
+    ``path/*`` takes all of them in. To load history in bulk, publish it in one write instead."""
+    write_slots(readings, path, step)
+    spark = readings.sparkSession
+    # One value per slot comes back: they grow with the time range, not with the rows.
+    found = spark.read.schema("value string, slot string").text(path).select("slot").distinct().collect()
+    for slot in sorted(row.slot for row in found):
+        yield datetime.strptime(slot, FOLDER), f"{path}/slot={slot}"

@@ -1,12 +1,12 @@
 import re
-from datetime import datetime
+from datetime import date
 
 from helpers import at, generator, generator_row, plan, rows, weather, weather_row
 from sunledger import schemas as S
 from sunledger.operators import metrics, project, yields
 from sunledger.plans import catalog
 from sunledger.sinks import tables
-from sunledger.sinks.jdbc import time_ranges
+from sunledger.sinks.jdbc import day_ranges
 
 
 def readings(spark):
@@ -47,14 +47,10 @@ def test_dashboard_over_the_stored_tables(spark, tmp_path):
     assert len(re.findall(r"^\(\d+\) Scan parquet", unrun, re.M)) == 2
 
 
-def test_time_ranges_cover_each_time_once():
-    low, high = datetime(2020, 5, 15), datetime(2020, 5, 15, 0, 0, 10, 7)
-    for parts in (1, 3, 8):
-        ranges = time_ranges("date_time", low, high, parts)
-        assert len(ranges) == parts + 1
-        assert ranges[0].startswith("\"date_time\" >= timestamp '2020-05-15 00:00:00'")
-        ends = [r.split("< timestamp ")[1] for r in ranges[:-1]]
-        starts = [r.split(">= timestamp ")[1].split(" AND")[0] for r in ranges[1:-1]]
-        assert starts == ends[:-1]
-        assert ends[-1] == f"'{high}'" and ranges[-1] == f"\"date_time\" = timestamp '{high}'"
-    assert time_ranges("t", low, low, 4) == [f"\"t\" = timestamp '{low}'"]
+def test_day_ranges_cover_each_day_once():
+    days = [date(2020, 5, 15), date(2020, 5, 16), date(2020, 5, 18), date(1970, 1, 1)]
+    assert day_ranges("date_time", sorted(days)) == [
+        f"\"date_time\" >= timestamp '{a} 00:00:00' AND \"date_time\" < timestamp '{b} 00:00:00'"
+        for a, b in (("1970-01-01", "1970-01-02"), ("2020-05-15", "2020-05-17"), ("2020-05-18", "2020-05-19"))
+    ]
+    assert day_ranges("t", []) == []

@@ -4,7 +4,7 @@ import pytest
 
 from helpers import plan, rows
 from sunledger import schemas as S
-from sunledger.sources import csv_readings
+from sunledger.sources import csv_readings, csv_with_rejects
 
 ISO = """DATE_TIME,PLANT_ID,SOURCE_KEY,AMBIENT_TEMPERATURE,MODULE_TEMPERATURE,IRRADIATION
 2020-05-15 00:00:00,4135001,s,25.1,22.8,0
@@ -12,7 +12,13 @@ ISO = """DATE_TIME,PLANT_ID,SOURCE_KEY,AMBIENT_TEMPERATURE,MODULE_TEMPERATURE,IR
 """
 DAY_FIRST = """DATE_TIME,PLANT_ID,SOURCE_KEY,AMBIENT_TEMPERATURE,MODULE_TEMPERATURE,IRRADIATION
 15-05-2020 00:00,4136001,t,27,25,0
-soon,4136001,t,27,25,0
+2020-05-15T00:15:00,4136001,t,27,25,0
+"""
+BAD = """DATE_TIME,PLANT_ID,SOURCE_KEY,AMBIENT_TEMPERATURE,MODULE_TEMPERATURE,IRRADIATION
+2020-05-15 00:30:00,1,u,1,2,3
+soon,1,u,1,2,3
+,1,u,1,2,3
+2020-05-15 00:45:00,1,u,warm,2,3
 """
 
 
@@ -26,7 +32,31 @@ def test_plants_with_two_time_notations(spark, tmp_path):
             (datetime(2020, 5, 15), 25.1, 22.8, 0.0, 4135001, "s"),
             (datetime(2020, 5, 15, 0, 15), None, None, 0.5, 4135001, "s"),
             (datetime(2020, 5, 15), 27.0, 25.0, 0.0, 4136001, "t"),
-            (None, 27.0, 25.0, 0.0, 4136001, "t"),
+            (datetime(2020, 5, 15, 0, 15), 27.0, 25.0, 0.0, 4136001, "t"),
+        ],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("line", [2, 3, 4])
+def test_a_bad_row_stops_the_job(spark, tmp_path, line):
+    lines = BAD.splitlines()
+    (tmp_path / "a.csv").write_text("\n".join([lines[0], lines[1], lines[line]]) + "\n")
+    with pytest.raises(Exception, match="no time in a known form|MALFORMED|Malformed"):
+        csv_readings(spark, str(tmp_path), S.weather_schema()).collect()
+
+
+def test_bad_rows_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(BAD)
+    (tmp_path / "b.csv").write_text(ISO)
+    good, rejects = csv_with_rejects(spark, str(tmp_path), S.weather_schema())
+    assert good.schema.fieldNames() == S.weather_schema().fieldNames()
+    assert sorted(r.DATE_TIME.minute for r in good.collect()) == [0, 15, 30]
+    assert rows(rejects) == sorted(
+        [
+            ("soon,1,u,1.0,2.0,3.0", "no time in a known form"),
+            (",1,u,1.0,2.0,3.0", "no time in a known form"),
+            ("2020-05-15 00:45:00,1,u,warm,2,3", "malformed"),
         ],
         key=repr,
     )

@@ -25,7 +25,7 @@ def messages(spark, *values):
 
 @pytest.mark.parametrize("mode", ["FAILFAST", "PERMISSIVE"])
 def test_good_messages(spark, mode):
-    got = rows(decode_json(messages(spark, GOOD, MILLIS_NAN, None), SCHEMA, mode))
+    got = rows(decode_json(messages(spark, GOOD, MILLIS_NAN), SCHEMA, mode))
     assert got == [
         (MIDNIGHT, 1.0, 4135001, "a"),
         (MIDNIGHT.replace(microsecond=123000), None, 4135001, "a"),
@@ -38,6 +38,18 @@ def test_failfast_stops(spark, bad):
         decode_json(messages(spark, GOOD, bad), SCHEMA).collect()
 
 
+@pytest.mark.parametrize("lost", [NO_TIME, None])
+def test_failfast_stops_without_a_time(spark, lost):
+    with pytest.raises(Exception, match="without an event time"):
+        decode_json(messages(spark, GOOD, lost), SCHEMA).collect()
+    assert decode_json(messages(spark, GOOD, lost), SCHEMA, "PERMISSIVE").count() == 1
+
+
+def test_raw_rows_without_a_time_stay(spark):
+    message = '{"DC_POWER":1,"AC_POWER":2,"DAILY_YIELD":3,"TOTAL_YIELD":4,"PLANT_ID":1,"SOURCE_KEY":"a"}'
+    assert rows(raw_generator_rows(messages(spark, message))) == [(None, 1.0, 2.0, 3.0, 4.0, 1, "a")]
+
+
 def test_permissive_keeps_what_has_a_time(spark):
     text_id = GOOD.replace("4135001", '"4135001"')
     got = rows(decode_json(messages(spark, ISO_TIME, NO_TIME_TEXT_ID, BROKEN, text_id), SCHEMA, "PERMISSIVE"))

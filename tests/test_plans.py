@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import TESTDATA
 from helpers import generator, generator_row, plan, weather, weather_row
-from sunledger.operators import enrich, metrics
+from sunledger import schemas as S
+from sunledger.operators import enrich, keys, metrics, project
 from sunledger.plans import queries as Q
 
 SF = f"{TESTDATA}/sf0.001"
-BATCH = sorted(n for n in entry.queries() if not n.endswith("_stream") and n not in ("csv_scan", "keyed_generator_metrics"))
+BATCH = sorted(n for n in Q.QUERIES if not n.endswith("_stream"))
 
 
 def exchanges(text: str) -> int:
@@ -72,7 +73,7 @@ def test_hourly_join_reuses_the_aggregates_exchanges(spark, no_broadcast):
 
 
 def test_a_hot_plant_and_time_is_split(spark, no_broadcast):
-    """All readings at one plant and time: AQE splits the join partitions beyond the spread as well."""
+    """All readings at one plant and time: AQE splits the join partition."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
@@ -85,10 +86,10 @@ def test_a_hot_plant_and_time_is_split(spark, no_broadcast):
         hot = spark.range(40_000).select(
             F.lit("2020-05-15 10:00:00").cast("timestamp_ntz").alias("DATE_TIME"),
             *(F.col("id").cast("double").alias(c) for c in ("DC_POWER", "AC_POWER", "DAILY_YIELD", "TOTAL_YIELD")),
-            F.lit(1).alias("PLANT_ID"),
+            F.when(F.col("id") < 0, 2).otherwise(1).alias("PLANT_ID"),
             F.lit("inv-a").alias("SOURCE_KEY"),
         )
-        joined = enrich.enrich_readings(hot, weather(spark, [weather_row("10:00", 20, 30, 1)]), spread=2)
+        joined = enrich.enrich_readings(hot, weather(spark, [weather_row("10:00", 20, 30, 1)]))
         assert joined.filter("ambient_temp = 20").count() == 40_000
         joined.collect()
         assert "skew=true" in plan(joined)
@@ -119,3 +120,21 @@ def test_hot_source_reaches_the_shuffle_as_one_row_per_task(spark):
     """Partial sums come before the exchange, so copies of one key do not travel."""
     text = plan(Q.yields.hourly_yield(generator(spark, [generator_row("10:00", 1)])))
     assert text.index("HashAggregate") < text.index("Exchange") < text.rindex("HashAggregate")
+
+
+def test_a_filter_on_enriched_readings_reaches_both_scans(spark, tmp_path):
+    sky, readings = tmp_path / "w", tmp_path / "g"
+    Q.generator(spark, SF).write.parquet(str(readings))
+    Q.weather(spark, SF).write.parquet(str(sky))
+    joined = enrich.enrich_readings(spark.read.parquet(str(readings)), spark.read.parquet(str(sky)))
+    day = joined.filter("date_time >= timestamp_ntz'2024-01-10' and date_time < timestamp_ntz'2024-01-11'")
+    pushed = re.findall(r"PushedFilters: (.*)", plan(day))
+    assert len(pushed) == 2
+    for filters in pushed:
+        assert "GreaterThanOrEqual(DATE_TIME," in filters and "LessThan(DATE_TIME," in filters
+
+
+def test_keyed_append_sorts_only_repeated_keys(spark):
+    readings = project.generator_metrics(Q.generator(spark, SF))
+    text = plan(keys.new_rows(readings, readings.limit(0), S.GENERATOR_METRICS))
+    assert "SortAggregate" not in text and "WindowGroupLimit" in text

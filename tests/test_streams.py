@@ -1,6 +1,8 @@
+import json
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import ScriptedStream, at, generator, generator_row, message, rows
@@ -8,7 +10,7 @@ from sunledger import schemas as S
 from sunledger.operators import keys, metrics, project, yields
 from sunledger.session import ROCKSDB, configure_streams
 from sunledger.sinks import tables
-from sunledger.sources import decode_json, message_files
+from sunledger.sources import csv_readings, decode_json, message_files
 from sunledger.streaming import jobs
 from sunledger.streaming.progress import progress_report
 from sunledger.streaming.replay import replay
@@ -77,15 +79,16 @@ def test_restart_goes_on_where_it_ended(spark, scripted, tmp_path):
     assert hourly_rows(spark, tmp_path) == [("00:00", 1.0), ("01:00", 32.0), ("02:00", 6.0)]
 
 
-def test_large_state_store_gives_the_same(spark, scripted, tmp_path):
+def test_the_small_state_store_gives_the_same(spark, scripted, tmp_path, monkeypatch):
     provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    configure_streams(spark, rocksdb=True)
+    assert spark.conf.get(provider) == ROCKSDB
+    monkeypatch.setattr(jobs, "configure_streams", lambda session: configure_streams(session, rocksdb=False))
+    spark.conf.unset(provider)
     try:
-        assert spark.conf.get(provider) == ROCKSDB
+        assert spark.conf.get(provider) != ROCKSDB
         run_hourly(scripted.script(L1), tmp_path)
     finally:
-        spark.conf.set(provider, before)
+        spark.conf.set(provider, ROCKSDB)
     assert hourly_rows(spark, tmp_path) == [("00:00", 27.0), ("01:00", 36.0)]
 
 
@@ -163,15 +166,60 @@ def test_fan_out_to_the_four_tables(spark, tmp_path):
     assert count == {"generator_metrics": 6, "weather_metrics": 1, "hourly_yield": 1, "daily_yield": 0}
 
 
-def test_print_both_raw_streams(spark, tmp_path):
-    generator_files = ScriptedStream(spark, tmp_path / "generator").script("00:00 1")
+def test_print_both_raw_streams(spark, tmp_path, capfd):
+    generator_files = ScriptedStream(spark, tmp_path / "generator")
+    generator_files.add(*(message("00:00", i) for i in range(50)))
     weather_files = ScriptedStream(spark, tmp_path / "weather")
     weather_files.add(weather_message("00:00", 20, 25))
     streams = raw_generator_rows(generator_files.stream()), raw_weather_rows(weather_files.stream())
-    for query in jobs.print_raw(*streams, str(tmp_path / "checkpoints"), available_now=True):
+    printed = jobs.print_raw(*streams, str(tmp_path / "out"), str(tmp_path / "checkpoints"), available_now=True)
+    for query, n in zip(printed, (50, 1)):
         query.awaitTermination()
-        assert "ConsoleTable" in query.lastProgress.json
-        assert progress_report(query)["input_rows"] == 1
+        assert progress_report(query)["input_rows"] == n
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out" / "generator")).collect()]
+    assert sorted(line["DC_POWER"] for line in lines) == [float(i) for i in range(50)]
+    jobs.start_preview(streams[1], str(tmp_path / "preview"), available_now=True).awaitTermination()
+
+
+def test_progress_counts_more_than_spark_holds(spark, scripted, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        scripted.script("00:00 1\n01:00 2\n03:00 4\n05:00 16\n00:10 8\n06:00 32")
+        query = run_hourly(scripted, tmp_path)
+        assert len(query.recentProgress) <= 2
+        report = progress_report(query)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert report["input_rows"] == 6 and report["late_rows"] == 1 and report["batches"] >= 6
+
+
+def test_start_all_keeps_rejects_and_keys(spark, tmp_path):
+    generator_files = ScriptedStream(spark, tmp_path / "generator")
+    generator_files.add(message("00:00", 1), "{bad", '{"DC_POWER":1}')
+    generator_files.add(message("00:00", 1), message("00:00", 2))
+    weather_files = ScriptedStream(spark, tmp_path / "weather")
+    weather_files.add(weather_message("00:00", 20, 25))
+    root, taken = str(tmp_path / "tables"), []
+    for attempt in range(2):  # a new checkpoint reads everything again
+        queries = jobs.start_all(
+            generator_files.stream(), weather_files.stream(), root, str(tmp_path / f"c{attempt}"), available_now=True,
+            mode="PERMISSIVE", targets={"hourly_yield": lambda batch: taken.append(batch.count()),
+                                        "daily_yield": lambda batch: taken.append(batch.count())},
+        )
+        for query in queries.values():
+            query.awaitTermination()
+        assert tables.read_table(spark, S.GENERATOR_METRICS, f"{root}/generator_metrics").count() == 1
+        if attempt == 0:
+            rejects = spark.read.parquet(f"{root}/generator_rejects").collect()
+            assert sorted(r.reject_reason for r in rejects) == ["malformed", "no event time"]
+            assert spark.read.parquet(f"{root}/weather_rejects").count() == 0
+    assert taken and not (tmp_path / "tables" / "hourly_yield").exists()
+
+
+def test_strict_streams_stop_on_a_message_without_a_time(spark, scripted, tmp_path):
+    scripted.add('{"DC_POWER":1}')
+    with pytest.raises(Exception, match="without an event time"):
+        run_hourly(scripted, tmp_path)
 
 
 def test_keyed_stream_survives_a_replay_from_the_start(spark, scripted, tmp_path):
@@ -211,26 +259,36 @@ def test_streaming_join_of_hours(spark, tmp_path):
 
 def test_replay_in_event_time_order(spark, tmp_path):
     readings = generator(spark, _some_readings())
-    path = str(tmp_path / "in")
-    start, end = at("00:00"), at("04:00")
-    first = list(replay(readings, path, start, at("02:00")))
-    assert len(first) == 8
-    marks = {folder: (tmp_path / "in" / folder.rsplit("/", 1)[1] / "_SUCCESS").stat().st_mtime_ns for _, folder in first}
-    second = list(replay(readings, path, start, end))
-    assert [when for when, _ in second] == [start + i * timedelta(minutes=15) for i in range(16)]
-    for folder, mark in marks.items():
-        assert (tmp_path / "in" / folder.rsplit("/", 1)[1] / "_SUCCESS").stat().st_mtime_ns == mark
-
-    stream = message_files(spark, f"{path}/*", stream=True, maxFilesPerTrigger="3")
+    source, path = str(tmp_path / "csv"), str(tmp_path / "in")
+    readings.withColumn("DATE_TIME", F.date_format("DATE_TIME", "yyyy-MM-dd HH:mm:ss")).write.csv(source, header=True)
+    stored = csv_readings(spark, source, S.generator_schema())
+    first = list(replay(stored, path))
+    assert [when for when, _ in first] == [at("00:00") + i * timedelta(minutes=15) for i in range(16)]
+    assert all(spark.read.text(folder).count() == 4 for _, folder in first)
+    mark = (tmp_path / "in" / "_SUCCESS").stat().st_mtime_ns
+    assert list(replay(stored, path)) == first and (tmp_path / "in" / "_SUCCESS").stat().st_mtime_ns == mark
+
+    stream = message_files(spark, f"{path}/*", stream=True)
     hourly = yields.hourly_yield(generator_stream(stream))
     query = jobs.start_files(hourly, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     query.awaitTermination()
-    report = progress_report(query)
-    assert report["late_rows"] == 0 and report["batches"] > 2
+    assert progress_report(query)["late_rows"] == 0
     closed = yields.hourly_yield(readings).filter("window_end <= timestamp_ntz'2020-05-15 03:15:00'")
     assert rows(jobs.read_results(spark, str(tmp_path / "out"), hourly.schema)) == rows(closed)
 
 
+def test_replay_scans_its_source_once(spark, tmp_path):
+    """One job that reads the source, whatever the number of slots."""
+    readings = generator(spark, _some_readings())
+    source = str(tmp_path / "csv")
+    readings.withColumn("DATE_TIME", F.date_format("DATE_TIME", "yyyy-MM-dd HH:mm:ss")).write.csv(source, header=True)
+    seen = spark.sparkContext.accumulator(0)
+    stored = csv_readings(spark, source, S.generator_schema())
+    counted = stored.mapInPandas(lambda frames: ((seen.add(len(f)), f)[1] for f in frames), stored.schema)
+    assert len(list(replay(counted, str(tmp_path / "in")))) == 16
+    assert seen.value == stored.count()
+
+
 def _some_readings():
     return [
         generator_row(f"{m // 60:02d}:{m % 60:02d}", m + i, plant=i % 2, source=f"inv-{i}")

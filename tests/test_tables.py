@@ -114,16 +114,53 @@ def test_keyed_append(spark, tmp_path):
     assert rows(stored) == [(at("00:00"), 1.0), (at("00:15"), 3.0)]
 
 
-def test_keyed_append_reads_the_days_of_the_batch(spark, readings, tmp_path):
+def test_keyed_append_reads_the_days_of_the_batch(spark, readings, tmp_path, monkeypatch):
     spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
     tables.write_table(project.generator_metrics(readings), spec, path)
     batch = project.generator_metrics(generator(spark, [generator_row("08:00", 1)]))
-    low, high = tables.time_bounds(batch, spec)
-    stored = tables.slice_between(
-        tables.read_table(spark, spec, path), spec, low, high + timedelta(microseconds=1), high.date()
-    )
-    text = plan(keys.new_rows(batch, stored, spec))
-    assert "PartitionFilters: [isnotnull(event_date" in text
+    opened = []
+    read = tables.read_table
+    monkeypatch.setattr(tables, "read_table", lambda *args: opened.append(read(*args)) or opened[-1])
+    far = [generator_row("08:00", 1), generator_row("08:00", 1, day="1970-01-01")]
+    batch = project.generator_metrics(generator(spark, far))
+    assert [str(day) for day in tables.touched_days(batch, spec)] == ["1970-01-01", "2020-05-15"]
+    tables.append_new_rows(batch, spec, path)
+    days = opened[0].filter(F.col("event_date").isin(tables.touched_days(batch, spec)))
+    text = plan(keys.new_rows(batch, days, spec))
+    assert "PartitionFilters: [event_date" in text and "1970-01-01,2020-05-15" in text.replace(" ", "")
+    assert "SortAggregate" not in text
+
+
+def test_rows_without_a_time_are_refused(spark, tmp_path):
+    spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
+    tables.create_table(spark, spec, path)
+    batch = project.generator_metrics(generator(spark, [generator_row("00:00", 1), (None, *generator_row("00:00", 1)[1:])]))
+    with pytest.raises(ValueError, match="without date_time"):
+        tables.append_new_rows(batch, spec, path)
+    with pytest.raises(Exception, match="without date_time"):
+        tables.timed(batch, spec).collect()
+
+
+def test_slice_of_windows(spark, readings, tmp_path):
+    spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
+    tables.write_table(project.generator_metrics(readings), spec, path)
+    start, end = at("05:30", "2020-05-11"), at("03:00", "2020-05-13")
+    stored = tables.read_windows(spark, spec, path, start, end, timedelta(hours=1))
+    expected = yields.hourly_yield(readings).filter(f"window_start >= timestamp_ntz'{start}' and window_start < timestamp_ntz'{end}'")
+    assert rows(yields.hourly_yield(project.generator_readings(stored))) == rows(expected)
+    text = plan(stored)
+    assert "event_date" in text.split("PartitionFilters: ")[1].splitlines()[0] and "GreaterThanOrEqual(date_time" in text
+
+
+def test_messages_that_are_no_reading_are_kept_apart(spark, readings, tmp_path):
+    good = project.messages(readings).select("value")
+    bad = spark.createDataFrame([("{bad",), ('{"DC_POWER":1}',), (None,)], "value string")
+    sky = project.messages(weather(spark, [weather_row("10:00", 20, 25, 1)]))
+    tables.load_messages(good.union(bad).union(good), sky, str(tmp_path))
+    assert tables.read_table(spark, S.GENERATOR_METRICS, f"{tmp_path}/generator_metrics").count() == 60
+    rejects = spark.read.parquet(f"{tmp_path}/generator_rejects")
+    assert sorted(r.reject_reason for r in rejects.collect()) == ["malformed", "no event time", "no value"]
+    assert spark.read.parquet(f"{tmp_path}/weather_rejects").count() == 0
 
 
 def test_a_key_without_a_source_is_kept_once_too(spark, tmp_path):
@@ -163,8 +200,8 @@ def test_jdbc_replay_adds_nothing(spark, tmp_path, monkeypatch):
     spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
     tables.create_table(spark, spec, path)
 
-    def keys_between(session, wanted, options, low, high):
-        return tables.read_table(session, wanted, path).filter(f"date_time between '{low}' and '{high}'")
+    def keys_between(session, wanted, options, days):
+        return tables.read_table(session, wanted, path).filter(F.col("event_date").isin(days))
 
     monkeypatch.setattr(jdbc, "stored_keys", keys_between)
     monkeypatch.setattr(jdbc, "append_rows", lambda df, wanted, options: tables.write_table(df, wanted, path))
@@ -211,8 +248,11 @@ def test_publish_calls(readings, monkeypatch):
     assert frames[0].columns == ["key", "value"]
 
 
-def test_dry_run_prints_messages(readings, capsys):
-    topics.dry_run(readings, rows=1)
+def test_dry_run_writes_every_message(spark, readings, tmp_path, capsys):
+    topics.dry_run(readings, str(tmp_path / "dry"))
+    lines = [r.value.split("\t") for r in spark.read.text(str(tmp_path / "dry")).collect()]
+    assert sorted(lines) == sorted([r.key, r.value] for r in project.messages(readings).collect())
+    topics.preview(readings, rows=1)
     printed = capsys.readouterr().out
     assert '{"plant_id":1,"source_key":"inv-0"}' in printed and '"DATE_TIME":"2020-05-10 00:00:00"' in printed
 
