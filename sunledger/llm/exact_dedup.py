@@ -21,6 +21,15 @@ from pyspark.sql.streaming import StreamingQuery
 from sunledger.llm.common import ascii_lower, run_dir, stored
 from sunledger.session import configure_streams
 
+#: Many small stores on one executor: no disk reserved ahead, one bounded memory for all, and stores of ended runs are
+#: closed soon.
+STORE = {
+    "rocksdb.allowFAllocate": "false",
+    "rocksdb.boundedMemoryUsage": "true",
+    "rocksdb.maxMemoryUsageMB": "256",
+    "rocksdb.writeBufferSizeMB": "8",
+    "maintenanceInterval": "5s",
+}
 ARRIVAL = "doc_id bigint, digest string, file string"
 
 
@@ -52,8 +61,8 @@ def start_state(arriving: DataFrame, state: str, checkpoint: str, available_now:
     """Run the stream. Each micro-batch writes the digests it changed under a number of its own, so that a batch run
     twice replaces itself; :func:`read_state` takes the latest of each digest."""
     spark = configure_streams(arriving.sparkSession, rocksdb=True)
-    # Many small stores would otherwise reserve several megabytes of disk each before they hold anything.
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    for name, value in STORE.items():
+        spark.conf.set(f"spark.sql.streaming.stateStore.{name}", value)
 
     def upsert(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{state}/batch={batch}")
