@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sunledger.functions import wall_clock_literal, window_range
 from sunledger.operators.keys import first_per_key, new_rows
+from sunledger.operators.project import by_position
 from sunledger.operators.results import result_tables
 from sunledger.schemas import GENERATOR_METRICS, TABLES, WEATHER_METRICS, TableSpec, generator_schema, weather_schema
 from sunledger.session import path_exists
@@ -26,8 +27,7 @@ def dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
 def write_table(
     rows: DataFrame, spec: TableSpec, path: str, mode: str = "append", rebalance: bool = True
 ) -> None:
-    """Write rows into the table's columns, taken by name, one folder per day. Rows of another statement's shape go
-    through :func:`sunledger.operators.project.by_position` first.
+    """Write rows into the table's columns, taken by name, one folder per day; :func:`insert_into` takes them by place.
 
     ``rebalance`` gathers each day into files of AQE's advisory size: small days share no task with
     thousands of tiny files, and a day that holds a third of all rows is split. Turn it off for rows that
@@ -41,6 +41,11 @@ def write_table(
     out.write.mode(mode).partitionBy(PARTITION).parquet(path)
 
 
+def insert_into(rows: DataFrame, spec: TableSpec, path: str) -> None:
+    """INSERT INTO ... SELECT: the first column goes to the table's first, whatever either is called."""
+    write_table(by_position(rows, spec), spec, path)
+
+
 def load_history(generator: DataFrame, weather: DataFrame, root: str) -> None:
     """All four tables under ``root`` from batch readings, in place of what was there, one row per key.
 

@@ -141,6 +141,13 @@ def test_rows_without_a_time_are_refused(spark, tmp_path):
         tables.timed(batch, spec).collect()
 
 
+def test_insert_goes_by_place(spark, tmp_path):
+    spec, path = S.DAILY_YIELD, str(tmp_path / "t")
+    select = spark.sql("SELECT 7L AS rolling_sum, 'inv-a' AS plant_id, timestamp_ntz'2020-05-15' AS source_key, 1.5D AS date_time")
+    tables.insert_into(select, spec, path)
+    assert rows(tables.read_table(spark, spec, path).select(*spec.column_names)) == [(7, "inv-a", at("00:00"), 1.5)]
+
+
 def test_slice_of_windows(spark, readings, tmp_path):
     spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
     tables.write_table(project.generator_metrics(readings), spec, path)
