@@ -11,7 +11,6 @@ scoring is looking up and adding, and costs the same however wide the byte embed
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +34,10 @@ RATE = 0.02
 #: Windows scored at a time: so few that what is looked up for them stays in the processor's cache.
 AT_ONCE = 16
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
 
 
 # --- windows ---
@@ -185,7 +187,7 @@ def fit(docs: DataFrame, texts: int = TEXTS, steps: int = STEPS) -> Tables | Non
             ids, langs, found = [], [], []
             for doc, text, lang in zip(*(batch.column(i) for i in range(3))):
                 text = text.as_py()
-                if not LETTER.search(text):
+                if not has_letter(text):
                     continue
                 windows = cut(text.encode("utf-8", "replace"))
                 for i in sorted({i * (len(windows) - 1) // max(WINDOWS - 1, 1) for i in range(WINDOWS)}):
@@ -231,7 +233,7 @@ def languages(docs: DataFrame, tables: Tables | None) -> DataFrame:
             waiting = 0
             for i, text in enumerate(batch.column(1)):
                 text = text.as_py()
-                if tables is None or text is None or not LETTER.search(text):
+                if tables is None or not has_letter(text):
                     continue
                 windows = cut(text.encode("utf-8", "replace"))
                 count[i] = len(windows)

@@ -61,6 +61,6 @@ def test_edges_of_the_input(spark, edge, clashing, none):
     unlabelled = edge.withColumn("lang", F.lit(None).cast("string"))
     assert {(r.lang_pred, r.score) for r in L.language_id(unlabelled).collect()} == {("und", 0.0)}
     # Digits and marks alone are no language, whatever their length.
-    signs = spark.createDataFrame([(1, "123 456! " * 500), (2, "12 ab")], "doc_id bigint, text string")
+    signs = spark.createDataFrame([(1, "123 456! ½ ² " * 500), (2, "12 ab")], "doc_id bigint, text string")
     tables = L.fit(documents(spark, f"{TESTDATA}/sf0.001"))
     assert {r.doc_id: r.lang_pred == "und" for r in L.languages(signs, tables).collect()} == {1: True, 2: False}
