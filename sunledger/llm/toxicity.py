@@ -18,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,19 +29,20 @@ from sunledger.llm.common import crc_mod, private, run_dir, stored
 
 #: Labelled rows of each class that become examples.
 EXAMPLES = 4000
-VOCABULARY = 1000
+VOCABULARY = 500
 #: A term must occur in so many examples.
 LEAST = 3
-#: chi-square under which a term is left out.
+#: chi-square under which a term is left out, and how many times more common it must be in examples of label 1.
 CHI2 = 10.0
+LIFT = 3.0
 PREFIXES = (4, 5, 6, 7, 8)
 NEIGHBOURS = 15
 BLOCK = 64
 #: Blocks scored before the bounds decide.
 FIRST = 4
 THRESHOLD = 0.7
-#: Chunks of text whose terms a worker remembers.
-REMEMBERED = 300_000
+#: Letters of a term that the automaton looks for.
+HEAD = 4
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,35 +50,48 @@ WORD = re.compile(r"[^\W\d_]+")
 # --- terms ---
 
 
-def chunk_terms(chunk: str) -> tuple[int, list[str]]:
-    """Words in a chunk between white space, and its terms, with repeats."""
-    words = WORD.findall(chunk.lower())
-    return len(words), words + [f"^{w[:k]}" for w in words for k in PREFIXES if len(w) > k]
+def is_letter(char: str) -> bool:
+    """What :data:`WORD` is made of."""
+    return char.isalnum() and not char.isdecimal()
+
+
+def word_terms(word: str) -> list[str]:
+    """A word's terms: itself and its beginnings."""
+    return [word, *(f"^{word[:k]}" for k in PREFIXES if len(word) > k)]
 
 
 class Terms:
-    """Counts vocabulary terms in texts. What a chunk holds is remembered, as long as there is room."""
+    """Counts vocabulary terms in texts.
+
+    A word holds a term only if it begins as the term does. An automaton over these few beginnings finds the places in
+    one pass; only words that begin so are looked at.
+    """
 
     def __init__(self, vocabulary: list[str]):
         self.place = {term: i for i, term in enumerate(vocabulary)}
-        self.known: dict[str, tuple[int, list[int]]] = {}
-
-    def look(self, chunk: str) -> tuple[int, list[int]]:
-        n, terms = chunk_terms(chunk)
-        found = n, [self.place[t] for t in terms if t in self.place]
-        if len(self.known) < REMEMBERED:
-            self.known[chunk] = found
-        return found
+        heads = {term.removeprefix("^")[:HEAD] for term in vocabulary}
+        # No beginning of another beginning: a word is found once.
+        heads = {h for h in heads if not any(h[:k] in heads for k in range(1, len(h)))}
+        self.automaton = ahocorasick.Automaton()
+        for head in heads:
+            self.automaton.add_word(head, len(head) - 1)
+        if heads:
+            self.automaton.make_automaton()
 
     def count(self, text: str | None) -> tuple[int, dict[int, int]]:
-        """Number of words, and the count of each vocabulary term that occurs."""
-        total, counts = 0, {}
-        for chunk, times in Counter((text or "").split()).items():
-            n, found = self.known.get(chunk) or self.look(chunk)
-            total += n * times
-            for i in found:
-                counts[i] = counts.get(i, 0) + times
-        return total, counts
+        """Number of words between white space, and the count of each vocabulary term that occurs."""
+        text, counts = text or "", {}
+        if len(self.automaton):
+            low = text.lower()
+            for end, back in self.automaton.iter(low):
+                start = end - back
+                if start and is_letter(low[start - 1]):
+                    continue
+                for term in word_terms(WORD.match(low, start).group()):
+                    i = self.place.get(term)
+                    if i is not None:
+                        counts[i] = counts.get(i, 0) + 1
+        return len(text.split()), counts
 
 
 def term_counts(sample: DataFrame) -> DataFrame:
@@ -86,8 +101,8 @@ def term_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             seen = Counter()
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                terms = {t for chunk in set((text.as_py() or "").split()) for t in chunk_terms(chunk)[1]}
-                seen.update((t, toxic) for t in terms)
+                words = set(WORD.findall((text.as_py() or "").lower()))
+                seen.update((t, toxic) for t in {t for word in words for t in word_terms(word)})
             term, toxic = zip(*seen) if seen else ((), ())
             arrays = [pa.array(term, pa.string()), pa.array(toxic, pa.int32()), pa.array(list(seen.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["term", "toxic", "n"])
@@ -103,7 +118,8 @@ def choose_terms(counts: DataFrame, n0: float, n1: float, size: int = VOCABULARY
     a, b = F.col("n1"), F.col("n0")
     share = (a + b) / F.lit(float(n0 + n1))
     chi2 = (a - share * n1) ** 2 / (share * n1) + (b - share * n0) ** 2 / (share * n0)
-    telling = counts.filter((a >= LEAST) & (a / n1 > b / n0)).withColumn("chi2", chi2).filter(F.col("chi2") > CHI2)
+    common = counts.filter((a >= LEAST) & (a / n1 > LIFT * b / n0))
+    telling = common.withColumn("chi2", chi2).filter(F.col("chi2") > CHI2)
     return [row.term for row in telling.orderBy(F.desc("chi2"), "term").limit(size).select("term").collect()]
 
 
@@ -132,53 +148,62 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, n
 
 
 class Index:
-    """Block-max inverted index over the examples' unit vectors. The last term stands for all other words."""
+    """Block-max inverted index over the examples' unit vectors. The last term stands for all other words.
+
+    A term's postings are kept by blocks of examples: the weights of those blocks that hold the term at all.
+    """
 
     def __init__(self, vectors: list[dict[int, float]], terms: int):
         # Examples with the same leading term are neighbours, which makes the bounds of blocks tight.
         lead = [max(v, key=lambda t: (v[t] if t < terms - 1 else 0.0, -t)) if v else terms for v in vectors]
-        self.order = np.lexsort((np.arange(len(vectors)), lead))
-        place = np.empty(len(vectors), np.int64)
-        place[self.order] = np.arange(len(vectors))
         self.n, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
-        held: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for example, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                held[term].append((int(place[example]), weight))
-        self.at = [np.array([p for p, _ in sorted(h)], np.int64) for h in held]
-        self.weight = [np.array([w for _, w in sorted(h)]) for h in held]
-        self.most = np.zeros((terms, self.blocks))
-        for term, (at, weight) in enumerate(zip(self.at, self.weight)):
-            np.maximum.at(self.most[term], at // BLOCK, weight)
-
-    def _scores(self, vector: dict[int, float], blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the given blocks and their exact scores, added up term by term in the same order always."""
-        chosen = np.zeros(self.blocks, bool)
-        chosen[blocks] = True
-        scores = np.zeros(self.n)
-        for term in sorted(vector):
-            at = self.at[term]
-            use = chosen[at // BLOCK]
-            scores[at[use]] += vector[term] * self.weight[term][use]
-        places = np.flatnonzero(np.repeat(chosen, BLOCK)[: self.n])
-        return places, scores[places]
+        self.order = np.full(self.blocks * BLOCK, -1)
+        self.order[: self.n] = np.lexsort((np.arange(self.n), lead))
+        self.slot = np.zeros((terms, self.blocks), np.int32)  # 0: the block does not hold the term
+        held = [np.zeros(BLOCK)]
+        for place, example in enumerate(self.order[: self.n].tolist()):
+            for term, weight in vectors[example].items():
+                block = place // BLOCK
+                if not self.slot[term, block]:
+                    self.slot[term, block] = len(held)
+                    held.append(np.zeros(BLOCK))
+                held[self.slot[term, block]][place % BLOCK] = weight
+        self.weight = np.array(held)
+        self.most = self.weight.max(axis=1)[self.slot]
+
+    def _scores(self, terms: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The examples of the given blocks and their cosines, to twelve places so that equal ones compare equal."""
+        held = self.weight[self.slot[terms[:, None], blocks]]
+        scores = np.round(weight @ held.reshape(len(terms), -1), 12)
+        examples = self.order.reshape(-1, BLOCK)[blocks].ravel()
+        if examples[-1] < 0 or (examples < 0).any():
+            scores, examples = scores[examples >= 0], examples[examples >= 0]
+        return examples, scores
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine, ties by their number, and the cosines."""
         if not vector or not self.n:
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = sorted(vector)
-        bound = np.array([vector[t] for t in terms]) @ self.most[terms] + 1e-9
+        terms = np.array(sorted(vector))
+        weight = np.array([vector[t] for t in terms.tolist()])
+        bound = weight @ self.most[terms] + 1e-9
         ranked = np.argsort(-bound, kind="stable")
         first = max(FIRST, -(-k // BLOCK))
-        places, scores = self._scores(vector, ranked[:first])
+        examples, scores = self._scores(terms, weight, ranked[:first])
         least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -1.0
         rest = ranked[first:][bound[ranked[first:]] >= least]
         if len(rest):
-            more, scored = self._scores(vector, rest)
-            places, scores = np.concatenate([places, more]), np.concatenate([scores, scored])
-        examples = self.order[places]
-        top = np.lexsort((examples, -scores))[:k]
+            more, scored = self._scores(terms, weight, rest)
+            examples, scores = np.concatenate([examples, more]), np.concatenate([scores, scored])
+        if len(scores) > k:
+            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            over, level = scores > least, np.flatnonzero(scores == least)
+            room = k - int(over.sum())
+            if len(level) > room:
+                level = level[np.argpartition(examples[level], room - 1)[:room]]
+            chosen = np.concatenate([np.flatnonzero(over), level])
+            examples, scores = examples[chosen], scores[chosen]
+        top = np.lexsort((examples, -scores))
         return examples[top], scores[top]
 
 
