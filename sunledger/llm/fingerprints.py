@@ -7,6 +7,8 @@ and the number of distinct shingles.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ SHINGLE = 5
 K = 128
 #: Rows that are put in order together, about.
 ORDERED_TOGETHER = 2000
-#: Most ranges of ids; the bounds are held as one literal.
-MOST_RANGES = 1000
+#: Most ranges of ids; their bounds are held as literals. Beyond 40 million rows ranges grow with the table.
+MOST_RANGES = 20_000
 HASHES = float(1 << 64)
 
 
@@ -104,12 +106,23 @@ def id_bounds(docs: DataFrame) -> tuple[list[int], int]:
     return sorted({int(q) for q in found or []}), nameless
 
 
+def bounds_up_to(doc_id: Column, bounds: list[int]) -> Column:
+    """How many of the sorted bounds are at or under the id, found in two steps: the group, then the place in it."""
+    if not bounds:
+        return F.lit(0)
+    step = isqrt(len(bounds)) + 1
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    group = F.size(F.filter(F.lit([g[0] for g in groups]), lambda b: b <= doc_id))
+    inside = F.size(F.filter(F.get(F.array(*map(F.lit, groups)), group - 1), lambda b: b <= doc_id))
+    return F.when(group == 0, 0).otherwise((group - 1) * step + inside)
+
+
 def in_ranges(rows: DataFrame, bounds: list[int], nameless: int) -> DataFrame:
     """With ``range``: larger ids in lower ranges; after them rows without an id, by ``tie``."""
-    above = F.size(F.filter(F.lit(bounds), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
     by_tie = F.least(F.floor((F.col("tie").cast("double") / HASHES + 0.5) * nameless), F.lit(nameless - 1))
     last = F.lit(len(bounds) + 1) + by_tie.cast("int")
-    return rows.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(F.lit(len(bounds)) - above))
+    named = F.lit(len(bounds)) - bounds_up_to(F.col("doc_id"), bounds)
+    return rows.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(named))
 
 
 def heads(ranged: DataFrame) -> DataFrame:
