@@ -88,6 +88,13 @@ def test_edges_of_the_input(edge, clashing, none, monkeypatch):
     assert by_id[2].near_next == 1.0 and by_id[3].near_next == 0.0 and by_id[6].near_next == 0.0
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 9, 100, 1000])
+def test_bounds_are_counted(spark, n):
+    bounds = [3 * i for i in range(n)]
+    ids = spark.range(-5, 3 * n + 5).select("id", P.bounds_up_to(F.col("id"), bounds).alias("below"))
+    assert all(r.below == sum(b <= r.id for b in bounds) for r in ids.collect())
+
+
 def test_one_document_follows_itself(spark):
     r = P.fingerprints(spark.createDataFrame([(5, "ab cd ef")], "doc_id bigint, text string")).first()
     assert r.edited_sha256 == hashlib.sha256(b"ab cab c").hexdigest() and r.near_next == 1.0
