@@ -24,9 +24,9 @@ CAPACITY = 2048
 #: Pieces of one size that are put in order together.
 BUCKET = 1000
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Characters tokenised at a time (a longer text goes alone).
-AT_ONCE = 4_000_000
+AT_ONCE = 2_000_000
 #: Characters after a word that are a token of their own to the tokenizer's splitter, in one run.
 TAIL = ".,;:!?|)]}$%&*#\"-"
 #: str.split() also splits at these; the tokenizer does not.
