@@ -1,27 +1,31 @@
 """Toxicity by the nearest labelled examples, under exact TF-IDF cosine.
 
-Terms are words and their beginnings (:data:`PREFIXES`), which carry what inflected insults have in common. The terms
-that go with the label most clearly form the vocabulary; all other words of a text share one further term, so that a
-long text with a chance hit stays far from a text made of such words. Document frequencies come from all documents.
-
-Examples are a bounded sample of the labelled rows. Their vectors lie in an inverted index whose postings are cut into
-blocks of examples; the largest weight of a term within a block bounds what the block can reach. A text first scores
-its most promising blocks exactly, then every other block whose bound reaches the k-th best score found: the result is
-that of scoring all. Neighbours vote with weights that fall with distance, and votes become probabilities by isotonic
+Terms are words and their beginnings (:data:`PREFIXES`), which carry what inflected insults have in common. All terms of
+the examples are indexed, with document frequencies from all documents. A term weighs ``log(1 + count)`` times its idf
+times its relevance frequency, ``log2(2 + r)`` where r is how many times more common it is in examples of label 1: terms
+that go with the label weigh more, and none weighs nothing. A term that no example holds cannot match, but it lengthens
+its text's vector, as a term that one document holds.
+
+Examples are a bounded sample of the labelled rows. Their vectors lie in an inverted index; terms that many examples hold
+lie in a dense table beside it. A text adds up the postings of its rarer terms, and a batch of texts meets the table in one
+product: every example is scored. Neighbours vote with weights that fall with distance, and votes become probabilities by isotonic
 regression over the examples' own votes, each without itself.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
+from math import log1p
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,20 +33,15 @@ from sunledger.llm.common import crc_mod, private, run_dir, stored
 
 #: Labelled rows of each class that become examples.
 EXAMPLES = 4000
-VOCABULARY = 500
-#: A term must occur in so many examples.
-LEAST = 3
-#: chi-square under which a term is left out, and how many times more common it must be in examples of label 1.
-CHI2 = 10.0
-LIFT = 3.0
 PREFIXES = (4, 5, 6, 7, 8)
 NEIGHBOURS = 15
-BLOCK = 64
-#: Blocks scored before the bounds decide.
-FIRST = 4
+#: A term that more than one in so many examples hold is common.
+COMMON = 8
+#: Texts scored together.
+BATCH = 128
 THRESHOLD = 0.7
-#: Letters of a term that the automaton looks for.
-HEAD = 4
+#: Words whose terms a worker remembers.
+REMEMBERED = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -50,97 +49,85 @@ WORD = re.compile(r"[^\W\d_]+")
 # --- terms ---
 
 
-def is_letter(char: str) -> bool:
-    """What :data:`WORD` is made of."""
-    return char.isalnum() and not char.isdecimal()
-
-
 def word_terms(word: str) -> list[str]:
     """A word's terms: itself and its beginnings."""
     return [word, *(f"^{word[:k]}" for k in PREFIXES if len(word) > k)]
 
 
-class Terms:
-    """Counts vocabulary terms in texts.
+class Known(dict):
+    """The terms of each word: places in the vocabulary, and as text those that are not in it."""
 
-    A word holds a term only if it begins as the term does. An automaton over these few beginnings finds the places in
-    one pass; only words that begin so are looked at.
-    """
+    def __init__(self, place: dict[str, int]):
+        self.place = place
+
+    def __missing__(self, word: str) -> list[int | str]:
+        terms = [self.place.get(t, t) for t in word_terms(word)]
+        if len(self) < REMEMBERED:
+            self[word] = terms
+        return terms
+
+
+class Terms:
+    """Counts vocabulary terms in texts. What a word holds is remembered, as long as there is room."""
 
     def __init__(self, vocabulary: list[str]):
         self.place = {term: i for i, term in enumerate(vocabulary)}
-        heads = {term.removeprefix("^")[:HEAD] for term in vocabulary}
-        # No beginning of another beginning: a word is found once.
-        heads = {h for h in heads if not any(h[:k] in heads for k in range(1, len(h)))}
-        self.automaton = ahocorasick.Automaton()
-        for head in heads:
-            self.automaton.add_word(head, len(head) - 1)
-        if heads:
-            self.automaton.make_automaton()
+        self.known = Known(self.place)
+
+    def __reduce__(self):
+        # Terms are letters, and few bytes each when in order.
+        return unpacked_terms, (zlib.compress("\n".join(self.place).encode(), 1),)
+
+    def find(self, text: str | None) -> tuple[dict[int, int], float]:
+        """The count of each vocabulary term that occurs, and the squares of ``log(1 + count)`` of all others, added up."""
+        words = WORD.findall((text or "").lower())
+        counts = Counter(chain.from_iterable(map(self.known.__getitem__, words)))
+        return counts, sum(log1p(counts.pop(t)) ** 2 for t in [t for t in counts if type(t) is str])
 
     def count(self, text: str | None) -> tuple[int, dict[int, int]]:
         """Number of words between white space, and the count of each vocabulary term that occurs."""
-        text, counts = text or "", {}
-        if len(self.automaton):
-            low = text.lower()
-            for end, back in self.automaton.iter(low):
-                start = end - back
-                if start and is_letter(low[start - 1]):
-                    continue
-                for term in word_terms(WORD.match(low, start).group()):
-                    i = self.place.get(term)
-                    if i is not None:
-                        counts[i] = counts.get(i, 0) + 1
-        return len(text.split()), counts
-
-
-def term_counts(sample: DataFrame) -> DataFrame:
-    """``term, n0, n1``: examples of either class that hold the term. Tasks add up before the shuffle."""
+        return len((text or "").split()), self.find(text)[0]
+
+
+def unpacked_terms(packed: bytes) -> Terms:
+    text = zlib.decompress(packed).decode()
+    return Terms(text.split("\n") if text else [])
+
+
+def example_terms(sample: DataFrame) -> list[str]:
+    """All terms of the examples: the sample is bounded, and so are its terms."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = set()
         for batch in batches:
-            seen = Counter()
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = set(WORD.findall((text.as_py() or "").lower()))
-                seen.update((t, toxic) for t in {t for word in words for t in word_terms(word)})
-            term, toxic = zip(*seen) if seen else ((), ())
-            arrays = [pa.array(term, pa.string()), pa.array(toxic, pa.int32()), pa.array(list(seen.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["term", "toxic", "n"])
-
-    found = sample.select("text", "toxic").mapInArrow(rows, "term string, toxic int, n bigint")
-    return found.groupBy("term").agg(
-        F.sum(F.expr("if(toxic = 0, n, 0)")).alias("n0"), F.sum(F.expr("if(toxic = 1, n, 0)")).alias("n1")
-    )
-
+            for text in batch.column(0):
+                words.update(WORD.findall((text.as_py() or "").lower()))
+        terms = list({t for word in words for t in word_terms(word)})
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], names=["term"])
 
-def choose_terms(counts: DataFrame, n0: float, n1: float, size: int = VOCABULARY) -> list[str]:
-    """The terms that go with the label most clearly, by chi-square over the two classes' shares."""
-    a, b = F.col("n1"), F.col("n0")
-    share = (a + b) / F.lit(float(n0 + n1))
-    chi2 = (a - share * n1) ** 2 / (share * n1) + (b - share * n0) ** 2 / (share * n0)
-    common = counts.filter((a >= LEAST) & (a / n1 > LIFT * b / n0))
-    telling = common.withColumn("chi2", chi2).filter(F.col("chi2") > CHI2)
-    return [row.term for row in telling.orderBy(F.desc("chi2"), "term").limit(size).select("term").collect()]
+    return sorted(sample.select("text").mapInArrow(rows, "term string").distinct().toArrow().column(0).to_pylist())
 
 
 def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
     """Documents, and how many of them hold each term, over the whole table."""
     if not vocabulary:
         return docs.count(), np.zeros(0)
+    size = len(vocabulary)
+    handed = docs.sparkSession.sparkContext.broadcast(Terms(vocabulary))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, total = Terms(vocabulary), np.zeros(len(vocabulary) + 1, np.int64)
+        terms, total = handed.value, np.zeros(size + 1, np.int64)
         for batch in batches:
             for text in batch.column(0):
-                for i in terms.count(text.as_py())[1]:
-                    total[i] += 1
+                total[list(terms.find(text.as_py())[0])] += 1
             total[-1] += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["term", "n"])
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["term", "n"])
 
     counted = docs.select("text").mapInArrow(rows, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    total = np.zeros(len(vocabulary) + 1)
-    for row in counted.collect():  # one row per vocabulary term
-        total[row.term] = row.n
+    counted = counted.toArrow()  # one row per vocabulary term
+    total = np.zeros(size + 1)
+    total[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
     return int(total[-1]), total[:-1]
 
 
@@ -148,63 +135,63 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, n
 
 
 class Index:
-    """Block-max inverted index over the examples' unit vectors. The last term stands for all other words.
-
-    A term's postings are kept by blocks of examples: the weights of those blocks that hold the term at all.
-    """
+    """Inverted index over the examples' unit vectors, and a dense table of the terms that many of them hold."""
 
     def __init__(self, vectors: list[dict[int, float]], terms: int):
-        # Examples with the same leading term are neighbours, which makes the bounds of blocks tight.
-        lead = [max(v, key=lambda t: (v[t] if t < terms - 1 else 0.0, -t)) if v else terms for v in vectors]
-        self.n, self.blocks = len(vectors), -(-len(vectors) // BLOCK)
-        self.order = np.full(self.blocks * BLOCK, -1)
-        self.order[: self.n] = np.lexsort((np.arange(self.n), lead))
-        self.slot = np.zeros((terms, self.blocks), np.int32)  # 0: the block does not hold the term
-        held = [np.zeros(BLOCK)]
-        for place, example in enumerate(self.order[: self.n].tolist()):
-            for term, weight in vectors[example].items():
-                block = place // BLOCK
-                if not self.slot[term, block]:
-                    self.slot[term, block] = len(held)
-                    held.append(np.zeros(BLOCK))
-                held[self.slot[term, block]][place % BLOCK] = weight
-        self.weight = np.array(held)
-        self.most = self.weight.max(axis=1)[self.slot]
-
-    def _scores(self, terms: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The examples of the given blocks and their cosines, to twelve places so that equal ones compare equal."""
-        held = self.weight[self.slot[terms[:, None], blocks]]
-        scores = np.round(weight @ held.reshape(len(terms), -1), 12)
-        examples = self.order.reshape(-1, BLOCK)[blocks].ravel()
-        if examples[-1] < 0 or (examples < 0).any():
-            scores, examples = scores[examples >= 0], examples[examples >= 0]
-        return examples, scores
+        example = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])
+        term = np.array([t for v in vectors for t in v], np.int64)
+        self._build(example, term, np.array([w for v in vectors for w in v.values()], float), len(vectors), terms)
+
+    @classmethod
+    def of(cls, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int) -> Index:
+        """From one entry per example and term."""
+        index = cls.__new__(cls)
+        index._build(example, term, weight, n, terms)
+        return index
+
+    def _build(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int) -> None:
+        order = np.argsort(term, kind="stable")  # examples come in order
+        example, term, weight = example[order], term[order], weight[order]
+        held = np.bincount(term, minlength=terms)
+        common = np.flatnonzero(held * COMMON > n)
+        self.n, self.place = n, np.full(terms, -1, np.int32)
+        self.place[common] = np.arange(len(common))
+        dense = self.place[term] >= 0
+        self.dense = np.zeros((len(common), n))
+        self.dense[self.place[term[dense]], example[dense]] = weight[dense]
+        self.example, self.weight = example[~dense].astype(np.int32), weight[~dense]
+        self.start = np.append(0, np.cumsum(np.where(self.place < 0, held, 0)))
 
     def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine, ties by their number, and the cosines."""
-        if not vector or not self.n:
+        terms = np.array(sorted(vector), np.int64)
+        return self.nearest_of([(terms, np.array([vector[t] for t in terms.tolist()]))], k)[0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for a batch of vectors, each given by its terms and their weights."""
+        asked = np.zeros((len(vectors), len(self.dense)))
+        for row, (terms, weight) in zip(asked, vectors):
+            place = self.place[terms]
+            row[place[place >= 0]] = weight[place >= 0]
+        return [self._best(*v, scores, k) for v, scores in zip(vectors, asked @ self.dense)]
+
+    def _best(self, terms: np.ndarray, weight: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``scores`` has what the common terms add."""
+        if not len(terms) or not self.n:
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.array(sorted(vector))
-        weight = np.array([vector[t] for t in terms.tolist()])
-        bound = weight @ self.most[terms] + 1e-9
-        ranked = np.argsort(-bound, kind="stable")
-        first = max(FIRST, -(-k // BLOCK))
-        examples, scores = self._scores(terms, weight, ranked[:first])
-        least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) >= k else -1.0
-        rest = ranked[first:][bound[ranked[first:]] >= least]
-        if len(rest):
-            more, scored = self._scores(terms, weight, rest)
-            examples, scores = np.concatenate([examples, more]), np.concatenate([scores, scored])
-        if len(scores) > k:
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
-            over, level = scores > least, np.flatnonzero(scores == least)
-            room = k - int(over.sum())
-            if len(level) > room:
-                level = level[np.argpartition(examples[level], room - 1)[:room]]
-            chosen = np.concatenate([np.flatnonzero(over), level])
-            examples, scores = examples[chosen], scores[chosen]
-        top = np.lexsort((examples, -scores))
-        return examples[top], scores[top]
+        rare = self.place[terms] < 0
+        terms, weight = terms[rare], weight[rare]
+        start = self.start[terms]
+        size = self.start[terms + 1] - start
+        at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+        scores = scores + np.bincount(self.example[at], np.repeat(weight, size) * self.weight[at], minlength=self.n)
+        # To twelve places, so that equal cosines compare equal.
+        scores, examples = np.round(scores, 12), np.arange(self.n)
+        if self.n > k:
+            least = np.partition(scores, self.n - k)[self.n - k]
+            examples = np.flatnonzero(scores >= least)
+        top = examples[np.lexsort((examples, -scores[examples]))[:k]]
+        return top, scores[top]
 
 
 # --- model ---
@@ -212,9 +199,15 @@ class Index:
 
 @dataclass
 class Model:
-    vocabulary: list[str]
-    idf: np.ndarray
-    index: Index
+    terms: Terms
+    #: Weight of each term: idf times relevance frequency.
+    scale: np.ndarray
+    #: Weight of a term that no example holds.
+    other: float
+    #: Per example how many terms it holds; then, over all of them, the terms and their counts.
+    sizes: np.ndarray
+    held: np.ndarray
+    counts: np.ndarray
     doc_ids: np.ndarray
     labels: np.ndarray
     #: Labelled rows that an example stands for, so that the sampled classes keep their shares.
@@ -223,6 +216,34 @@ class Model:
     prior: float
     k: int = NEIGHBOURS
 
+    def __getstate__(self) -> dict:
+        """What is sent is packed; the index is built where it is used."""
+        state = {name: value for name, value in self.__dict__.items() if name not in ("vectors", "index")}
+        return {n: ("packed", v.dtype.str, zlib.compress(v.tobytes(), 1)) if isinstance(v, np.ndarray) else v for n, v in state.items()}
+
+    def __setstate__(self, state: dict) -> None:
+        for name, v in state.items():
+            packed = isinstance(v, tuple) and v[0] == "packed" if name != "knots" else False
+            setattr(self, name, np.frombuffer(zlib.decompress(v[2]), v[1]) if packed else v)
+
+    @cached_property
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The examples' terms and weights."""
+        ends = np.cumsum(self.sizes)[:-1]
+        return list(zip(np.split(self.held, ends), np.split(self.entries()[1], ends))) if len(self.sizes) else []
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each term of each example, the example and the weight."""
+        example = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        weight = np.log1p(self.counts) * self.scale[self.held]
+        weight /= np.sqrt(np.bincount(example, weight**2, minlength=len(self.sizes)))[example]
+        return example, weight
+
+    @cached_property
+    def index(self) -> Index:
+        example, weight = self.entries()
+        return Index.of(example, self.held, weight, len(self.sizes), len(self.scale))
+
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
         weight = self.stands_for[found] / (1.01 - np.clip(cosine, 0, 1))
         return float((weight * self.labels[found]).sum() / weight.sum()) if len(found) else self.prior
@@ -230,20 +251,36 @@ class Model:
     def calibrated(self, vote: float) -> float:
         return float(np.clip(np.interp(vote, *self.knots), 0, 1)) if len(self.knots[0]) else self.prior
 
-    def score(self, vector: dict[int, float]) -> tuple[float, np.ndarray]:
+    def score(self, texts: list[str | None]) -> Iterator[tuple[float, np.ndarray]]:
         """Probability, and the nearest examples as evidence. Without neighbours it is the labels' own share."""
-        found, cosine = self.index.nearest(vector, self.k)
-        return (self.calibrated(self.vote(found, cosine)) if len(found) else self.prior), self.doc_ids[found]
+        for at in range(0, len(texts), BATCH):
+            asked = [vector(*self.terms.find(t), self.scale, self.other) for t in texts[at : at + BATCH]]
+            for found, cosine in self.index.nearest_of(asked, self.k):
+                yield (self.calibrated(self.vote(found, cosine)) if len(found) else self.prior), self.doc_ids[found]
+
+    def own_votes(self, examples: list[int]) -> Iterator[float]:
+        """The votes on examples, each without itself."""
+        for at in range(0, len(examples), BATCH):
+            some = examples[at : at + BATCH]
+            for i, (found, cosine) in zip(some, self.index.nearest_of([self.vectors[i] for i in some], self.k + 1)):
+                others = found != i
+                yield self.vote(found[others][: self.k], cosine[others][: self.k])
+
 
+def vector(counts: dict[int, int], others: float, scale: np.ndarray, other: float) -> tuple[np.ndarray, np.ndarray]:
+    """Terms in order and their weights, over the length of the whole vector, terms that no example holds included."""
+    terms = np.fromiter(counts, np.int64, len(counts))
+    weight = np.fromiter(counts.values(), float, len(counts))
+    order = np.argsort(terms)
+    weight = np.log1p(weight[order]) * scale[terms[order]]
+    return terms[order], weight / (weight @ weight + others * other**2) ** 0.5 if len(terms) else weight
 
-def vector(words: int, counts: dict[int, int], idf: np.ndarray) -> dict[int, float]:
-    """Unit vector of term counts times idf; the square root of the number of words stands for the others."""
-    if not words:
-        return {}
-    out = {t: n * idf[t] for t, n in counts.items()}
-    out[len(idf)] = words**0.5
-    norm = sum(w * w for w in out.values()) ** 0.5
-    return {t: w / norm for t, w in out.items()}
+
+def relevance(terms: np.ndarray, toxic: np.ndarray, n0: int, n1: int, size: int) -> np.ndarray:
+    """Relevance frequency of each term, from one entry per example and term. A term that no example of label 0 holds
+    counts as held by one."""
+    with_1, with_0 = (np.bincount(terms[toxic == c], minlength=size) for c in (1, 0))
+    return np.log2(2 + (with_1 / max(n1, 1)) / (np.maximum(with_0, 1) / max(n0, 1)))
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,6 +318,21 @@ def sample_labels(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     return picked[0].union(picked[1]), [sizes.get(0, 0), sizes.get(1, 0)]
 
 
+def own_votes(spark: SparkSession, model: Model) -> np.ndarray:
+    """The vote on every example, in order."""
+    n, handed = len(model.sizes), spark.sparkContext.broadcast(model)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes = list(handed.value.own_votes(batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["id", "vote"])
+
+    found = spark.range(0, n, 1, max(1, n // 1000)).mapInArrow(rows, "id bigint, vote double").toArrow()
+    votes = np.zeros(n)
+    votes[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return votes
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Model:
     """Learn from labelled documents; ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic``."""
     docs = private(docs, ["doc_id", "text"])
@@ -291,33 +343,33 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = N
     sample = sample.join(F.broadcast(picked), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
     sample = stored(sample, run_dir(docs.sparkSession, "toxicity-sample"))
     n = {row.toxic: row.n for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    chosen = choose_terms(term_counts(sample), n[0], n[1]) if n.get(0) and n.get(1) else []
+    chosen = example_terms(sample)
     total, held = document_frequencies(docs, chosen)
     idf = np.log((1 + total) / (1 + held)) + 1
+    other = float(np.log((1 + total) / 2) + 1)
+    terms = Terms(chosen)
+    handed = docs.sparkSession.sparkContext.broadcast(terms)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(chosen)
         for batch in batches:
-            counted = [terms.count(t.as_py()) for t in batch.column(1)]
-            arrays = [batch.column(0), batch.column(2), pa.array([c[0] for c in counted], pa.int64())]
-            arrays += [pa.array([list(c[1]) for c in counted], pa.list_(pa.int32()))]
-            arrays += [pa.array([list(c[1].values()) for c in counted], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "words", "terms", "counts"])
-
-    schema = "doc_id bigint, toxic int, words bigint, terms array<int>, counts array<bigint>"
-    held_rows = sample.mapInArrow(rows, schema).collect()  # the bounded sample, as counts of vocabulary terms
-    held_rows.sort(key=lambda r: (r.doc_id, r.toxic, r.words, r.terms, r.counts))
-    vectors = [vector(r.words, dict(zip(r.terms, r.counts)), idf) for r in held_rows]
+            counted = [sorted(handed.value.find(t.as_py())[0].items()) for t in batch.column(1)]
+            arrays = [batch.column(0), batch.column(2)]
+            arrays += [pa.array([np.array([c[i] for c in cs], "<i4").tobytes() for cs in counted]) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "terms", "counts"])
+
+    schema = "doc_id bigint, toxic int, terms binary, counts binary"
+    held_rows = sample.mapInArrow(rows, schema).collect()  # the bounded sample, as counts of terms
+    held_rows.sort(key=lambda r: (r.doc_id, r.toxic, bytes(r.terms), bytes(r.counts)))
+    sizes_of = np.array([len(r.terms) // 4 for r in held_rows], np.int64)
+    at, counts = (np.frombuffer(b"".join(r[i] for r in held_rows), "<i4") for i in (2, 3))
+    toxic = np.repeat(np.array([r.toxic for r in held_rows], np.int64), sizes_of)
+    scale = idf * relevance(at, toxic, n.get(0, 0), n.get(1, 0), len(chosen))
     label = np.array([r.toxic for r in held_rows], dtype=float)
     stands_for = np.array([sizes[r.toxic] / n[r.toxic] for r in held_rows])
     ids = np.array([r.doc_id for r in held_rows], dtype=np.int64)
     none = (np.zeros(0), np.zeros(0))
-    model = Model(chosen, idf, Index(vectors, len(chosen) + 1), ids, label, stands_for, none, prior, k)
-    votes = np.full(len(ids), prior)
-    for i, v in enumerate(vectors):
-        found, cosine = model.index.nearest(v, k + 1)
-        others = found != i
-        votes[i] = model.vote(found[others][:k], cosine[others][:k])
+    model = Model(terms, scale, other, sizes_of, at, counts, ids, label, stands_for, none, prior, k)
+    votes = own_votes(docs.sparkSession, model)
     if len(ids):
         model.knots = isotonic(votes, label, stands_for)
     return model
@@ -326,7 +378,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = N
 def scored(docs: DataFrame, model: Model, score: str = "score", evidence: str = "evidence") -> DataFrame:
     """All rows and columns, with a score (0 to 1) and evidence (ids of the nearest examples) after them.
 
-    A null or wordless text has no neighbours and gets the labels' own share. Columns of the two names are replaced.
+    A null text or one without any term of the examples has no neighbours and gets the labels' own share. Columns of the two names are replaced.
     """
     added = [score, evidence]
     keep = docs.drop(*added)
@@ -336,21 +388,9 @@ def scored(docs: DataFrame, model: Model, score: str = "score", evidence: str =
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = handed.value
-        terms, before = Terms(model.vocabulary), {}
         for batch in batches:
-            scores, near = [], []
-            for text in batch.column(at):
-                words, counts = terms.count(text.as_py())
-                # Texts without a vocabulary term all point the same way.
-                key = bool(words) if not counts else None
-                if key is None or key not in before:
-                    found = model.score(vector(words, counts, model.idf))
-                    if key is not None:
-                        before[key] = found
-                else:
-                    found = before[key]
-                scores.append(found[0])
-                near.append(found[1].tolist())
+            found = list(model.score(batch.column(at).to_pylist()))
+            scores, near = [f[0] for f in found], [f[1].tolist() for f in found]
             arrays = [*batch.columns, pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *added])
 

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,23 @@ def test_terms_are_those_of_all_words():
     assert T.Terms([]).count("a b") == (2, {})
 
 
+def test_every_term_of_the_examples_counts(spark):
+    """Words that say nothing about the label still find the neighbours, and make the evidence."""
+    importable(spark)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1][:120]
+    texts = [(i, f"alpha{'abcdefghij'[j % 10]}{'klmnopqrst'[j // 10 % 10]} common words") for j, i in enumerate(ids)]
+    docs = spark.createDataFrame([(i, t + (" idiot" if j % 4 == 0 else "")) for j, (i, t) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(j % 4 == 0)) for j, i in enumerate(ids)], "doc_id long, toxic int")
+    model = T.fit(docs, labels)
+    words = {t for _, text in texts for w in text.split() for t in T.word_terms("".join(c for c in w if c.isalpha()))}
+    assert set(model.terms.place) == words | set(T.word_terms("idiot"))
+    rows = {r.doc_id: r.evidence for r in T.scored(docs, model).collect()}
+    # Without an insult in any of them, equal words come first.
+    for j, (i, text) in enumerate(texts):
+        same = {k for k, other in texts if other == text and (ids.index(k) % 4 == 0) == (j % 4 == 0)}
+        assert set(rows[i][: len(same)]) == same
+
+
 def test_isotonic_rises_and_keeps_the_mean():
     rng = np.random.default_rng(0)
     votes = np.round(rng.random(500), 2)
