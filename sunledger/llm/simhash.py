@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.llm.common import private, run_dir, stored
@@ -62,17 +62,26 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (the unsigned fingerprint's bits as a long), one row per document, from its whole text."""
+def fingerprints(docs: DataFrame, shingle: int = 3, digest: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the unsigned fingerprint's bits as a long), one row per document, from its whole text; on demand
+    with ``digest``, that of the text's bytes."""
+    rows_of = private(docs, ["doc_id", "text"]).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    names, schema = ["doc_id", "fp"], "doc_id bigint, fp bigint"
+    if digest:
+        names, schema = [*names, "digest"], f"{schema}, digest string"
+        rows_of = rows_of.withColumn("digest", text_digest())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names=names)
 
-    return private(docs, ["doc_id", "text"]).withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(
-        rows, "doc_id bigint, fp bigint"
-    )
+    return rows_of.mapInArrow(rows, schema)
+
+
+def text_digest() -> Column:
+    """A null text is an empty one."""
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
 
 
 # --- the plan: parts, thresholds, costs ---
@@ -325,6 +334,17 @@ def links(distinct: DataFrame, plan: Plan, path: str, crowd: int = CROWD) -> Dat
     return close.union(ball_links(touched, plan.distance))
 
 
+def rooted_rows(docs: DataFrame, shingle: int, distance: int, crowd: int, path: str, digest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp`` of every document, and ``fp, least, root`` of every fingerprint: its smallest id, and the
+    fingerprint that names its group."""
+    rows = stored(fingerprints(docs, shingle, digest), f"{path}/rows")
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{path}/distinct")
+    found = stored(links(distinct, make_plan(distinct, distance), path, crowd), f"{path}/links")
+    roots = components(found, f"{path}/components")
+    rooted = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
+    return rows, stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), f"{path}/rooted")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd: int = CROWD) -> DataFrame:
     """One row per document: ``doc_id, fp, component_id`` (the smallest id reachable over links; itself included).
 
@@ -333,21 +353,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd:
     An empty table gives an empty result.
     """
     path = run_dir(docs.sparkSession, "simhash")
-    rows = stored(fingerprints(docs, shingle), f"{path}/rows")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{path}/distinct")
-    found = stored(links(distinct, make_plan(distinct, distance), path, crowd), f"{path}/links")
-    roots = components(found, f"{path}/components")
-    rooted = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
-    rooted = stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), f"{path}/rooted")
+    rows, rooted = rooted_rows(docs, shingle, distance, crowd, path)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The document with the smallest id of each group, with all its columns; of repeated rows one."""
-    grouped = near_duplicates(docs, shingle, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = grouped.select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = stored(kept, run_dir(docs.sparkSession, "simhash-kept"))
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return one_per_key(rows, ["doc_id"])
+def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd: int = CROWD) -> DataFrame:
+    """One document of each group, with all its columns: the one with the smallest id, a null id only when there is no
+    other, and of equal ids the one with the smallest digest of its text. Of repeated rows one stays."""
+    path = run_dir(docs.sparkSession, "simhash")
+    printed, rooted = rooted_rows(docs, shingle, distance, crowd, path, digest=True)
+    # The smallest of each fingerprint is taken map-side, then that of each group.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
+    of_print = printed.groupBy("fp").agg(first)
+    kept = of_print.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.digest").alias("_kept_digest"))
+    kept = stored(kept, f"{path}/kept")
+    rows = docs.withColumn("_kept_digest_of", text_digest())
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept_id")) & (F.col("_kept_digest_of") == F.col("_kept_digest"))
+    rows = rows.join(kept, same, "left_semi")
+    return one_per_key(rows, ["doc_id", "_kept_digest_of"]).drop("_kept_digest_of")

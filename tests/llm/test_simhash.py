@@ -79,6 +79,16 @@ def test_one_of_each_group_stays(edge, clashing):
     assert sorted(ids, key=str) == sorted({c for _, _, c in groups}, key=str)
 
 
+def test_one_of_each_group_stays_whatever_its_ids(spark):
+    """Unrelated texts without an id or with the same id are groups of their own; each keeps one."""
+    words = [" ".join(f"{w}{k}" for k in range(12)) for w in ("ash", "birch", "cedar", "dogwood", "elm", "fir")]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1]), (1, words[2]), (1, words[3]), (None, words[3]), (2, words[4])]
+    rows += [(3, words[4]), (None, words[5]), (None, None), (None, "")]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, words[0]), (None, words[1]), (1, words[2]), (1, words[3]), (2, words[4]), (None, words[5]), (None, "")]
+    assert sorted(((r.doc_id, r.text or "") for r in kept), key=str) == sorted(want, key=str)
+
+
 def clustered(rng, n=400):
     """Random fingerprints, half of them around a few centres and sharing many bits."""
     out = [int(rng.integers(0, 1 << 63)) for _ in range(n // 2)]
