@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, fingerprints, language_id, license_scan, mixing, packing, pii, secret_scan, simhash, toxicity
+from sunledger.llm import exact_dedup, fingerprints, language_id, license_scan, minhash, mixing, packing, pii, secret_scan, simhash, toxicity
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(documents(spark, sf_dir))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_simhash": op2_simhash,
@@ -116,4 +120,5 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op12_minhash": op12_minhash,
 }
