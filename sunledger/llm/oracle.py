@@ -5,6 +5,7 @@ from __future__ import annotations
 from sunledger.llm.license_scan import LICENSE_FILE, TERM, THRESHOLD, Templates
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SEARCH_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 def license_sql(share: float) -> str:
     """Every line, paragraph and text against every template, without the operator's pruning."""
@@ -109,6 +110,33 @@ MIXING = """
   from d join r on d.source is not distinct from r.source and d.lang is not distinct from r.lang
     and d.topic = r.topic"""
 
+#: Every document scored for every item.
+RANKED = f"""
+  with d as (
+    select row_number() over () as row, doc_id,
+      regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{SEARCH_TERM}') as terms
+    from documents
+  ), total as (
+    select count(*) as n, sum(len(terms))::bigint as words from d where len(terms) > 0
+  ), q as (
+    select item_id, text, unnest(list_distinct(regexp_extract_all(translate(text, '{UPPER}', '{UPPER.lower()}'), '{SEARCH_TERM}'))) as term
+    from (select distinct item_id, text from benchmark)
+  ), tf as (
+    select row, term, count(*) as tf
+    from (select row, unnest(terms) as term from d) where term in (select term from q) group by all
+  ), weight as (
+    select term, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::bigint as w from tf, total group by term
+  ), norm as (
+    select row, doc_id, 100 - 50 + ((50 * len(terms) * n) // words) as m from d, total
+  ), scored as (
+    select item_id, text, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+    from q join tf using (term) join weight using (term) join norm using (row) group by item_id, text, row, doc_id
+  )
+  select item_id, rank, doc_id, score from (
+    select *, row_number() over (partition by item_id, text order by score desc, doc_id nulls last)::int as rank
+    from scored where score > 0
+  ) where rank <= 50"""
+
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_sql(0.2),
     "op5_mixing": MIXING,
@@ -120,4 +148,5 @@ ORACLE: dict[str, str] = {
         select text_sha256, max(doc_id) as keep_id, count(*) as group_size from t group by 1
       )
       select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from t join g using (text_sha256)""",
+    "op11_ranked_search": RANKED,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import exact_dedup, fingerprints, language_id, license_scan, minhash, mixing, packing, pii, secret_scan, simhash, toxicity
+from sunledger.llm import (
+    alignment,
+    exact_dedup,
+    fingerprints,
+    language_id,
+    lexical,
+    license_scan,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    secret_scan,
+    simhash,
+    toxicity,
+)
 from sunledger.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,10 +105,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,10 +119,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=50)
+
+
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_simhash": op2_simhash,
@@ -120,5 +142,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
     "op12_minhash": op12_minhash,
+    "op13_alignment": op13_alignment,
 }

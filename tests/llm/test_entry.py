@@ -20,7 +20,7 @@ from test_simhash import brute_components
 
 
 def test_all_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == [*range(1, 11), 12]
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact dedup", "SimHash near-dedup", "mixing sources to target weights", "best-fit packing"
