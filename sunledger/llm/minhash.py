@@ -32,7 +32,7 @@ PERCENT = 80
 #: At similarity 0.8 all bands miss a pair once in 330,000; from 0.9 on, less than once in 10^12.
 BANDS, ROWS = 32, 5
 #: Members of a bucket that all others of it meet.
-LEADERS = 4
+LEADERS = 2
 #: A bucket with more members that are apart than this is compared block by block, and others pair by pair.
 CROWD = 32
 BLOCK = 256
