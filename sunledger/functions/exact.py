@@ -44,12 +44,15 @@ def _double(value: float) -> str:
     return repr(value).replace("e+", "E") + "D"
 
 
-def _exact_sum(x: str) -> str:
+def _parts(x: str) -> list[str]:
+    """The whole number and the digits of one double, as SQL."""
     rounded = [f"rint(({x}) * {_double(2.0 ** (BITS * place))})" for place in range(PLACES + 1)]
-    whole = f"sum(cast({rounded[0]} as bigint))"
-    digits = [
-        f"sum(cast({fine} - {_double(float(STEP))} * {coarse} as bigint))" for coarse, fine in zip(rounded, rounded[1:])
-    ]
+    fine = [f"cast({fine} - {_double(float(STEP))} * {coarse} as bigint)" for coarse, fine in zip(rounded, rounded[1:])]
+    return [f"cast({rounded[0]} as bigint)", *fine]
+
+
+def _total(whole: str, digits: list[str]) -> str:
+    """One double from the summed parts."""
     digits = f"array({', '.join(reversed(digits))})"
     # The total rounded down tells its sign. Settling carries on a positive total leaves digits of one sign, so that
     # putting them together never cancels.
@@ -64,3 +67,29 @@ def _exact_sum(x: str) -> str:
         f"transform(array(struct({settled} as s, {whole} as whole)), "
         "t -> t.s.sign * (cast(t.s.sign * t.whole + t.s.carry as double) + t.s.rest))[0]"
     )
+
+
+def _exact_sum(x: str) -> str:
+    whole, *digits = (f"sum({part})" for part in _parts(x))
+    return _total(whole, digits)
+
+
+PART_NAMES = tuple(f"part_{place}" for place in range(PLACES + 1))
+
+
+def exact_parts(x: str) -> list[Column]:
+    """The summed parts as columns of their own, :data:`PART_NAMES`: stored, they merge into the sums of wider windows
+    or of more keys, to the bits that the readings themselves would give."""
+    return [F.expr(f"sum({part})").alias(name) for part, name in zip(_parts(x), PART_NAMES)]
+
+
+def merged_sum() -> Column:
+    """The total of a group of rows with stored parts; NULL where no row has any."""
+    whole, *digits = (f"sum({name})" for name in PART_NAMES)
+    return F.expr(_total(whole, digits))
+
+
+def parts_total() -> Column:
+    """The total that the stored parts of one row stand for."""
+    whole, *digits = PART_NAMES
+    return F.expr(_total(whole, digits))

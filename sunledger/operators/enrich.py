@@ -1,14 +1,17 @@
-"""Each generator reading with the weather its plant had at that time."""
+"""Each generator reading with the weather its plant had at that time, or last before it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions import same_or_mean, wall_clock
 from sunledger.operators.project import key_columns
 from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, WEATHER_MEASURES
 
+READING = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
+
+
 def weather_at(weather: DataFrame) -> DataFrame:
     """One row per plant and event time, so the join below is many-to-one whatever the input holds. A value that all
     rows agree on passes through as it is; where sensors differ it is their mean."""
@@ -32,7 +35,11 @@ def enrich_readings(generator: DataFrame, weather: DataFrame, spread: int | None
         left = left.withColumn("share", F.pmod(content, F.lit(spread)).cast("int"))
         right = right.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
         join_key = [*join_key, "share"]
-    return left.join(right, join_key, "left").select(
+    return _enriched(left.join(right, join_key, "left"))
+
+
+def _enriched(joined: DataFrame) -> DataFrame:
+    return joined.select(
         *key_columns(),
         wall_clock(EVENT_TIME).alias("date_time"),
         F.col("DC_POWER").alias("dc_power"),
@@ -42,3 +49,51 @@ def enrich_readings(generator: DataFrame, weather: DataFrame, spread: int | None
         F.col("MODULE_TEMPERATURE").alias("module_temp"),
         F.col("IRRADIATION").alias("irradiation"),
     )
+
+
+def asof_enriched(generator: DataFrame, weather: DataFrame, tolerance: str = "15 minutes") -> DataFrame:
+    """Each reading with the last weather its plant had at or up to ``tolerance`` before it; batch or (both sides
+    watermarked) stream. Readings without such weather keep NULL."""
+    if generator.isStreaming:
+        return _asof_stream(generator, weather_at(weather), tolerance)
+    return _asof_batch(generator, weather_at(weather), tolerance)
+
+
+def _asof_batch(generator: DataFrame, weather: DataFrame, tolerance: str) -> DataFrame:
+    """Both sides in buckets of time as wide as the tolerance, in order within them. What a reading may need from before
+    its bucket is the last weather row of the bucket before, so each bucket is handed that one row: no bucket knows more
+    than its own rows and one, and a plant's whole history is never in one task."""
+    width = F.expr(f"interval {tolerance}")
+    bucket = F.window(EVENT_TIME, tolerance)["start"]
+    sky = weather.withColumn("bucket", bucket).withColumn("sky", F.struct(EVENT_TIME, *WEATHER_MEASURES))
+    carried = sky.groupBy(PLANT, "bucket").agg(F.max_by("sky", EVENT_TIME).alias("sky"))
+    carried = carried.withColumn("bucket", F.col("bucket") + width)
+    skies = sky.select(PLANT, "bucket", "sky").unionByName(carried.select(PLANT, "bucket", "sky"))
+    skies = skies.withColumn("at", F.col(f"sky.{EVENT_TIME}")).withColumn("reading", F.lit(None))
+    rows = generator.select(PLANT, bucket.alias("bucket"), F.col(EVENT_TIME).alias("at"), F.struct(*READING).alias("reading"))
+    # Weather comes before readings of the same time.
+    order = Window.partitionBy(PLANT, "bucket").orderBy("at", F.col("reading").isNotNull())
+    last = F.last("sky", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    every = skies.unionByName(rows, allowMissingColumns=True).withColumn("sky", last).filter("reading is not null")
+    near = F.col("sky").getField(EVENT_TIME) >= F.col("at") - width
+    return _enriched(every.select("reading.*", *(F.when(near, F.col("sky")[m]).alias(m) for m in WEATHER_MEASURES)))
+
+
+def _asof_stream(generator: DataFrame, weather: DataFrame, tolerance: str) -> DataFrame:
+    """A join with a range of time, whose state both watermarks clear, then the last match of each reading. Equal
+    readings are one group of it; how many they were is the rows over the matches of each. A reading is given once the
+    slower watermark is the tolerance beyond it."""
+    sky = weather.withColumnsRenamed({EVENT_TIME: "sky_time", PLANT: "sky_plant"})
+    near = (
+        (F.col(PLANT) == F.col("sky_plant"))
+        & (F.col("sky_time") <= F.col(EVENT_TIME))
+        & (F.col("sky_time") >= F.col(EVENT_TIME) - F.expr(f"interval {tolerance}"))
+    )
+    joined = generator.select(*READING).join(sky, near, "left")
+    matched = joined.groupBy(*READING).agg(
+        F.max_by(F.struct(*WEATHER_MEASURES), "sky_time").alias("sky"),
+        F.count("*").alias("n_rows"),
+        F.greatest(F.size(F.collect_set("sky_time")), F.lit(1)).alias("n_skies"),
+    )
+    copies = F.sequence(F.lit(1).cast("bigint"), F.expr("n_rows div n_skies"))
+    return _enriched(matched.select(*READING, "sky.*", F.explode(copies).alias("copy")))

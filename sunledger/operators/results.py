@@ -21,3 +21,13 @@ def result_tables(
         GENERATOR_METRICS.name: project.generator_metrics(generator),
         WEATHER_METRICS.name: project.weather_metrics(weather),
     }
+
+
+def tables_from_parts(parts: DataFrame, generator: DataFrame, weather: DataFrame) -> dict[str, DataFrame]:
+    """The same from stored ``hourly_parts`` and readings."""
+    return {
+        DAILY_YIELD.name: yields.daily_from_parts(parts),
+        HOURLY_YIELD.name: yields.hourly_from_parts(parts),
+        GENERATOR_METRICS.name: project.generator_metrics(generator),
+        WEATHER_METRICS.name: project.weather_metrics(weather),
+    }

@@ -174,4 +174,50 @@ BODIES |= {
       union all select 'weather_metrics', count(distinct (plant_id, source_key, date_time)) from ({WEATHER_METRICS})""",
 }
 
+ASOF = f"""select g.PLANT_ID as plant_id, g.SOURCE_KEY as source_key, g.DATE_TIME as date_time,
+  DC_POWER as dc_power, AC_POWER as ac_power, DAILY_YIELD as yield,
+  case when near then ambient_temp end as ambient_temp, case when near then module_temp end as module_temp,
+  case when near then irradiation end as irradiation
+  from (select g.*, a.* exclude (DATE_TIME, PLANT_ID), g.DATE_TIME - a.DATE_TIME <= interval 15 minute as near
+    from g asof left join ({WEATHER_AT}) a on g.PLANT_ID = a.PLANT_ID and g.DATE_TIME >= a.DATE_TIME) g"""
+ENERGY = f"""select cast(date_trunc('hour', DATE_TIME) as timestamp) as window_start, PLANT_ID as plant_id,
+  SOURCE_KEY as source_key, {xs("step")} as energy
+  from (select *, case when before is null or c < before then c else c - before end as step
+    from (select *, lag(c) over (partition by PLANT_ID, SOURCE_KEY, date_trunc('day', DATE_TIME) order by DATE_TIME) as before
+      from (select PLANT_ID, SOURCE_KEY, DATE_TIME, max(DAILY_YIELD) as c from g group by 1, 2, 3)))
+  group by 1, 2, 3"""
+# A step is a difference of doubles and not a product of the scale: what lies under 2^-100 is cut by the cast alike.
+# An episode begins with the first hour under 95 since the last that cleared or the last gap.
+EPISODES = f"""select plant_id, min(hour_start) as first_hour, max(hour_start) as last_hour, count(*) as n_hours,
+  min(efficiency_pct) as worst
+  from (select *, min(efficiency_pct) over (partition by plant_id, run order by hour_start) as lowest
+    from (select *, sum(case when starts then 1 else 0 end) over (partition by plant_id order by hour_start) as run
+      from (select *, coalesce(lag(efficiency_pct >= {{clear}}) over w
+          or hour_start - lag(hour_start) over w > interval 1 hour, true) as starts
+        from ({EFFICIENCY}) where efficiency_pct is not null {{more}} window w as (partition by plant_id order by hour_start))
+      where efficiency_pct < {{clear}}))
+  where lowest < 95 group by plant_id, run"""
+LATE = f"""select {READING}, DATE_TIME as t0, cast(date_trunc('hour', DATE_TIME) as timestamp) + interval 1 hour as window_end,
+  cast(PLANT_ID as bigint) as batch
+  from g where date_trunc('hour', DATE_TIME) + interval 1 hour
+    <= (select max(o.DATE_TIME) from g o where o.PLANT_ID < g.PLANT_ID) - interval 30 minute"""
+BODIES |= {
+    "daily_yield_from_hours": DAILY_YIELD,
+    "daily_production_from_hours": BODIES["daily_production"],
+    "reloaded_hourly_yield": HOURLY_YIELD,
+    "compacted_generator_metrics": BODIES["keyed_generator_metrics"],
+    "published_in_order": BODIES["hourly_yield_stream"],
+    "late_readings": f"select * exclude (t0) from ({LATE})",
+    "printed_messages": BODIES["raw_rows"],
+    "asof_enriched_readings": ASOF,
+    # Spark keeps a reading until the slower watermark is the range of the join beyond it.
+    "asof_enriched_readings_stream": f"""select * from ({ASOF})
+      where date_time + interval 15 minute <= (select least(closed.upto, closed_w.upto) from closed, closed_w)""",
+    "hourly_energy": ENERGY,
+    "alert_episodes": EPISODES.format(clear="97", more=""),
+    # An episode is closed when the watermark is a gap beyond its last hour.
+    "alert_episodes_stream": f"""select * from ({EPISODES.format(clear="95", more=f"and {HOUR_CLOSED}")})
+      where last_hour + interval 121 minute <= (select upto from closed)""",
+}
+
 ORACLE = {name: VIEWS.strip() + body for name, body in BODIES.items()}

@@ -9,17 +9,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from sunledger import schemas as S
 from sunledger.functions import wall_clock_literal
-from sunledger.operators import enrich, keys, metrics, project, slots, yields
+from sunledger.operators import energy, enrich, episodes, keys, metrics, project, slots, yields
 from sunledger.plans import views
 from sunledger.session import configure, configure_streams, new_run_dir
-from sunledger.sinks import tables, topics
+from sunledger.sinks import tables, topics, versions
 from sunledger.sources import csv_readings, csv_with_rejects, decode_json, decode_with_rejects, message_files
-from sunledger.streaming.jobs import FILES_PER_DAY, read_results, start_all, start_files, start_table
-from sunledger.streaming.replay import replay
+from sunledger.streaming.jobs import FILES_PER_DAY, read_results, start_all, start_files, start_print, start_table
+from sunledger.streaming.late import read_late, start_late
+from sunledger.streaming.replay import replay_in_order
 from sunledger.streaming.sources import generator_stream as message_stream
+from sunledger.streaming.sources import raw_generator_rows
 from sunledger.streaming.sources import watermarked
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +30,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Capacity of the three test plants, in kW, and the efficiency under which an hour raises an alert.
 CAPACITY = [(0, 100), (1, 150), (2, 200)]
 EFFICIENCY_ALERT_PCT = 95.0
+EFFICIENCY_CLEAR_PCT = 97.0
 SLICE = (datetime(2024, 1, 10), datetime(2024, 1, 13))
 # Window starts from the half hour on: the first hour that counts is the next.
 HOURS = (datetime(2024, 1, 10, 5, 30), datetime(2024, 1, 11, 2))
 HALF = datetime(2024, 1, 16)
+PLANTS = (0, 1, 2)
+#: A replayed run of slots: each is one micro-batch. A published slice, and the files of one trigger over them.
+RUN = "3 days"
+SLICE_WIDTH = "30 minutes"
+FILES_PER_TRIGGER = "200"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +88,12 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.alerts(efficiency, "efficiency_pct", below=EFFICIENCY_ALERT_PCT)
 
 
+def alert_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raised under 95 %, cleared at 97."""
+    efficiency = metrics.conversion_efficiency(generator(spark, sf_dir))
+    return episodes.alert_episodes(efficiency, "efficiency_pct", below=EFFICIENCY_ALERT_PCT, clear=EFFICIENCY_CLEAR_PCT)
+
+
 def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.duplicate_keys(project.generator_metrics(generator(spark, sf_dir)), S.GENERATOR_METRICS.key)
 
@@ -209,6 +224,47 @@ def loaded_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, spec, f"{root}/{spec.name}").select(*spec.column_names)
 
 
+def _hourly_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored hourly sums before rounding."""
+    path = new_run_dir(spark, "hourly_parts")
+    tables.write_table(yields.hourly_parts(generator(spark, sf_dir)), S.HOURLY_PARTS, path)
+    return tables.read_table(spark, S.HOURLY_PARTS, path)
+
+
+def daily_yield_from_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """daily_yield from the stored hourly sums: the same bits as from the readings."""
+    return yields.daily_from_parts(_hourly_parts(spark, sf_dir))
+
+
+def daily_production_from_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return yields.production_from_parts(_hourly_parts(spark, sf_dir))
+
+
+def reloaded_hourly_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """hourly_yield behind the pointer, after a load of half of the time and one of all of it."""
+    root = new_run_dir(spark, "versions")
+    early = F.col(S.EVENT_TIME) < wall_clock_literal(HALF)
+    versions.reload_history(generator(spark, sf_dir).filter(early), weather(spark, sf_dir).filter(early), root)
+    versions.reload_history(generator(spark, sf_dir), weather(spark, sf_dir), root)
+    return versions.read_current(spark, S.HOURLY_YIELD, root).select(*S.HOURLY_YIELD.column_names)
+
+
+def compacted_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """generator_metrics of many appends, after its closed days were compacted."""
+    spec, root = S.GENERATOR_METRICS, new_run_dir(spark, "compacted")
+    rows = project.generator_metrics(generator(spark, sf_dir))
+
+    def appended(path: str) -> None:
+        tables.create_tables(spark, path)
+        for part in range(3):
+            share = F.pmod(F.xxhash64("date_time"), F.lit(3)) == part
+            tables.append_new_rows(rows.filter(share), spec, f"{path}/{spec.name}")
+
+    versions.replace_all(spark, root, appended)
+    versions.compact(spark, root, HALF.date())
+    return versions.read_current(spark, spec, root).select(*spec.column_names)
+
+
 # --- streams: the events table as a file stream, run until it is used up ---
 
 
@@ -318,8 +374,9 @@ def streamed_generator_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, spec, f"{root}/{spec.name}").select(*spec.column_names)
 
 
-def _hourly_from(spark: SparkSession, messages: str, run: str) -> DataFrame:
-    stream = yields.hourly_yield(message_stream(message_files(configure_streams(spark), messages, stream=True)))
+def _hourly_from(spark: SparkSession, messages: str, run: str, **options: str) -> DataFrame:
+    files = message_files(configure_streams(spark), messages, stream=True, **options)
+    stream = yields.hourly_yield(message_stream(files))
     files = FILES_PER_DAY[S.HOURLY_YIELD.name]
     start_table(
         stream, S.HOURLY_YIELD, f"{run}/table", f"{run}/checkpoint", available_now=True, files_per_day=files
@@ -344,12 +401,61 @@ def restarted_hourly_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replayed_hourly_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files, replayed as message files by slot, taken in by a stream."""
+    """CSV files, replayed in event-time order to one stream, a run of slots in each micro-batch."""
     run = new_run_dir(spark, "replayed")
-    readings = csv_scan(spark, sf_dir)
-    for _ in replay(readings, f"{run}/in"):
+    files = FILES_PER_DAY[S.HOURLY_YIELD.name]
+
+    def start(path: str) -> StreamingQuery:
+        stream = yields.hourly_yield(message_stream(message_files(configure_streams(spark), path, stream=True)))
+        return start_table(stream, S.HOURLY_YIELD, f"{run}/table", f"{run}/checkpoint", available_now=True, files_per_day=files)
+
+    for _ in replay_in_order(csv_scan(spark, sf_dir), f"{run}/staged", f"{run}/in", start, RUN):
         pass
-    return _hourly_from(spark, f"{run}/in/*", run)
+    return tables.read_table(spark, S.HOURLY_YIELD, f"{run}/table").select(*S.HOURLY_YIELD.column_names)
+
+
+def published_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that come plant by plant, published by time; a stream that takes the files in a bounded number at a
+    time closes every hour with all its readings."""
+    run = new_run_dir(spark, "published")
+    readings = generator(spark, sf_dir)
+    by_plant = reduce(DataFrame.unionAll, [readings.filter(F.col(S.PLANT) == plant) for plant in PLANTS])
+    topics.stage_slices(by_plant, f"{run}/staged", SLICE_WIDTH)
+    topics.publish_files(spark, f"{run}/staged", f"{run}/in")
+    return _hourly_from(spark, f"{run}/in", run, maxFilesPerTrigger=FILES_PER_TRIGGER)
+
+
+def late_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One plant after the other on one stream: what the plants before have closed, the next is late for."""
+    run = new_run_dir(spark, "late")
+    schema = S.generator_schema(T.TimestampType())
+    for plant in PLANTS:
+        generator_messages(spark, sf_dir, f"{run}/in", F.col(S.PLANT) == plant)
+        stream = decode_json(message_files(configure_streams(spark), f"{run}/in", stream=True), schema)
+        start_late(stream, f"{run}/out", f"{run}/checkpoint", available_now=True).awaitTermination()
+    return read_late(spark, f"{run}/out", schema)
+
+
+def printed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of a stream from its earliest message on, printed as lines and read back."""
+    run = new_run_dir(spark, "printed")
+    generator_messages(spark, sf_dir, f"{run}/in")
+    stream = raw_generator_rows(message_files(configure_streams(spark), f"{run}/in", stream=True))
+    start_print(stream, f"{run}/lines", f"{run}/checkpoint", available_now=True).awaitTermination()
+    lines = spark.read.text(f"{run}/lines")
+    fields = S.generator_schema(T.StringType())
+    return lines.select(F.from_json("value", fields, {"mode": "FAILFAST"}).alias("row")).select("row.*")
+
+
+def asof_enriched_readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = enrich.asof_enriched(generator_stream(spark, sf_dir), weather_stream(spark, sf_dir))
+    return _run_files(spark, joined, "asof_enriched_readings")
+
+
+def alert_episodes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = metrics.generator_by_window(generator_stream(spark, sf_dir))
+    low = episodes.alert_episodes_stream(hours, "efficiency_pct", below=EFFICIENCY_ALERT_PCT)
+    return _run_files(spark, low, "alert_episodes")
 
 
 QUERIES: dict[str, Query] = {
@@ -399,4 +505,16 @@ QUERIES: dict[str, Query] = {
     "enriched_readings_stream": enriched_readings_stream,
     "dashboard_stream": dashboard_stream,
     "alerts_stream": alerts_stream,
+    "daily_yield_from_hours": daily_yield_from_hours,
+    "daily_production_from_hours": daily_production_from_hours,
+    "reloaded_hourly_yield": reloaded_hourly_yield,
+    "compacted_generator_metrics": compacted_generator_metrics,
+    "published_in_order": published_in_order,
+    "late_readings": late_readings,
+    "printed_messages": printed_messages,
+    "asof_enriched_readings": _of_both(enrich.asof_enriched),
+    "asof_enriched_readings_stream": asof_enriched_readings_stream,
+    "hourly_energy": _of_generator(energy.hourly_energy),
+    "alert_episodes": alert_episodes,
+    "alert_episodes_stream": alert_episodes_stream,
 }

@@ -91,4 +91,12 @@ HOURLY_YIELD = TableSpec(
 )
 # --- end of fixed values ---
 
+#: Not one of the four: the hourly sums of DAILY_YIELD before rounding, as the parts that :mod:`sunledger.functions.exact` sums.
+HOURLY_PARTS = TableSpec(
+    "hourly_parts",
+    _columns(window_start=TIME, plant_id=INT, source_key=TEXT, n_rows=T.LongType(), **{f"part_{i}": T.LongType() for i in range(6)}),
+    ("window_start", "plant_id", "source_key"),
+    "window_start",
+)
+
 TABLES = {spec.name: spec for spec in (DAILY_YIELD, GENERATOR_METRICS, WEATHER_METRICS, HOURLY_YIELD)}

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 
 from sunledger.operators.keys import new_rows
 from sunledger.schemas import SINK_SCHEMA, TableSpec
-from sunledger.sinks.tables import touched_days
+from sunledger.sinks.tables import TimeRange, touched_ranges
 
 DRIVER = "org.postgresql.Driver"
 
@@ -32,36 +30,30 @@ def append_rows(rows: DataFrame, spec: TableSpec, options: dict[str, str]) -> No
     rows.select(*spec.column_names).write.format("jdbc").options(**options).mode("append").save()
 
 
-def day_ranges(column: str, days: list[date]) -> list[str]:
-    """Runs of days in a row, each as one SQL predicate: each is one query of its own to the database."""
-    runs: list[list[date]] = []
-    for day in days:
-        if runs and day - runs[-1][1] == timedelta(days=1):
-            runs[-1][1] = day
-        else:
-            runs.append([day, day])
-    ends = [(first, last + timedelta(days=1)) for first, last in runs]
-    return [f"\"{column}\" >= timestamp '{a} 00:00:00' AND \"{column}\" < timestamp '{b} 00:00:00'" for a, b in ends]
+def range_predicates(column: str, ranges: list[TimeRange]) -> list[str]:
+    """Each range of time as one SQL predicate: one query of its own to the database."""
+    return [f"\"{column}\" >= timestamp '{a}' AND \"{column}\" < timestamp '{b}'" for a, b in ranges]
 
 
-def stored_keys(spark: SparkSession, spec: TableSpec, options: dict[str, str], days: list[date]) -> DataFrame:
-    """Keys of some days, read in parallel. The time ranges and the column list run in the database."""
+def stored_keys(spark: SparkSession, spec: TableSpec, options: dict[str, str], ranges: list[TimeRange]) -> DataFrame:
+    """Keys of some ranges of time, read in parallel. The ranges and the column list run in the database."""
     properties = {k: v for k, v in options.items() if k not in ("url", "dbtable", "numPartitions")}
     properties["preferTimestampNTZ"] = "true"
-    ranges = day_ranges(spec.time_column, days)
-    table = spark.read.jdbc(options["url"], options["dbtable"], predicates=ranges, properties=properties)
+    predicates = range_predicates(spec.time_column, ranges)
+    table = spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=properties)
     return table.select(*spec.key)
 
 
 def append_new_rows(batch: DataFrame, spec: TableSpec, options: dict[str, str]) -> None:
-    """Append the rows whose key is not stored yet. A batch that failed half-way can simply run again, and a
-    replay from the earliest message does not trip over the primary key. A row without a time stops the append."""
+    """Append the rows whose key is not stored yet; only the hours that the batch has rows of are looked up. A batch that
+    failed half-way can simply run again, and a replay from the earliest message does not trip over the primary key. A
+    row without a time stops the append."""
     batch = batch.persist()
     try:
-        days = touched_days(batch, spec)
-        if not days:
+        ranges = touched_ranges(batch, spec)
+        if not ranges:
             return
-        stored = stored_keys(batch.sparkSession, spec, options, days)
+        stored = stored_keys(batch.sparkSession, spec, options, ranges)
         append_rows(new_rows(batch, stored, spec), spec, options)
     finally:
         batch.unpersist()

@@ -3,21 +3,38 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.functions import wall_clock_literal, window_range
+from sunledger.operators import yields
 from sunledger.operators.keys import first_per_key, new_rows
 from sunledger.operators.project import by_position
-from sunledger.operators.results import result_tables
-from sunledger.schemas import GENERATOR_METRICS, TABLES, WEATHER_METRICS, TableSpec, generator_schema, weather_schema
-from sunledger.session import path_exists
-from sunledger.sources.decode import decode_with_rejects
+from sunledger.operators.results import tables_from_parts
+from sunledger.schemas import (
+    EVENT_TIME,
+    GENERATOR_METRICS,
+    HOURLY_PARTS,
+    TABLES,
+    WEATHER_METRICS,
+    TableSpec,
+    generator_schema,
+    weather_schema,
+)
+from sunledger.session import new_run_dir, path_exists
+from sunledger.sources.decode import decode_marked, split_marked
 
 PARTITION = "event_date"
 STREAM_LOG = "_spark_metadata"
+#: Rows lie by time within a file, so a range of time opens the row groups it needs; a file has several.
+ROW_GROUP_BYTES = 16 << 20
+#: A keyed append looks the batch's hours up as so many ranges of time at most; nearer ones are joined beyond that.
+MOST_RANGES = 64
+TimeRange = tuple[datetime, datetime]
 
 
 def dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -25,9 +42,15 @@ def dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def write_table(
-    rows: DataFrame, spec: TableSpec, path: str, mode: str = "append", rebalance: bool = True
+    rows: DataFrame,
+    spec: TableSpec,
+    path: str,
+    mode: str = "append",
+    rebalance: bool = True,
+    row_group_bytes: int = ROW_GROUP_BYTES,
 ) -> None:
     """Write rows into the table's columns, taken by name, one folder per day; :func:`insert_into` takes them by place.
+    Each file is in order of time.
 
     ``rebalance`` gathers each day into files of AQE's advisory size: small days share no task with
     thousands of tiny files, and a day that holds a third of all rows is split. Turn it off for rows that
@@ -38,7 +61,9 @@ def write_table(
     out = dated(rows, spec)
     if rebalance:
         out = out.hint("rebalance", F.col(PARTITION))
-    out.write.mode(mode).partitionBy(PARTITION).parquet(path)
+    out = out.sortWithinPartitions(PARTITION, spec.time_column)
+    writer = out.write.mode(mode).option("parquet.block.size", row_group_bytes)
+    writer.partitionBy(PARTITION).parquet(path)
 
 
 def insert_into(rows: DataFrame, spec: TableSpec, path: str) -> None:
@@ -46,31 +71,48 @@ def insert_into(rows: DataFrame, spec: TableSpec, path: str) -> None:
     write_table(by_position(rows, spec), spec, path)
 
 
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written once and read back: what follows does not parse or sum them again."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def load_history(generator: DataFrame, weather: DataFrame, root: str) -> None:
     """All four tables under ``root`` from batch readings, in place of what was there, one row per key.
 
-    Sums count every message, repeated ones too; the tables of single readings hold each key once. A reading without an
-    event time stops the load: split such rows off first (``decode_with_rejects``, ``csv_with_rejects``).
+    Each input is read once and staged in the shared folder; the yields come from one pass over the staged readings,
+    kept as the table ``hourly_parts`` beside the four. Sums count every message, repeated ones too; the tables of single
+    readings hold each key once. A reading without an event time stops the load: split such rows off first
+    (``decode_with_rejects``, ``csv_with_rejects``).
     """
-    for name, rows in result_tables(generator, weather).items():
+    staging = new_run_dir(generator.sparkSession, "load")
+    load_staged(staged(generator, f"{staging}/generator"), staged(weather, f"{staging}/weather"), root)
+
+
+def load_staged(generator: DataFrame, weather: DataFrame, root: str) -> None:
+    """:func:`load_history` from readings that can be read again at little cost, such as Parquet."""
+    spark, path = generator.sparkSession, f"{root}/{HOURLY_PARTS.name}"
+    for readings, spec in ((generator, GENERATOR_METRICS), (weather, WEATHER_METRICS)):
+        if readings.filter(F.col(EVENT_TIME).isNull()).limit(1).count():
+            raise ValueError(f"a row of {spec.name} without {spec.time_column}")
+    write_table(yields.hourly_parts(generator), HOURLY_PARTS, path, mode="overwrite")
+    parts = read_table(spark, HOURLY_PARTS, path)
+    for name, rows in tables_from_parts(parts, generator, weather).items():
         spec = TABLES[name]
         if name in (GENERATOR_METRICS.name, WEATHER_METRICS.name):
-            rows = first_per_key(timed(rows, spec), spec)
+            rows = first_per_key(rows, spec)
         write_table(rows, spec, f"{root}/{name}", mode="overwrite")
 
 
 def load_messages(generator: DataFrame, weather: DataFrame, root: str) -> None:
     """:func:`load_history` from messages; those that are no reading go, with the reason, to ``generator_rejects`` and
-    ``weather_rejects`` under ``root``."""
-    readings = []
-    for name, rows, schema in (
-        ("generator_rejects", generator, generator_schema()),
-        ("weather_rejects", weather, weather_schema()),
-    ):
-        good, rejects = decode_with_rejects(rows, schema)
-        rejects.write.mode("overwrite").parquet(f"{root}/{name}")
+    ``weather_rejects`` under ``root``. Each message is parsed once."""
+    staging, readings = new_run_dir(generator.sparkSession, "load"), []
+    for name, messages, schema in (("generator", generator, generator_schema()), ("weather", weather, weather_schema())):
+        good, rejects = split_marked(staged(decode_marked(messages, schema), f"{staging}/{name}"))
+        rejects.write.mode("overwrite").parquet(f"{root}/{name}_rejects")
         readings.append(good)
-    load_history(*readings, root)
+    load_staged(*readings, root)
 
 
 def timed(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -120,23 +162,58 @@ def slice_between(table: DataFrame, spec: TableSpec, start: datetime, end: datet
 def append_new_rows(batch: DataFrame, spec: TableSpec, path: str) -> None:
     """Keyed append: rows whose key the table holds are left out, so a replayed batch adds nothing.
 
-    Only the stored days that the batch has rows of are read. The days come to the driver, one value for each, to prune
-    the read by; the keys themselves stay on the executors. A row without a time stops the append.
+    Only the stored hours that the batch has rows of are looked up: files lie by day and in order of time, so a batch of
+    one minute opens the row groups of one hour, however full the day is. The hours come to the driver, one value for
+    each; the keys themselves stay on the executors. A row without a time stops the append.
     """
     batch = batch.select(*spec.column_names).persist()
     try:
-        days = touched_days(batch, spec)
-        if not days:
+        ranges = touched_ranges(batch, spec)
+        if not ranges:
             return
-        stored = read_table(batch.sparkSession, spec, path).filter(F.col(PARTITION).isin(days))
+        stored = read_ranges(batch.sparkSession, spec, path, ranges)
         write_table(new_rows(batch, stored, spec), spec, path)
     finally:
         batch.unpersist()
 
 
-def touched_days(batch: DataFrame, spec: TableSpec) -> list[date]:
-    """The days a batch has rows of, in order: they grow with the time it spans at most, not with its rows."""
-    days = [row[0] for row in batch.select(F.to_date(spec.time_column)).distinct().collect()]
-    if None in days:
+def read_ranges(spark: SparkSession, spec: TableSpec, path: str, ranges: list[TimeRange]) -> DataFrame:
+    """Rows in any of some ranges of time (ends excluded). Days prune folders, ranges prune row groups."""
+    time = F.col(spec.time_column)
+    within = [(time >= wall_clock_literal(a)) & (time < wall_clock_literal(b)) for a, b in ranges]
+    days = F.col(PARTITION).isin(days_of(ranges))
+    return read_table(spark, spec, path).filter(days & reduce(or_, within)).select(*spec.column_names)
+
+
+def touched_ranges(batch: DataFrame, spec: TableSpec, most: int = MOST_RANGES) -> list[TimeRange]:
+    """The hours a batch has rows of, hours in a row as one range, in order. Of more than ``most`` ranges those with the
+    shortest gaps are joined: what is looked up only grows. The hours grow with the time the batch spans at most, not
+    with its rows."""
+    t = f"`{spec.time_column}`"
+    hour = F.expr(f"make_timestamp_ntz(year({t}), month({t}), day({t}), hour({t}), 0, 0)")
+    hours = [row[0] for row in batch.select(hour.alias("hour")).distinct().collect()]
+    if None in hours:
         raise ValueError(f"a row of {spec.name} without {spec.time_column}")
+    return joined_ranges([(h, h + timedelta(hours=1)) for h in sorted(hours)], most)
+
+
+def joined_ranges(ranges: list[TimeRange], most: int = MOST_RANGES) -> list[TimeRange]:
+    """Ranges in order, those that touch as one, and no more than ``most`` of them."""
+    gaps = sorted((b[0] - a[1] for a, b in zip(ranges, ranges[1:])), reverse=True)
+    bridged = max([timedelta(0), *gaps[most - 1 : most]])
+    out: list[TimeRange] = []
+    for start, end in ranges:
+        if out and start - out[-1][1] <= bridged:
+            out[-1] = (out[-1][0], end)
+        else:
+            out.append((start, end))
+    return out
+
+
+def days_of(ranges: list[TimeRange]) -> list[date]:
+    """Every day that a range has a part of, in order."""
+    days = set()
+    for start, end in ranges:
+        n = ((end - timedelta(microseconds=1)).date() - start.date()).days
+        days.update(start.date() + timedelta(days=i) for i in range(n + 1))
     return sorted(days)

@@ -52,8 +52,8 @@ def decode_json(
     return rows.filter(F.col(EVENT_TIME).isNotNull()).select(*finite_columns(schema))
 
 
-def decode_with_rejects(messages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Readings, and the messages that gave none: ``(value, reject_reason)``. Each message is in one of the two."""
+def decode_marked(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Every message, parsed once: its fields, and ``value, reject_reason`` where it gave no reading (NULL elsewhere)."""
     raw = messages.select(F.col("value").cast("string").alias("value"))
     with_text = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
     rows = _parsed(raw, with_text, "PERMISSIVE", ["value"]).withColumn(
@@ -62,5 +62,16 @@ def decode_with_rejects(messages: DataFrame, schema: T.StructType) -> tuple[Data
         .when(F.col(CORRUPT).isNotNull(), "malformed")
         .when(F.col(EVENT_TIME).isNull(), "no event time"),
     )
-    good = rows.filter("reject_reason IS NULL").select(*finite_columns(schema))
-    return good, rows.filter("reject_reason IS NOT NULL").select("value", "reject_reason")
+    value = F.when(F.col("reject_reason").isNotNull(), F.col("value")).alias("value")
+    return rows.select(value, "reject_reason", *finite_columns(schema))
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readings, and ``(value, reject_reason)`` of the other messages."""
+    good = marked.filter("reject_reason IS NULL").drop("value", "reject_reason")
+    return good, marked.filter("reject_reason IS NOT NULL").select("value", "reject_reason")
+
+
+def decode_with_rejects(messages: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Readings, and the messages that gave none: ``(value, reject_reason)``. Each message is in one of the two."""
+    return split_marked(decode_marked(messages, schema))

@@ -114,8 +114,18 @@ def start_keyed(
 ) -> StreamingQuery:
     """To a keyed store: ``append`` gets each micro-batch and must not mind getting one twice, as
     ``append_new_rows`` of either table sink does not."""
-    writer = _writer(stream, checkpoint, available_now, every)
-    return _start(stream.sparkSession, writer.foreachBatch(lambda batch, _: append(batch)))
+    return start_batches(stream, lambda batch, _: append(batch), checkpoint, available_now, every)
+
+
+def start_batches(
+    stream: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    available_now: bool = False,
+    every: str = "1 minute",
+) -> StreamingQuery:
+    """Each micro-batch and its number to ``write``, which must replace what it wrote under the same number before."""
+    return _start(stream.sparkSession, _writer(stream, checkpoint, available_now, every).foreachBatch(write))
 
 
 def start_print(

@@ -1,12 +1,12 @@
 import re
-from datetime import date
+from datetime import datetime
 
 from helpers import at, generator, generator_row, plan, rows, weather, weather_row
 from sunledger import schemas as S
 from sunledger.operators import metrics, project, yields
 from sunledger.plans import catalog
 from sunledger.sinks import tables
-from sunledger.sinks.jdbc import day_ranges
+from sunledger.sinks.jdbc import range_predicates
 
 
 def readings(spark):
@@ -47,10 +47,10 @@ def test_dashboard_over_the_stored_tables(spark, tmp_path):
     assert len(re.findall(r"^\(\d+\) Scan parquet", unrun, re.M)) == 2
 
 
-def test_day_ranges_cover_each_day_once():
-    days = [date(2020, 5, 15), date(2020, 5, 16), date(2020, 5, 18), date(1970, 1, 1)]
-    assert day_ranges("date_time", sorted(days)) == [
-        f"\"date_time\" >= timestamp '{a} 00:00:00' AND \"date_time\" < timestamp '{b} 00:00:00'"
-        for a, b in (("1970-01-01", "1970-01-02"), ("2020-05-15", "2020-05-17"), ("2020-05-18", "2020-05-19"))
+def test_each_range_is_a_query_of_its_own():
+    ranges = [(datetime(1970, 1, 1, 5), datetime(1970, 1, 1, 6)), (datetime(2020, 5, 15, 23), datetime(2020, 5, 16, 2))]
+    assert range_predicates("date_time", ranges) == [
+        "\"date_time\" >= timestamp '1970-01-01 05:00:00' AND \"date_time\" < timestamp '1970-01-01 06:00:00'",
+        "\"date_time\" >= timestamp '2020-05-15 23:00:00' AND \"date_time\" < timestamp '2020-05-16 02:00:00'",
     ]
-    assert day_ranges("t", []) == []
+    assert range_predicates("t", []) == []

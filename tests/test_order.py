@@ -1,0 +1,131 @@
+"""Publish and replay in event-time order, and the readings that come late."""
+
+import json
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import ScriptedStream, at, generator, generator_row, rows
+from sunledger import schemas as S
+from sunledger.operators import yields
+from sunledger.sinks import topics
+from sunledger.sources import decode_json, message_files
+from sunledger.streaming import jobs, late
+from sunledger.streaming.progress import progress_report
+from sunledger.streaming.replay import replay_in_order
+from sunledger.streaming.sources import generator_stream
+
+
+def three_days():
+    """Two plants, one after the other, each in order of time."""
+    return [
+        generator_row(f"{h:02d}:{m:02d}", 10 * h + m, plant=p, source=f"inv-{p}", day=f"2020-05-{d}")
+        for p in (1, 2) for d in (14, 15, 16) for h in range(0, 24, 2) for m in (0, 20)
+    ]
+
+
+def published(spark, folder):
+    """Times in each published file, in the order a file stream takes them."""
+    files = sorted(folder.glob("*.txt"), key=lambda f: f.stat().st_mtime_ns)
+    return [[json.loads(line)["DATE_TIME"] for line in f.read_text().splitlines()] for f in files]
+
+
+def test_files_are_published_in_order(spark, tmp_path):
+    readings = generator(spark, three_days()).repartition(5)
+    staging, path = str(tmp_path / "staged"), str(tmp_path / "in")
+    topics.stage_slices(readings, staging, "30 minutes")
+    names = topics.staged_names(spark, staging)
+    assert len(names) == 36 and names == sorted(names)
+    topics.publish_files(spark, staging, path, names[:7])
+    # Broken off after seven slices; the rest follows.
+    topics.stage_slices(readings, staging, "30 minutes")
+    topics.publish_files(spark, staging, path)
+    files = published(spark, tmp_path / "in")
+    assert all(times == sorted(times) for times in files)
+    hours = [{t[:13] for t in times} for times in files]
+    assert all(len(h) == 1 for h in hours) and [min(h) for h in hours] == sorted(min(h) for h in hours)
+    assert sum(map(len, files)) == readings.count()
+
+    stream = generator_stream(message_files(spark, path, stream=True, maxFilesPerTrigger="2"))
+    query = jobs.start_files(yields.hourly_yield(stream), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    report = progress_report(query)
+    assert report["late_rows"] == 0 and report["batches"] > 15
+    closed = yields.hourly_yield(readings).filter("window_end <= timestamp_ntz'2020-05-16 21:50:00'")
+    assert rows(jobs.read_results(spark, str(tmp_path / "out"), S.HOURLY_YIELD.schema)) == rows(closed)
+
+
+def test_a_moment_with_most_readings_is_split(spark, tmp_path):
+    hot = spark.range(20_000).select(
+        F.lit("2020-05-15 10:00:00").cast("timestamp_ntz").alias(S.EVENT_TIME),
+        *(F.col("id").cast("double").alias(c) for c in S.GENERATOR_MEASURES),
+        F.lit(1).alias(S.PLANT),
+        F.lit("inv-a").alias(S.SOURCE),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in topics.in_slices(hot, "30 minutes").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 4 and max(sizes) < 10_000
+
+
+def test_a_replay_that_was_killed_goes_on(spark, tmp_path):
+    """Runs in order, each a micro-batch; stopped once after a run and once before its stream took it in."""
+    readings = generator(spark, three_days())
+    staging, path, seen = str(tmp_path / "staged"), str(tmp_path / "in"), []
+
+    def start(folder):
+        stream = yields.hourly_yield(generator_stream(message_files(spark, folder, stream=True)))
+        query = jobs.start_files(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        seen.append(query)
+        return query
+
+    first = replay_in_order(readings, staging, path, start, "6 hours")
+    done = [next(first) for _ in range(3)]
+    first.close()
+    topics.publish_files(spark, staging, path, topics.staged_names(spark, staging)[:1])
+    rest = list(replay_in_order(readings, staging, path, start, "6 hours"))
+    assert done + rest == sorted(done + rest) and len(done) == 3 and len(rest) == 8
+    reports = [progress_report(query) for query in seen]
+    assert sum(r["late_rows"] for r in reports) == 0
+    assert sum(r["input_rows"] for r in reports) == readings.count()
+    closed = yields.hourly_yield(readings).filter("window_end <= timestamp_ntz'2020-05-16 21:50:00'")
+    assert rows(jobs.read_results(spark, str(tmp_path / "out"), S.HOURLY_YIELD.schema)) == rows(closed)
+
+
+LATE = """
+00:00 1    00:45 2
+02:00 4    00:15 8
+00:30 16   00:31 32   01:15 64
+04:00 1    01:20 2    03:59 4
+01:59 8    02:01 16   03:00 32
+"""
+
+
+def test_each_late_reading_is_kept_and_counted(spark, tmp_path):
+    """In = counted + late + still open, reading by reading; a batch that runs twice replaces itself."""
+    scripted = ScriptedStream(spark, tmp_path / "in").script(LATE)
+    schema = S.generator_schema(T.TimestampType())
+    out = str(tmp_path / "late")
+    late.start_late(decode_json(scripted.stream(), schema), out, str(tmp_path / "c1"), available_now=True).awaitTermination()
+    found = late.read_late(spark, out, schema)
+    assert rows(found.select("batch", "DATE_TIME", "DC_POWER")) == [
+        (2, at("00:30"), 16.0), (2, at("00:31"), 32.0), (4, at("01:59"), 8.0), (4, at("02:01"), 16.0)
+    ]
+    counts = {r.batch: (r.n_rows, r.n_late) for r in late.late_counts(spark, out).collect()}
+    assert counts == {0: (2, 0), 1: (2, 0), 2: (3, 2), 3: (3, 0), 4: (3, 2)}
+
+    # The sums of a query with the same batches: what they counted, and what is open, is all the rest.
+    parts = yields.hourly_parts(generator_stream(scripted.stream()))
+    jobs.start_files(parts, str(tmp_path / "parts"), str(tmp_path / "c2")).awaitTermination()
+    closed = jobs.read_results(spark, str(tmp_path / "parts"), parts.schema)
+    counted = closed.agg(F.sum("n_rows")).first()[0]
+    ends = {r.window_start for r in closed.collect()}
+    every = [(n, clock) for n, line in enumerate(LATE.strip().splitlines()) for clock in line.split()[::2]]
+    is_open = [c for _, c in every if at(f"{c[:2]}:00") not in ends and at(f"{c[:2]}:00") >= at("03:00")]
+    assert counted + found.count() + len(is_open) == len(every) == sum(n for n, _ in counts.values())
+
+    before = rows(found)
+    late.start_late(decode_json(scripted.stream(), schema), out, str(tmp_path / "c3"), available_now=True).awaitTermination()
+    assert rows(late.read_late(spark, out, schema)) == before

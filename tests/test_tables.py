@@ -1,3 +1,4 @@
+import json
 import time
 from datetime import datetime, timedelta
 
@@ -123,14 +124,66 @@ def test_keyed_append_reads_the_days_of_the_batch(spark, readings, tmp_path, mon
     monkeypatch.setattr(tables, "read_table", lambda *args: opened.append(read(*args)) or opened[-1])
     far = [generator_row("08:00", 1), generator_row("08:00", 1, day="1970-01-01")]
     batch = project.generator_metrics(generator(spark, far))
-    assert [str(day) for day in tables.touched_days(batch, spec)] == ["1970-01-01", "2020-05-15"]
+    hours = tables.touched_ranges(batch, spec)
+    assert hours == [(at(a, day), at(b, day)) for a, b, day in (("08:00", "09:00", "1970-01-01"), ("08:00", "09:00", "2020-05-15"))]
     tables.append_new_rows(batch, spec, path)
-    days = opened[0].filter(F.col("event_date").isin(tables.touched_days(batch, spec)))
-    text = plan(keys.new_rows(batch, days, spec))
+    assert len(opened) == 1
+    text = plan(keys.new_rows(batch, tables.read_ranges(spark, spec, path, hours), spec))
     assert "PartitionFilters: [event_date" in text and "1970-01-01,2020-05-15" in text.replace(" ", "")
     assert "SortAggregate" not in text
 
 
+def opened_rows(frame) -> int:
+    """Rows that the scans of a plan without exchanges gave, after a run."""
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_batch_of_one_hour_opens_the_row_groups_of_that_hour(spark, tmp_path):
+    spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
+    full = spark.range(240_000).select(
+        F.lit(1).alias("plant_id"),
+        F.concat(F.lit("inv-"), (F.col("id") % 10).cast("string")).alias("source_key"),
+        F.expr("timestamp_ntz'2020-05-15' + make_interval(0, 0, 0, 0, 0, 0, pmod(id * 7919, 86400))").alias("date_time"),
+        *(F.rand(i).alias(c) for i, c in enumerate(("dc_power", "ac_power", "yield"))),
+    )
+    tables.write_table(full, spec, path, row_group_bytes=1 << 18)
+    batch = project.generator_metrics(generator(spark, [generator_row("08:10", 1), generator_row("08:50", 1)]))
+    ranges = tables.touched_ranges(batch, spec)
+    assert ranges == [(at("08:00"), at("09:00"))]
+    stored = tables.read_ranges(spark, spec, path, ranges)
+    assert len(stored.collect()) == 10_000
+    assert 10_000 <= opened_rows(stored) < 40_000
+    tables.append_new_rows(batch, spec, path)
+    assert tables.read_table(spark, spec, path).count() in (240_001, 240_002)
+
+
+def test_ranges_join_but_never_shrink():
+    hour = timedelta(hours=1)
+    starts = [at("00:00") + i * hour for i in (0, 1, 2, 5, 9, 10, 30)]
+    ranges = [(s, s + hour) for s in starts]
+    for most in range(1, 8):
+        joined = tables.joined_ranges(ranges, most)
+        assert len(joined) <= most and all(any(a <= s and s + hour <= b for a, b in joined) for s in starts)
+    assert tables.joined_ranges(ranges) == [(starts[0], starts[2] + hour), *[(s, s + hour) for s in starts[3:4]],
+                                            (starts[4], starts[5] + hour), (starts[6], starts[6] + hour)]
+    assert tables.joined_ranges([]) == []
+    assert [str(d) for d in tables.days_of([(at("23:00"), at("23:00") + 2 * hour)])] == ["2020-05-15", "2020-05-16"]
+    assert [str(d) for d in tables.days_of([(at("23:00"), at("23:00") + hour)])] == ["2020-05-15"]
+
+
+def test_a_load_reads_and_parses_its_input_once(spark, readings, tmp_path):
+    messages, seen = project.messages(readings).select("value"), spark.sparkContext.accumulator(0)
+    counted = messages.mapInPandas(lambda frames: ((seen.add(len(f)), f)[1] for f in frames), messages.schema)
+    tables.load_messages(counted, project.messages(weather(spark, [weather_row("10:00", 20, 25, 1)])), str(tmp_path))
+    assert seen.value == messages.count()
+    parts = tables.read_table(spark, S.HOURLY_PARTS, f"{tmp_path}/hourly_parts")
+    assert parts.agg(F.sum("n_rows")).first()[0] == messages.count()
+    with pytest.raises(ValueError, match="without date_time"):
+        lost = generator(spark, [generator_row("00:00", 1), (None, *generator_row("00:00", 1)[1:])])
+        tables.load_history(lost, weather(spark, []), str(tmp_path / "lost"))
+
+
 def test_rows_without_a_time_are_refused(spark, tmp_path):
     spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
     tables.create_table(spark, spec, path)
@@ -207,8 +260,8 @@ def test_jdbc_replay_adds_nothing(spark, tmp_path, monkeypatch):
     spec, path = S.GENERATOR_METRICS, str(tmp_path / "t")
     tables.create_table(spark, spec, path)
 
-    def keys_between(session, wanted, options, days):
-        return tables.read_table(session, wanted, path).filter(F.col("event_date").isin(days))
+    def keys_between(session, wanted, options, ranges):
+        return tables.read_ranges(session, wanted, path, ranges)
 
     monkeypatch.setattr(jdbc, "stored_keys", keys_between)
     monkeypatch.setattr(jdbc, "append_rows", lambda df, wanted, options: tables.write_table(df, wanted, path))
@@ -245,14 +298,33 @@ def test_jdbc_writer_calls(spark, readings, monkeypatch):
     assert calls.seen["option"] == ("truncate", True) and calls.seen["mode"] == ("overwrite",)
 
 
-def test_publish_calls(readings, monkeypatch):
+def test_publish_calls(spark, readings, tmp_path, monkeypatch):
+    """One write a slice, in order of time; a publish that broke off goes on with the slice it was at."""
     from pyspark.sql.classic.dataframe import DataFrame
 
-    calls, frames = Calls(), []
-    monkeypatch.setattr(DataFrame, "write", property(lambda self: frames.append(self) or calls))
-    topics.publish(readings, "kafka:29092", S.GENERATOR_TOPIC)
+    staging, width = str(tmp_path / "staged"), "6 hours"
+    topics.stage_slices(readings, staging, width, keyed=True)
+    calls, sent = Calls(), []
+
+    def write(frame):
+        if len(sent) == 2:
+            raise OSError("the broker is gone")
+        rows_of = frame.collect()
+        sent.append(sorted(json.loads(r.value)["DATE_TIME"] for r in rows_of))
+        assert frame.columns == ["key", "value"] and all(json.loads(r.key)["plant_id"] is not None for r in rows_of)
+        return calls
+
+    monkeypatch.setattr(DataFrame, "write", property(write))
+    with pytest.raises(OSError):
+        topics.publish(readings, "kafka:29092", S.GENERATOR_TOPIC, staging, width)
+    first, sent = sent, []
+    monkeypatch.setattr(DataFrame, "write", property(lambda frame: write(frame) if len(sent) < 2 else sent.append(
+        sorted(json.loads(r.value)["DATE_TIME"] for r in frame.collect())) or calls))
+    topics.publish(readings, "kafka:29092", S.GENERATOR_TOPIC, staging, width)
     assert calls.seen["options"] == {"kafka.bootstrap.servers": "kafka:29092", "topic": "generator-topic"}
-    assert frames[0].columns == ["key", "value"]
+    slices = first + sent
+    assert all(a[-1] < b[0] for a, b in zip(slices, slices[1:]))
+    assert sum(map(len, slices)) == readings.count()
 
 
 def test_dry_run_writes_every_message(spark, readings, tmp_path, capsys):
