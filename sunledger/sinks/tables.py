@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,9 @@ from sunledger.sources.decode import decode_marked, split_marked
 
 PARTITION = "event_date"
 STREAM_LOG = "_spark_metadata"
+#: In every file: the hour of a row, counted from 1970. Spark hands bounds on a whole number down to the row groups of a
+#: file, and does not those on a zoneless time.
+HOUR_NUMBER = "event_hour"
 #: Rows lie by time within a file, so a range of time opens the row groups it needs; a file has several.
 ROW_GROUP_BYTES = 16 << 20
 #: A keyed append looks the batch's hours up as so many ranges of time at most; nearer ones are joined beyond that.
@@ -37,8 +40,13 @@ MOST_RANGES = 64
 TimeRange = tuple[datetime, datetime]
 
 
+def hour_number(time: Column) -> Column:
+    return F.unix_date(F.to_date(time)) * 24 + F.hour(time)
+
+
 def dated(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    return rows.select(*spec.column_names, F.to_date(spec.time_column).alias(PARTITION))
+    time = F.col(spec.time_column)
+    return rows.select(*spec.column_names, hour_number(time).alias(HOUR_NUMBER), F.to_date(time).alias(PARTITION))
 
 
 def write_table(
@@ -137,10 +145,8 @@ def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
 
 
 def read_slice(spark: SparkSession, spec: TableSpec, path: str, start: datetime, end: datetime) -> DataFrame:
-    """Rows with ``start <= time < end``. The bounds are given on the partition column as well: a range on
-    the time column alone prunes row groups but still opens every day's files."""
-    last_day = (end - timedelta(microseconds=1)).date()
-    return slice_between(read_table(spark, spec, path), spec, start, end, last_day).select(*spec.column_names)
+    """Rows with ``start <= time < end``, from the days' folders and the hours' row groups they are in."""
+    return read_ranges(spark, spec, path, [(start, end)])
 
 
 def read_windows(
@@ -150,15 +156,6 @@ def read_windows(
     return read_slice(spark, spec, path, *window_range(start, end, width))
 
 
-def slice_between(table: DataFrame, spec: TableSpec, start: datetime, end: datetime, last_day: date) -> DataFrame:
-    time = F.col(spec.time_column)
-    return table.filter(
-        F.col(PARTITION).between(F.lit(start.date()), F.lit(last_day))
-        & (time >= wall_clock_literal(start))
-        & (time < wall_clock_literal(end))
-    )
-
-
 def append_new_rows(batch: DataFrame, spec: TableSpec, path: str) -> None:
     """Keyed append: rows whose key the table holds are left out, so a replayed batch adds nothing.
 
@@ -178,11 +175,27 @@ def append_new_rows(batch: DataFrame, spec: TableSpec, path: str) -> None:
 
 
 def read_ranges(spark: SparkSession, spec: TableSpec, path: str, ranges: list[TimeRange]) -> DataFrame:
-    """Rows in any of some ranges of time (ends excluded). Days prune folders, ranges prune row groups."""
-    time = F.col(spec.time_column)
-    within = [(time >= wall_clock_literal(a)) & (time < wall_clock_literal(b)) for a, b in ranges]
-    days = F.col(PARTITION).isin(days_of(ranges))
-    return read_table(spark, spec, path).filter(days & reduce(or_, within)).select(*spec.column_names)
+    """Rows in any of some ranges of time (ends excluded). The days of each prune folders, its hours prune row groups:
+    bounds on the time alone would open every file of the table."""
+    fields = [T.StructField(HOUR_NUMBER, T.IntegerType()), T.StructField(PARTITION, T.DateType())]
+    table = spark.read.schema(T.StructType([*spec.schema, *fields])).parquet(path)
+    within = [
+        F.col(PARTITION).between(F.lit(a.date()), F.lit(_last(b).date()))
+        & F.col(HOUR_NUMBER).between(_hours(a), _hours(_last(b)))
+        & (F.col(spec.time_column) >= wall_clock_literal(a))
+        & (F.col(spec.time_column) < wall_clock_literal(b))
+        for a, b in ranges
+    ]
+    return table.filter(reduce(or_, within, F.lit(False))).select(*spec.column_names)
+
+
+def _last(end: datetime) -> datetime:
+    """The last moment before an end."""
+    return end - timedelta(microseconds=1)
+
+
+def _hours(when: datetime) -> int:
+    return (when - datetime(1970, 1, 1)) // timedelta(hours=1)
 
 
 def touched_ranges(batch: DataFrame, spec: TableSpec, most: int = MOST_RANGES) -> list[TimeRange]:
@@ -208,12 +221,3 @@ def joined_ranges(ranges: list[TimeRange], most: int = MOST_RANGES) -> list[Time
         else:
             out.append((start, end))
     return out
-
-
-def days_of(ranges: list[TimeRange]) -> list[date]:
-    """Every day that a range has a part of, in order."""
-    days = set()
-    for start, end in ranges:
-        n = ((end - timedelta(microseconds=1)).date() - start.date()).days
-        days.update(start.date() + timedelta(days=i) for i in range(n + 1))
-    return sorted(days)

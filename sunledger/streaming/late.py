@@ -1,9 +1,12 @@
 """Readings that came after their window had closed, as a table of their own.
 
-Spark drops late rows within the window sum and counts them after the map-side sum. Here each reading is compared with
-the watermark of its micro-batch before any sum: the latest event time of all batches before, less the delay, which is what
-the sums of a query with the same batches go by. Each batch writes its late readings and the latest time so far under its own
-number, so a batch that runs twice replaces itself.
+Spark drops late rows within the window sum, counts them after the map-side sum, and lets some through: it compares them
+with the watermark of the micro-batch before. Here each reading is compared with its batch's watermark before any sum: the
+latest event time of all batches before, less the delay. Late readings go to one table, all others to another, and sums
+that stream from the other drop nothing: every reading is counted, late, or in a window still open.
+
+Each batch writes both sides and the latest time so far under its own number. What a batch that runs twice finds finished
+it leaves as it is, so nobody downstream sees a reading twice.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from sunledger.operators.yields import HOUR
 from sunledger.schemas import EVENT_TIME, WATERMARK_DELAY
 from sunledger.session import path_exists
 from sunledger.streaming.jobs import start_batches
+from sunledger.streaming.sources import watermarked
 
 SEEN = "latest timestamp_ntz, n_rows bigint, n_late bigint"
 
@@ -55,16 +59,20 @@ def start_late(
     available_now: bool = False,
     every: str = "1 minute",
 ) -> StreamingQuery:
-    """Late readings under ``path``, for windows of ``width``; give it the source and the options per trigger of the
-    sums it goes with."""
+    """Readings that are late for windows of ``width``, and all others, under ``path``: :func:`read_late` and
+    :func:`on_time`."""
     spark = readings.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
+        if path_exists(spark, f"{path}/seen/batch={number}/_SUCCESS"):
+            return
         before = _seen(spark, path, number)
         batch = batch.withColumn(EVENT_TIME, wall_clock(EVENT_TIME))
         marked = split_late(batch, before, width, delay).persist()
         try:
-            marked.filter("late").drop("late").write.mode("overwrite").parquet(f"{path}/late/batch={number}")
+            for side, rows in (("late", marked.filter("late")), ("on_time", marked.filter("not late"))):
+                if not path_exists(spark, f"{path}/{side}/batch={number}/_SUCCESS"):
+                    rows.drop("late").write.mode("overwrite").parquet(f"{path}/{side}/batch={number}")
             latest = F.greatest(F.max(EVENT_TIME), F.lit(None if before is None else str(before)).cast("timestamp_ntz"))
             sums = marked.agg(latest.alias("latest"), F.count("*").alias("n_rows"), F.count_if("late").alias("n_late"))
             sums.write.mode("overwrite").parquet(f"{path}/seen/batch={number}")
@@ -74,11 +82,21 @@ def start_late(
     return start_batches(readings, write, checkpoint, available_now, every)
 
 
+def _side(schema: T.StructType, *more: T.StructField) -> T.StructType:
+    fields = [T.StructField(f.name, T.TimestampNTZType() if f.name == EVENT_TIME else f.dataType) for f in schema]
+    return T.StructType([*fields, *more])
+
+
 def read_late(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Late readings so far: the readings' columns, the end of the window that each missed, and the batch it came in."""
-    fields = [T.StructField(f.name, T.TimestampNTZType() if f.name == EVENT_TIME else f.dataType) for f in schema]
     more = [T.StructField("window_end", T.TimestampNTZType()), T.StructField("batch", T.LongType())]
-    return spark.read.schema(T.StructType([*fields, *more])).parquet(f"{path}/late")
+    return spark.read.schema(_side(schema, *more)).parquet(f"{path}/late")
+
+
+def on_time(spark: SparkSession, path: str, schema: T.StructType, delay: str = WATERMARK_DELAY, **options: str) -> DataFrame:
+    """All other readings as a stream with the same watermark, in the order of the batches they came in."""
+    stream = spark.readStream.options(**options).schema(_side(schema)).parquet(f"{path}/on_time/batch=*")
+    return watermarked(stream.withColumn(EVENT_TIME, F.col(EVENT_TIME).cast("timestamp")), delay)
 
 
 def late_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -56,8 +56,8 @@ def progress_report(query: StreamingQuery, spark: SparkSession | None = None) ->
     """Sums over all progress of a run started by this package's jobs; of an ended one, once its last event is in.
 
     ``late_rows`` counts rows that came after their window had closed. Spark counts them after the map-side
-    sum, so several late readings of one window and source may count as one; :mod:`sunledger.streaming.late` keeps and
-    counts each.
+    sum, so several late readings of one window and source may count as one; :mod:`sunledger.streaming.late` keeps
+    and counts each.
     """
     totals, run = watch(spark or SparkSession.active()), str(query.runId)
     waited = time.monotonic() + WAIT_SECONDS

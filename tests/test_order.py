@@ -116,15 +116,15 @@ def test_each_late_reading_is_kept_and_counted(spark, tmp_path):
     counts = {r.batch: (r.n_rows, r.n_late) for r in late.late_counts(spark, out).collect()}
     assert counts == {0: (2, 0), 1: (2, 0), 2: (3, 2), 3: (3, 0), 4: (3, 2)}
 
-    # The sums of a query with the same batches: what they counted, and what is open, is all the rest.
-    parts = yields.hourly_parts(generator_stream(scripted.stream()))
-    jobs.start_files(parts, str(tmp_path / "parts"), str(tmp_path / "c2")).awaitTermination()
-    closed = jobs.read_results(spark, str(tmp_path / "parts"), parts.schema)
+    # Sums over the other side, batch by batch: what they counted, and what is open, is all the rest.
+    stream = late.on_time(spark, out, schema, maxFilesPerTrigger="1")
+    query = jobs.start_files(yields.hourly_parts(stream), str(tmp_path / "parts"), str(tmp_path / "c2"))
+    query.awaitTermination()
+    assert progress_report(query)["late_rows"] == 0
+    closed = jobs.read_results(spark, str(tmp_path / "parts"), S.HOURLY_PARTS.schema)
     counted = closed.agg(F.sum("n_rows")).first()[0]
-    ends = {r.window_start for r in closed.collect()}
-    every = [(n, clock) for n, line in enumerate(LATE.strip().splitlines()) for clock in line.split()[::2]]
-    is_open = [c for _, c in every if at(f"{c[:2]}:00") not in ends and at(f"{c[:2]}:00") >= at("03:00")]
-    assert counted + found.count() + len(is_open) == len(every) == sum(n for n, _ in counts.values())
+    open_ = sum(clock >= "03:00" for line in LATE.strip().splitlines() for clock in line.split()[::2])
+    assert (counted, found.count(), open_) == (6, 4, 3) and counted + found.count() + open_ == sum(n for n, _ in counts.values())
 
     before = rows(found)
     late.start_late(decode_json(scripted.stream(), schema), out, str(tmp_path / "c3"), available_now=True).awaitTermination()
