@@ -55,5 +55,14 @@ def private(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select(*(F.col(f"`{name}`") for name in columns))
 
 
+def own_names(rows: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of the rows has, in any spelling Spark takes for the same."""
+    taken = {c.lower() for c in rows.columns}
+    mark = "_own"
+    while any(f"{mark}_{name}" in taken for name in names):
+        mark += "_"
+    return [f"{mark}_{name}" for name in names]
+
+
 def same_row(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))

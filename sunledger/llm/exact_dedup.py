@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sunledger.llm.common import ascii_lower, run_dir, stored
+from sunledger.llm.common import ascii_lower, own_names, run_dir, stored
 from sunledger.session import configure_streams
 
 #: Many small stores on one executor: no disk reserved ahead, one bounded memory for all, and stores of ended runs are
@@ -135,14 +135,16 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
+    """The documents that stay, with all their columns, whatever these are called. A null text is an empty one; a null id
+    stays only where equal texts have no other; of repeated rows one stays; an empty table stays empty."""
     spark = docs.sparkSession
+    own_id, own_digest, digest_of = own_names(docs, "id", "digest", "digest_of")
     kept = stored(exact_dedup(docs).filter("kept").select("doc_id", "digest"), run_dir(spark, "exact-dedup-kept"))
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
-    keyed = docs.withColumn("_kept_digest_of", sha256(normalised()))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_kept_digest_of") == F.col("_kept_digest"))
+    kept = kept.select(F.col("doc_id").alias(own_id), F.col("digest").alias(own_digest))
+    keyed = docs.withColumn(digest_of, sha256(normalised()))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(digest_of) == F.col(own_digest))
     rows = keyed.join(kept, same, "left_semi")
-    return one_per_key(rows, ["doc_id", "_kept_digest_of"]).drop("_kept_digest_of")
+    return one_per_key(rows, ["doc_id", digest_of]).drop(digest_of)
 
 
 def one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:

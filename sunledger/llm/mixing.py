@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import run_dir, stored
+from sunledger.llm.common import own_names, run_dir, stored
 
 #: A dimension's target shares: by value, or an exponent that tempers the shares the corpus has (1 leaves them).
 Target = float | Mapping[str, float]
@@ -157,5 +157,9 @@ def mix(docs: DataFrame, targets: Targets = Targets(), seed: int = 7) -> DataFra
 
 
 def sampled(docs: DataFrame, targets: Targets = Targets(), seed: int = 7) -> DataFrame:
-    """The sample, with the input's columns."""
-    return mix(docs, targets, seed).filter("mix_kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The sample, with the input's columns, whatever these are called. Null sources, languages and texts count as
+    :func:`mix` says; rows with one id share their draw, repeated ones stay or go together; an empty table stays empty."""
+    clash = [c for c in docs.columns if c.lower().startswith("mix_")]
+    aside = dict(zip(clash, own_names(docs, *clash)))
+    rows = mix(docs.withColumnsRenamed(aside), targets, seed).filter("mix_kept")
+    return rows.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import private, run_dir, stored
+from sunledger.llm.common import own_names, private, run_dir, stored
 from sunledger.llm.components import components
 from sunledger.llm.exact_dedup import one_per_key
 
@@ -360,17 +360,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd: int = CROWD) -> DataFrame:
-    """One document of each group, with all its columns: the one with the smallest id, a null id only when there is no
-    other, and of equal ids the one with the smallest digest of its text. Of repeated rows one stays."""
+    """One document of each group, with all its columns, whatever these are called: the one with the smallest id, a null id
+    only when there is no other, and of equal ids the one with the smallest digest of its text. Of repeated rows one stays.
+    Null texts and texts without words are one group, as their fingerprint is zero. An empty table stays empty."""
     path = run_dir(docs.sparkSession, "simhash")
     printed, rooted = rooted_rows(docs, shingle, distance, crowd, path, digest=True)
     # The smallest of each fingerprint is taken map-side, then that of each group.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("first")
     of_print = printed.groupBy("fp").agg(first)
     kept = of_print.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.digest").alias("_kept_digest"))
+    own_id, own_digest, digest_of = own_names(docs, "id", "digest", "digest_of")
+    kept = kept.select(F.col("first.doc_id").alias(own_id), F.col("first.digest").alias(own_digest))
     kept = stored(kept, f"{path}/kept")
-    rows = docs.withColumn("_kept_digest_of", text_digest())
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept_id")) & (F.col("_kept_digest_of") == F.col("_kept_digest"))
+    rows = docs.withColumn(digest_of, text_digest())
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(own_id)) & (F.col(digest_of) == F.col(own_digest))
     rows = rows.join(kept, same, "left_semi")
-    return one_per_key(rows, ["doc_id", "_kept_digest_of"]).drop("_kept_digest_of")
+    return one_per_key(rows, ["doc_id", digest_of]).drop(digest_of)

@@ -4,7 +4,11 @@ import pytest
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use inside.
-CLASHING = ("score", "digest", "fp", "rank", "length", "bucket", "content", "spans", "sketch", "root", "toxic", "tie")
+CLASHING = (
+    "score", "digest", "fp", "rank", "length", "bucket", "content", "spans", "sketch", "root", "toxic", "tie", "node", "key", "block", "at",
+    "_kept_id", "_kept_digest", "_kept_digest_of", "_own_id", "_own_digest", "_OWN_score", "_toxicity", "_evidence", "mix_weight", "mix_kept",
+    "mix_tokens", "MIX_topic",
+)
 
 
 def edge_rows() -> list[tuple]:
