@@ -9,6 +9,8 @@ from sunledger.functions import same_or_mean, wall_clock
 from sunledger.operators.project import key_columns
 from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, WEATHER_MEASURES
 
+#: Join tasks that one plant and time is split over in a stream.
+MOST_SPREAD = 16
 READING = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
 
 
@@ -23,14 +25,15 @@ def enrich_readings(generator: DataFrame, weather: DataFrame, spread: int | None
 
     One plant and time may hold a large share of the generator rows. In batch AQE splits such join partitions, and a
     filter on the result reaches both scans. A stream is planned once: there ``spread`` (a quarter of the shuffle
-    partitions) splits each group over as many join tasks and repeats its single weather row for each. The share is
-    picked by row content and partition, not by chance, so a retried task picks the same one, and copies still spread.
+    partitions, at most :data:`MOST_SPREAD`) splits each group over as many join tasks and repeats its single weather row
+    for each, so the join's state grows by no more than that, however many partitions there are. The share is picked by row
+    content and partition, not by chance, so a retried task picks the same one, and copies still spread.
     """
     join_key = [EVENT_TIME, PLANT]
     left, right = generator, weather_at(weather)
     if generator.isStreaming:
         if spread is None:
-            spread = max(1, int(generator.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+            spread = min(MOST_SPREAD, max(1, int(generator.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
         content = F.xxhash64(SOURCE, "DC_POWER", "AC_POWER", "DAILY_YIELD") + F.spark_partition_id()
         left = left.withColumn("share", F.pmod(content, F.lit(spread)).cast("int"))
         right = right.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))

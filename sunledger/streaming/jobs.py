@@ -36,6 +36,8 @@ from sunledger.streaming.sources import generator_stream, weather_stream
 YIELD_FIELDS = [EVENT_TIME, "DAILY_YIELD", PLANT, SOURCE]
 PARTITIONS = "spark.sql.shuffle.partitions"
 READINGS = (GENERATOR_METRICS.name, WEATHER_METRICS.name)
+#: Batches that the ledger of a keyed append remembers; Spark itself repeats the last one at most.
+LEDGER = 100
 FILES_PER_DAY = {DAILY_YIELD.name: 8, HOURLY_YIELD.name: 8}
 READING_FIELDS = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
 
@@ -113,8 +115,29 @@ def start_keyed(
     every: str = "1 minute",
 ) -> StreamingQuery:
     """To a keyed store: ``append`` gets each micro-batch and must not mind getting one twice, as
-    ``append_new_rows`` of either table sink does not."""
-    return start_batches(stream, lambda batch, _: append(batch), checkpoint, available_now, every)
+    ``append_new_rows`` of either table sink does not.
+
+    The checkpoint holds a ledger of the batches whose append ended. A batch that runs again because the job stopped between
+    its append and Spark's commit is known by its number and left out, without a look at the store's keys; one that stopped
+    half-way is not in the ledger, and its keys tell what it had written. A new checkpoint has a ledger of its own.
+    """
+    spark, ledger = stream.sparkSession, f"{checkpoint}/appended"
+
+    def write(batch: DataFrame, number: int) -> None:
+        if path_exists(spark, f"{ledger}/{number}"):
+            return
+        append(batch)
+        mark(spark, f"{ledger}/{number}", f"{ledger}/{number - LEDGER}")
+
+    return start_batches(stream, write, checkpoint, available_now, every)
+
+
+def mark(spark: SparkSession, path: str, old: str) -> None:
+    """An empty file, and away with an old one."""
+    new, gone = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, old))
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(new, True).close()
+    fs.delete(gone, False)
 
 
 def start_batches(

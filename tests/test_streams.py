@@ -240,6 +240,48 @@ def test_keyed_stream_survives_a_replay_from_the_start(spark, scripted, tmp_path
         assert keys.duplicate_keys(stored, spec.key).count() == 0
 
 
+@pytest.mark.parametrize("written", ["nothing", "half", "all"])
+def test_a_crash_between_append_and_commit(spark, scripted, tmp_path, written):
+    """The job stops in a batch, with nothing, half or all of it in the table, and starts again: each reading once."""
+    scripted.script(L1)
+    spec, path, checkpoint = S.GENERATOR_METRICS, str(tmp_path / "table"), str(tmp_path / "checkpoint")
+    tables.create_table(spark, spec, path)
+    appended, looked_up = [], []
+
+    def crashes(batch):
+        appended.append(batch.count())
+        if len(appended) == 3:
+            part = {"nothing": batch.limit(0), "half": batch.orderBy("date_time").limit(1), "all": batch}[written]
+            tables.append_new_rows(part, spec, path)
+            raise RuntimeError("stopped")
+        tables.append_new_rows(batch, spec, path)
+
+    def whole(batch):
+        looked_up.append(batch.count())
+        tables.append_new_rows(batch, spec, path)
+
+    stream = project.generator_metrics(generator_stream(scripted.stream()))
+    with pytest.raises(Exception, match="stopped"):
+        jobs.start_keyed(stream, crashes, checkpoint, available_now=True).awaitTermination()
+    jobs.start_keyed(stream, whole, checkpoint, available_now=True).awaitTermination()
+    assert looked_up == [2, 2]  # the batch that broke off, and the last
+    stored = rows(tables.read_table(spark, spec, path).select("date_time", "dc_power"))
+    assert len(stored) == 7 == len({when for when, _ in stored})
+
+
+def test_a_batch_in_the_ledger_is_left_out(spark, scripted, tmp_path):
+    """Appended whole, but stopped before Spark's commit: its number tells, without a look at the keys."""
+    scripted.script(L1)
+    checkpoint, seen = tmp_path / "checkpoint", []
+    stream = project.generator_metrics(generator_stream(scripted.stream()))
+    jobs.start_keyed(stream, lambda batch: seen.append(batch.count()), str(checkpoint), available_now=True).awaitTermination()
+    assert seen == [2, 2, 2, 2]
+    for commit in (checkpoint / "commits").glob("*3*"):
+        commit.unlink()
+    jobs.start_keyed(stream, lambda batch: seen.append(batch.count()), str(checkpoint), available_now=True).awaitTermination()
+    assert seen == [2, 2, 2, 2]
+
+
 def test_streaming_join_of_hours(spark, tmp_path):
     generator_files = ScriptedStream(spark, tmp_path / "g").script("00:00 1  00:30 3\n01:00 5\n02:00 7\n09:00 9\n10:00 1")
     weather_files = ScriptedStream(spark, tmp_path / "w")
