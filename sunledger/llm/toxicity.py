@@ -1,47 +1,61 @@
-"""Toxicity by the nearest labelled examples, under exact TF-IDF cosine.
-
-Terms are words and their beginnings (:data:`PREFIXES`), which carry what inflected insults have in common. All terms of
-the examples are indexed, with document frequencies from all documents. A term weighs ``log(1 + count)`` times its idf
-times its relevance frequency, ``log2(2 + r)`` where r is how many times more common it is in examples of label 1: terms
-that go with the label weigh more, and none weighs nothing. A term that no example holds cannot match, but it lengthens
-its text's vector, as a term that one document holds.
-
-Examples are a bounded sample of the labelled rows. Their vectors lie in an inverted index; terms that many examples hold
-lie in a dense table beside it. A text adds up the postings of its rarer terms, and a batch of texts meets the table in one
-product: every example is scored. Neighbours vote with weights that fall with distance, and votes become probabilities by isotonic
-regression over the examples' own votes, each without itself.
+"""Toxicity by the nearest labelled examples, under exact TF-IDF cosine, found in a block-max inverted index.
+
+Terms are words and their beginnings (:data:`PREFIXES`), which carry what inflected insults have in common; every word of
+every text counts. A term weighs ``log(1 + count)`` times its idf times its relevance frequency, ``log2(2 + r)`` where r is
+how many times more common it is in examples of label 1: terms that go with the label weigh more, and none weighs
+nothing. A term that no example holds cannot match, but it lengthens its text's vector.
+
+Examples are a bounded sample of the labelled rows (:data:`EXAMPLES`, :data:`EXAMPLE_BYTES`), and idf and relevance are
+fitted on them. Examples that lie close together share a block. The lists of rarer terms are short and added up; the long
+lists of common terms, which are most of the work, lie by block, with the largest weight of each term and block. What the
+rarer terms gave, and these maxima, bound a text's cosine to all examples of a block at once. The blocks with the largest
+bounds are scored first; of the others, those whose bound is under the k-th best cosine so far are skipped: no neighbour
+is missed. A batch of texts meets a block in one product.
+
+Neighbours vote with weights that fall with distance, each class by its share among the examples, so that few positives
+are not outvoted by their number. An example with the very text that is scored is left out, once, for texts that were
+learned from and others alike. Votes become probabilities by isotonic regression over the examples' own votes.
+
+One task fits the bounded sample. The model, some tens of bytes a term and posting, passes through the driver as one packed
+value on its way to the workers.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 from itertools import chain
-from math import log1p
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunledger.llm.common import crc_mod, private, run_dir, stored
+from sunledger.llm.common import crc_mod, own_names, private, run_dir, stored
 
-#: Labelled rows of each class that become examples.
+#: Labelled rows of each class that become examples, and bytes of their texts in all.
 EXAMPLES = 4000
+EXAMPLE_BYTES = 32 << 20
 PREFIXES = (4, 5, 6, 7, 8)
-NEIGHBOURS = 15
-#: A term that more than one in so many examples hold is common.
+#: Numbers of neighbours to choose from, by the examples' own votes.
+NEIGHBOURS = (3, 5, 9, 15)
+#: A vote weighs by this power of the distance's inverse.
+POWER = 3
+#: Examples of a block. A term that more than one in so many examples hold is common.
+BLOCK = 32
 COMMON = 8
-#: Texts scored together.
+#: Texts searched together.
 BATCH = 128
 THRESHOLD = 0.7
 #: Words whose terms a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -54,144 +68,149 @@ def word_terms(word: str) -> list[str]:
     return [word, *(f"^{word[:k]}" for k in PREFIXES if len(word) > k)]
 
 
-class Known(dict):
-    """The terms of each word: places in the vocabulary, and as text those that are not in it."""
-
-    def __init__(self, place: dict[str, int]):
-        self.place = place
-
-    def __missing__(self, word: str) -> list[int | str]:
-        terms = [self.place.get(t, t) for t in word_terms(word)]
-        if len(self) < REMEMBERED:
-            self[word] = terms
-        return terms
-
-
-class Terms:
-    """Counts vocabulary terms in texts. What a word holds is remembered, as long as there is room."""
+class Terms(dict):
+    """The numbers of each word's terms, remembered as long as there is room. Terms of the vocabulary have their place
+    in it; others get numbers beyond, by a 48-bit hash that this process alone knows."""
 
     def __init__(self, vocabulary: list[str]):
+        super().__init__()
         self.place = {term: i for i, term in enumerate(vocabulary)}
-        self.known = Known(self.place)
-
-    def __reduce__(self):
-        # Terms are letters, and few bytes each when in order.
-        return unpacked_terms, (zlib.compress("\n".join(self.place).encode(), 1),)
-
-    def find(self, text: str | None) -> tuple[dict[int, int], float]:
-        """The count of each vocabulary term that occurs, and the squares of ``log(1 + count)`` of all others, added up."""
-        words = WORD.findall((text or "").lower())
-        counts = Counter(chain.from_iterable(map(self.known.__getitem__, words)))
-        return counts, sum(log1p(counts.pop(t)) ** 2 for t in [t for t in counts if type(t) is str])
-
-    def count(self, text: str | None) -> tuple[int, dict[int, int]]:
-        """Number of words between white space, and the count of each vocabulary term that occurs."""
-        return len((text or "").split()), self.find(text)[0]
-
-
-def unpacked_terms(packed: bytes) -> Terms:
-    text = zlib.decompress(packed).decode()
-    return Terms(text.split("\n") if text else [])
-
-
-def example_terms(sample: DataFrame) -> list[str]:
-    """All terms of the examples: the sample is bounded, and so are its terms."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = set()
-        for batch in batches:
-            for text in batch.column(0):
-                words.update(WORD.findall((text.as_py() or "").lower()))
-        terms = list({t for word in words for t in word_terms(word)})
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], names=["term"])
+    def __missing__(self, word: str) -> list[int]:
+        first, place = len(self.place), self.place.get
+        numbers = [first + (hash(t) & 0xFFFFFFFFFFFF) if (at := place(t)) is None else at for t in word_terms(word)]
+        if len(self) < REMEMBERED:
+            self[word] = numbers
+        return numbers
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
+        """Terms of the vocabulary in order and how often each occurs, and the squares of ``log(1 + count)`` of all
+        others, added up."""
+        words = Counter(WORD.findall((text or "").lower()))
+        lists = list(map(self.__getitem__, words))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        number = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(lists)), sizes)
+        order = np.argsort(number)
+        number, times = number[order], times[order]
+        first = np.flatnonzero(np.append(True, number[1:] != number[:-1])[: len(number)])
+        number, times = number[first], np.add.reduceat(times, first) if len(first) else times
+        known = int(np.searchsorted(number, len(self.place)))
+        return number[:known], times[:known], float((np.log1p(times[known:]) ** 2).sum())
 
-    return sorted(sample.select("text").mapInArrow(rows, "term string").distinct().toArrow().column(0).to_pylist())
 
+# --- index ---
 
-def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, np.ndarray]:
-    """Documents, and how many of them hold each term, over the whole table."""
-    if not vocabulary:
-        return docs.count(), np.zeros(0)
-    size = len(vocabulary)
-    handed = docs.sparkSession.sparkContext.broadcast(Terms(vocabulary))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, total = handed.value, np.zeros(size + 1, np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                total[list(terms.find(text.as_py())[0])] += 1
-            total[-1] += batch.num_rows
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["term", "n"])
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ..`` of each range, one after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
-    counted = docs.select("text").mapInArrow(rows, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    counted = counted.toArrow()  # one row per vocabulary term
-    total = np.zeros(size + 1)
-    total[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
-    return int(total[-1]), total[:-1]
 
-
-# --- index ---
+def close_together(points: np.ndarray, most: int) -> np.ndarray:
+    """An order of points in which neighbours are near: halves along the longest axis, and so on."""
+    out: list[np.ndarray] = []
+    todo = [np.arange(len(points))]
+    while todo:
+        some = todo.pop()
+        if len(some) <= most:
+            out.append(some)
+            continue
+        centred = points[some] - points[some].mean(axis=0)
+        axis = np.linalg.eigh(centred.T @ centred)[1][:, -1]
+        some = some[np.argsort(centred @ axis, kind="stable")]
+        # Halves of whole blocks, so that all but the last are full.
+        half = -(-len(some) // (2 * most)) * most
+        todo += [some[half:], some[:half]]
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 class Index:
-    """Inverted index over the examples' unit vectors, and a dense table of the terms that many of them hold."""
-
-    def __init__(self, vectors: list[dict[int, float]], terms: int):
-        example = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])
-        term = np.array([t for v in vectors for t in v], np.int64)
-        self._build(example, term, np.array([w for v in vectors for w in v.values()], float), len(vectors), terms)
-
-    @classmethod
-    def of(cls, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int) -> Index:
-        """From one entry per example and term."""
-        index = cls.__new__(cls)
-        index._build(example, term, weight, n, terms)
-        return index
-
-    def _build(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int) -> None:
-        order = np.argsort(term, kind="stable")  # examples come in order
-        example, term, weight = example[order], term[order], weight[order]
+    """Block-max inverted index over unit vectors, given by one entry per example and term."""
+
+    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, block: int = BLOCK):
+        # Blocks come from a projection of the vectors to a few dimensions.
+        directions = np.random.default_rng(7).standard_normal((terms, 32)).astype(np.float32)
+        points = np.zeros((n, 32))
+        for dim in range(32):
+            points[:, dim] = np.bincount(example, weight * directions[term, dim], minlength=n)
+        #: Which example lies at each place.
+        self.of = close_together(points, block)
+        place = np.empty(n, np.int64)
+        place[self.of] = np.arange(n)
+        at = place[example]
+        order = np.lexsort((at, term))
+        place, weight, term = at[order], weight[order], term[order]
+        self.n, self.block, self.blocks = n, block, -(-n // block)
+        # Terms that many examples hold lie in a dense table beside the lists, block by block.
         held = np.bincount(term, minlength=terms)
         common = np.flatnonzero(held * COMMON > n)
-        self.n, self.place = n, np.full(terms, -1, np.int32)
-        self.place[common] = np.arange(len(common))
-        dense = self.place[term] >= 0
+        self.row = np.full(terms, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        dense = self.row[term] >= 0
         self.dense = np.zeros((len(common), n))
-        self.dense[self.place[term[dense]], example[dense]] = weight[dense]
-        self.example, self.weight = example[~dense].astype(np.int32), weight[~dense]
-        self.start = np.append(0, np.cumsum(np.where(self.place < 0, held, 0)))
-
-    def nearest(self, vector: dict[int, float], k: int) -> tuple[np.ndarray, np.ndarray]:
+        self.dense[self.row[term[dense]], place[dense]] = weight[dense]
+        self.dense_largest = np.maximum.reduceat(self.dense, np.arange(0, n, block), axis=1) if n else self.dense
+        self.dense = [np.ascontiguousarray(self.dense[:, i : i + block]) for i in range(0, n, block)]
+        # The lists of the rarer terms, by place.
+        self.place, self.weight, term = place[~dense], weight[~dense], term[~dense]
+        self.start = np.searchsorted(term, np.arange(terms + 1))
+        self.edges = np.arange(0, n, block)
+
+    def nearest(self, terms: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine, ties by their number, and the cosines."""
-        terms = np.array(sorted(vector), np.int64)
-        return self.nearest_of([(terms, np.array([vector[t] for t in terms.tolist()]))], k)[0]
-
-    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The same for a batch of vectors, each given by its terms and their weights."""
-        asked = np.zeros((len(vectors), len(self.dense)))
-        for row, (terms, weight) in zip(asked, vectors):
-            place = self.place[terms]
-            row[place[place >= 0]] = weight[place >= 0]
-        return [self._best(*v, scores, k) for v, scores in zip(vectors, asked @ self.dense)]
-
-    def _best(self, terms: np.ndarray, weight: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """``scores`` has what the common terms add."""
-        if not len(terms) or not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        rare = self.place[terms] < 0
-        terms, weight = terms[rare], weight[rare]
-        start = self.start[terms]
-        size = self.start[terms + 1] - start
-        at = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
-        scores = scores + np.bincount(self.example[at], np.repeat(weight, size) * self.weight[at], minlength=self.n)
+        return self.nearest_of([(terms, weight)], k)[0][0]
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+        """The same for a batch of vectors, and how many examples were scored for all of them."""
+        none = (np.zeros(0, np.int64), np.zeros(0))
+        if not self.n:
+            return [none] * len(vectors), 0
+        asked = np.zeros((len(vectors), len(self.dense_largest)))
+        scores = np.empty((len(vectors), self.n))
+        for row, (terms, weight) in enumerate(vectors):
+            at = self.row[terms]
+            asked[row, at[at >= 0]] = weight[at >= 0]
+            held = self.start[terms + 1] - self.start[terms]
+            posting = ranges(self.start[terms], held)
+            products = np.repeat(weight, held) * self.weight[posting]
+            scores[row] = np.bincount(self.place[posting], products, minlength=self.n)
+        # What the rarer terms add is known; the common ones add at most the sum of their largest weights in the block.
+        bound = np.maximum.reduceat(scores, self.edges, axis=1) + asked @ self.dense_largest
+        # The blocks with the largest bounds first: their k-th best cosine tells which of the others can be skipped.
+        few = min(self.blocks, -(-k // self.block) + 1)
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argpartition(-bound, few - 1, axis=1)[:, :few], True, axis=1)
+        self._score(scores, asked, first)
+        known = np.where(np.repeat(first, self.block, axis=1)[:, : self.n], scores, -1.0)
+        # Bounds and cosines are sums of the same products in another order.
+        second = ~first & (bound >= self._kth(known, k)[:, None] - 1e-9)
+        self._score(scores, asked, second)
+        scored = np.repeat(first | second, self.block, axis=1)[:, : self.n]
+        scores[~scored] = -1.0
         # To twelve places, so that equal cosines compare equal.
-        scores, examples = np.round(scores, 12), np.arange(self.n)
-        if self.n > k:
-            least = np.partition(scores, self.n - k)[self.n - k]
-            examples = np.flatnonzero(scores >= least)
-        top = examples[np.lexsort((examples, -scores[examples]))[:k]]
-        return top, scores[top]
+        scores = np.round(scores, 12)
+        least, out = self._kth(scores, k), []
+        for row, (terms, _) in enumerate(vectors):
+            near = np.flatnonzero(scores[row] >= least[row])
+            best = near[np.lexsort((self.of[near], -scores[row][near]))[:k]]
+            out.append((self.of[best], scores[row][best]) if len(terms) else none)
+        return out, int(scored.sum())
+
+    def _kth(self, scores: np.ndarray, k: int) -> np.ndarray:
+        """The k-th best score of each row, -1 where there are fewer."""
+        return np.partition(scores, self.n - k, axis=1)[:, self.n - k] if self.n > k else np.full(len(scores), -1.0)
+
+    def _score(self, scores: np.ndarray, asked: np.ndarray, chosen: np.ndarray) -> None:
+        """What the common terms add to the cosines of each vector with the examples of its chosen blocks."""
+        for block in np.flatnonzero(chosen.any(axis=0)):
+            rows = np.flatnonzero(chosen[:, block])
+            here = slice(block * self.block, min((block + 1) * self.block, self.n))
+            # Picking rows copies them: most of them are as soon multiplied all.
+            if 2 * len(rows) < len(asked):
+                scores[rows, here] += asked[rows] @ self.dense[block]
+            else:
+                scores[rows, here] += (asked @ self.dense[block])[rows]
 
 
 # --- model ---
@@ -199,81 +218,72 @@ class Index:
 
 @dataclass
 class Model:
-    terms: Terms
-    #: Weight of each term: idf times relevance frequency.
+    vocabulary: list[str]
+    #: Weight of each term: idf times relevance frequency. That of a term no example holds.
     scale: np.ndarray
-    #: Weight of a term that no example holds.
     other: float
-    #: Per example how many terms it holds; then, over all of them, the terms and their counts.
-    sizes: np.ndarray
-    held: np.ndarray
-    counts: np.ndarray
+    index: Index
     doc_ids: np.ndarray
     labels: np.ndarray
     #: Labelled rows that an example stands for, so that the sampled classes keep their shares.
     stands_for: np.ndarray
-    knots: tuple[np.ndarray, np.ndarray]
+    #: Hash of each example's text.
+    texts: np.ndarray
     prior: float
-    k: int = NEIGHBOURS
-
-    def __getstate__(self) -> dict:
-        """What is sent is packed; the index is built where it is used."""
-        state = {name: value for name, value in self.__dict__.items() if name not in ("vectors", "index")}
-        return {n: ("packed", v.dtype.str, zlib.compress(v.tobytes(), 1)) if isinstance(v, np.ndarray) else v for n, v in state.items()}
+    k: int = NEIGHBOURS[-1]
+    knots: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0), np.zeros(0)))
 
-    def __setstate__(self, state: dict) -> None:
-        for name, v in state.items():
-            packed = isinstance(v, tuple) and v[0] == "packed" if name != "knots" else False
-            setattr(self, name, np.frombuffer(zlib.decompress(v[2]), v[1]) if packed else v)
+    @cached_property
+    def terms(self) -> Terms:
+        return Terms(self.vocabulary)
 
     @cached_property
-    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The examples' terms and weights."""
-        ends = np.cumsum(self.sizes)[:-1]
-        return list(zip(np.split(self.held, ends), np.split(self.entries()[1], ends))) if len(self.sizes) else []
-
-    def entries(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each term of each example, the example and the weight."""
-        example = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
-        weight = np.log1p(self.counts) * self.scale[self.held]
-        weight /= np.sqrt(np.bincount(example, weight**2, minlength=len(self.sizes)))[example]
-        return example, weight
+    def balance(self) -> np.ndarray:
+        """What each example's vote weighs: all examples of a class together weigh one."""
+        return 1 / np.maximum(np.bincount(self.labels.astype(int), minlength=2), 1)
 
     @cached_property
-    def index(self) -> Index:
-        example, weight = self.entries()
-        return Index.of(example, self.held, weight, len(self.sizes), len(self.scale))
+    def same_text(self) -> dict[int, list[int]]:
+        out: dict[int, list[int]] = {}
+        for i, text in enumerate(self.texts.tolist()):
+            out.setdefault(text, []).append(i)
+        return out
 
-    def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
-        weight = self.stands_for[found] / (1.01 - np.clip(cosine, 0, 1))
-        return float((weight * self.labels[found]).sum() / weight.sum()) if len(found) else self.prior
+    def __getstate__(self) -> dict:
+        """Without what is built where it is used."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "balance", "same_text")}
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights, over the length of the whole vector, terms that no example holds included."""
+        terms, counts, others = self.terms.counts(text)
+        weight = np.log1p(counts) * self.scale[terms]
+        return terms, weight / (weight @ weight + others * self.other**2) ** 0.5 if len(terms) else weight
+
+    def neighbours(self, texts: list[str | None], k: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text the nearest examples and their cosines, without one that has this very text."""
+        k = k or self.k
+        for at in range(0, len(texts), BATCH):
+            some = texts[at : at + BATCH]
+            for text, (found, cosine) in zip(some, self.index.nearest_of([self.vector(t) for t in some], k + 1)[0]):
+                others = ~np.isin(found, self.same_text.get(text_hash(text), [])[:1])
+                yield found[others][:k], cosine[others][:k]
 
-    def calibrated(self, vote: float) -> float:
-        return float(np.clip(np.interp(vote, *self.knots), 0, 1)) if len(self.knots[0]) else self.prior
+    def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
+        label = self.labels[found]
+        weight = self.balance[label.astype(int)] / (1.01 - np.clip(cosine, 0, 1)) ** POWER
+        return float((weight * label).sum() / weight.sum()) if len(found) else self.prior
 
     def score(self, texts: list[str | None]) -> Iterator[tuple[float, np.ndarray]]:
-        """Probability, and the nearest examples as evidence. Without neighbours it is the labels' own share."""
-        for at in range(0, len(texts), BATCH):
-            asked = [vector(*self.terms.find(t), self.scale, self.other) for t in texts[at : at + BATCH]]
-            for found, cosine in self.index.nearest_of(asked, self.k):
-                yield (self.calibrated(self.vote(found, cosine)) if len(found) else self.prior), self.doc_ids[found]
+        """For each text its probability, and the nearest examples as evidence. Without neighbours it is the labels' own
+        share."""
+        for found, cosine in self.neighbours(texts):
+            vote = self.vote(found, cosine)
+            known = len(found) and len(self.knots[0])
+            yield (float(np.clip(np.interp(vote, *self.knots), 0, 1)) if known else self.prior), self.doc_ids[found]
 
-    def own_votes(self, examples: list[int]) -> Iterator[float]:
-        """The votes on examples, each without itself."""
-        for at in range(0, len(examples), BATCH):
-            some = examples[at : at + BATCH]
-            for i, (found, cosine) in zip(some, self.index.nearest_of([self.vectors[i] for i in some], self.k + 1)):
-                others = found != i
-                yield self.vote(found[others][: self.k], cosine[others][: self.k])
 
-
-def vector(counts: dict[int, int], others: float, scale: np.ndarray, other: float) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and their weights, over the length of the whole vector, terms that no example holds included."""
-    terms = np.fromiter(counts, np.int64, len(counts))
-    weight = np.fromiter(counts.values(), float, len(counts))
-    order = np.argsort(terms)
-    weight = np.log1p(weight[order]) * scale[terms[order]]
-    return terms[order], weight / (weight @ weight + others * other**2) ** 0.5 if len(terms) else weight
+def text_hash(text: str | None) -> int:
+    return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) >> 1
 
 
 def relevance(terms: np.ndarray, toxic: np.ndarray, n0: int, n1: int, size: int) -> np.ndarray:
@@ -300,6 +310,17 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple
     return x, np.maximum.accumulate(y) if len(y) else y
 
 
+def average_precision(votes: np.ndarray, labels: np.ndarray) -> float:
+    """Mean share of label 1 among the examples with votes as large, over the examples of label 1."""
+    value, at = np.unique(-votes, return_inverse=True)
+    hits = np.cumsum(np.bincount(at, labels, minlength=len(value)))
+    share = hits / np.cumsum(np.bincount(at, minlength=len(value)))
+    return float(share[at][labels == 1].mean()) if labels.any() else 0.0
+
+
+# --- fitting ---
+
+
 def sample_labels(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> tuple[DataFrame, list[int]]:
     """``label_id, toxic`` of up to ``examples`` rows per class, by a hash of their id, and the classes' full sizes.
 
@@ -318,67 +339,99 @@ def sample_labels(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     return picked[0].union(picked[1]), [sizes.get(0, 0), sizes.get(1, 0)]
 
 
-def own_votes(spark: SparkSession, model: Model) -> np.ndarray:
-    """The vote on every example, in order."""
-    n, handed = len(model.sizes), spark.sparkContext.broadcast(model)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            votes = list(handed.value.own_votes(batch.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.float64())], names=["id", "vote"])
-
-    found = spark.range(0, n, 1, max(1, n // 1000)).mapInArrow(rows, "id bigint, vote double").toArrow()
-    votes = np.zeros(n)
-    votes[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return votes
-
-
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, k: int = NEIGHBOURS) -> Model:
-    """Learn from labelled documents; ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic``."""
+def example_rows(docs: DataFrame, picked: DataFrame, examples: int, most_bytes: int) -> DataFrame:
+    """The picked documents with their texts, one row for each, as far as the bytes of both classes go: the sample is
+    bounded whatever the texts are."""
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    rows = rows.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes // 2)
+    # Of several texts with one id the first counts; ids are at most two times ``examples``.
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(
+        Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    rows = rows.withColumn("so_far", so_far).filter(F.col("so_far") <= most_bytes // 2).drop("so_far")
+    return stored(rows, run_dir(docs.sparkSession, "toxicity-sample"))
+
+
+def fitted(rows: list[tuple[int, str | None, int]], sizes: list[int]) -> Model:
+    """The model, but for the number of neighbours and the calibration, from ``(id, text, label)`` of the examples."""
+    rows = sorted(rows, key=lambda r: (r[0], r[2], r[1] or ""))
+    words = {w for _, text, _ in rows for w in WORD.findall((text or "").lower())}
+    vocabulary = sorted({t for w in words for t in word_terms(w)})
+    counted = Terms(vocabulary)
+    found = [counted.counts(text)[:2] for _, text, _ in rows]
+    held = np.array([len(t) for t, _ in found], np.int64)
+    example = np.repeat(np.arange(len(rows)), held)
+    term = np.concatenate([t for t, _ in found]) if found else np.zeros(0, np.int64)
+    count = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
+    label = np.array([r[2] for r in rows], float)
+    n = np.bincount(label.astype(int), minlength=2)
+    df = np.bincount(term, minlength=len(vocabulary))
+    scale = (np.log((1 + len(rows)) / (1 + df)) + 1) * relevance(term, label[example], n[0], n[1], len(vocabulary))
+    weight = np.log1p(count) * scale[term]
+    weight /= np.sqrt(np.bincount(example, weight**2, minlength=len(rows)))[example]
+    return Model(
+        vocabulary, scale, float(np.log(1 + len(rows)) + 1), Index(example, term, weight, len(rows), len(vocabulary)),
+        np.array([r[0] for r in rows], np.int64), label, np.array([sizes[r[2]] / n[r[2]] for r in rows]),
+        np.array([text_hash(r[1]) for r in rows], np.int64), sizes[1] / sum(sizes) if sum(sizes) else 0.0,
+    )
+
+
+def packed(model: Model) -> bytes:
+    return zlib.compress(pickle.dumps(model), 1)
+
+
+def unpacked(data: bytes) -> Model:
+    return pickle.loads(zlib.decompress(data))
+
+
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes: int = EXAMPLE_BYTES) -> bytes:
+    """Learn from labelled documents; ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic``. The
+    model comes packed; no labels give one that knows nothing."""
+    spark = docs.sparkSession
     docs = private(docs, ["doc_id", "text"])
     picked, sizes = sample_labels(docs, labels, examples)
-    prior = sizes[1] / sum(sizes) if sum(sizes) else 0.0
-    # The sample is bounded by its parameter, so sending it to every task is safe.
-    sample = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    sample = sample.join(F.broadcast(picked), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
-    sample = stored(sample, run_dir(docs.sparkSession, "toxicity-sample"))
-    n = {row.toxic: row.n for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    chosen = example_terms(sample)
-    total, held = document_frequencies(docs, chosen)
-    idf = np.log((1 + total) / (1 + held)) + 1
-    other = float(np.log((1 + total) / 2) + 1)
-    terms = Terms(chosen)
-    handed = docs.sparkSession.sparkContext.broadcast(terms)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sample = example_rows(docs, picked, examples, most_bytes)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([packed(fitted(rows, sizes))], pa.binary())], names=["model"])
+
+    # The sample is bounded by its parameters: one task holds it.
+    learned = sample.repartition(1).mapInArrow(learn, "model binary").collect()
+    if not learned:
+        return packed(fitted([], sizes))
+    data = bytes(learned[0].model)
+    handed = spark.sparkContext.broadcast(data)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = unpacked(handed.value)
         for batch in batches:
-            counted = [sorted(handed.value.find(t.as_py())[0].items()) for t in batch.column(1)]
-            arrays = [batch.column(0), batch.column(2)]
-            arrays += [pa.array([np.array([c[i] for c in cs], "<i4").tobytes() for cs in counted]) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "toxic", "terms", "counts"])
-
-    schema = "doc_id bigint, toxic int, terms binary, counts binary"
-    held_rows = sample.mapInArrow(rows, schema).collect()  # the bounded sample, as counts of terms
-    held_rows.sort(key=lambda r: (r.doc_id, r.toxic, bytes(r.terms), bytes(r.counts)))
-    sizes_of = np.array([len(r.terms) // 4 for r in held_rows], np.int64)
-    at, counts = (np.frombuffer(b"".join(r[i] for r in held_rows), "<i4") for i in (2, 3))
-    toxic = np.repeat(np.array([r.toxic for r in held_rows], np.int64), sizes_of)
-    scale = idf * relevance(at, toxic, n.get(0, 0), n.get(1, 0), len(chosen))
-    label = np.array([r.toxic for r in held_rows], dtype=float)
-    stands_for = np.array([sizes[r.toxic] / n[r.toxic] for r in held_rows])
-    ids = np.array([r.doc_id for r in held_rows], dtype=np.int64)
-    none = (np.zeros(0), np.zeros(0))
-    model = Model(terms, scale, other, sizes_of, at, counts, ids, label, stands_for, none, prior, k)
-    votes = own_votes(docs.sparkSession, model)
-    if len(ids):
-        model.knots = isotonic(votes, label, stands_for)
-    return model
-
-
-def scored(docs: DataFrame, model: Model, score: str = "score", evidence: str = "evidence") -> DataFrame:
+            found = model.neighbours(batch.column("text").to_pylist(), NEIGHBOURS[-1])
+            votes = [[model.vote(f[:k], c[:k]) for k in NEIGHBOURS] for f, c in found]
+            columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(votes, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "votes"])
+
+    tasks = max(1, len(unpacked(data).doc_ids) // 500)
+    rows = sample.repartition(tasks).mapInArrow(own, "doc_id bigint, toxic int, votes array<double>").collect()
+    rows.sort(key=lambda r: (r.doc_id, r.toxic))
+    label, votes = np.array([r.toxic for r in rows], float), np.array([r.votes for r in rows])
+    model = unpacked(data)
+    # The number of neighbours that puts the examples of label 1 first; of equal ones the largest.
+    best = max(range(len(NEIGHBOURS)), key=lambda i: (round(average_precision(votes[:, i], label), 3), i))
+    model.k = NEIGHBOURS[best]
+    weight = np.array([sizes[r.toxic] / max((label == r.toxic).sum(), 1) for r in rows])
+    model.knots = isotonic(votes[:, best], label, weight)
+    return packed(model)
+
+
+def scored(docs: DataFrame, model: bytes, score: str = "score", evidence: str = "evidence") -> DataFrame:
     """All rows and columns, with a score (0 to 1) and evidence (ids of the nearest examples) after them.
 
-    A null text or one without any term of the examples has no neighbours and gets the labels' own share. Columns of the two names are replaced.
+    A null text or one without any term of the examples has no neighbours and gets the labels' own share. A null id is handed
+    on, repeated rows get equal scores, an empty table gives an empty result. Columns of the two names are replaced.
     """
     added = [score, evidence]
     keep = docs.drop(*added)
@@ -387,7 +440,7 @@ def scored(docs: DataFrame, model: Model, score: str = "score", evidence: str =
     schema = T.StructType([*keep.schema, T.StructField(score, T.DoubleType()), T.StructField(evidence, T.ArrayType(T.LongType()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = handed.value
+        model = unpacked(handed.value)
         for batch in batches:
             found = list(model.score(batch.column(at).to_pylist()))
             scores, near = [f[0] for f in found], [f[1].tolist() for f in found]
@@ -398,7 +451,12 @@ def scored(docs: DataFrame, model: Model, score: str = "score", evidence: str =
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, held_out, score, predicted, evidence``, one row per document."""
+    """``doc_id, held_out, score, predicted, evidence``, one row per document.
+
+    Null texts and texts without a known term get the labels' own share as score, and no evidence; without any labels that
+    is zero. Repeated rows get equal results, a null id is handed on, an empty table gives an empty result. Of the
+    documents' columns only ``doc_id`` and ``text`` are read, and no score depends on the first.
+    """
     rows = scored(private(docs, ["doc_id", "text"]), fit(docs, labels))
     return rows.select(
         "doc_id",
@@ -410,6 +468,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents under the threshold, with all their columns."""
-    rows = scored(docs, fit(docs, labels), "_toxicity", "_evidence")
-    return rows.filter(F.col("_toxicity") < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents under the threshold, with all their columns, whatever these are called. Null and empty texts,
+    repeated rows and rows without id are judged like any other row; an empty table stays empty."""
+    score, evidence = own_names(docs, "score", "evidence")
+    rows = scored(docs, fit(docs, labels), score, evidence)
+    return rows.filter(F.col(score) < threshold).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,73 +1,166 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import TESTDATA
 from llm_edges import clashing, edge, none  # noqa: F401
 from sunledger.llm import toxicity as T
 from sunledger.llm.common import documents, importable
 
 
-def random_vectors(rng, n, terms, like=None):
+def random_vectors(rng, n, terms):
     out = []
     for _ in range(n):
-        picked = rng.choice(terms - 1, rng.integers(0, 6), replace=False)
-        v = {int(t): float(rng.integers(1, 4)) for t in picked}
-        v[terms - 1] = float(rng.integers(1, 9))
-        norm = sum(w * w for w in v.values()) ** 0.5
-        out.append({t: w / norm for t, w in v.items()})
+        picked = np.sort(rng.choice(terms, rng.integers(1, 9), replace=False))
+        weight = rng.integers(1, 5, len(picked)).astype(float)
+        out.append((picked, weight / np.sqrt(weight @ weight)))
     return out
 
 
+def index_of(vectors, terms, **more):
+    sizes = [len(t) for t, _ in vectors]
+    flat = [np.concatenate([v[i] for v in vectors]) if vectors else np.zeros(0, np.int64) for i in (0, 1)]
+    return T.Index(np.repeat(np.arange(len(vectors)), sizes), flat[0].astype(np.int64), flat[1].astype(float), len(vectors), terms, **more)
+
+
+@pytest.mark.parametrize("block", [1, 5, 32])
 @pytest.mark.parametrize("n", [0, 1, 14, 15, 64, 65, 1000])
-def test_nearest_are_those_of_all_examples(n):
-    rng, terms = np.random.default_rng(n), 40
+def test_nearest_are_those_of_all_examples(n, block):
+    rng, terms = np.random.default_rng(n), 60
     vectors = random_vectors(rng, n, terms)
     vectors += vectors[: n // 3]  # ties
-    index = T.Index(vectors, terms)
-    dense = np.zeros((len(vectors), terms))
-    for i, v in enumerate(vectors):
-        dense[i, list(v)] = list(v.values())
-    for query in random_vectors(rng, 60, terms) + vectors[:20]:
-        q = np.zeros(terms)
-        q[list(query)] = list(query.values())
-        cosine = np.round(dense @ q, 9)
-        best = np.lexsort((np.arange(len(vectors)), -cosine))[:15]
-        found, scores = index.nearest(query, 15)
-        assert np.allclose(scores, cosine[best], atol=1e-8)
-        assert set(found[scores > scores.min() + 1e-8]) <= set(best) if len(found) else not len(best)
-    assert len(index.nearest({}, 15)[0]) == 0
+    index = index_of(vectors, terms, block=block)
+    table = np.zeros((len(vectors), terms))
+    for i, (t, w) in enumerate(vectors):
+        table[i, t] = w
+    queries = random_vectors(rng, 60, terms) + vectors[:20] + [(np.zeros(0, np.int64), np.zeros(0))]
+    found, _ = index.nearest_of(queries, 15)
+    for (t, w), (best, scores) in zip(queries, found):
+        if not len(t):
+            assert not len(best)
+            continue
+        cosine = np.round(table[:, t] @ w, 9)
+        order = np.lexsort((np.arange(len(vectors)), -cosine))[:15]
+        assert np.allclose(scores, cosine[order], atol=1e-8)
+        assert set(best[scores > scores.min() + 1e-8].tolist()) <= set(order.tolist()) if len(best) else not len(order)
+
+
+def test_blocks_that_are_too_far_are_skipped():
+    """Groups that share no term: a text of one group is compared with that group alone."""
+    rng, vectors = np.random.default_rng(3), []
+    for group in range(8):
+        for _ in range(64):
+            t = np.sort(rng.choice(20, 10, replace=False)) + 20 * group
+            vectors.append((t, np.full(10, 10**-0.5)))
+    index = index_of(vectors, 160)
+    found, scored = index.nearest_of(vectors[:64], 15)
+    assert scored < 64 * 200
+    assert all(best[0] == i or scores[0] == 1 for i, (best, scores) in enumerate(found))
 
 
 def test_terms_are_those_of_all_words():
-    vocabulary = ["idiot", "^idio", "ab", "^worthl", "élan", "^trash", "abcde", "^abcd"]
+    vocabulary = sorted(["idiot", "^idio", "ab", "^worthl", "élan", "^trash", "abcde", "^abcd"])
     texts = ["Idiot! idiots, (idiot) $$$idiot%%idiot ab AB-ab abc abcde abcdefg xab", "worthless,worthlessly Élan 12 trash1 trashy",
              "", None, "x", "idiot", "ab"]
     terms = T.Terms(vocabulary)
     for text in texts:
-        found = [vocabulary.index(t) for w in T.WORD.findall((text or "").lower()) for t in T.word_terms(w) if t in vocabulary]
-        words, counts = terms.count(text)
-        assert words == len((text or "").split()) and counts == {i: found.count(i) for i in found}
-    assert T.Terms([]).count("a b") == (2, {})
+        every = Counter(t for w in T.WORD.findall((text or "").lower()) for t in T.word_terms(w))
+        number, times, others = terms.counts(text)
+        assert {vocabulary[i]: n for i, n in zip(number, times)} == {t: n for t, n in every.items() if t in vocabulary}
+        assert others == pytest.approx(sum(np.log1p(n) ** 2 for t, n in every.items() if t not in vocabulary))
+
+
+def plain_scores(docs, labelled, sizes, k, texts):
+    """Scores and neighbours by comparing every text with every example, in plain Python; nothing of the operator's but
+    what a term is."""
+    def counts(text):
+        return Counter(t for w in T.WORD.findall((text or "").lower()) for t in T.word_terms(w))
+
+    rows = sorted(labelled)
+    held = [counts(text) for _, _, text in rows]
+    n = Counter(y for _, y, _ in rows)
+    df, with_1, with_0 = Counter(), Counter(), Counter()
+    for (_, y, _), c in zip(rows, held):
+        df.update(c.keys())
+        (with_1 if y else with_0).update(c.keys())
+    scale = {t: (math.log((1 + len(rows)) / (1 + df[t])) + 1) * math.log2(2 + (with_1[t] / n[1]) / (max(with_0[t], 1) / n[0])) for t in df}
+
+    def unit(c):
+        v = {t: math.log1p(m) * scale.get(t, math.log(1 + len(rows)) + 1) for t, m in c.items()}
+        length = math.sqrt(math.fsum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    vectors = [unit(c) for c in held]
+
+    def nearest(text, k):
+        v = unit(counts(text))
+        if not v.keys() & scale.keys():
+            return []
+        own = next((i for i, r in enumerate(rows) if (r[2] or "") == (text or "")), None)
+        cosines = [(-round(math.fsum(x * w[t] for t, x in v.items() if t in w), 10), i) for i, w in enumerate(vectors) if i != own]
+        return sorted(cosines)[:k]
+
+    def vote(found):
+        weight = [1 / n[rows[i][1]] / (1.01 + c) ** T.POWER for c, i in found]
+        return sum(w for w, (_, i) in zip(weight, found) if rows[i][1]) / sum(weight)
+
+    votes = np.array([vote(nearest(r[2], k)) for r in rows])
+    y = np.array([r[1] for r in rows], float)
+    knots = T.isotonic(votes, y, np.array([sizes[r[1]] / n[r[1]] for r in rows]))
+    out = {}
+    for doc_id, text in texts:
+        found = nearest(text, k)
+        out[doc_id] = (float(np.interp(vote(found), *knots)) if found else sizes[1] / sum(sizes), found, rows)
+    return out
 
 
-def test_every_term_of_the_examples_counts(spark):
-    """Words that say nothing about the label still find the neighbours, and make the evidence."""
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_query_against_all_examples(spark, sf):
+    """Score and evidence of the whole query; documents with toxic texts are flagged at both sizes."""
+    path = f"{TESTDATA}/sf{sf}"
+    docs = [(r.doc_id, r.text) for r in documents(spark, path).select("doc_id", "text").collect()]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
+    learned = [(i, labels[i], text or "") for i, text in docs if i in labels and zlib.crc32(str(i).encode()) % 3 != 1]
+    sizes = [sum(y == c for _, y, _ in learned) for c in (0, 1)]
+    model = T.unpacked(T.fit(documents(spark, path), spark.read.parquet(f"{path}/labels.parquet")))
+    rows = {r.doc_id: r for r in entry.queries()["op4_toxicity"](spark, path).collect()}
+    some = docs if sf == "0.001" else docs[::7]
+    want = plain_scores(docs, learned, sizes, model.k, some)
+    for doc_id, (score, found, examples) in want.items():
+        assert rows[doc_id].score == pytest.approx(score, abs=1e-7)
+        assert rows[doc_id].predicted == (rows[doc_id].score >= 0.7) and rows[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
+        sure = {examples[i][0] for c, i in found if c < found[-1][0] - 1e-9}
+        assert sure <= set(rows[doc_id].evidence) and len(rows[doc_id].evidence) == len(found)
+    flagged = {i for i, r in rows.items() if r.predicted}
+    held = {i for i, y in labels.items() if y and rows[i].held_out}
+    assert len(flagged) >= 3 and len(held & flagged) >= {"0.001": 2, "0.01": 15}[sf]
+    assert all(labels.get(i, 1) for i in flagged if rows[i].held_out)
+
+
+def test_the_text_itself_is_no_evidence(spark):
+    """A text that was learned from scores as one that was not: by its neighbours."""
     importable(spark)
-    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1][:120]
-    texts = [(i, f"alpha{'abcdefghij'[j % 10]}{'klmnopqrst'[j // 10 % 10]} common words") for j, i in enumerate(ids)]
-    docs = spark.createDataFrame([(i, t + (" idiot" if j % 4 == 0 else "")) for j, (i, t) in enumerate(texts)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(j % 4 == 0)) for j, i in enumerate(ids)], "doc_id long, toxic int")
-    model = T.fit(docs, labels)
-    words = {t for _, text in texts for w in text.split() for t in T.word_terms("".join(c for c in w if c.isalpha()))}
-    assert set(model.terms.place) == words | set(T.word_terms("idiot"))
-    rows = {r.doc_id: r.evidence for r in T.scored(docs, model).collect()}
-    # Without an insult in any of them, equal words come first.
-    for j, (i, text) in enumerate(texts):
-        same = {k for k, other in texts if other == text and (ids.index(k) % 4 == 0) == (j % 4 == 0)}
-        assert set(rows[i][: len(same)]) == same
+    rows = [(i, f"{w} alpha beta gamma", y) for i, (w, y) in enumerate([("idiot", 1), ("idiot", 1), ("lovely", 0), ("kind", 0)])]
+    model = T.fitted(rows, [2, 2])
+    found = [f.tolist() for f, _ in model.neighbours(["idiot alpha beta gamma", "lovely alpha beta gamma", "other alpha beta"], 3)]
+    assert found[0][0] == 1 and 0 not in found[0] and 2 not in found[1] and len(found[2]) == 3
+
+
+def test_the_sample_is_bounded(spark):
+    importable(spark)
+    ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.createDataFrame([(i, "word " * (20 if i % 2 else 2000)) for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    picked, sizes = T.sample_labels(docs, labels, 50)
+    rows = T.example_rows(docs, picked, 50, 60_000).collect()
+    assert sizes == [sum(i % 2 == c for i in ids) for c in (0, 1)]
+    assert sum(r.toxic == 1 for r in rows) == 50 and 0 < sum(r.toxic == 0 for r in rows) == 3
+    assert len(T.unpacked(T.fit(docs, labels, 50, 60_000)).doc_ids) == 53
 
 
 def test_isotonic_rises_and_keeps_the_mean():
@@ -81,8 +174,6 @@ def test_isotonic_rises_and_keeps_the_mean():
 
 def test_held_out_labels(spark):
     """Labels that took no part: the order of the scores, what is flagged, and that scores are shares."""
-    import __spark_entry__ as entry
-
     path = f"{TESTDATA}/sf0.1"
     rows = entry.queries()["op4_toxicity"](spark, path)
     labels = spark.read.parquet(f"{path}/labels.parquet").select("doc_id", "toxic")
