@@ -1,17 +1,22 @@
 """Mixing sources to target weights: iterative proportional fitting, then sampling by calibrated probabilities.
 
-Documents fall into cells by source, language and topic. The cells' tokens are raked until their sums over each of the
-three dimensions meet that dimension's targets; a document's weight is its cell's raked tokens over the cell's own.
-Probabilities are the weights over the largest weight: the largest sample without repeats whose expected tokens meet
-all targets. All of it is DataFrame work: cells are few beside documents, but nothing asks them to fit anywhere.
+Documents fall into cells by source, language and topic. The sample has a budget, a stated share of all tokens, and each of
+the three dimensions' targets is a goal of expected tokens within it. Raking finds one factor per value; a cell's probability is the
+product of its three factors, and 1 where that is more. Each step solves for a value's factor with what is clipped counted
+whole, so the budget and the goals hold together: a rare cell that deserves more than it has is kept whole, and what it
+lacks is spread over the others of its value instead of thinning the corpus to its measure. A goal beyond a value's own
+tokens cannot be met: the value is kept whole, and the rest of the budget goes to the others in their proportions
+(:func:`margins` tells which). All of it is DataFrame work: cells are few beside documents, but nothing asks them to fit
+anywhere.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.llm.common import own_names, run_dir, stored
@@ -20,6 +25,8 @@ from sunledger.llm.common import own_names, run_dir, stored
 Target = float | Mapping[str, float]
 
 TEMPER = 0.9
+#: Share of all tokens that the sample is expected to have.
+KEEP = 0.5
 #: Topics by what the lower-cased text contains; the first that fits.
 TOPICS: dict[str, tuple[str, ...]] = {
     "legal": ("license", "licence", "copyright"),
@@ -41,6 +48,7 @@ class Targets:
     lang: Target = TEMPER
     topic: Target = TEMPER
     topics: Mapping[str, tuple[str, ...]] = field(default_factory=lambda: TOPICS)
+    keep: float = KEEP
 
 
 def topic_of(text: Column, topics: Mapping[str, tuple[str, ...]] = TOPICS) -> Column:
@@ -83,50 +91,70 @@ def target_shares(cells: DataFrame, dimension: str, target: Target) -> DataFrame
         raw = F.coalesce(F.col("named"), F.col("tokens") * F.lit(left / rest))
     else:
         raw = F.pow("tokens", F.lit(float(target)))
-    sums = sums.select(dimension, raw.alias("raw"))
+    sums = sums.select(dimension, "tokens", raw.alias("raw"))
     total = sums.agg(F.sum("raw")).first()[0] or 1.0
-    return sums.select(dimension, (F.col("raw") / F.lit(float(total))).alias("share"))
+    return sums.select(dimension, "tokens", (F.col("raw") / F.lit(float(total))).alias("share"))
 
 
-def rake(cells: DataFrame, shares: Mapping[str, DataFrame], path: str) -> DataFrame:
-    """``cells`` with ``raked``: tokens scaled until each dimension's sums meet its shares of the total.
+def with_factor(rows: DataFrame, by: list[str], rate: str, goal: Column) -> DataFrame:
+    """``factor``: the number f of each group with ``sum(tokens * min(1, rate * f)) = goal``.
 
-    A cell's scale is the product of one factor per dimension. A step sums the cells, scaled by the other dimensions'
-    factors, over one dimension and sets its factors to meet the goals. Sums are taken map-side, so a value that holds a
-    third of all cells is one row per task in the shuffle. Each step's factors are written; from each sweep over the
-    dimensions one number comes back, how far the factors moved.
+    From the largest rate down, the first rows of a group are whole and the others in proportion; each row gives the f it
+    would mean to be the first in proportion, and of those that are under their own limit the largest is right. A goal
+    that takes all there is gives the least f that does.
     """
-    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    goals = {
-        d: stored(s.select(d, (F.col("share") * total).alias("goal"), F.lit(1.0).alias("factor")), f"{path}/{d}")
-        for d, s in shares.items()
-    }
-    factors = {d: goal.select(d, F.col("factor").alias(f"{d}_factor")) for d, goal in goals.items()}
+    down = Window.partitionBy(*by).orderBy(F.desc(rate))
+    whole = F.coalesce(F.sum("tokens").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    others = F.sum(F.col("tokens") * F.col(rate)).over(down.rowsBetween(0, Window.unboundedFollowing))
+    rows = rows.withColumn("tried", F.try_divide(goal - whole, others))
+    group = Window.partitionBy(*by)
+    least = F.try_divide(F.lit(1.0), F.min(rate).over(group))
+    part = F.max(F.when(F.col("tried") * F.col(rate) < 1, F.col("tried"))).over(group)
+    return rows.withColumn("factor", F.coalesce(part, least, F.lit(1.0))).drop("tried")
+
+
+def goals(shares: DataFrame, dimension: str, budget: float) -> DataFrame:
+    """``<dimension>, share, goal``: the budget dealt out by the shares, no value given more than its own tokens."""
+    rows = shares.withColumn("rate", F.col("share") / F.col("tokens"))
+    rows = with_factor(rows, [], "rate", F.lit(budget))
+    goal = F.col("tokens") * F.least(F.lit(1.0), F.col("rate") * F.col("factor"))
+    return rows.select(dimension, "share", goal.alias("goal"))
+
+
+def rake(cells: DataFrame, shares: Mapping[str, DataFrame], keep: float, path: str) -> DataFrame:
+    """``cells`` with ``probability``: clipped products of one factor per dimension that meet the goals.
+
+    A step solves for one dimension's factors, given the others'; a value's cells are put in order, at most as many as there are
+    pairs of values of the other two. Each step's factors are written; from each sweep over the dimensions one number comes
+    back, how far the factors moved.
+    """
+    cells = cells.withColumn("tokens", F.col("tokens").cast("double"))
+    budget = float(cells.agg(F.sum("tokens")).first()[0] or 0.0) * keep
+    wanted = {d: stored(goals(s, d, budget).withColumn("factor", F.lit(1.0)), f"{path}/{d}") for d, s in shares.items()}
+    factors = {d: goal.select(d, F.col("factor").alias(f"{d}_factor")) for d, goal in wanted.items()}
     for sweep in range(MOST_SWEEPS):
         moved = 0.0
-        for dimension, goal in goals.items():
-            held = _scaled(cells, {d: f for d, f in factors.items() if d != dimension})
-            held = held.groupBy(dimension).agg(F.sum("raked").alias("held"))
+        for dimension, goal in wanted.items():
+            held = _with_product(cells, {d: f for d, f in factors.items() if d != dimension}, "rate")
+            held = with_factor(held.join(goal.select(dimension, "goal"), dimension), [dimension], "rate", F.col("goal"))
             before = factors[dimension].withColumnRenamed(f"{dimension}_factor", "before")
-            new = goal.select(dimension, "goal").join(held, dimension).join(before, dimension)
-            # A value whose cells all went to zero elsewhere has nothing to scale.
-            new = new.withColumn("factor", F.coalesce(F.try_divide("goal", "held"), F.lit(1.0)))
+            new = held.groupBy(dimension).agg(F.max("factor").alias("factor")).join(before, dimension)
             off = F.coalesce(F.abs(F.try_divide("factor", "before") - 1), F.lit(0.0))
             new = stored(new.select(dimension, "factor", off.alias("off")), f"{path}/{dimension}-{sweep}")
             moved = max(moved, new.agg(F.max("off")).first()[0] or 0.0)
             factors[dimension] = new.select(dimension, F.col("factor").alias(f"{dimension}_factor"))
         if moved < TOLERANCE:
             break
-    return _scaled(cells, factors)
+    return _with_product(cells, factors, "rate").withColumn("probability", F.least(F.lit(1.0), "rate")).drop("rate")
 
 
-def _scaled(cells: DataFrame, factors: Mapping[str, DataFrame]) -> DataFrame:
-    """``cells`` with ``raked``: tokens times the factors."""
-    raked = F.col("tokens").cast("double")
+def _with_product(cells: DataFrame, factors: Mapping[str, DataFrame], name: str) -> DataFrame:
+    """``cells`` with the product of the factors of their values."""
+    product = F.lit(1.0)
     for dimension, factor in factors.items():
         cells = cells.join(factor, dimension)
-        raked = raked * F.col(f"{dimension}_factor")
-    return cells.withColumn("raked", raked).drop(*(f"{d}_factor" for d in factors))
+        product = product * F.col(f"{dimension}_factor")
+    return cells.withColumn(name, product).drop(*(f"{d}_factor" for d in factors))
 
 
 def draw(doc_id: str, seed: int) -> Column:
@@ -136,7 +164,8 @@ def draw(doc_id: str, seed: int) -> Column:
 
 
 def mix(docs: DataFrame, targets: Targets = Targets(), seed: int = 7) -> DataFrame:
-    """All rows and columns, with ``mix_source, mix_lang, mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``.
+    """All rows and columns, with ``mix_source, mix_lang, mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``. The
+    weight is the probability over the share that is kept, so weights times tokens add up to all tokens.
 
     A null source or language is a value like any other, a null text an empty one. Rows with the same id (also those
     without one) share their draw, so repeated rows stay or go together. An empty table gives an empty result. Columns
@@ -148,14 +177,30 @@ def mix(docs: DataFrame, targets: Targets = Targets(), seed: int = 7) -> DataFra
     cells = stored(cells, f"{path}/cells")
     wanted = dict(zip(DIMENSIONS, (targets.source, targets.lang, targets.topic)))
     shares = {dimension: target_shares(cells, dimension, target) for dimension, target in wanted.items()}
-    raked = stored(rake(cells, shares, path), f"{path}/raked")
-    weights = raked.select(*DIMENSIONS, F.try_divide("raked", F.col("tokens").cast("double")).alias("mix_weight"))
-    most = weights.agg(F.max("mix_weight")).first()[0] or 1.0
+    raked = stored(rake(cells, shares, targets.keep, path), f"{path}/raked")
+    weight = (F.col("probability") / F.lit(float(targets.keep))).alias("mix_weight")
+    weights = raked.select(*DIMENSIONS, weight, F.col("probability").alias("mix_probability"))
     rows = rows.drop("mix_weight", "mix_probability", "mix_kept").join(weights, list(DIMENSIONS))
-    rows = rows.withColumn("mix_probability", F.col("mix_weight") / F.lit(float(most)))
     return rows.withColumn("mix_kept", draw("doc_id", seed) < F.col("mix_probability"))
 
 
+def margins(mixed: DataFrame, targets: Targets = Targets()) -> DataFrame:
+    """``dimension, value, tokens, share, expected, wanted`` of what :func:`mix` gave: a value's tokens, its target share,
+    the tokens expected in the sample and those the target asks for. Where less is expected than wanted, the target cannot be met."""
+    cells = mixed.groupBy(*DIMENSIONS).agg(
+        F.sum("mix_tokens").alias("tokens"), F.sum(F.col("mix_tokens") * F.col("mix_probability")).alias("expected")
+    )
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0.0) * targets.keep
+    out = []
+    for dimension, target in zip(DIMENSIONS, (targets.source, targets.lang, targets.topic)):
+        shares = target_shares(cells, dimension, target).drop("tokens")
+        sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens"), F.sum("expected").alias("expected"))
+        name = F.lit(dimension.removeprefix("mix_")).alias("dimension")
+        row = sums.join(shares, dimension).withColumn("wanted", F.col("share") * total)
+        out.append(row.select(name, F.col(dimension).alias("value"), "tokens", "share", "expected", "wanted"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def sampled(docs: DataFrame, targets: Targets = Targets(), seed: int = 7) -> DataFrame:
     """The sample, with the input's columns, whatever these are called. Null sources, languages and texts count as
     :func:`mix` says; rows with one id share their draw, repeated ones stay or go together; an empty table stays empty."""

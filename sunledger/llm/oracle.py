@@ -80,33 +80,75 @@ MIXING = """
     from documents
   ), c as (
     select source, lang, topic, sum(tokens)::double as tokens from d group by all
+  ), s0 as (
+    select source, sum(tokens) as tokens, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by source
+  ), s1 as (
+    select *, share / tokens as rate, (select sum(tokens) from c) * 0.5 as goal from s0
   ), s as (
-    select source, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by source
+    select source, tokens * least(1, rate * coalesce(max(case when tried * rate < 1 then tried end) over (), 1 / min(rate) over ())) as goal
+    from (select *, (goal - coalesce(sum(tokens) over (order by rate desc rows between unbounded preceding and 1 preceding), 0))
+        / sum(tokens * rate) over (order by rate desc rows between current row and unbounded following) as tried from s1)
+  ), l0 as (
+    select lang, sum(tokens) as tokens, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by lang
+  ), l1 as (
+    select *, share / tokens as rate, (select sum(tokens) from c) * 0.5 as goal from l0
   ), l as (
-    select lang, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by lang
+    select lang, tokens * least(1, rate * coalesce(max(case when tried * rate < 1 then tried end) over (), 1 / min(rate) over ())) as goal
+    from (select *, (goal - coalesce(sum(tokens) over (order by rate desc rows between unbounded preceding and 1 preceding), 0))
+        / sum(tokens * rate) over (order by rate desc rows between current row and unbounded following) as tried from l1)
+  ), t0 as (
+    select topic, sum(tokens) as tokens, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by topic
+  ), t1 as (
+    select *, share / tokens as rate, (select sum(tokens) from c) * 0.5 as goal from t0
   ), t as (
-    select topic, pow(sum(tokens), 0.9) / sum(pow(sum(tokens), 0.9)) over () as share from c group by topic
+    select topic, tokens * least(1, rate * coalesce(max(case when tried * rate < 1 then tried end) over (), 1 / min(rate) over ())) as goal
+    from (select *, (goal - coalesce(sum(tokens) over (order by rate desc rows between unbounded preceding and 1 preceding), 0))
+        / sum(tokens * rate) over (order by rate desc rows between current row and unbounded following) as tried from t1)
   ), g as (
-    select c.*, s.share as s_share, l.share as l_share, t.share as t_share,
-      (select sum(tokens) from c) as total
+    select c.*, s.goal as s_goal, l.goal as l_goal, t.goal as t_goal
     from c join s on c.source is not distinct from s.source join l on c.lang is not distinct from l.lang
       join t on c.topic = t.topic
   ), ipf as (
-    select 0 as k, source, lang, topic, tokens, s_share, l_share, t_share, total, tokens as w from g
+    select 0 as k, g.*, 1e0 as fs, 1e0 as fl, 1e0 as ft from g
     union all
-    select k + 1, source, lang, topic, tokens, s_share, l_share, t_share, total,
-      w2 * t_share * total / sum(w2) over (partition by topic) as w
-    from (
-      select *, w1 * l_share * total / sum(w1) over (partition by lang) as w2
-      from (select *, w * s_share * total / sum(w) over (partition by source) as w1 from ipf where k < 60)
+    select k + 1, source, lang, topic, tokens, s_goal, l_goal, t_goal, fs, fl, ft from (
+      with now as (select * from ipf where k < 60),
+      a as (
+        select * exclude (rate, tried, fs), coalesce(max(case when tried * rate < 1 then tried end) over (partition by source),
+          1 / min(rate) over (partition by source)) as fs
+        from (
+          select *, (s_goal - coalesce(sum(tokens) over (partition by source order by rate desc rows between unbounded preceding and 1 preceding), 0))
+            / sum(tokens * rate) over (partition by source order by rate desc rows between current row and unbounded following) as tried
+          from (select *, fl * ft as rate from now)
+        )
+      ),
+      b as (
+        select * exclude (rate, tried, fl), coalesce(max(case when tried * rate < 1 then tried end) over (partition by lang),
+          1 / min(rate) over (partition by lang)) as fl
+        from (
+          select *, (l_goal - coalesce(sum(tokens) over (partition by lang order by rate desc rows between unbounded preceding and 1 preceding), 0))
+            / sum(tokens * rate) over (partition by lang order by rate desc rows between current row and unbounded following) as tried
+          from (select *, fs * ft as rate from a)
+        )
+      ),
+      e as (
+        select * exclude (rate, tried, ft), coalesce(max(case when tried * rate < 1 then tried end) over (partition by topic),
+          1 / min(rate) over (partition by topic)) as ft
+        from (
+          select *, (t_goal - coalesce(sum(tokens) over (partition by topic order by rate desc rows between unbounded preceding and 1 preceding), 0))
+            / sum(tokens * rate) over (partition by topic order by rate desc rows between current row and unbounded following) as tried
+          from (select *, fs * fl as rate from b)
+        )
+      )
+      select * from e
     )
   ), r as (
-    select source, lang, topic, w / tokens as weight, max(w / tokens) over () as most from ipf where k = 60
+    select source, lang, topic, least(1, fs * fl * ft) as probability from ipf where k = 60
   )
-  select doc_id, d.source, d.lang, d.topic, d.tokens::bigint as tokens, round(weight, 6) as weight,
-    round(weight / most, 6) as probability,
+  select doc_id, d.source, d.lang, d.topic, d.tokens::bigint as tokens, round(probability / 0.5, 6) as weight,
+    round(probability, 6) as probability,
     ('0x' || substr(md5('7:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / 4503599627370496.0
-      < weight / most as kept
+      < probability as kept
   from d join r on d.source is not distinct from r.source and d.lang is not distinct from r.lang
     and d.topic = r.topic"""
 
