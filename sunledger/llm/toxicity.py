@@ -16,8 +16,8 @@ Neighbours vote with weights that fall with distance, each class by its share am
 are not outvoted by their number. An example with the very text that is scored is left out, once, for texts that were
 learned from and others alike. Votes become probabilities by isotonic regression over the examples' own votes.
 
-One task fits the bounded sample. The model, some tens of bytes a term and posting, passes through the driver as one packed
-value on its way to the workers.
+One task counts the bounded sample. The counts, a few bytes a term and posting, pass through the driver as one packed value
+on their way to the workers, which build the model from them.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import cached_property
+from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +56,7 @@ COMMON = 8
 BATCH = 128
 THRESHOLD = 0.7
 #: Words whose terms a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -125,22 +126,29 @@ def close_together(points: np.ndarray, most: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def neighbourly(example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, block: int) -> np.ndarray:
+    """An order in which examples that lie close together share a block, by a projection to a few dimensions."""
+    directions = np.random.default_rng(7).standard_normal((terms, 32), np.float32)
+    points = np.zeros((n, 32))
+    for dim in range(32):
+        points[:, dim] = np.bincount(example, weight * directions[term, dim], minlength=n)
+    return close_together(points, block)
+
+
 class Index:
     """Block-max inverted index over unit vectors, given by one entry per example and term."""
 
-    def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, block: int = BLOCK):
-        # Blocks come from a projection of the vectors to a few dimensions.
-        directions = np.random.default_rng(7).standard_normal((terms, 32)).astype(np.float32)
-        points = np.zeros((n, 32))
-        for dim in range(32):
-            points[:, dim] = np.bincount(example, weight * directions[term, dim], minlength=n)
+    def __init__(
+        self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, block: int = BLOCK, of: np.ndarray | None = None
+    ):
         #: Which example lies at each place.
-        self.of = close_together(points, block)
+        self.of = neighbourly(example, term, weight, n, terms, block) if of is None else of
         place = np.empty(n, np.int64)
         place[self.of] = np.arange(n)
-        at = place[example]
-        order = np.lexsort((at, term))
-        place, weight, term = at[order], weight[order], term[order]
+        place = place[example].astype(np.int32)
+        order = np.lexsort((place, term))
+        place, weight, term = place[order], weight[order], term[order]
+        del order
         self.n, self.block, self.blocks = n, block, -(-n // block)
         # Terms that many examples hold lie in a dense table beside the lists, block by block.
         held = np.bincount(term, minlength=terms)
@@ -217,12 +225,14 @@ class Index:
 
 
 @dataclass
-class Model:
+class Examples:
+    """What is learned from, as counts: all that travels. The rest of the model follows from it."""
+
     vocabulary: list[str]
-    #: Weight of each term: idf times relevance frequency. That of a term no example holds.
-    scale: np.ndarray
-    other: float
-    index: Index
+    #: Per example how many terms it holds; then, over all of them, the terms in order and their counts.
+    sizes: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
     doc_ids: np.ndarray
     labels: np.ndarray
     #: Labelled rows that an example stands for, so that the sampled classes keep their shares.
@@ -230,28 +240,52 @@ class Model:
     #: Hash of each example's text.
     texts: np.ndarray
     prior: float
-    k: int = NEIGHBOURS[-1]
-    knots: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0), np.zeros(0)))
-
-    @cached_property
-    def terms(self) -> Terms:
-        return Terms(self.vocabulary)
+    #: Which example lies at each place of the index.
+    of: np.ndarray | None = None
+
+    def packed(self) -> bytes:
+        # Steps from term to term are small, and letters in order few bytes.
+        steps = np.diff(self.terms, prepend=np.int32(0))
+        small = {"vocabulary": "\n".join(self.vocabulary), "terms": steps, "counts": self.counts.astype(np.uint32)}
+        return zlib.compress(pickle.dumps({**self.__dict__, **small}), 1)
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Examples:
+        held = pickle.loads(zlib.decompress(data))
+        words = held["vocabulary"].split("\n") if held["vocabulary"] else []
+        return cls(**{**held, "vocabulary": words, "terms": np.cumsum(held["terms"], dtype=np.int32)})
+
+
+def term_weights(examples: Examples) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The weight of each term, idf times relevance frequency; per entry, the example and its unit vector's weight."""
+    n, size = len(examples.sizes), len(examples.vocabulary)
+    example = np.repeat(np.arange(n, dtype=np.int32), examples.sizes)
+    held = np.bincount(examples.labels.astype(int), minlength=2)
+    df = np.bincount(examples.terms, minlength=size)
+    scale = (np.log((1 + n) / (1 + df)) + 1) * relevance(examples.terms, examples.labels[example], held[0], held[1], size)
+    weight = np.log1p(examples.counts) * scale[examples.terms]
+    weight /= np.sqrt(np.bincount(example, weight**2, minlength=n))[example]
+    return scale, example, weight
 
-    @cached_property
-    def balance(self) -> np.ndarray:
-        """What each example's vote weighs: all examples of a class together weigh one."""
-        return 1 / np.maximum(np.bincount(self.labels.astype(int), minlength=2), 1)
 
-    @cached_property
-    def same_text(self) -> dict[int, list[int]]:
-        out: dict[int, list[int]] = {}
-        for i, text in enumerate(self.texts.tolist()):
-            out.setdefault(text, []).append(i)
-        return out
-
-    def __getstate__(self) -> dict:
-        """Without what is built where it is used."""
-        return {k: v for k, v in self.__dict__.items() if k not in ("terms", "balance", "same_text")}
+class Model:
+    """Examples, the weight of each term, and the index; how votes are counted and calibrated is set later."""
+
+    def __init__(self, examples: Examples):
+        self.doc_ids, self.labels, self.stands_for = examples.doc_ids, examples.labels, examples.stands_for
+        self.prior, self.vocabulary, n = examples.prior, examples.vocabulary, len(examples.sizes)
+        held = np.bincount(self.labels.astype(int), minlength=2)
+        self.scale, example, weight = term_weights(examples)
+        #: Weight of a term that no example holds.
+        self.other = float(np.log(1 + n) + 1)
+        self.index = Index(example, examples.terms, weight, n, len(self.vocabulary), of=examples.of)
+        self.terms = Terms(self.vocabulary)
+        #: What each example's vote weighs: all examples of a class together weigh one.
+        self.balance = 1 / np.maximum(held, 1)
+        self.same_text: dict[int, list[int]] = {}
+        for i, text in enumerate(examples.texts.tolist()):
+            self.same_text.setdefault(text, []).append(i)
+        self.k, self.knots = NEIGHBOURS[-1], (np.zeros(0), np.zeros(0))
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights, over the length of the whole vector, terms that no example holds included."""
@@ -354,41 +388,46 @@ def example_rows(docs: DataFrame, picked: DataFrame, examples: int, most_bytes:
     return stored(rows, run_dir(docs.sparkSession, "toxicity-sample"))
 
 
-def fitted(rows: list[tuple[int, str | None, int]], sizes: list[int]) -> Model:
-    """The model, but for the number of neighbours and the calibration, from ``(id, text, label)`` of the examples."""
+def counted(rows: list[tuple[int, str | None, int]], sizes: list[int]) -> Examples:
+    """From ``(id, text, label)`` of the examples and the classes' full sizes."""
     rows = sorted(rows, key=lambda r: (r[0], r[2], r[1] or ""))
     words = {w for _, text, _ in rows for w in WORD.findall((text or "").lower())}
     vocabulary = sorted({t for w in words for t in word_terms(w)})
-    counted = Terms(vocabulary)
-    found = [counted.counts(text)[:2] for _, text, _ in rows]
-    held = np.array([len(t) for t, _ in found], np.int64)
-    example = np.repeat(np.arange(len(rows)), held)
-    term = np.concatenate([t for t, _ in found]) if found else np.zeros(0, np.int64)
-    count = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
+    terms = Terms(vocabulary)
+    found = [tuple(x.astype(np.int32) for x in terms.counts(text)[:2]) for _, text, _ in rows]
+    flat = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int32) for i in (0, 1)]
     label = np.array([r[2] for r in rows], float)
     n = np.bincount(label.astype(int), minlength=2)
-    df = np.bincount(term, minlength=len(vocabulary))
-    scale = (np.log((1 + len(rows)) / (1 + df)) + 1) * relevance(term, label[example], n[0], n[1], len(vocabulary))
-    weight = np.log1p(count) * scale[term]
-    weight /= np.sqrt(np.bincount(example, weight**2, minlength=len(rows)))[example]
-    return Model(
-        vocabulary, scale, float(np.log(1 + len(rows)) + 1), Index(example, term, weight, len(rows), len(vocabulary)),
-        np.array([r[0] for r in rows], np.int64), label, np.array([sizes[r[2]] / n[r[2]] for r in rows]),
-        np.array([text_hash(r[1]) for r in rows], np.int64), sizes[1] / sum(sizes) if sum(sizes) else 0.0,
+    return Examples(
+        vocabulary, np.array([len(t) for t, _ in found], np.int64), *flat, np.array([r[0] for r in rows], np.int64), label,
+        np.array([sizes[r[2]] / n[r[2]] for r in rows]), np.array([text_hash(r[1]) for r in rows], np.int64),
+        sizes[1] / sum(sizes) if sum(sizes) else 0.0,
     )
 
 
-def packed(model: Model) -> bytes:
-    return zlib.compress(pickle.dumps(model), 1)
+@lru_cache(maxsize=1)
+def model_of(data: bytes) -> Model:
+    """Built once in a worker, and kept for its tasks."""
+    return Model(Examples.unpacked(data))
+
+
+@dataclass(frozen=True)
+class Learned:
+    """A fitted model on its way: packed examples as a broadcast value, and what their own votes have set."""
 
+    examples: Broadcast[bytes]
+    k: int
+    knots: tuple[np.ndarray, np.ndarray]
 
-def unpacked(data: bytes) -> Model:
-    return pickle.loads(zlib.decompress(data))
+    def model(self) -> Model:
+        model = model_of(self.examples.value)
+        model.k, model.knots = self.k, self.knots
+        return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes: int = EXAMPLE_BYTES) -> bytes:
-    """Learn from labelled documents; ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic``. The
-    model comes packed; no labels give one that knows nothing."""
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes: int = EXAMPLE_BYTES) -> Learned:
+    """Learn from labelled documents; ``docs`` needs ``doc_id`` and ``text``, ``labels`` ``doc_id`` and ``toxic``. No
+    labels give a model that knows nothing."""
     spark = docs.sparkSession
     docs = private(docs, ["doc_id", "text"])
     picked, sizes = sample_labels(docs, labels, examples)
@@ -396,38 +435,36 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([packed(fitted(rows, sizes))], pa.binary())], names=["model"])
+        found = counted(rows, sizes)
+        rows.clear()
+        _, example, weight = term_weights(found)
+        found.of = neighbourly(example, found.terms, weight, len(found.sizes), len(found.vocabulary), BLOCK)
+        yield pa.RecordBatch.from_arrays([pa.array([found.packed()], pa.binary())], names=["examples"])
 
-    # The sample is bounded by its parameters: one task holds it.
-    learned = sample.repartition(1).mapInArrow(learn, "model binary").collect()
-    if not learned:
-        return packed(fitted([], sizes))
-    data = bytes(learned[0].model)
-    handed = spark.sparkContext.broadcast(data)
+    # The sample is bounded by its parameters: one task holds it, and its packed counts pass through the driver.
+    learned = [bytes(r[0]) for r in sample.repartition(1).mapInArrow(learn, "examples binary").collect()]
+    handed = spark.sparkContext.broadcast(learned.pop() if learned else counted([], sizes).packed())
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unpacked(handed.value)
+        model = model_of(handed.value)
         for batch in batches:
             found = model.neighbours(batch.column("text").to_pylist(), NEIGHBOURS[-1])
             votes = [[model.vote(f[:k], c[:k]) for k in NEIGHBOURS] for f, c in found]
             columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(votes, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "votes"])
 
-    tasks = max(1, len(unpacked(data).doc_ids) // 500)
-    rows = sample.repartition(tasks).mapInArrow(own, "doc_id bigint, toxic int, votes array<double>").collect()
+    rows = sample.repartition(16).mapInArrow(own, "doc_id bigint, toxic int, votes array<double>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.toxic))
+    if not rows:
+        return Learned(handed, NEIGHBOURS[-1], (np.zeros(0), np.zeros(0)))
     label, votes = np.array([r.toxic for r in rows], float), np.array([r.votes for r in rows])
-    model = unpacked(data)
     # The number of neighbours that puts the examples of label 1 first; of equal ones the largest.
     best = max(range(len(NEIGHBOURS)), key=lambda i: (round(average_precision(votes[:, i], label), 3), i))
-    model.k = NEIGHBOURS[best]
-    weight = np.array([sizes[r.toxic] / max((label == r.toxic).sum(), 1) for r in rows])
-    model.knots = isotonic(votes[:, best], label, weight)
-    return packed(model)
+    weight = np.array([sizes[r.toxic] / (label == r.toxic).sum() for r in rows])
+    return Learned(handed, NEIGHBOURS[best], isotonic(votes[:, best], label, weight))
 
 
-def scored(docs: DataFrame, model: bytes, score: str = "score", evidence: str = "evidence") -> DataFrame:
+def scored(docs: DataFrame, learned: Learned, score: str = "score", evidence: str = "evidence") -> DataFrame:
     """All rows and columns, with a score (0 to 1) and evidence (ids of the nearest examples) after them.
 
     A null text or one without any term of the examples has no neighbours and gets the labels' own share. A null id is handed
@@ -436,11 +473,10 @@ def scored(docs: DataFrame, model: bytes, score: str = "score", evidence: str =
     added = [score, evidence]
     keep = docs.drop(*added)
     at = keep.columns.index("text")
-    handed = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*keep.schema, T.StructField(score, T.DoubleType()), T.StructField(evidence, T.ArrayType(T.LongType()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = unpacked(handed.value)
+        model = learned.model()
         for batch in batches:
             found = list(model.score(batch.column(at).to_pylist()))
             scores, near = [f[0] for f in found], [f[1].tolist() for f in found]

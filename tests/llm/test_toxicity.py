@@ -127,7 +127,7 @@ def test_query_against_all_examples(spark, sf):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
     learned = [(i, labels[i], text or "") for i, text in docs if i in labels and zlib.crc32(str(i).encode()) % 3 != 1]
     sizes = [sum(y == c for _, y, _ in learned) for c in (0, 1)]
-    model = T.unpacked(T.fit(documents(spark, path), spark.read.parquet(f"{path}/labels.parquet")))
+    model = T.fit(documents(spark, path), spark.read.parquet(f"{path}/labels.parquet"))
     rows = {r.doc_id: r for r in entry.queries()["op4_toxicity"](spark, path).collect()}
     some = docs if sf == "0.001" else docs[::7]
     want = plain_scores(docs, learned, sizes, model.k, some)
@@ -146,7 +146,7 @@ def test_the_text_itself_is_no_evidence(spark):
     """A text that was learned from scores as one that was not: by its neighbours."""
     importable(spark)
     rows = [(i, f"{w} alpha beta gamma", y) for i, (w, y) in enumerate([("idiot", 1), ("idiot", 1), ("lovely", 0), ("kind", 0)])]
-    model = T.fitted(rows, [2, 2])
+    model = T.Model(T.Examples.unpacked(T.counted(rows, [2, 2]).packed()))
     found = [f.tolist() for f, _ in model.neighbours(["idiot alpha beta gamma", "lovely alpha beta gamma", "other alpha beta"], 3)]
     assert found[0][0] == 1 and 0 not in found[0] and 2 not in found[1] and len(found[2]) == 3
 
@@ -160,7 +160,7 @@ def test_the_sample_is_bounded(spark):
     rows = T.example_rows(docs, picked, 50, 60_000).collect()
     assert sizes == [sum(i % 2 == c for i in ids) for c in (0, 1)]
     assert sum(r.toxic == 1 for r in rows) == 50 and 0 < sum(r.toxic == 0 for r in rows) == 3
-    assert len(T.unpacked(T.fit(docs, labels, 50, 60_000)).doc_ids) == 53
+    assert len(T.fit(docs, labels, 50, 60_000).model().doc_ids) == 53
 
 
 def test_isotonic_rises_and_keeps_the_mean():
