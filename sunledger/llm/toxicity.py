@@ -28,7 +28,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -405,10 +404,15 @@ def counted(rows: list[tuple[int, str | None, int]], sizes: list[int]) -> Exampl
     )
 
 
-@lru_cache(maxsize=1)
+_HELD: dict[bytes, Model] = {}
+
+
 def model_of(data: bytes) -> Model:
-    """Built once in a worker, and kept for its tasks."""
-    return Model(Examples.unpacked(data))
+    """Built once in a worker, and kept for its tasks; the one before goes first, so that two are never held."""
+    if data not in _HELD:
+        _HELD.clear()
+        _HELD[data] = Model(Examples.unpacked(data))
+    return _HELD[data]
 
 
 @dataclass(frozen=True)
@@ -434,6 +438,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes
     sample = example_rows(docs, picked, examples, most_bytes)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _HELD.clear()
         rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
         found = counted(rows, sizes)
         rows.clear()
