@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions import same_or_mean, wall_clock
@@ -85,14 +85,20 @@ def _asof_batch(generator: DataFrame, weather: DataFrame, tolerance: str) -> Dat
 def _asof_stream(generator: DataFrame, weather: DataFrame, tolerance: str) -> DataFrame:
     """A join with a range of time, whose state both watermarks clear, then the last match of each reading. Equal
     readings are one group of it; how many they were is the rows over the matches of each. A reading is given once the
-    slower watermark is the tolerance beyond it."""
-    sky = weather.withColumnsRenamed({EVENT_TIME: "sky_time", PLANT: "sky_plant"})
+    slower watermark is the tolerance beyond it.
+
+    Times are in buckets as wide as the tolerance, and a weather row is in its own and the next: a reading meets the
+    weather of two buckets, not its plant's whole history."""
+    bucket = _bucket(EVENT_TIME, tolerance)
+    sky = weather.withColumn("sky_bucket", F.explode(F.array(bucket, bucket + 1)))
+    sky = sky.withColumnsRenamed({EVENT_TIME: "sky_time", PLANT: "sky_plant"})
     near = (
         (F.col(PLANT) == F.col("sky_plant"))
+        & (F.col("bucket") == F.col("sky_bucket"))
         & (F.col("sky_time") <= F.col(EVENT_TIME))
         & (F.col("sky_time") >= F.col(EVENT_TIME) - F.expr(f"interval {tolerance}"))
     )
-    joined = generator.select(*READING).join(sky, near, "left")
+    joined = generator.select(*READING, bucket.alias("bucket")).join(sky, near, "left")
     matched = joined.groupBy(*READING).agg(
         F.max_by(F.struct(*WEATHER_MEASURES), "sky_time").alias("sky"),
         F.count("*").alias("n_rows"),
@@ -100,3 +106,10 @@ def _asof_stream(generator: DataFrame, weather: DataFrame, tolerance: str) -> Da
     )
     copies = F.sequence(F.lit(1).cast("bigint"), F.expr("n_rows div n_skies"))
     return _enriched(matched.select(*READING, "sky.*", F.explode(copies).alias("copy")))
+
+
+def _bucket(time: str, width: str) -> Column:
+    """The number of a time's bucket, as a plain long: a key that the watermark stays out of."""
+    at = f"unix_micros(cast({time} as timestamp))"
+    size = f"greatest(unix_micros(timestamp_micros(0) + interval {width}), 1)"
+    return F.expr(f"({at} - pmod({at}, {size})) div {size}")

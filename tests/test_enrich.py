@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from helpers import at, generator, generator_row, plan, rows, weather, weather_row
 from sunledger.operators import energy, enrich, episodes
+from sunledger.streaming.jobs import start_files
+from sunledger.streaming.sources import watermarked
 
 
 def test_the_last_weather_within_the_tolerance(spark):
@@ -54,3 +56,23 @@ def test_an_episode_lasts_until_it_clears(spark):
     with pytest.raises(ValueError, match="clears"):
         episodes.alert_episodes(frame, "pct", below=95, clear=90)
     assert episodes.alert_episodes(frame.filter(F.lit(False)), "pct", below=95).count() == 0
+
+
+def test_in_a_stream_a_reading_meets_only_weather_near_it(spark, tmp_path):
+    sky = [weather_row("09:50", 1, 2, 0.1), weather_row("10:00", 3, 4, 0.2), weather_row("10:07", 5, 6, 0.3),
+           weather_row("10:07", 7, 6, 0.3, source="sensor-b"), weather_row("10:00", 9, 9, 0.9, plant=2), weather_row("12:00", 0, 0, 0)]
+    clocks = ["09:49", "09:50", "10:00", "10:06", "10:07", "10:15", "10:22", "10:22:01", "10:40"]
+    readings = [generator_row(c, i) for i, c in enumerate(clocks)] + [generator_row("10:05", 50, plant=2), generator_row("10:05", 60, plant=3)]
+    readings, closing = readings + readings[2:3], generator_row("12:00", 99)
+
+    def stream(frame, name):
+        frame.withColumn("DATE_TIME", F.col("DATE_TIME").cast("timestamp")).write.parquet(f"{tmp_path}/{name}")
+        read = spark.readStream.schema(spark.read.parquet(f"{tmp_path}/{name}").schema).parquet(f"{tmp_path}/{name}")
+        return watermarked(read)
+
+    joined = enrich.asof_enriched(stream(generator(spark, [*readings, closing]), "readings"), stream(weather(spark, sky), "sky"))
+    join = next(part for part in plan(joined).split("\n\n") if "StreamingSymmetricHashJoin" in part and "Arguments" in part)
+    assert "[PLANT_ID#" in join and "bucket#" in join.split("Arguments")[1].split("]")[0]
+    start_files(joined, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    expected = enrich.asof_enriched(generator(spark, readings), weather(spark, sky))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(expected)
