@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
+from threading import Timer
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +69,40 @@ def own_names(rows: DataFrame, *names: str) -> list[str]:
 
 def same_row(left: str, right: str) -> Column:
     return F.col(left).eqNullSafe(F.col(right))
+
+
+#: Seconds that a worker keeps what it built after the last task that used it.
+IDLE = 3.0
+
+_KEPT: dict[Any, Any] = {}
+_GOING: list[Timer] = []
+
+
+def kept(key: Any, build: Callable[[], Any]) -> Any:
+    """What a worker builds once for all its tasks. It keeps one such value; the one before goes first, so that two are
+    never held."""
+    value = _KEPT.get(key)
+    if value is None:
+        _KEPT.clear()
+        value = _KEPT[key] = build()
+    return value
+
+
+@contextmanager
+def in_use() -> Iterator[None]:
+    """Around a task's work with a kept value: the value stays for the tasks that follow at once. Spark's workers live on
+    between jobs, so it goes after :data:`IDLE` seconds without a task."""
+    while _GOING:
+        _GOING.pop().cancel()
+    try:
+        yield
+    finally:
+        timer = Timer(IDLE, release)
+        timer.daemon = True
+        _GOING.append(timer)
+        timer.start()
+
+
+def release() -> None:
+    """A task that needs no kept value lets go of what a job before has left."""
+    _KEPT.clear()

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import own_names, private, run_dir, stored
+from sunledger.llm.common import own_names, private, release, run_dir, stored
 from sunledger.llm.components import components
 from sunledger.llm.exact_dedup import one_per_key
 
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, digest: bool = False) -> Dat
         rows_of = rows_of.withColumn("digest", text_digest())
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names=names)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sunledger.llm.common import crc_mod, own_names, private, run_dir, stored
+from sunledger.llm.common import crc_mod, in_use, kept, own_names, private, release, run_dir, stored
 
 #: Labelled rows of each class that become examples, and bytes of their texts in all.
 EXAMPLES = 4000
@@ -404,15 +404,8 @@ def counted(rows: list[tuple[int, str | None, int]], sizes: list[int]) -> Exampl
     )
 
 
-_HELD: dict[bytes, Model] = {}
-
-
 def model_of(data: bytes) -> Model:
-    """Built once in a worker, and kept for its tasks; the one before goes first, so that two are never held."""
-    if data not in _HELD:
-        _HELD.clear()
-        _HELD[data] = Model(Examples.unpacked(data))
-    return _HELD[data]
+    return kept(data, lambda: Model(Examples.unpacked(data)))
 
 
 @dataclass(frozen=True)
@@ -438,7 +431,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes
     sample = example_rows(docs, picked, examples, most_bytes)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _HELD.clear()
+        release()
         rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")))]
         found = counted(rows, sizes)
         rows.clear()
@@ -451,12 +444,13 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes
     handed = spark.sparkContext.broadcast(learned.pop() if learned else counted([], sizes).packed())
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = model_of(handed.value)
-        for batch in batches:
-            found = model.neighbours(batch.column("text").to_pylist(), NEIGHBOURS[-1])
-            votes = [[model.vote(f[:k], c[:k]) for k in NEIGHBOURS] for f, c in found]
-            columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(votes, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "votes"])
+        with in_use():
+            model = model_of(handed.value)
+            for batch in batches:
+                found = model.neighbours(batch.column("text").to_pylist(), NEIGHBOURS[-1])
+                votes = [[model.vote(f[:k], c[:k]) for k in NEIGHBOURS] for f, c in found]
+                columns = [batch.column("doc_id"), batch.column("toxic"), pa.array(votes, pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "votes"])
 
     rows = sample.repartition(16).mapInArrow(own, "doc_id bigint, toxic int, votes array<double>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.toxic))
@@ -481,12 +475,13 @@ def scored(docs: DataFrame, learned: Learned, score: str = "score", evidence: st
     schema = T.StructType([*keep.schema, T.StructField(score, T.DoubleType()), T.StructField(evidence, T.ArrayType(T.LongType()))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = learned.model()
-        for batch in batches:
-            found = list(model.score(batch.column(at).to_pylist()))
-            scores, near = [f[0] for f in found], [f[1].tolist() for f in found]
-            arrays = [*batch.columns, pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *added])
+        with in_use():
+            model = learned.model()
+            for batch in batches:
+                found = list(model.score(batch.column(at).to_pylist()))
+                scores, near = [f[0] for f in found], [f[1].tolist() for f in found]
+                arrays = [*batch.columns, pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, *added])
 
     return keep.mapInArrow(rows, schema)
 

@@ -1,12 +1,15 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 from conftest import TESTDATA
 from llm_edges import clashing, edge, none  # noqa: F401
+from sunledger.llm import common
 from sunledger.llm import simhash as S
+from sunledger.llm.common import importable
 from sunledger.llm.components import components
 
 
@@ -152,3 +155,23 @@ def test_components(spark, tmp_path):
     got = {r.u: r.root for r in components(frame, str(tmp_path)).collect()}
     root = roots(141, pairs)
     assert got == {i: root[i] for i in range(141) if root[i] != i}
+
+
+def test_a_worker_lets_go_of_the_model_of_a_job_before(spark):
+    """The next operator's tasks run in the same workers; what they keep must not lie beside it."""
+    importable(spark)
+    docs = spark.range(64, numPartitions=8).selectExpr("id as doc_id", "concat('some text ', id) as text")
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * batch.num_rows)], names=["n"])
+
+    def keep(batches):
+        for batch in batches:
+            common.kept("model", lambda: [0] * 1000)
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * batch.num_rows)], names=["n"])
+
+    assert {r.n for r in docs.mapInArrow(keep, "n long").collect()} == {1}
+    for _ in range(4):
+        S.fingerprints(docs).collect()
+    assert {r.n for r in S.fingerprints(docs).select("doc_id").mapInArrow(held, "n long").collect()} == {0}

@@ -1,14 +1,18 @@
 import math
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import TESTDATA
 from llm_edges import clashing, edge, none  # noqa: F401
+from sunledger.llm import common
 from sunledger.llm import toxicity as T
 from sunledger.llm.common import documents, importable
 
@@ -211,3 +215,26 @@ def test_edges_of_the_input(spark, edge, clashing, none):
     kept = T.keep_clean(clashing, labels)
     assert kept.columns == clashing.columns and kept.count() >= edge.count() - 1
     assert T.keep_clean(none, empty).count() == 0
+
+
+def test_a_model_goes_when_no_task_uses_it(spark, monkeypatch):
+    """The stage after the scores may be long and need the memory."""
+    monkeypatch.setattr(common, "IDLE", 0.2)
+    with common.in_use():
+        common.kept("model", lambda: [1])
+        time.sleep(0.4)
+        assert common._KEPT == {"model": [1]}
+    with common.in_use():
+        assert common.kept("model", lambda: [2]) == [1]
+    time.sleep(0.6)
+    assert not common._KEPT
+    importable(spark)
+    docs = spark.range(64, numPartitions=8).selectExpr("id as doc_id", "concat('some text ', id) as text")
+    T.toxicity(docs, spark.createDataFrame([(1, 0), (2, 1), (3, 0), (6, 1)], "doc_id long, toxic int")).collect()
+    time.sleep(4)
+
+    def held(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * batch.num_rows)], names=["n"])
+
+    assert {r.n for r in docs.mapInArrow(held, "n long").collect()} == {0}
