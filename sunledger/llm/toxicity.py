@@ -28,7 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -68,35 +68,59 @@ def word_terms(word: str) -> list[str]:
     return [word, *(f"^{word[:k]}" for k in PREFIXES if len(word) > k)]
 
 
-class Terms(dict):
+class Terms:
     """The numbers of each word's terms, remembered as long as there is room. Terms of the vocabulary have their place
-    in it; others get numbers beyond, by a 48-bit hash that this process alone knows."""
+    in it; others get numbers beyond, by a 48-bit hash that this process alone knows. The vocabulary is held as its hashes,
+    of 64 bits, and the numbers lie in one array: a tenth of what strings and lists would take."""
 
     def __init__(self, vocabulary: list[str]):
-        super().__init__()
-        self.place = {term: i for i, term in enumerate(vocabulary)}
-
-    def __missing__(self, word: str) -> list[int]:
-        first, place = len(self.place), self.place.get
-        numbers = [first + (hash(t) & 0xFFFFFFFFFFFF) if (at := place(t)) is None else at for t in word_terms(word)]
-        if len(self) < REMEMBERED:
-            self[word] = numbers
-        return numbers
+        hashes = np.fromiter(map(hash, vocabulary), np.int64, len(vocabulary))
+        self.size, self.place = len(vocabulary), np.argsort(hashes).astype(np.int32)
+        self.hashes = hashes[self.place]
+        #: Where each remembered word's numbers start, and one more; the numbers, with room behind them.
+        self.words: dict[str, int] = {}
+        self.start = np.zeros(REMEMBERED + 1, np.int64)
+        self.numbers = np.zeros(1024, np.int64)
+
+    def numbers_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of all words, one after the other, and how many each word has; remembered as far as there is room."""
+        sizes = 1 + np.searchsorted(PREFIXES, np.fromiter(map(len, words), np.int64, len(words)))
+        total = int(sizes.sum())
+        found = np.fromiter(map(hash, chain.from_iterable(map(word_terms, words))), np.int64, total)
+        numbers = self.size + (found & 0xFFFFFFFFFFFF)
+        if self.size:
+            at = np.minimum(np.searchsorted(self.hashes, found), self.size - 1)
+            numbers = np.where(self.hashes[at] == found, self.place[at], numbers)
+        first = len(self.words)
+        few = min(len(words), len(self.start) - 1 - first)
+        if few > 0:
+            ends = self.start[first] + np.cumsum(sizes[:few])
+            if ends[-1] > len(self.numbers):
+                self.numbers = np.concatenate([self.numbers, np.zeros(max(len(self.numbers), total), np.int64)])
+            self.numbers[self.start[first] : ends[-1]] = numbers[: sizes[:few].sum()]
+            self.start[first + 1 : first + 1 + few] = ends
+            self.words.update(zip(words[:few], range(first, first + few)))
+        return numbers, sizes
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms of the vocabulary in order and how often each occurs, and the squares of ``log(1 + count)`` of all
         others, added up."""
         words = Counter(WORD.findall((text or "").lower()))
-        lists = list(map(self.__getitem__, words))
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        number = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(lists)), sizes)
+        often = np.fromiter(words.values(), np.int64, len(words))
+        at = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        known = at >= 0
+        first = self.start[at[known]]
+        sizes = self.start[at[known] + 1] - first
+        number, times = self.numbers[ranges(first, sizes)], np.repeat(often[known], sizes)
+        if len(sizes) < len(words):
+            more, sizes = self.numbers_of(list(compress(words, ~known)))
+            number, times = np.append(number, more), np.append(times, np.repeat(often[~known], sizes))
         order = np.argsort(number)
         number, times = number[order], times[order]
         first = np.flatnonzero(np.append(True, number[1:] != number[:-1])[: len(number)])
         number, times = number[first], np.add.reduceat(times, first) if len(first) else times
-        known = int(np.searchsorted(number, len(self.place)))
-        return number[:known], times[:known], float((np.log1p(times[known:]) ** 2).sum())
+        inside = int(np.searchsorted(number, self.size))
+        return number[:inside], times[:inside], float((np.log1p(times[inside:]) ** 2).sum())
 
 
 # --- index ---
@@ -127,10 +151,11 @@ def close_together(points: np.ndarray, most: int) -> np.ndarray:
 
 def neighbourly(example: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, terms: int, block: int) -> np.ndarray:
     """An order in which examples that lie close together share a block, by a projection to a few dimensions."""
-    directions = np.random.default_rng(7).standard_normal((terms, 32), np.float32)
+    rng = np.random.default_rng(7)
     points = np.zeros((n, 32))
     for dim in range(32):
-        points[:, dim] = np.bincount(example, weight * directions[term, dim], minlength=n)
+        direction = rng.standard_normal(terms, np.float32)
+        points[:, dim] = np.bincount(example, weight * direction[term], minlength=n)
     return close_together(points, block)
 
 
@@ -155,10 +180,9 @@ class Index:
         self.row = np.full(terms, -1, np.int32)
         self.row[common] = np.arange(len(common))
         dense = self.row[term] >= 0
-        self.dense = np.zeros((len(common), n))
-        self.dense[self.row[term[dense]], place[dense]] = weight[dense]
-        self.dense_largest = np.maximum.reduceat(self.dense, np.arange(0, n, block), axis=1) if n else self.dense
-        self.dense = [np.ascontiguousarray(self.dense[:, i : i + block]) for i in range(0, n, block)]
+        self.dense = np.zeros((self.blocks, len(common), block))
+        self.dense[place[dense] // block, self.row[term[dense]], place[dense] % block] = weight[dense]
+        self.dense_largest = np.ascontiguousarray(self.dense.max(axis=2).T)
         # The lists of the rarer terms, by place.
         self.place, self.weight, term = place[~dense], weight[~dense], term[~dense]
         self.start = np.searchsorted(term, np.arange(terms + 1))
@@ -180,16 +204,18 @@ class Index:
             asked[row, at[at >= 0]] = weight[at >= 0]
             held = self.start[terms + 1] - self.start[terms]
             posting = ranges(self.start[terms], held)
-            products = np.repeat(weight, held) * self.weight[posting]
-            scores[row] = np.bincount(self.place[posting], products, minlength=self.n)
+            products = np.repeat(weight, held)
+            products *= self.weight.take(posting, mode="clip")
+            scores[row] = np.bincount(self.place.take(posting, mode="clip"), products, minlength=self.n)
         # What the rarer terms add is known; the common ones add at most the sum of their largest weights in the block.
         bound = np.maximum.reduceat(scores, self.edges, axis=1) + asked @ self.dense_largest
         # The blocks with the largest bounds first: their k-th best cosine tells which of the others can be skipped.
         few = min(self.blocks, -(-k // self.block) + 1)
-        first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, np.argpartition(-bound, few - 1, axis=1)[:, :few], True, axis=1)
+        chosen, first = np.argpartition(-bound, few - 1, axis=1)[:, :few], np.zeros(bound.shape, bool)
+        np.put_along_axis(first, chosen, True, axis=1)
         self._score(scores, asked, first)
-        known = np.where(np.repeat(first, self.block, axis=1)[:, : self.n], scores, -1.0)
+        at = (chosen[:, :, None] * self.block + np.arange(self.block)).reshape(len(vectors), -1)
+        known = np.where(at < self.n, np.take_along_axis(scores, np.minimum(at, self.n - 1), axis=1), -1.0)
         # Bounds and cosines are sums of the same products in another order.
         second = ~first & (bound >= self._kth(known, k)[:, None] - 1e-9)
         self._score(scores, asked, second)
@@ -206,18 +232,20 @@ class Index:
 
     def _kth(self, scores: np.ndarray, k: int) -> np.ndarray:
         """The k-th best score of each row, -1 where there are fewer."""
-        return np.partition(scores, self.n - k, axis=1)[:, self.n - k] if self.n > k else np.full(len(scores), -1.0)
+        n = scores.shape[1]
+        return np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(scores), -1.0)
 
     def _score(self, scores: np.ndarray, asked: np.ndarray, chosen: np.ndarray) -> None:
         """What the common terms add to the cosines of each vector with the examples of its chosen blocks."""
         for block in np.flatnonzero(chosen.any(axis=0)):
             rows = np.flatnonzero(chosen[:, block])
             here = slice(block * self.block, min((block + 1) * self.block, self.n))
+            dense = self.dense[block, :, : here.stop - here.start]
             # Picking rows copies them: most of them are as soon multiplied all.
             if 2 * len(rows) < len(asked):
-                scores[rows, here] += asked[rows] @ self.dense[block]
+                scores[rows, here] += asked[rows] @ dense
             else:
-                scores[rows, here] += (asked @ self.dense[block])[rows]
+                scores[rows, here] += (asked @ dense)[rows]
 
 
 # --- model ---
@@ -262,7 +290,9 @@ def term_weights(examples: Examples) -> tuple[np.ndarray, np.ndarray, np.ndarray
     held = np.bincount(examples.labels.astype(int), minlength=2)
     df = np.bincount(examples.terms, minlength=size)
     scale = (np.log((1 + n) / (1 + df)) + 1) * relevance(examples.terms, examples.labels[example], held[0], held[1], size)
-    weight = np.log1p(examples.counts) * scale[examples.terms]
+    # In place: there is one entry for each example and term.
+    weight = np.log1p(examples.counts)
+    weight *= scale[examples.terms]
     weight /= np.sqrt(np.bincount(example, weight**2, minlength=n))[example]
     return scale, example, weight
 
@@ -272,13 +302,13 @@ class Model:
 
     def __init__(self, examples: Examples):
         self.doc_ids, self.labels, self.stands_for = examples.doc_ids, examples.labels, examples.stands_for
-        self.prior, self.vocabulary, n = examples.prior, examples.vocabulary, len(examples.sizes)
+        self.prior, n = examples.prior, len(examples.sizes)
         held = np.bincount(self.labels.astype(int), minlength=2)
         self.scale, example, weight = term_weights(examples)
         #: Weight of a term that no example holds.
         self.other = float(np.log(1 + n) + 1)
-        self.index = Index(example, examples.terms, weight, n, len(self.vocabulary), of=examples.of)
-        self.terms = Terms(self.vocabulary)
+        self.index = Index(example, examples.terms, weight, n, len(examples.vocabulary), of=examples.of)
+        self.terms = Terms(examples.vocabulary)
         #: What each example's vote weighs: all examples of a class together weigh one.
         self.balance = 1 / np.maximum(held, 1)
         self.same_text: dict[int, list[int]] = {}
@@ -392,6 +422,7 @@ def counted(rows: list[tuple[int, str | None, int]], sizes: list[int]) -> Exampl
     rows = sorted(rows, key=lambda r: (r[0], r[2], r[1] or ""))
     words = {w for _, text, _ in rows for w in WORD.findall((text or "").lower())}
     vocabulary = sorted({t for w in words for t in word_terms(w)})
+    words.clear()
     terms = Terms(vocabulary)
     found = [tuple(x.astype(np.int32) for x in terms.counts(text)[:2]) for _, text, _ in rows]
     flat = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int32) for i in (0, 1)]

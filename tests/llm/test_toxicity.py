@@ -217,6 +217,31 @@ def test_edges_of_the_input(spark, edge, clashing, none):
     assert T.keep_clean(none, empty).count() == 0
 
 
+def test_words_beyond_what_is_remembered(monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED", 3)
+    vocabulary = sorted({t for w in ["alphabet", "beta", "gammas", "delta"] for t in T.word_terms(w)})
+    terms = T.Terms(vocabulary)
+    for text in ["alphabet beta beta", "gammas delta alphabet unknown delta", "unknown beta delta alphabets", "alphabet beta beta"]:
+        every = Counter(t for w in T.WORD.findall(text) for t in T.word_terms(w))
+        number, times, others = terms.counts(text)
+        assert {vocabulary[i]: n for i, n in zip(number, times)} == {t: n for t, n in every.items() if t in vocabulary}
+        assert others == pytest.approx(sum(np.log1p(n) ** 2 for t, n in every.items() if t not in vocabulary))
+        assert len(terms.words) <= 3
+
+
+def test_a_model_takes_little_beside_its_index():
+    """Terms by number, not as strings and lists: a worker holds one, beside the index."""
+    words = ["".join(chr(97 + (i // 26**p) % 26) for p in range(9)) for i in range(0, 4_000_000, 80)]
+    vocabulary = sorted({t for w in words for t in T.word_terms(w)})
+    tracemalloc.start()
+    terms = T.Terms(vocabulary)
+    for at in range(0, len(words), 500):
+        terms.counts(" ".join(words[at : at + 500]))
+    size, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert size < 400 * len(words)
+
+
 def test_a_model_goes_when_no_task_uses_it(spark, monkeypatch):
     """The stage after the scores may be long and need the memory."""
     monkeypatch.setattr(common, "IDLE", 0.2)
