@@ -263,3 +263,49 @@ def test_a_model_goes_when_no_task_uses_it(spark, monkeypatch):
             yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * batch.num_rows)], names=["n"])
 
     assert {r.n for r in docs.mapInArrow(held, "n long").collect()} == {0}
+
+
+def examples_of(n, words_each, words):
+    """Texts of words that share no beginning, most words in few texts; every second text has label 1."""
+    names = ["".join(chr(97 + (i // 26**p) % 26) for p in range(4)) for i in range(words)]
+    picked = (words * np.random.default_rng(5).random((n, words_each)) ** 2).astype(int)
+    return [(i, " ".join(names[w] for w in some), i % 2) for i, some in enumerate(picked.tolist())]
+
+
+def test_a_worker_builds_its_model_in_little_memory():
+    """Each worker of an executor builds one, beside the executor's own memory: no entry may take many bytes on the way."""
+    rows = examples_of(800, 500, 60_000)
+    data = T.counted(rows, [400, 400]).packed()
+    entries = sum(len(set(text.split())) for _, text, _ in rows)
+    tracemalloc.start()
+    model = T.Model(T.Examples.unpacked(data))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 40 * entries
+    assert model.index.lists.nbytes < 3 * entries + 9 * len(model.scale)
+
+
+def test_words_of_a_batch_are_looked_up_together(monkeypatch):
+    """Words that are not remembered cost one search for all texts of a batch, not one for each text."""
+    monkeypatch.setattr(T, "REMEMBERED", 50)
+    rows, calls, search = examples_of(40, 60, 500), [], T.Terms.numbers_of
+    model = T.Model(T.Examples.unpacked(T.counted(rows, [20, 20]).packed()))
+    monkeypatch.setattr(T.Terms, "numbers_of", lambda self, words: calls.append(len(words)) or search(self, words))
+    texts = [f"{text} other{chr(97 + i % 26)}" for i, text, _ in rows * 3]
+    found = list(model.neighbours(texts, 5))
+    assert len(calls) <= 2 * -(-len(texts) // T.BATCH)
+    one_by_one = [next(iter(model.neighbours([text], 5))) for text in texts]
+    assert all((a[0] == b[0]).all() and np.allclose(a[1], b[1], atol=1e-11) for a, b in zip(found, one_by_one))
+
+
+def test_single_precision_loses_no_neighbour():
+    """Cosines that differ by less than single precision can tell, in common terms: the nearest are the exact ones."""
+    rng, terms, n = np.random.default_rng(8), 40, 600
+    base = rng.random(terms)
+    vectors = [base + 1e-9 * rng.random(terms) for _ in range(n // 2)] + [rng.random(terms) for _ in range(n // 2)]
+    vectors = [(np.arange(terms), v / np.sqrt(v @ v)) for v in vectors]
+    query = (np.arange(terms), base / np.sqrt(base @ base))
+    table, (best, cosine) = np.array([w for _, w in vectors]), index_of(vectors, terms, block=32).nearest(*query, 15)
+    exact = table @ query[1]
+    assert len(best) == 15 and (best < n // 2).all()
+    assert np.allclose(cosine, exact[best], rtol=0, atol=2e-12) and exact[best].min() >= np.sort(exact)[-15] - 2e-12
