@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from pathlib import Path
 from threading import Timer
 from typing import Any
@@ -85,6 +86,7 @@ def kept(key: Any, build: Callable[[], Any]) -> Any:
     if value is None:
         _KEPT.clear()
         value = _KEPT[key] = build()
+        trim()
     return value
 
 
@@ -105,4 +107,12 @@ def in_use() -> Iterator[None]:
 
 def release() -> None:
     """A task that needs no kept value lets go of what a job before has left."""
-    _KEPT.clear()
+    if _KEPT:
+        _KEPT.clear()
+        trim()
+
+
+def trim() -> None:
+    """Hands freed memory back to the system, where the C library has a way to: it may keep it else, and a worker lives on."""
+    with suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)

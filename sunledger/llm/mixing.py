@@ -12,7 +12,7 @@ anywhere.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -125,36 +125,33 @@ def rake(cells: DataFrame, shares: Mapping[str, DataFrame], keep: float, path: s
     """``cells`` with ``probability``: clipped products of one factor per dimension that meet the goals.
 
     A step solves for one dimension's factors, given the others'; a value's cells are put in order, at most as many as there are
-    pairs of values of the other two. Each step's factors are written; from each sweep over the dimensions one number comes
-    back, how far the factors moved.
+    pairs of values of the other two. Each cell carries its values' goals and factors, so that a sweep over the dimensions
+    is one plan without joins; its factors are written, and one number comes back, how far they moved.
     """
     cells = cells.withColumn("tokens", F.col("tokens").cast("double"))
     budget = float(cells.agg(F.sum("tokens")).first()[0] or 0.0) * keep
-    wanted = {d: stored(goals(s, d, budget).withColumn("factor", F.lit(1.0)), f"{path}/{d}") for d, s in shares.items()}
-    factors = {d: goal.select(d, F.col("factor").alias(f"{d}_factor")) for d, goal in wanted.items()}
+    held = cells
+    for dimension, share in shares.items():
+        goal = stored(goals(share, dimension, budget), f"{path}/{dimension}")
+        held = held.join(goal.select(dimension, F.col("goal").alias(f"{dimension}_goal")), dimension)
+    held = held.withColumns({f"{d}_factor": F.lit(1.0) for d in shares})
     for sweep in range(MOST_SWEEPS):
-        moved = 0.0
-        for dimension, goal in wanted.items():
-            held = _with_product(cells, {d: f for d, f in factors.items() if d != dimension}, "rate")
-            held = with_factor(held.join(goal.select(dimension, "goal"), dimension), [dimension], "rate", F.col("goal"))
-            before = factors[dimension].withColumnRenamed(f"{dimension}_factor", "before")
-            new = held.groupBy(dimension).agg(F.max("factor").alias("factor")).join(before, dimension)
-            off = F.coalesce(F.abs(F.try_divide("factor", "before") - 1), F.lit(0.0))
-            new = stored(new.select(dimension, "factor", off.alias("off")), f"{path}/{dimension}-{sweep}")
-            moved = max(moved, new.agg(F.max("off")).first()[0] or 0.0)
-            factors[dimension] = new.select(dimension, F.col("factor").alias(f"{dimension}_factor"))
+        for dimension in shares:
+            held = held.withColumn("rate", _product(d for d in shares if d != dimension))
+            held = with_factor(held, [dimension], "rate", F.col(f"{dimension}_goal"))
+            off = F.coalesce(F.abs(F.try_divide("factor", f"{dimension}_factor") - 1), F.lit(0.0))
+            held = held.withColumns({f"{dimension}_off": off, f"{dimension}_factor": F.col("factor")}).drop("rate", "factor")
+        held = stored(held, f"{path}/sweep-{sweep}")
+        moved = held.agg(F.max(F.greatest(*(f"{d}_off" for d in shares)))).first()[0] or 0.0
+        held = held.drop(*(f"{d}_off" for d in shares))
         if moved < TOLERANCE:
             break
-    return _with_product(cells, factors, "rate").withColumn("probability", F.least(F.lit(1.0), "rate")).drop("rate")
+    return held.select(*cells.columns, F.least(F.lit(1.0), _product(shares)).alias("probability"))
 
 
-def _with_product(cells: DataFrame, factors: Mapping[str, DataFrame], name: str) -> DataFrame:
-    """``cells`` with the product of the factors of their values."""
-    product = F.lit(1.0)
-    for dimension, factor in factors.items():
-        cells = cells.join(factor, dimension)
-        product = product * F.col(f"{dimension}_factor")
-    return cells.withColumn(name, product).drop(*(f"{d}_factor" for d in factors))
+def _product(dimensions: Iterable[str]) -> Column:
+    """The product of the factors of a cell's values."""
+    return reduce(Column.__mul__, (F.col(f"{d}_factor") for d in dimensions), F.lit(1.0))
 
 
 def draw(doc_id: str, seed: int) -> Column:

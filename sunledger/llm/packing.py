@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import private, run_dir, stored
+from sunledger.llm.common import in_use, kept, private, run_dir, stored
 
 CAPACITY = 2048
 #: Pieces of one size that are put in order together.
@@ -112,9 +111,8 @@ class WordIds:
         return [b"".join(found) for found in out]
 
 
-@lru_cache(maxsize=4)
 def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+    return kept(("word ids", path), lambda: WordIds(path))
 
 
 def _groups(texts: list[str]) -> Iterator[list[str]]:
@@ -135,26 +133,27 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer)
-        width = 4 * capacity
-        for batch in batches:
-            ids = iter(batch.column(0).to_pylist())
-            for group in _groups([t or "" for t in batch.column(1).to_pylist()]):
-                out = []
-                for data in encoder.encode(group):
-                    doc, data = next(ids), data + b"\0\0\0\0"
-                    for start in range(0, len(data), width):
-                        part = data[start : start + width]
-                        out.append((doc, start // width, start // 4, len(part) // 4, zlib.crc32(part), part))
-                if out:
-                    doc, piece, start, length, crc, part = zip(*out)
-                    arrays = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32())]
-                    arrays += [pa.array(x, pa.int64()) for x in (start, length, crc)]
-                    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                    if with_ids:
-                        arrays.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in part], pa.list_(pa.int32())))
-                        names.append("ids")
-                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+        with in_use():
+            encoder = word_ids(tokenizer)
+            width = 4 * capacity
+            for batch in batches:
+                ids = iter(batch.column(0).to_pylist())
+                for group in _groups([t or "" for t in batch.column(1).to_pylist()]):
+                    out = []
+                    for data in encoder.encode(group):
+                        doc, data = next(ids), data + b"\0\0\0\0"
+                        for start in range(0, len(data), width):
+                            part = data[start : start + width]
+                            out.append((doc, start // width, start // 4, len(part) // 4, zlib.crc32(part), part))
+                    if out:
+                        doc, piece, start, length, crc, part = zip(*out)
+                        arrays = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32())]
+                        arrays += [pa.array(x, pa.int64()) for x in (start, length, crc)]
+                        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                        if with_ids:
+                            arrays.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32) for p in part], pa.list_(pa.int32())))
+                            names.append("ids")
+                        yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     source = private(docs, ["doc_id", "text"]).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return source.mapInArrow(rows, PIECE + (", ids array<int>" if with_ids else ""))

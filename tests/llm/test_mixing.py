@@ -78,3 +78,18 @@ def test_edges_of_the_input(edge, clashing, none):
 def test_no_python_on_the_way(spark):
     plan = M.sampled(documents(spark, f"{TESTDATA}/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_a_sweep_asks_for_little(spark):
+    """One written table and one number a sweep, whatever the dimensions: each join and job leaves plans and code in the driver."""
+    docs = documents(spark, f"{TESTDATA}/sf0.001")
+    cells = M.with_cells(docs).groupBy(*M.DIMENSIONS).agg(F.sum("mix_tokens").alias("tokens")).cache()
+    shares = {d: M.target_shares(cells, d, 0.9) for d in M.DIMENSIONS}
+    written, stored = [], M.stored
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(M, "stored", lambda rows, path: written.append(rows) or stored(rows, path))
+        M.rake(cells, shares, 0.5, M.run_dir(spark, "mixing")).count()
+    plans = [rows._jdf.queryExecution().optimizedPlan().toString() for rows in written]
+    sweeps = [plan for plan in plans if "_off" in plan]
+    assert len(plans) == len(M.DIMENSIONS) + len(sweeps)
+    assert sum("Join" in plan for plan in sweeps) <= 1

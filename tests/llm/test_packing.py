@@ -1,4 +1,5 @@
 import random
+import weakref
 import zlib
 from collections import defaultdict
 
@@ -8,6 +9,7 @@ from tokenizers import Tokenizer
 
 from conftest import TESTDATA
 from llm_edges import clashing, edge, none  # noqa: F401
+from sunledger.llm import common
 from sunledger.llm import packing as P
 from sunledger.llm.queries import tokenizer_file
 
@@ -133,3 +135,14 @@ def test_remembered_words_give_the_same_ids():
             got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
             assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
         assert len(encoder.known) <= room
+
+
+def test_a_worker_lets_go_of_the_tokenizer():
+    """The stage after this one needs the memory: nothing else holds the tokenizer and the words it knows."""
+    common.release()
+    encoder = P.word_ids(tokenizer_file())
+    assert P.word_ids(tokenizer_file()) is encoder
+    gone = weakref.ref(encoder)
+    del encoder
+    common.release()
+    assert gone() is None
