@@ -48,8 +48,19 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(rows: DataFrame, path: str) -> DataFrame:
-    """Rows written to the shared folder and read back: the lineage ends here, and a lost executor loses nothing."""
+#: Rows of a file of a stored table whose size is known beforehand.
+FILE_ROWS = 1 << 14
+
+
+def stored(rows: DataFrame, path: str, about: int | None = None) -> DataFrame:
+    """Rows written to the shared folder and read back: the lineage ends here, and a lost executor loses nothing.
+
+    With ``about``, the number of rows to expect, files hold about :data:`FILE_ROWS` rows. Else each task writes its own,
+    and a small table in many partitions becomes as many tiny files; on a local folder each of them costs the executor
+    several child processes (chmod), which for a moment share its memory.
+    """
+    if about is not None:
+        rows = rows.repartition(max(1, -(-about // FILE_ROWS)))
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 

@@ -31,18 +31,18 @@ def small_star(edges: DataFrame) -> DataFrame:
     return moved.union(joined.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame, path: str | None = None) -> DataFrame:
+def components(edges: DataFrame, path: str | None = None, about: int | None = None) -> DataFrame:
     """``u, root`` for every node of ``edges (u, v)`` with another root than itself: the smallest node it can reach.
 
-    Self-loops and repeated edges change nothing; no edges give no rows.
+    Self-loops and repeated edges change nothing; no edges give no rows. ``about`` how many edges to expect, if known.
     """
     path = path or run_dir(edges.sparkSession, "components")
     ordered = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = stored(ordered.distinct(), f"{path}/0")
+    now = stored(ordered.distinct(), f"{path}/0", about)
     before, round_ = None, 0
     while True:
         sums = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if sums[0] == 0 or tuple(sums) == before:
             return now.select("u", F.col("v").alias("root"))
         before, round_ = tuple(sums), round_ + 1
-        now = stored(small_star(large_star(now)), f"{path}/{round_}")
+        now = stored(small_star(large_star(now)), f"{path}/{round_}", sums[0])

@@ -36,6 +36,8 @@ RUN = 8
 PROBE_COST = 2.0
 #: From this many fingerprints on, a value of a part goes the way that is linear in the group: 65 rows for each of them.
 CROWD = 128
+#: Rows that probing hands on at once.
+LOOKUPS = 1 << 20
 
 
 # --- fingerprints ---
@@ -289,19 +291,24 @@ def probes(distinct: DataFrame, plan: Plan) -> DataFrame:
         for values in _arrays(batches):
             for i in range(0, len(values), 16384):
                 some = values[i : i + 16384]
-                thresholds, _ = allocate(plan, some)
-                for part, bits in enumerate(plan.parts):
-                    own = part_values(some, bits)
-                    for radius in range(plan.distance + 1):
-                        at = thresholds[:, part] == radius
-                        if at.any():
-                            masks = np.array(ball(len(bits), radius), np.uint64).view(np.int64)
-                            looked = (own[at][:, None] ^ masks[None, :]).ravel()
-                            yield _keyed(np.full(len(looked), part), looked, np.repeat(some[at], len(masks)))
+                yield from lookups(plan, some, allocate(plan, some)[0])
 
     return distinct.select("fp").mapInArrow(rows, KEYED)
 
 
+def lookups(plan: Plan, values: np.ndarray, thresholds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Probes of some fingerprints, at most :data:`LOOKUPS` at once: a part's ball may have hundreds of values."""
+    for part, bits in enumerate(plan.parts):
+        for radius in range(plan.distance + 1):
+            asking = values[thresholds[:, part] == radius]
+            masks = np.array(ball(len(bits), radius), np.uint64).view(np.int64)
+            step = max(1, LOOKUPS // len(masks))
+            for i in range(0, len(asking), step):
+                some = asking[i : i + step]
+                looked = (part_values(some, bits)[:, None] ^ masks[None, :]).ravel()
+                yield _keyed(np.full(len(looked), part), looked, np.repeat(some, len(masks)))
+
+
 def _keyed(part: np.ndarray, value: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
     arrays = [pa.array(part.astype(np.int32)), pa.array(value), pa.array(fp)]
     return pa.RecordBatch.from_arrays(arrays, names=["part", "value", "fp"])
@@ -326,7 +333,8 @@ def links(distinct: DataFrame, plan: Plan, path: str, crowd: int = CROWD) -> Dat
     asked = stored(probes(distinct, plan), f"{path}/probes")
     key = ["part", "value"]
     sizes = held.groupBy(*key).agg(F.count("*").alias("n"))
-    crowded = stored(sizes.filter(F.col("n") >= crowd).select(*key), f"{path}/crowded")
+    crowds = sizes.filter(F.col("n") >= crowd).select(*key)
+    crowded = stored(crowds, f"{path}/crowded", len(plan.parts) * plan.n // max(crowd, 1))
     owners, askers = held.withColumnRenamed("fp", "v"), asked.withColumnRenamed("fp", "u")
     pairs = askers.join(crowded, key, "left_anti").join(owners.join(crowded, key, "left_anti"), key)
     close = pairs.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= plan.distance)
@@ -339,11 +347,11 @@ def rooted_rows(docs: DataFrame, shingle: int, distance: int, crowd: int, path:
     """``doc_id, fp`` of every document, and ``fp, least, root`` of every fingerprint: its smallest id, and the
     fingerprint that names its group."""
     rows = stored(fingerprints(docs, shingle, digest), f"{path}/rows")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{path}/distinct")
-    found = stored(links(distinct, make_plan(distinct, distance), path, crowd), f"{path}/links")
-    roots = components(found, f"{path}/components")
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), f"{path}/distinct", rows.count())
+    plan = make_plan(distinct, distance)
+    roots = components(links(distinct, plan, path, crowd), f"{path}/components", plan.n)
     rooted = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
-    return rows, stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), f"{path}/rooted")
+    return rows, stored(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), f"{path}/rooted", plan.n)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd: int = CROWD) -> DataFrame:

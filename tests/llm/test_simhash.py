@@ -140,6 +140,39 @@ def test_parts_and_thresholds():
         assert (cost <= sum(priced[i][:, t + 1] for i, t in enumerate(choice)) + 1e-9).all()
 
 
+def test_probes_come_in_bounded_batches():
+    """Over all 64 bits a fingerprint looks up 2081 values: not all of a batch's at once."""
+    values = np.random.default_rng(5).integers(-(1 << 62), 1 << 62, 1200)
+    plan = S.Plan(2, len(values), [list(range(64))], [[]])
+    got = list(S.lookups(plan, values, np.full((len(values), 1), 2)))
+    assert max(b.num_rows for b in got) <= S.LOOKUPS
+    asked, by = (np.concatenate([b.column(i).to_numpy() for b in got]) for i in (1, 2))
+    assert len(asked) == 2081 * len(values) and (by == np.repeat(values, 2081)).all()
+    assert (np.bitwise_count((asked ^ by).view(np.uint64)) <= 2).all()
+    assert all(len(set(asked[i : i + 2081])) == 2081 for i in range(0, len(asked), 2081))
+
+
+def test_small_tables_are_few_files(spark, tmp_path):
+    """Whatever the number of shuffle partitions; each file costs an executor several child processes."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat_ws(' ', 'one two three four', id div 2, id % 7) as text")
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        rows, rooted = S.rooted_rows(importable(spark) and docs, 3, 2, 8, str(tmp_path / "run"))
+        assert rows.count() == 3000 and rooted.count() == rows.select("fp").distinct().count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = defaultdict(int)
+    for file in (tmp_path / "run").rglob("part-*.parquet"):
+        files[str(file.parent.relative_to(tmp_path / "run"))] += 1
+    files.pop("rows")
+    assert {"distinct", "crowded", "components/0", "components/1", "rooted"} <= set(files)
+    assert max(files.values()) <= 2, files
+
+
 def test_near_counts():
     counts = np.random.default_rng(0).integers(0, 9, 32)
     for v, row in enumerate(S.near_counts(counts, 2)):
