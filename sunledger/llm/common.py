@@ -52,6 +52,10 @@ def run_dir(spark: SparkSession, name: str) -> str:
 FILE_ROWS = 1 << 14
 
 
+def files_for(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
+
+
 def stored(rows: DataFrame, path: str, about: int | None = None) -> DataFrame:
     """Rows written to the shared folder and read back: the lineage ends here, and a lost executor loses nothing.
 
@@ -60,7 +64,7 @@ def stored(rows: DataFrame, path: str, about: int | None = None) -> DataFrame:
     several child processes (chmod), which for a moment share its memory.
     """
     if about is not None:
-        rows = rows.repartition(max(1, -(-about // FILE_ROWS)))
+        rows = rows.repartition(files_for(about))
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 

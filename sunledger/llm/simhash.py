@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import own_names, private, release, run_dir, stored
+from sunledger.llm.common import files_for, own_names, private, release, run_dir, stored
 from sunledger.llm.components import components
 from sunledger.llm.exact_dedup import one_per_key
 
@@ -365,7 +365,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd:
     rows, rooted = rooted_rows(docs, shingle, distance, crowd, path)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    # Whoever writes the result gets no tiny files either; the number of rows stands in the stored table's footers.
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id").coalesce(files_for(rows.count()))
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2, crowd: int = CROWD) -> DataFrame:

@@ -161,6 +161,7 @@ def test_small_tables_are_few_files(spark, tmp_path):
         for k, v in held.items():
             spark.conf.set(k, v)
         rows, rooted = S.rooted_rows(importable(spark) and docs, 3, 2, 8, str(tmp_path / "run"))
+        S.near_duplicates(docs, crowd=8).write.parquet(str(tmp_path / "run" / "result"))
         assert rows.count() == 3000 and rooted.count() == rows.select("fp").distinct().count()
     finally:
         for k, v in before.items():
@@ -169,7 +170,7 @@ def test_small_tables_are_few_files(spark, tmp_path):
     for file in (tmp_path / "run").rglob("part-*.parquet"):
         files[str(file.parent.relative_to(tmp_path / "run"))] += 1
     files.pop("rows")
-    assert {"distinct", "crowded", "components/0", "components/1", "rooted"} <= set(files)
+    assert {"distinct", "crowded", "components/0", "components/1", "rooted", "result"} <= set(files)
     assert max(files.values()) <= 2, files
 
 
