@@ -69,6 +69,11 @@ def stored(rows: DataFrame, path: str, about: int | None = None) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def rebalanced(rows: DataFrame) -> DataFrame:
+    """Rows to store whose number is not known: one more shuffle, whose partitions Spark merges to its advisory size."""
+    return rows.hint("rebalance")
+
+
 def private(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Only the named columns, so that no further column of the input can clash with those an operator adds."""
     return rows.select(*(F.col(f"`{name}`") for name in columns))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sunledger.llm.common import ascii_lower, own_names, run_dir, stored
+from sunledger.llm.common import ascii_lower, files_for, own_names, rebalanced, run_dir, stored
 from sunledger.session import configure_streams
 
 #: Many small stores on one executor: no disk reserved ahead, one bounded memory for all, and stores of ended runs are
@@ -30,6 +30,9 @@ STORE = {
     "rocksdb.writeBufferSizeMB": "8",
     "maintenanceInterval": "5s",
 }
+#: Arrivals of a state store. On a local folder each store's checkpoint costs an executor some twenty child processes (chmod,
+#: readlink), which for a moment share its memory.
+STORE_ROWS = 1 << 16
 ARRIVAL = "doc_id bigint, digest string, file string"
 
 
@@ -57,9 +60,12 @@ def keyed_state(arriving: DataFrame) -> DataFrame:
     )
 
 
-def start_state(arriving: DataFrame, state: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_state(
+    arriving: DataFrame, state: str, checkpoint: str, available_now: bool = True, stores: int | None = None
+) -> StreamingQuery:
     """Run the stream. Each micro-batch writes the digests it changed under a number of its own, so that a batch run
-    twice replaces itself; :func:`read_state` takes the latest of each digest."""
+    twice replaces itself; :func:`read_state` takes the latest of each digest. The state is in as many stores as there
+    are shuffle partitions, or in ``stores``; a checkpoint keeps the number it began with."""
     spark = configure_streams(arriving.sparkSession, rocksdb=True)
     for name, value in STORE.items():
         spark.conf.set(f"spark.sql.streaming.stateStore.{name}", value)
@@ -69,7 +75,16 @@ def start_state(arriving: DataFrame, state: str, checkpoint: str, available_now:
 
     writer = keyed_state(arriving).writeStream.outputMode("update").foreachBatch(upsert)
     writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    if stores is None:
+        return writer.start()
+    # A query takes the session's settings as they are when it starts.
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", stores)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:
@@ -87,7 +102,7 @@ def checked_hits(docs: DataFrame, state: DataFrame, digest: Callable[[Column], C
     content = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), normalised().alias("content"))
     content = content.withColumn("digest", digest(F.col("content")).cast("string"))
     repeated = state.filter("n_rows > 1").select("digest", F.col("locator.doc_id").alias("at"))
-    hits = stored(content.join(repeated, "digest"), f"{path}/hits")
+    hits = stored(rebalanced(content.join(repeated, "digest")), f"{path}/hits")
     held = hits.filter(F.col("doc_id").eqNullSafe(F.col("at"))).groupBy("digest")
     held = stored(held.agg(F.min("content").alias("held")), f"{path}/held")
     compared = hits.join(held, "digest")
@@ -105,9 +120,10 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
     """
     spark = docs.sparkSession
     path = run_dir(spark, "exact-dedup")
-    arrived = stored(arrivals(docs, digest), f"{path}/arrivals")
+    arrived = stored(rebalanced(arrivals(docs, digest)), f"{path}/arrivals")
     stream = spark.readStream.schema(ARRIVAL).parquet(f"{path}/arrivals")
-    start_state(stream, f"{path}/state", f"{path}/checkpoint").awaitTermination()
+    stores = max(1, -(-arrived.count() // STORE_ROWS))
+    start_state(stream, f"{path}/state", f"{path}/checkpoint", stores=stores).awaitTermination()
     spark.createDataFrame([], "digest string, n_rows bigint, locator struct<doc_id: bigint, file: string>").write.mode(
         "overwrite"
     ).parquet(f"{path}/state/batch=-1")
@@ -136,7 +152,8 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) ->
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns, whatever these are called. A null text is an empty one; a null id
-    stays only where equal texts have no other; of repeated rows one stays; an empty table stays empty."""
+    stays only where equal texts have no other; of repeated rows one stays; an empty table stays empty. They come in
+    partitions of a useful size, yet as many as the session runs tasks at once."""
     spark = docs.sparkSession
     own_id, own_digest, digest_of = own_names(docs, "id", "digest", "digest_of")
     kept = stored(exact_dedup(docs).filter("kept").select("doc_id", "digest"), run_dir(spark, "exact-dedup-kept"))
@@ -144,7 +161,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(digest_of, sha256(normalised()))
     same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(digest_of) == F.col(own_digest))
     rows = keyed.join(kept, same, "left_semi")
-    return one_per_key(rows, ["doc_id", digest_of]).drop(digest_of)
+    partitions = max(files_for(kept.count()), spark.sparkContext.defaultParallelism)
+    return one_per_key(rows, ["doc_id", digest_of]).drop(digest_of).coalesce(partitions)
 
 
 def one_per_key(rows: DataFrame, key: list[str]) -> DataFrame:

@@ -62,3 +62,23 @@ def test_state_goes_on_over_batches(spark, edge, tmp_path):
     rows = [tuple(r)[:2] for r in edge.collect()] + [tuple(r) for r in more.collect()]
     assert sorted(n for n, _ in state.values()) == sorted(Counter(lowered(t) for _, t in rows).values())
     assert (4, 99) in state.values()
+
+
+def test_state_and_small_tables_are_few_files(spark, tmp_path, monkeypatch):
+    """Whatever the number of partitions; each file and each store costs an executor several child processes."""
+    docs = spark.range(3000, numPartitions=40).selectExpr("id as doc_id", "concat('text ', id div 2) as text")
+    monkeypatch.setattr(X, "run_dir", lambda spark, name: str(tmp_path / name))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "61")
+        kept = X.keep_first(docs)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "61"
+        kept.write.parquet(str(tmp_path / "result"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {r.doc_id for r in spark.read.parquet(str(tmp_path / "result")).collect()} == set(range(1, 3000, 2))
+    run = tmp_path / "exact-dedup"
+    assert [p.name for p in (run / "checkpoint/state/0").iterdir() if p.name.isdigit()] == ["0"]
+    files = {name: len(list((run / name).glob("part-*.parquet"))) for name in ("arrivals", "state/batch=0", "hits")}
+    assert max(files.values()) <= 2, files
+    assert len(list((tmp_path / "result").glob("part-*.parquet"))) <= spark.sparkContext.defaultParallelism
