@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import private, run_dir, stored
+from sunledger.llm.common import in_use, kept, private, rebalanced, release, run_dir, stored
 
 #: Ends that one piece of a merge takes.
 WORK = 32_768
@@ -33,7 +33,7 @@ AT_ONCE = 1_000_000
 WIDE = 65_536
 #: Documents, and distinct pairs of all its documents, that close a block.
 BLOCK_DOCS = 4096
-BLOCK_PAIRS = 2_000_000
+BLOCK_PAIRS = 500_000
 #: Up to here the two libraries that know the byte-level vocabulary cut texts alike; others go the slower way.
 PLAIN = "ʰ"
 
@@ -112,9 +112,8 @@ class PieceTokens:
         return [np.array(ids, np.int64) for ids in self.model.encode(texts, num_threads=1)]
 
 
-@lru_cache(maxsize=2)
 def tokenizers_of(a: str, b: str) -> tuple[ByteTokens, PieceTokens]:
-    return ByteTokens(a), PieceTokens(b)
+    return kept(("alignment", a, b), lambda: (ByteTokens(a), PieceTokens(b)))
 
 
 # --- merge ---
@@ -261,15 +260,34 @@ def encodable(text: str) -> bool:
 
 DOCUMENT = {"doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string()}
 #: Per document how many distinct pairs it holds; over all of them, the place of the pair in the block's table and its
-#: links. Then the table: each pair and the documents of the block that hold it.
-HELD = {"held": pa.int64(), "place": pa.int32(), "links": pa.int64(), "pair": pa.int64(), "docs": pa.int64()}
-BLOCKS = "block bigint, " + ", ".join(f"{c} array<{'string' if c == 'groups_sha256' else 'int' if c == 'place' else 'bigint'}>" for c in (*DOCUMENT, *HELD))
+#: links.
+HELD = {"held": pa.int64(), "place": pa.int32(), "links": pa.int64()}
+#: A block's documents are read again by Python alone, so Spark carries them packed, as one value that is small beside
+#: the lists. The table is Spark's to count: each pair and the documents of the block that hold it.
+BLOCKS = "block bigint, documents binary, pair array<bigint>, docs array<bigint>"
+
+
+def packed(lists: dict, types: dict[str, pa.DataType]) -> bytes:
+    batch = pa.RecordBatch.from_arrays([pa.array([lists[c]], pa.list_(types[c])) for c in types], names=list(types))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: pa.Buffer) -> dict[str, pa.Array]:
+    batch = pa.ipc.open_stream(data).read_next_batch()
+    return {c: batch.column(i)[0].values for i, c in enumerate(batch.schema.names)}
 
 
 def aligned_blocks(docs: DataFrame, a: str, b: str) -> DataFrame:
     """Documents in blocks (see :data:`HELD`), every text aligned."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with in_use():
+            yield from blocks_of(batches)
+
+    def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         first, second = tokenizers_of(a, b)
@@ -325,10 +343,10 @@ def block_row(number: int, parts: list[dict]) -> pa.RecordBatch:
     table, place, docs = np.unique(pair, return_inverse=True, return_counts=True)
     whole = {c: [x for p in parts for x in p[c]] for c in DOCUMENT}
     whole |= {"held": np.concatenate([p["held"] for p in parts]), "links": np.concatenate([p["links"] for p in parts])}
-    whole |= {"place": place.astype(np.int32), "pair": table, "docs": docs}
-    types = DOCUMENT | HELD
-    lists = [pa.array([whole[c]], pa.list_(types[c])) for c in types]
-    return pa.RecordBatch.from_arrays([pa.array([number]), *lists], names=["block", *types])
+    whole["place"] = place.astype(np.int32)
+    table, docs = (pa.array([x], pa.list_(pa.int64())) for x in (table, docs))
+    documents = pa.array([packed(whole, DOCUMENT | HELD)], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([number]), documents, table, docs], names=["block", "documents", "pair", "docs"])
 
 
 def pair_counts(blocks: DataFrame, width: int) -> DataFrame:
@@ -351,7 +369,8 @@ def with_counts(blocks: DataFrame, counts: DataFrame) -> DataFrame:
     found = table.join(counts, F.col("pair") == F.col("counted")).select("of", "at", "n", "best")
 
     def rows(block: pa.Table, table: pa.Table) -> pa.Table:
-        one = {c: block.column(c).chunk(0)[0].values for c in (*DOCUMENT, "held", "place", "links")}
+        release()
+        one = unpacked(block.column("documents").chunk(0)[0].as_buffer())
         n, best = np.zeros(table.num_rows, np.int64), np.zeros(table.num_rows, bool)
         at = table.column("at").to_numpy()
         n[at], best[at] = table.column("n").to_numpy(), table.column("best").to_numpy()
@@ -362,8 +381,8 @@ def with_counts(blocks: DataFrame, counts: DataFrame) -> DataFrame:
         columns = {c: one[c] for c in DOCUMENT} | {"n_best": n_best, "count_sum": count_sum}
         return pa.table({c.split()[0]: columns[c.split()[0]] for c in RESULT.split(", ")})
 
-    held = blocks.select("block", *DOCUMENT, "held", "place", "links")
-    return held.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(rows, RESULT)
+    # Blocks meet their counts in many tasks, whose rows of documents are few: they go on in partitions of a useful size.
+    return rebalanced(blocks.select("block", "documents").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(rows, RESULT))
 
 
 def align(docs: DataFrame, a: str, b: str) -> DataFrame:
@@ -376,5 +395,5 @@ def align(docs: DataFrame, a: str, b: str) -> DataFrame:
     """
     path = run_dir(docs.sparkSession, "alignment")
     blocks = stored(aligned_blocks(docs, a, b), f"{path}/blocks")
-    counts = stored(pair_counts(blocks, len(tokenizers_of(a, b)[1].bytes)), f"{path}/counts")
+    counts = stored(pair_counts(blocks, len(PieceTokens(b).bytes)), f"{path}/counts")
     return with_counts(blocks, counts)

@@ -8,8 +8,10 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 from conftest import TESTDATA
+from helpers import plan
 from llm_edges import clashing, edge, none  # noqa: F401
 from sunledger.llm import alignment as A
+from sunledger.llm import common
 from sunledger.llm.common import documents, importable
 from sunledger.llm.queries import tokenizer_file
 
@@ -134,3 +136,25 @@ def test_edges_of_the_input(spark, edge, clashing, none, plain):
     assert tuple(rows.columns) == COLUMNS
     assert got(rows) == expected([(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()], plain)
     assert A.align(none, *FILES).count() == 0
+
+
+def test_spark_carries_blocks_small(spark, plain):
+    """What a block says of its documents is packed, a few bytes a pair: lists of whole numbers, copied by every read and
+    shuffle, filled the executor."""
+    importable(spark)
+    rng = np.random.default_rng(3)
+    words = np.array([f"{a}{b}{c}" for a in ("wo", "ka", "tre", "lin") for b in ("ra", "ni", "so", "mu", "pel") for c in ("n", "st", "ing", "er")])
+    rows = [(i, " ".join(rng.choice(words, 400))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    blocks = A.aligned_blocks(docs, *FILES)
+    held = len({(i, x, y) for i, text in rows for g in plain_groups(*plain(text)) for x in g[0] for y in g[1]})
+    assert held > 20_000 and blocks.toArrow().nbytes < 5 * held
+    rows_out = A.align(docs, *FILES)
+    assert "REBALANCE_PARTITIONS" in plan(rows_out)
+    assert got(rows_out) == expected(rows, plain)
+
+
+def test_workers_let_go_of_the_tokenizers():
+    assert A.tokenizers_of(*FILES) is A.tokenizers_of(*FILES) and common._KEPT
+    common.release()
+    assert not common._KEPT
