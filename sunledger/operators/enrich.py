@@ -11,7 +11,8 @@ from sunledger.schemas import EVENT_TIME, PLANT, SOURCE, WEATHER_MEASURES
 
 #: Join tasks that one plant and time is split over in a stream.
 MOST_SPREAD = 16
-READING = [EVENT_TIME, "DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
+_UNTIMED = ["DC_POWER", "AC_POWER", "DAILY_YIELD", PLANT, SOURCE]
+READING = [EVENT_TIME, *_UNTIMED]
 
 
 def weather_at(weather: DataFrame) -> DataFrame:
@@ -82,34 +83,46 @@ def _asof_batch(generator: DataFrame, weather: DataFrame, tolerance: str) -> Dat
     return _enriched(every.select("reading.*", *(F.when(near, F.col("sky")[m]).alias(m) for m in WEATHER_MEASURES)))
 
 
-def _asof_stream(generator: DataFrame, weather: DataFrame, tolerance: str) -> DataFrame:
-    """A join with a range of time, whose state both watermarks clear, then the last match of each reading. Equal
-    readings are one group of it; how many they were is the rows over the matches of each. A reading is given once the
-    slower watermark is the tolerance beyond it.
-
-    Times are in buckets as wide as the tolerance, and a weather row is in its own and the next: a reading meets the
-    weather of two buckets, not its plant's whole history."""
-    bucket = _bucket(EVENT_TIME, tolerance)
-    sky = weather.withColumn("sky_bucket", F.explode(F.array(bucket, bucket + 1)))
-    sky = sky.withColumnsRenamed({EVENT_TIME: "sky_time", PLANT: "sky_plant"})
-    near = (
-        (F.col(PLANT) == F.col("sky_plant"))
-        & (F.col("bucket") == F.col("sky_bucket"))
-        & (F.col("sky_time") <= F.col(EVENT_TIME))
-        & (F.col("sky_time") >= F.col(EVENT_TIME) - F.expr(f"interval {tolerance}"))
-    )
-    joined = generator.select(*READING, bucket.alias("bucket")).join(sky, near, "left")
-    matched = joined.groupBy(*READING).agg(
-        F.max_by(F.struct(*WEATHER_MEASURES), "sky_time").alias("sky"),
-        F.count("*").alias("n_rows"),
-        F.greatest(F.size(F.collect_set("sky_time")), F.lit(1)).alias("n_skies"),
-    )
-    copies = F.sequence(F.lit(1).cast("bigint"), F.expr("n_rows div n_skies"))
-    return _enriched(matched.select(*READING, "sky.*", F.explode(copies).alias("copy")))
+#: Place of the last weather at or before a reading among its bucket's, by halving steps: -1 if there is none.
+_LAST = "aggregate(g.steps, -1, (i, step) -> if(get(g.times, i + step) <= r.at, i + step, i))"
+_STEPS = ", ".join(str(1 << bit) for bit in range(30, -1, -1))
+#: Each reading of a bucket with that weather. The array of one struct keeps what is worked out for the bucket.
+_WITH_LAST = f"""transform(
+    array(struct(readings, skies, transform(skies, s -> s.at) as times, filter(array({_STEPS}), n -> n <= size(skies)) as steps)),
+    g -> transform(g.readings, r -> struct(r as reading, get(g.skies, {_LAST}) as sky)))[0]"""
 
 
-def _bucket(time: str, width: str) -> Column:
-    """The number of a time's bucket, as a plain long: a key that the watermark stays out of."""
+def _asof_stream(generator: DataFrame, weather: DataFrame, tolerance: str) -> DataFrame:
+    """Times are in buckets as wide as the tolerance, and a weather row is in its own and the next. Each side gathers a
+    plant's bucket until the watermark closes it; the join hands the readings of a bucket its weather in order, and each
+    finds its own there by halving. State and work are one entry a reading and bucket, however many weather rows are near.
+
+    A reading is given once the slower watermark is the tolerance beyond it. That is after its bucket has closed; equal
+    readings wait as one. The bucket's end and that time carry the mark of the event time they are made from, which
+    Spark goes by in keys."""
+    marked = generator.schema[EVENT_TIME].metadata
+    width = F.expr(f"interval {tolerance}")
+    end = _bucket_end(EVENT_TIME, tolerance)
+    at = F.unix_micros(F.col(EVENT_TIME).cast("timestamp")).alias("at")
+    # No time of the fields may carry the mark beside the bucket's.
+    readings = generator.select(PLANT, end.alias("bucket", metadata=marked), F.struct(at, *_UNTIMED).alias("reading"))
+    readings = readings.groupBy(PLANT, "bucket").agg(F.collect_list("reading").alias("readings"))
+    sky = weather.select(F.col(PLANT).alias("sky_plant"), F.explode(F.array(end, end + width)).alias("end"), F.struct(at, *WEATHER_MEASURES).alias("sky"))
+    sky = sky.select("sky_plant", F.col("end").alias("sky_bucket", metadata=marked), "sky")
+    sky = sky.groupBy("sky_plant", "sky_bucket").agg(F.sort_array(F.collect_list("sky")).alias("skies"))
+    same = (F.col(PLANT) == F.col("sky_plant")) & (F.col("bucket") == F.col("sky_bucket"))
+    joined = readings.join(sky, same, "left").withColumn("skies", F.coalesce("skies", F.array().cast(sky.schema["skies"].dataType)))
+    rows = joined.select(F.col("bucket").alias("closed"), F.expr(f"inline({_WITH_LAST})"))
+    time, sky_time = F.timestamp_micros("reading.at"), F.timestamp_micros("sky.at")
+    near = sky_time >= time - width
+    due = F.greatest(time + width, "closed").alias("due", metadata=marked)
+    rows = rows.select("reading.*", due, *(F.when(near, F.col("sky")[m]).alias(m) for m in WEATHER_MEASURES))
+    waiting = rows.groupBy("at", *_UNTIMED, "due").agg(F.count("*").alias("n_rows"), *(F.first(m).alias(m) for m in WEATHER_MEASURES))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), "n_rows")).alias("copy")
+    return _enriched(waiting.select(F.timestamp_micros("at").alias(EVENT_TIME), *_UNTIMED, *WEATHER_MEASURES, copies))
+
+
+def _bucket_end(time: str, width: str) -> Column:
     at = f"unix_micros(cast({time} as timestamp))"
     size = f"greatest(unix_micros(timestamp_micros(0) + interval {width}), 1)"
-    return F.expr(f"({at} - pmod({at}, {size})) div {size}")
+    return F.expr(f"timestamp_micros({at} - pmod({at}, {size}) + {size})")

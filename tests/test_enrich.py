@@ -76,3 +76,27 @@ def test_in_a_stream_a_reading_meets_only_weather_near_it(spark, tmp_path):
     start_files(joined, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
     expected = enrich.asof_enriched(generator(spark, readings), weather(spark, sky))
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(expected)
+
+
+def test_in_a_stream_dense_weather_costs_no_more(spark, tmp_path):
+    """A bucket's readings and its weather meet as one row each, however many there are, and over several micro-batches
+    each reading is given once, when the watermark is the tolerance beyond it."""
+    clocks = [f"{h:02}:{m:02}:{s:02}" for h in range(9, 13) for m in range(0, 60, 3) for s in (0, 30, 41)]
+    readings = [generator_row(c, i % 7) for i, c in enumerate(clocks)]
+    readings += readings[5:9] + [generator_row(c, 1, plant=2) for c in clocks[::9]]
+    sky = [weather_row(c, i, i + 1, i / 100) for i, c in enumerate(clocks) if "11:0" not in c and "11:1" not in c]
+
+    def stream(frame, name):
+        frame = frame.withColumn("DATE_TIME", F.col("DATE_TIME").cast("timestamp")).cache()
+        for hour in range(9, 13):
+            frame.filter(F.hour("DATE_TIME") == hour).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+        return watermarked(spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}"))
+
+    joined = enrich.asof_enriched(stream(generator(spark, readings), "readings"), stream(weather(spark, sky), "sky"))
+    query = start_files(joined, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    query.awaitTermination()
+    met = [o.numRowsUpdated for p in query.recentProgress for o in p.stateOperators if o.operatorName == "symmetricHashJoin"]
+    assert len(met) > 4 and sum(met) <= 3 * 17
+    due = enrich.asof_enriched(generator(spark, readings), weather(spark, sky)).filter(F.col("date_time") <= F.lit("2020-05-15 12:12:41").cast("timestamp_ntz"))
+    got = rows(spark.read.parquet(f"{tmp_path}/out"))
+    assert got == rows(due) and len(got) > 200
